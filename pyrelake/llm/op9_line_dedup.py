@@ -64,22 +64,23 @@ def within_one_edit(a: Column, b: Column) -> Column:
     Bit d of a number stands for diagonal d - 1 of the band: the characters of a and b read so far differ in
     count by d - 1. r0 has the diagonals reached without an edit, r1 those with one at most.
     """
-    pa, pb = F.split(a, ""), F.split(b, "")
-    pa, pb = (F.when(F.length(x) == 0, F.array().cast("array<string>")).otherwise(p) for x, p in ((a, pa), (b, pb)))
-    at = lambda i: F.coalesce(F.get(pb, i), F.lit(""))
-    start = F.struct(F.lit(0).alias("i"), F.lit(2).alias("r0"), F.lit(6).alias("r1"))
+    none = F.array().cast("array<string>")
+    pa, pb = (F.when(F.length(x) == 0, none).otherwise(F.split(x, "")) for x in (a, b))
+    # a's characters beside those of b on the three diagonals, laid out once a pair
+    band = F.slice(F.arrays_zip(pa, F.concat(F.array(F.lit("")), pb), pb, F.when(F.size(pb) < 2, none).otherwise(F.slice(pb, 2, F.greatest(F.size(pb), F.lit(2))))), 1, F.size(pa))
+    start = F.struct(F.lit(2).alias("r0"), F.lit(6).alias("r1"))
 
     def step(state: Column, c: Column) -> Column:
-        i, r0, r1 = state["i"], state["r0"], state["r1"]
-        same = (at(i - 1) == c).cast("int") + F.when(at(i) == c, 2).otherwise(0) + F.when(at(i + 1) == c, 4).otherwise(0)
+        r0, r1 = state["r0"], state["r1"]
+        same = sum(F.when(c[str(d + 1)] == c["0"], 1 << d).otherwise(0) for d in range(3))
         new0 = r0.bitwiseAND(same)
         # one edit more: a's character replaced (same diagonal), left out (diagonal below), or one of b's put in (diagonal above)
         new1 = r1.bitwiseAND(same).bitwiseOR(r0).bitwiseOR(F.shiftright(r0, 1)).bitwiseOR(F.shiftleft(new0, 1)).bitwiseAND(F.lit(7))
-        return F.struct((i + 1).alias("i"), new0.alias("r0"), new1.alias("r1"))
+        return F.struct(new0.alias("r0"), new1.alias("r1"))
 
-    last = F.aggregate(pa, start, step)
+    last = F.aggregate(band, start, step)
     end = F.size(pb) - F.size(pa) + 1
-    return end.between(0, 2) & (F.shiftright(last["r1"].bitwiseOR(last["r0"]), 0).bitwiseAND(F.when(end == 0, 1).when(end == 1, 2).otherwise(4)) != 0)
+    return end.between(0, 2) & (last["r1"].bitwiseOR(last["r0"]).bitwiseAND(F.when(end == 0, 1).when(end == 1, 2).otherwise(4)) != 0)
 
 
 def _stripped(pairs: DataFrame) -> DataFrame:
