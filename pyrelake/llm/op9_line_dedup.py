@@ -34,7 +34,10 @@ def _split(text: Column) -> Column:
 
 
 def _collapsed(line: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(line, r"\s+", " ")))
+    uneven = line.contains("  ")
+    for c in "\t\x0b\f\r":
+        uneven = uneven | line.contains(c)
+    return F.lower(F.trim(F.when(uneven, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
 
 
 def _hash(*parts) -> Column:
@@ -153,7 +156,7 @@ def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     classed = distinct.join(named, "node").select("node", "component", F.struct("doc_id", "line_no").alias("at"))
     tops = classed.groupBy("component").agg(F.min("at").alias("top"))
     tops = cut(matched(classed.select("node", "component"), tops, ["component"]).select("node", "top"))
-    of = ["len", "whole", "left", "right"]
+    of = ["len", "whole", "left"]  # two hashes of 64 bits and the length tell lines apart
     chosen = cut(distinct.join(tops, "node", "left").where("again OR top IS NOT NULL").select(*of, F.coalesce("top", F.struct("doc_id", "line_no")).alias("top")))
     return matched(placed.select("doc_id", "line_no", *of), chosen, of).where(F.struct("doc_id", "line_no") != F.col("top")).select("doc_id", "line_no").distinct()
 
