@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from . import op9_line_dedup as op9
+from .op4_bpe import op4_bpe
 from .op5_simhash import op5_simhash
 
-QUERIES = {"op5_simhash": op5_simhash, "op9_line_dedup": op9.op9_line_dedup}
+QUERIES = {"op4_bpe": op4_bpe, "op5_simhash": op5_simhash, "op9_line_dedup": op9.op9_line_dedup}
 ORACLE_SQL: dict[str, str] = {"op9_line_dedup": op9.ORACLE_SQL}
