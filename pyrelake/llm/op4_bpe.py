@@ -217,24 +217,32 @@ def decode(encoded: DataFrame, name: str = VOCABULARY) -> DataFrame:
     return encoded.select("doc_id", text("ids").alias("text"))
 
 
-def round_trip(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
-    """Per row of docs: doc_id, n_tokens, ids_sha256 of the decimal ids and decoded_sha256 of what they decode to.
-
-    Null and empty texts have no ids. Columns other than doc_id and text are left out; repeated rows stay.
-    """
-
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+def _digests(docs: DataFrame, name: str, with_ids: bool) -> DataFrame:
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         kept = _kept(vocabulary(name))
         for texts in batches:
             rows = []
             for found in kept.of(texts):
                 digest = [hashlib.sha256(" ".join([v[k] for v in found if v[0]]).encode()).hexdigest() for k in (1, 2)]
-                rows.append((sum([v[0] for v in found]), *digest))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                rows.append((sum([v[0] for v in found]), *digest, *[[i for v in found for i in v[3]]] * with_ids))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
     return docs.select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")
 
 
+def round_trip(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
+    """Per row of docs: doc_id, n_tokens, ids_sha256 of the decimal ids and decoded_sha256 of what they decode to.
+
+    Null and empty texts have no ids. Columns other than doc_id and text are left out; repeated rows stay.
+    """
+    return _digests(docs, name, False)
+
+
+def encode_and_check(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
+    """As round_trip(), and the ids."""
+    return _digests(docs, name, True)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))

@@ -1,0 +1,48 @@
+import zlib
+
+import numpy as np
+from pyrelake.llm.op10_language import UNKNOWN, WINDOW, Network, identify, op10_language, train, windows
+from pyspark.sql import functions as F
+
+
+def test_windows_cover_the_text():
+    for t in ("", "a", "é" * 500, "x" * WINDOW, "y" * (3 * WINDOW + 1)):
+        w, sizes = windows(t)
+        raw = t.encode()
+        assert w.tobytes()[: len(raw)] == raw and sizes.sum() == len(raw) and not any(w.tobytes()[len(raw) :])
+
+
+def test_probabilities_do_not_depend_on_the_batch(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    net = train(docs)
+    texts = [r.text for r in docs.limit(40).collect()] + [None, "12 34", ""]
+    alone = [net.predict([t])[0] for t in texts]
+    for (a, x), (b, y) in zip(alone, net.predict(texts), strict=True):
+        assert a == b and abs(x - y) < 1e-6
+    assert [x[0] for x in alone[-3:]] == [UNKNOWN] * 3
+
+
+def test_held_out_accuracy(spark):
+    rows = op10_language(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == 1000
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
+    held = [r.lang_pred == r.lang for r in rows if r.held_out]
+    assert np.mean(held) > 0.95
+
+
+def test_labels_of_held_out_rows_teach_nothing(spark, sf):
+    from pyrelake.llm.common import held_out
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    lied = docs.withColumn("lang", F.when(held_out(F.col("doc_id")), F.lit("xx")).otherwise(F.col("lang")))
+    a, b = train(docs), train(lied)
+    assert a.languages == b.languages and all((a.parts[k] == b.parts[k]).all() for k in a.parts)
+
+
+def test_odd_rows(spark, odd_docs):
+    net = train(odd_docs)
+    rows = {r.doc_id: r for r in identify(odd_docs, net).collect()}
+    assert all(rows[k].lang_pred == UNKNOWN and rows[k].score == 0 for k in (1, 2, 3))
+    assert rows[None].held_out is False
+    assert train(odd_docs.limit(0)).languages == [] and identify(odd_docs.limit(0), net).collect() == []
+    assert Network([]).predict(["abc"]) == [(UNKNOWN, 0.0)]
