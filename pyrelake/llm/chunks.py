@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 #: str.split() also splits at these four, which are no white space to a tokenizer.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
-_SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACES = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 #: Chunks kept by a worker at most; the earliest half, mostly the most frequent, stays when it is full.
 KEPT = 200_000
 #: Longer chunks are never kept.
