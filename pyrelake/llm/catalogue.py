@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import op6_embeddings as op6
 from . import op9_line_dedup as op9
 from .op2_token_files import op2_token_files
 from .op4_bpe import op4_bpe
@@ -9,5 +10,5 @@ from .op5_simhash import op5_simhash
 from .op7_decontamination import op7_decontamination
 from .op10_language import op10_language
 
-QUERIES = {"op2_token_files": op2_token_files, "op4_bpe": op4_bpe, "op5_simhash": op5_simhash, "op7_decontamination": op7_decontamination, "op9_line_dedup": op9.op9_line_dedup, "op10_language": op10_language}
-ORACLE_SQL: dict[str, str] = {"op9_line_dedup": op9.ORACLE_SQL}
+QUERIES = {"op2_token_files": op2_token_files, "op4_bpe": op4_bpe, "op5_simhash": op5_simhash, "op6_embeddings": op6.op6_embeddings, "op7_decontamination": op7_decontamination, "op9_line_dedup": op9.op9_line_dedup, "op10_language": op10_language}
+ORACLE_SQL: dict[str, str] = {"op6_embeddings": op6.ORACLE_SQL, "op9_line_dedup": op9.ORACLE_SQL}

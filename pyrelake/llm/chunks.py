@@ -12,9 +12,9 @@ from collections.abc import Callable
 
 #: str.split() also splits at these four, which are no white space to a tokenizer.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
-_SPACES = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-#: Chunks kept by a worker at most; the earliest half, mostly the most frequent, stays when it is full.
-KEPT = 200_000
+_SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: Chunks in each of the two generations that a worker keeps.
+KEPT = 180_000
 #: Longer chunks are never kept.
 LONG = 64
 
@@ -28,20 +28,28 @@ def chunks(text: str | None) -> list[str]:
 
 
 class Kept:
-    """make(list of distinct chunks) gives a value for each; of(texts) yields each text's values in order."""
+    """make(list of distinct chunks) gives a value for each; of(texts) yields each text's values in order.
+
+    When the younger generation is full it becomes the elder one, and the elder is dropped; what is used
+    again moves to the younger. So frequent chunks stay, and rare ones go after a while.
+    """
 
     def __init__(self, make: Callable[[list[str]], list], most: int = KEPT):
-        self.make, self.most, self.values = make, most, {}
+        self.make, self.most, self.young, self.old = make, most, {}, {}
 
     def of(self, texts):
         for text in texts:
             parts = chunks(text)
-            found = list(map(self.values.get, parts))
+            found = list(map(self.young.get, parts))
             if None in found:
-                new = list(dict.fromkeys(c for c, v in zip(parts, found, strict=True) if v is None))
-                made = dict(zip(new, self.make(new), strict=True))
+                made = dict.fromkeys([c for c, v in zip(parts, found, strict=True) if v is None])
+                new = [c for c in made if c not in self.old]
+                made.update(zip(new, self.make(new), strict=True))
+                for c, v in made.items():
+                    made[c] = v = self.old[c] if v is None else v
+                    if len(c) <= LONG:
+                        self.young[c] = v
                 found = [made[c] if v is None else v for c, v in zip(parts, found, strict=True)]
-                self.values.update((c, v) for c, v in made.items() if len(c) <= LONG)
-                if len(self.values) > self.most:
-                    self.values = dict(list(self.values.items())[: self.most // 2])
+                if len(self.young) > self.most:
+                    self.young, self.old = {}, self.young
             yield found

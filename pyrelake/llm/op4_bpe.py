@@ -25,12 +25,13 @@ import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import Kept
+from .chunks import LONG, Kept
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -38,6 +39,8 @@ VOCABULARY = "word_bpe_49k.json"
 LATER = "\u0558"
 #: Arcs kept by a worker at most.
 ARCS = 400_000
+#: Words whose path a worker keeps at most.
+WORDS = 100_000
 
 
 def vocabulary(name: str = VOCABULARY) -> str:
@@ -85,27 +88,27 @@ class Automaton:
                 raise ValueError(f"merge {k} makes a label again")
             self.merged[u, v], self.rank[w], self.ends[w] = k, k, (u, v)
             spelt[w] = spelt[u] + spelt[v]
-        self.next, self.at = {}, {}  # (node, symbol) -> node; node -> label
-        self.symbols = max(*self.inner, *self.final) + 1
+        #: Label prefixes: a node is [label or None, {symbol: node}].
+        self.root = [None, {}]
         for w, symbols in spelt.items():
-            node = 0
-            for s in symbols:
-                node = self.next.setdefault(node * self.symbols + s, len(self.next) + 1)
-            self.at[node] = w
+            node = self.root
+            for x in symbols:
+                node = node[1].setdefault(x, [None, {}])
+            node[0] = w
         self.size = {w: len(symbols) for w, symbols in spelt.items()}
         by = {symbols: w for w, symbols in spelt.items()}
         #: The longest other label that a label begins with.
         self.shorter = {w: next((by[x[:k]] for k in range(len(x) - 1, 0, -1) if x[:k] in by), None) for w, x in spelt.items()}
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}
+        self.known: dict[bytes, list[int]] = {}
         self.find = regex.compile(self.word_pattern).findall
+        self.letters = self.find("ab") == ["ab"]
         later = _later_characters(path)
         self.find_any = regex.compile("(?V1)" + self.word_pattern.replace(r"\p{L}", rf"[\p{{L}}--[{later}]]").replace(r"\p{N}", rf"[\p{{N}}--[{later}]]")).findall if later else self.find
         self.outside = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else lambda text: [text]
 
     def arc(self, s: int, t: int) -> bool:
         """Whether the automaton still has an arc t from the state s."""
-        if (known := self.arcs.get((s, t))) is not None:
-            return known
         until, rank, a, b, free = len(self.merged), self.rank, s, t, True
         first = False  # whether only t's end unfolded at `until`: equal merges go from the left, so one across the gap comes first
         while True:
@@ -123,41 +126,49 @@ class Automaton:
                 b = self.ends[b][0]
         if len(self.arcs) >= ARCS:
             self.arcs.clear()
-        self.arcs[s, t] = free
+        self.arcs[s << 32 | t] = free
         return free
 
     def path(self, word: bytes) -> list[int]:
         """The labels of the path that spells a word, with the mark at its end."""
         symbols = [*map(self.inner.__getitem__, word[:-1]), self.final[word[-1]]]
-        n, step, label, arc, width, size, shorter = len(symbols), self.next.get, self.at.get, self.arc, self.symbols, self.size, self.shorter
-        out, dead, i, t = [], set(), 0, None
+        n, root, known, arc, size, shorter = len(symbols), self.root, self.arcs.get, self.arc, self.size, self.shorter
+        out, dead, i, t, last = [], set(), 0, None, -1
         while True:
             if t is None:  # the longest label from here on
-                node = 0
-                for k in range(i, n):
-                    if (node := step(node * width + symbols[k])) is None:
+                node = root
+                for x in symbols[i:]:
+                    if (node := node[1].get(x)) is None:
+                        break
+                    if node[0] is not None:
+                        t = node[0]
+            while t is not None:
+                if i + size[t] not in dead:
+                    if last < 0 or (free := known(last << 32 | t)) or free is None and arc(last, t):
                         break
-                    t = label(node, t)
-            while t is not None and (i + size[t] in dead or out and not arc(out[-1], t)):
                 t = shorter[t]
             if t is not None:
                 out.append(t)
                 i += size[t]
                 if i == n:
                     return out
-                t = None
+                last, t = t, None
                 continue
             while t is None:  # the one path that leads here leads no further
                 dead.add(i)
                 t = out.pop()
+                last = out[-1] if out else -1
                 i -= size[t]
                 t = shorter[t]
 
     def words(self, text: str) -> list[bytes]:
         """The pre-split words of a text without special tokens, as bytes."""
         if text.isascii():
-            return [w.encode() for w in self.find(text.lower())]
-        text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+            text = text.lower()
+            return [text.encode()] if self.letters and text.isalpha() else [w.encode() for w in self.find(text)]
+        text = unicodedata.normalize("NFC", text)
+        # the library lowers each character by itself: no final sigma
+        text = text.lower() if "\u03a3" not in text else "".join(map(str.lower, text))
         return [w.encode("utf-8", "replace") for w in (self.find if max(text) < LATER else self.find_any)(text)]
 
     def encode(self, text: str | None) -> list[int]:
@@ -169,11 +180,17 @@ class Automaton:
                 ids.append(self.special[part])
             else:
                 for w in self.words(part):
-                    ids += self.path(w)
+                    if (found := self.known.get(w)) is None:
+                        found = self.path(w)
+                        if len(self.known) >= WORDS:
+                            self.known.clear()
+                        if len(w) <= LONG:
+                            self.known[w] = found
+                    ids += found
         return ids
 
     def decode(self, ids) -> str:
-        return " ".join(self.label[i] for i in ids if i in self.label)
+        return " ".join([self.label[i] for i in ids if i in self.label])
 
 
 @cache
@@ -183,14 +200,19 @@ def automaton(path: str) -> Automaton:
 
 
 @cache
-def _kept(path: str) -> Kept:
+def _kept(path: str, with_ids: bool) -> Kept:
+    """Chunks' counts, decimal ids and labels, and the ids themselves if asked for."""
     own = automaton(path)
 
     def make(new: list[str]) -> list[tuple]:
         paths = map(own.encode, new)
-        return [(len(ids), " ".join(map(str, ids)), own.decode(ids), ids) for ids in paths]
+        return [(len(ids), " ".join(map(str, ids)), own.decode(ids), *[np.array(ids, np.int32).tobytes()] * with_ids) for ids in paths]
+
+    return Kept(make)
+
 
-    return Kept(make, 120_000)
+def _joined(found: list[tuple]) -> np.ndarray:
+    return np.frombuffer(b"".join([v[3] for v in found]), np.int32)
 
 
 def encode(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
@@ -198,9 +220,9 @@ def encode(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        kept = _kept(vocabulary(name))
+        kept = _kept(vocabulary(name), True)
         for texts in batches:
-            yield pd.Series([[i for v in found for i in v[3]] for found in kept.of(texts)])
+            yield pd.Series([_joined(found) for found in kept.of(texts)], dtype=object)
 
     return docs.select("doc_id", ids("text").alias("ids"))
 
@@ -220,12 +242,13 @@ def decode(encoded: DataFrame, name: str = VOCABULARY) -> DataFrame:
 def _digests(docs: DataFrame, name: str, with_ids: bool) -> DataFrame:
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        kept = _kept(vocabulary(name))
+        kept = _kept(vocabulary(name), with_ids)
         for texts in batches:
             rows = []
             for found in kept.of(texts):
-                digest = [hashlib.sha256(" ".join([v[k] for v in found if v[0]]).encode()).hexdigest() for k in (1, 2)]
-                rows.append((sum([v[0] for v in found]), *digest, *[[i for v in found for i in v[3]]] * with_ids))
+                sizes, *parts = list(zip(*found, strict=True))[:3] or ((), (), ())
+                digest = [hashlib.sha256(" ".join(x).encode()).hexdigest() for x in parts]
+                rows.append((sum(sizes), *digest, *((_joined(found),) if with_ids else ())))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
     return docs.select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")
