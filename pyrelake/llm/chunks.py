@@ -17,6 +17,8 @@ _SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205
 KEPT = 180_000
 #: Longer chunks are never kept.
 LONG = 64
+#: Chunks looked up together.
+TOGETHER = 20_000
 
 
 def chunks(text: str | None) -> list[str]:
@@ -38,18 +40,29 @@ class Kept:
         self.make, self.most, self.young, self.old = make, most, {}, {}
 
     def of(self, texts):
+        """Some texts at a time, so that what is new in several is made once and together."""
+        some, size = [], 0
         for text in texts:
-            parts = chunks(text)
-            found = list(map(self.young.get, parts))
-            if None in found:
-                made = dict.fromkeys([c for c, v in zip(parts, found, strict=True) if v is None])
-                new = [c for c in made if c not in self.old]
-                made.update(zip(new, self.make(new), strict=True))
-                for c, v in made.items():
-                    made[c] = v = self.old[c] if v is None else v
-                    if len(c) <= LONG:
-                        self.young[c] = v
-                found = [made[c] if v is None else v for c, v in zip(parts, found, strict=True)]
-                if len(self.young) > self.most:
-                    self.young, self.old = {}, self.young
-            yield found
+            some.append(chunks(text))
+            size += len(some[-1])
+            if size >= TOGETHER:
+                yield from self._found(some)
+                some, size = [], 0
+        yield from self._found(some)
+
+    def _found(self, some: list[list[str]]):
+        young, old = self.young, self.old
+        found = [list(map(young.get, parts)) for parts in some]
+        made = dict.fromkeys([c for parts, values in zip(some, found, strict=True) if None in values for c, v in zip(parts, values, strict=True) if v is None])
+        if made:
+            new = [c for c in made if c not in old]
+            made.update(zip(new, self.make(new), strict=True))
+            for c, v in made.items():
+                if v is None:
+                    made[c] = v = old[c]
+                if len(c) <= LONG:
+                    young[c] = v
+        for parts, values in zip(some, found, strict=True):
+            yield [made[c] if v is None else v for c, v in zip(parts, values, strict=True)] if made and None in values else values
+        if len(young) > self.most:
+            self.young, self.old = {}, young
