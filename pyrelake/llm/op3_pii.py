@@ -113,20 +113,23 @@ def ip(permute: Permute, text: str) -> str | None:
 
 
 def phone(permute: Permute, text: str) -> str | None:
-    """A country's prefix stays; in the North American plan, area and exchange begin with 2 to 9."""
+    """A country's prefix stays. In the North American plan, area and exchange begin with 2 to 9; other numbers need a prefix."""
     prefix = re.match(r"\+\d{1,3}(?=\D)|", text)[0]
     rest = text[len(prefix) :]
     digits = "".join(c for c in rest if c in _DIGITS)
-    if prefix in ("", "+1"):
-        if len(digits) != 10 or digits[0] in "01" or digits[3] in "01":
-            return None
+    planned = len(digits) == 10 and digits[0] not in "01" and digits[3] not in "01"
+    if prefix in ("", "+1") and planned:
         rank = ((int(digits[:3]) - 200) * 800 + int(digits[3:6]) - 200) * 10000 + int(digits[6:])
         rank, line = divmod(permute("phone", 800 * 800 * 10000, rank), 10000)
         new = f"{rank // 800 + 200}{rank % 800 + 200}{line:04d}"
+    elif not prefix or not 6 <= len(digits) <= 12:
+        return None
     else:
-        if not 6 <= len(digits) <= 12:
-            return None
-        new = f"{permute('phone' + prefix, 10 ** len(digits), int(digits)):0{len(digits)}d}"
+        new = digits
+        while True:  # walks on to the next number outside the plan
+            new = f"{permute('phone' + prefix, 10 ** len(digits), int(new)):0{len(digits)}d}"
+            if prefix != "+1" or len(digits) != 10 or new[0] in "01" or new[3] in "01":
+                break
     return prefix + _filled(rest, new)
 
 
