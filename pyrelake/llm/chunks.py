@@ -18,7 +18,7 @@ KEPT = 180_000
 #: Longer chunks are never kept.
 LONG = 64
 #: Chunks looked up together.
-TOGETHER = 20_000
+TOGETHER = 50_000
 
 
 def chunks(text: str | None) -> list[str]:
@@ -52,17 +52,15 @@ class Kept:
 
     def _found(self, some: list[list[str]]):
         young, old = self.young, self.old
-        found = [list(map(young.get, parts)) for parts in some]
-        made = dict.fromkeys([c for parts, values in zip(some, found, strict=True) if None in values for c, v in zip(parts, values, strict=True) if v is None])
-        if made:
-            new = [c for c in made if c not in old]
-            made.update(zip(new, self.make(new), strict=True))
-            for c, v in made.items():
-                if v is None:
-                    made[c] = v = old[c]
-                if len(c) <= LONG:
-                    young[c] = v
-        for parts, values in zip(some, found, strict=True):
-            yield [made[c] if v is None else v for c, v in zip(parts, values, strict=True)] if made and None in values else values
+        missing = set().union(*some).difference(young)
+        if missing:
+            new = [c for c in missing if c not in old]
+            young.update((c, old[c]) for c in missing if c in old)
+            young.update(zip(new, self.make(new), strict=True))
+        for parts in some:
+            yield list(map(young.__getitem__, parts))
+        for c in missing:
+            if len(c) > LONG:
+                del young[c]
         if len(young) > self.most:
             self.young, self.old = {}, young

@@ -32,9 +32,13 @@ from .common import checkpoint_dir, cut, table
 
 VOCABULARY, END = "word_bpe_49k.json", 1
 MAGIC = b"TIDS0001"
+#: Stands between chunks that are encoded in one call.
+MARK = "\x00"
 RECORD = np.dtype([("doc_id", "<i8"), ("no_id", "u1"), ("ids", "<u8"), ("end", "<u8")])
 #: Bytes of frames after which a task begins another file.
 FILE_BYTES = 16 << 20
+#: Chunks in each generation that a worker keeps: short strings and a few bytes each.
+KEPT = 400_000
 #: The dictionary's size, and the bounds of its sample: documents, and ids of each.
 DICTIONARY, SAMPLE, SAMPLE_IDS, LEVEL = 64 << 10, 1000, 2000, 3
 
@@ -131,13 +135,30 @@ def _encoder(name: str) -> tuple:
     t.no_truncation()
     width = 2 if t.get_vocab_size(True) <= 1 << 16 else 4
 
-    def make(new: list[str]) -> list[bytes]:
+    def alone(new: list[str]) -> list[bytes]:
         return [np.array(e.ids, f"<u{width}").tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)]
 
-    one, two = ([i for e in t.encode_batch_fast(x, add_special_tokens=False) for i in e.ids] for x in (["Ab, c \n\td"], ["Ab,", "c", "d"]))
-    if one == two:
-        return (lambda texts, kept=Kept(make): map(b"".join, kept.of(texts))), width
-    return (lambda texts: (make([x or ""])[0] for x in texts)), width
+    def together(new: list[str]) -> list[bytes]:
+        """Many chunks in one text with a mark between that is a token of its own; where a chunk has it too, one by one."""
+        out = []
+        for k in range(0, len(new), 500):
+            some = new[k : k + 500]
+            ids = np.array(t.encode_batch_fast([f" {MARK} ".join(some)], add_special_tokens=False)[0].ids, f"<u{width}")
+            cuts = (np.flatnonzero(ids == mark[0]) * width).tolist()
+            if len(cuts) != len(some) - 1:
+                out += alone(some)
+                continue
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *(c + width for c in cuts)], [*cuts, len(data)], strict=True)]
+        return out
+
+    def ids_of(texts: list[str]) -> list[int]:
+        return [i for e in t.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids]
+
+    mark = ids_of([MARK])
+    if len(mark) == 1 and ids_of(["Ab, c \n\td"]) == ids_of(["Ab,", "c", "d"]):
+        return (lambda texts, kept=Kept(together, KEPT): map(b"".join, kept.of(texts))), width
+    return (lambda texts: (alone([x or ""])[0] for x in texts)), width
 
 
 def serialized(texts, name: str = VOCABULARY, end: int | None = END) -> Iterator[bytes]:
@@ -151,7 +172,9 @@ def dictionary(docs: DataFrame, name: str = VOCABULARY) -> bytes:
     """Trained on the leading ids of a bounded sample of documents; where zstandard finds too little to train on, their ids as they are."""
     import zstandard
 
-    rows = docs.where("text IS NOT NULL").select(F.substring("text", 1, 8 * SAMPLE_IDS).alias("text"), F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(SAMPLE).collect()
+    share = min(1.0, 2 * SAMPLE / max(1, docs.count()))  # so that tasks hold back few rows each
+    ticket = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    rows = docs.where(F.col("text").isNotNull() & (ticket < int(share * (1 << 30)))).select(F.substring("text", 1, 8 * SAMPLE_IDS).alias("text"), ticket.alias("h")).orderBy("h", "text").limit(SAMPLE).collect()
     width = _encoder(name)[1]
     some = [x[: width * SAMPLE_IDS] for x in serialized((r.text for r in rows), name)]
     try:

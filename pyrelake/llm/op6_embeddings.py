@@ -126,7 +126,9 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
     classes = keyed.groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"), F.first("embedding").alias("vec"))
     classes = cut(classes.select("h1", "h2", "node", "n", "vec", F.size("vec").alias("dim"), F.monotonically_increasing_id().alias("cls")))
     sample: dict[int, list] = {}
-    for r in classes.select("dim", "vec").orderBy(F.xxhash64("h1"), "h2").limit(SAMPLE).collect():
+    share = min(1.0, 2 * SAMPLE / max(1, classes.count()))  # so that tasks hold back few rows each
+    ticket = F.pmod("h2", F.lit(1 << 30))
+    for r in classes.where(ticket < int(share * (1 << 30))).select("dim", "vec").orderBy(ticket, "h1").limit(SAMPLE).collect():
         sample.setdefault(r.dim, []).append(r.vec)
     bases = {d: axes(np.array(v)) for d, v in sample.items()}
     cuts = {d: np.quantile(unit(np.array(v)) @ bases[d][:, 0], np.linspace(0, 1, STRIPS + 1)[1:-1]) for d, v in sample.items()}

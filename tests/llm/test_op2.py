@@ -54,6 +54,12 @@ def test_odd_rows(spark, odd_docs, lib, tmp_path):
     assert op2.read(op2.write(odd_docs.limit(0), none), none).collect() == []
 
 
+def test_chunks_that_hold_the_mark(lib):
+    texts = ["a\x00b c", "\x00", "x \x00 y", "İ ΣΑΣ <|endoftext|>z \x00", "w\x1cv"]
+    got = [np.frombuffer(x, "<u2").tolist() for x in op2.serialized(texts, end=None)]
+    assert got == [lib.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_tokenizers_that_keep_white_space_read_texts_whole():
     name, texts = "byte_bpe_50k.json", ["Some words,  and\n\nmore", "", None, " x"]
     t = Tokenizer.from_file(public_tokenizers.path(name))
