@@ -39,6 +39,10 @@ class Kept:
     def __init__(self, make: Callable[[list[str]], list], most: int = KEPT):
         self.make, self.most, self.young, self.old = make, most, {}, {}
 
+    def forget(self) -> None:
+        """For the end of a task: an idle worker holds on to nothing."""
+        self.young, self.old = {}, {}
+
     def of(self, texts):
         """Some texts at a time, so that what is new in several is made once and together."""
         some, size = [], 0

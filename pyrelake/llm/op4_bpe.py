@@ -38,7 +38,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Characters below it were assigned long ago.
 LATER = "\u0558"
 #: Arcs kept by a worker at most.
-ARCS = 400_000
+ARCS = 200_000
 #: Words whose path a worker keeps at most.
 WORDS = 100_000
 
@@ -208,7 +208,7 @@ def _kept(path: str, with_ids: bool) -> Kept:
         paths = map(own.encode, new)
         return [(len(ids), " ".join(map(str, ids)), own.decode(ids), *[np.array(ids, np.int32).tobytes()] * with_ids) for ids in paths]
 
-    return Kept(make)
+    return Kept(make, 120_000)
 
 
 def _joined(found: list[tuple]) -> np.ndarray:
@@ -221,8 +221,11 @@ def encode(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         kept = _kept(vocabulary(name), True)
-        for texts in batches:
-            yield pd.Series([_joined(found) for found in kept.of(texts)], dtype=object)
+        try:
+            for texts in batches:
+                yield pd.Series([_joined(found) for found in kept.of(texts)], dtype=object)
+        finally:
+            kept.forget()
 
     return docs.select("doc_id", ids("text").alias("ids"))
 
@@ -243,13 +246,17 @@ def _digests(docs: DataFrame, name: str, with_ids: bool) -> DataFrame:
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         kept = _kept(vocabulary(name), with_ids)
-        for texts in batches:
-            rows = []
-            for found in kept.of(texts):
-                sizes, *parts = list(zip(*found, strict=True))[:3] or ((), (), ())
-                digest = [hashlib.sha256(" ".join(x).encode()).hexdigest() for x in parts]
-                rows.append((sum(sizes), *digest, *((_joined(found),) if with_ids else ())))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
+        try:
+            for texts in batches:
+                rows = []
+                for found in kept.of(texts):
+                    sizes, *parts = list(zip(*found, strict=True))[:3] or ((), (), ())
+                    digest = [hashlib.sha256(" ".join(x).encode()).hexdigest() for x in parts]
+                    rows.append((sum(sizes), *digest, *((_joined(found),) if with_ids else ())))
+                yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
+        finally:
+            kept.forget()
+            automaton(vocabulary(name)).known.clear()
 
     return docs.select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")
 

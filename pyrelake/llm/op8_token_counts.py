@@ -121,8 +121,11 @@ def counted(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
         import public_tokenizers
 
         kept = _kept(public_tokenizers.path(name))
-        for texts in batches:
-            yield pd.DataFrame([(len(found), sum(found)) for found in kept.of(texts)], columns=["n_words", "n_tokens"])
+        try:
+            for texts in batches:
+                yield pd.DataFrame([(len(found), sum(found)) for found in kept.of(texts)], columns=["n_words", "n_tokens"])
+        finally:
+            kept.forget()
 
     return docs.select("doc_id", count("text").alias("n")).select("doc_id", "n.*")
 
