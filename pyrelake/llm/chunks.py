@@ -17,13 +17,21 @@ _SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205
 KEPT = 180_000
 #: Longer chunks are never kept.
 LONG = 64
+#: Marks that may stand behind a word, and the end of the scripts whose letters were assigned long ago.
+MARKS, LATIN = frozenset(",.;:!?"), "\u0250"
 #: Chunks looked up together.
 TOGETHER = 50_000
 
 
-def chunks(text: str | None) -> list[str]:
+def chunks(text: str | None, fold: bool = False) -> list[str]:
+    """A text's chunks; with fold, A-Z in lower case, for tokenizers that do so themselves.
+
+    Special tokens are told from ordinary text by their case, so texts that may hold any are not folded.
+    """
     if not text:
         return []
+    if fold and "<|" not in text:
+        text = text.lower() if text.isascii() else text.encode("utf-8", "replace").lower().decode()
     if any(c in text for c in _SEPARATORS):
         return [c for c in _SPACES.split(text) if c]
     return text.split()
@@ -36,8 +44,12 @@ class Kept:
     again moves to the younger. So frequent chunks stay, and rare ones go after a while.
     """
 
-    def __init__(self, make: Callable[[list[str]], list], most: int = KEPT):
-        self.make, self.most, self.young, self.old = make, most, {}, {}
+    def __init__(self, make: Callable[[list[str]], list], most: int = KEPT, join: Callable | None = None):
+        """join(a, b): the value of two chunks written together, for tokenizers that lower case and part words from marks.
+
+        With it, a word with one mark behind it is looked up as the two.
+        """
+        self.make, self.most, self.join, self.young, self.old = make, most, join, {}, {}
 
     def forget(self) -> None:
         """For the end of a task: an idle worker holds on to nothing."""
@@ -47,7 +59,7 @@ class Kept:
         """Some texts at a time, so that what is new in several is made once and together."""
         some, size = [], 0
         for text in texts:
-            some.append(chunks(text))
+            some.append(chunks(text, self.join is not None))
             size += len(some[-1])
             if size >= TOGETHER:
                 yield from self._found(some)
@@ -58,9 +70,19 @@ class Kept:
         young, old = self.young, self.old
         missing = set().union(*some).difference(young)
         if missing:
-            new = [c for c in missing if c not in old]
             young.update((c, old[c]) for c in missing if c in old)
+            new = [c for c in missing if c not in young]
+            marked = [c for c in new if c[-1] in MARKS and len(c) > 1 and c[-2] < LATIN and c[-2].isalpha()] if self.join else []
+            if marked:
+                whole = set(new).difference(marked)
+                whole.update(w for c in marked for w in (c[:-1], c[-1]) if w not in young)
+                back = [w for w in whole if w in old]
+                young.update((w, old[w]) for w in back)
+                new = list(whole.difference(back))
+                missing |= whole
             young.update(zip(new, self.make(new), strict=True))
+            for c in marked:
+                young[c] = self.join(young[c[:-1]], young[c[-1]])
         for parts in some:
             yield list(map(young.__getitem__, parts))
         for c in missing:

@@ -208,7 +208,11 @@ def _kept(path: str, with_ids: bool) -> Kept:
         paths = map(own.encode, new)
         return [(len(ids), " ".join(map(str, ids)), own.decode(ids), *[np.array(ids, np.int32).tobytes()] * with_ids) for ids in paths]
 
-    return Kept(make, 120_000)
+    def join(a: tuple, b: tuple) -> tuple:
+        return (a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}", *((a[3] + b[3],) if with_ids else ()))
+
+    parts = own.encode("Ab,") == own.encode("ab") + own.encode(",") == [*own.encode("AB"), *own.encode(",")]
+    return Kept(make, 120_000, join if parts else None)
 
 
 def _joined(found: list[tuple]) -> np.ndarray:
