@@ -50,6 +50,13 @@ def matched(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner"
     return left.withColumn("_twin", twin).join(right.withColumn("_twin", twin), [*on, "_twin"], how).drop("_twin")
 
 
+def slices(batches, rows: int = 500):
+    """Batches of a column function in smaller parts, which it may give back one by one: what it makes of a part is gone before the next."""
+    for texts in batches:
+        for k in range(0, len(texts), rows):
+            yield texts.iloc[k : k + rows]
+
+
 def stars(members: DataFrame, key: str, node: str) -> DataFrame:
     """Edges (u, v), u > v, from every member of a key to the key's smallest: as linked as all pairs, in a row a member."""
     few = members.groupBy(key).agg(F.min(node).alias("_least"), F.max(node).alias("_most")).where("_least < _most")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table
+from .common import held_out, slices, table
 
 WINDOW, WIDTHS, FILTERS, VECTOR = 256, (2, 3, 4), 12, 8
 #: Bounds of the training sample: documents of a language, its most frequent languages, characters of a document.
@@ -181,7 +181,7 @@ def language(network: Network):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in slices(batches):
             yield pd.DataFrame(network.predict(texts), columns=["lang_pred", "score"])
 
     return predict

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table
+from .common import held_out, slices, table
 
 #: Labelled documents that the forest learns from at most: those with the smallest hashed ids.
 SAMPLE = 20_000
@@ -129,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Forest:
 def _statistics():
     @F.pandas_udf("array<double>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in slices(batches):
             yield pd.Series([statistics(t) for t in texts], dtype=object)
 
     return of
@@ -140,7 +140,7 @@ def quality(docs: DataFrame, forest: Forest) -> DataFrame:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in slices(batches):
             yield pd.Series(forest.scores(np.array([statistics(t) for t in texts]).reshape(-1, len(STATISTICS))))
 
     out = docs.select("doc_id", score("text").alias("score"))

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 #: For tests and the registered query; give a secret of your own.
 KEY = b"replace this key"
@@ -270,7 +270,7 @@ def pseudonymized(docs: DataFrame, key: bytes = KEY, undo: bool = False) -> Data
     def replace(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         network = Feistel(key)
         permute = lru_cache(100_000)(network.back if undo else network.forward)
-        for texts in batches:
+        for texts in slices(batches):
             rows = [replaced(t, permute) if _may_hold(t) else (t, []) for t in texts]
             spans = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in x] for _, x in rows]
             yield pd.DataFrame({"text": pd.Series([t for t, _ in rows], dtype=object), "spans": pd.Series(spans, dtype=object)})

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import LONG, Kept
-from .common import table
+from .common import slices, table
 
 VOCABULARY = "word_bpe_49k.json"
 #: Characters below it were assigned long ago.
@@ -226,7 +226,7 @@ def encode(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         kept = _kept(vocabulary(name), True)
         try:
-            for texts in batches:
+            for texts in slices(batches):
                 yield pd.Series([_joined(found) for found in kept.of(texts)], dtype=object)
         finally:
             kept.forget()
@@ -251,7 +251,7 @@ def _digests(docs: DataFrame, name: str, with_ids: bool) -> DataFrame:
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         kept = _kept(vocabulary(name), with_ids)
         try:
-            for texts in batches:
+            for texts in slices(batches):
                 rows = []
                 for found in kept.of(texts):
                     sizes, *parts = list(zip(*found, strict=True))[:3] or ((), (), ())
