@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.errors import AnalysisException
+
 from .config import WORLDS, load
 from .functions.names import parse_years
 from .operators.calendar import Refused
@@ -41,6 +43,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     except run.NoInput as e:
         print(e, file=sys.stderr)
         return 2
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        print(e.getMessage(), file=sys.stderr)
+        return 2
     except (Refused, ValueError) as e:
         print(f"refused: {e}", file=sys.stderr)
         return 1

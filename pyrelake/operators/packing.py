@@ -67,7 +67,7 @@ def pack_frames(counts: DataFrame, index: DataFrame, first_year: int, years_each
     n_cells = index.count()
     placed = counts.join(index, "cell_id").select("world", "threshold", "year", "month", "pos", "days", chunk_of(F.col("year"), F.lit(first_year), years_each).alias("chunk"))
 
-    def pack(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pack(key, rows):
         world, threshold, chunk = key
         start = first_year + chunk * years_each
         if not rows["days"].between(0, 255).all():
@@ -139,7 +139,7 @@ def pack_extent(extent: DataFrame, columns: list[str], thresholds: list[str]) ->
     for r in extent.select("world").distinct().collect():
         refuse(uneven_thresholds(extent.where(F.col("world") == r.world)), f"{r.world}: thresholds with other days")
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+    def pack(rows):
         rows = rows.sort_values("date")
         days = np.sort(rows["date"].unique())
         offsets = np.array([(d - days[0]).days for d in days], "<i4")
