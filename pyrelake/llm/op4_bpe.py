@@ -133,18 +133,19 @@ class Automaton:
         """The labels of the path that spells a word, with the mark at its end."""
         symbols = [*map(self.inner.__getitem__, word[:-1]), self.final[word[-1]]]
         n, root, known, arc, size, shorter = len(symbols), self.root, self.arcs.get, self.arc, self.size, self.shorter
-        out, dead, i, t, last = [], set(), 0, None, -1
+        out, dead, i, t, last = [], None, 0, None, -1
         while True:
             if t is None:  # the longest label from here on
-                node = root
+                below = root[1]
                 for x in symbols[i:]:
-                    if (node := node[1].get(x)) is None:
+                    if x not in below:
                         break
-                    if node[0] is not None:
-                        t = node[0]
+                    found, below = below[x]
+                    if found is not None:
+                        t = found
             while t is not None:
-                if i + size[t] not in dead:
-                    if last < 0 or (free := known(last << 32 | t)) or free is None and arc(last, t):
+                if last < 0 or (free := known(last << 32 | t)) or free is None and arc(last, t):
+                    if not dead or i + size[t] not in dead:
                         break
                 t = shorter[t]
             if t is not None:
@@ -155,7 +156,7 @@ class Automaton:
                 last, t = t, None
                 continue
             while t is None:  # the one path that leads here leads no further
-                dead.add(i)
+                dead = {i} if dead is None else dead | {i}
                 t = out.pop()
                 last = out[-1] if out else -1
                 i -= size[t]
@@ -203,16 +204,19 @@ def automaton(path: str) -> Automaton:
 def _kept(path: str, with_ids: bool) -> Kept:
     """Chunks' counts, decimal ids and labels, and the ids themselves if asked for."""
     own = automaton(path)
+    label, decimal = own.label, {i: str(i) for i in own.label}
 
     def make(new: list[str]) -> list[tuple]:
         paths = map(own.encode, new)
-        return [(len(ids), " ".join(map(str, ids)), own.decode(ids), *[np.array(ids, np.int32).tobytes()] * with_ids) for ids in paths]
+        if with_ids:
+            return [(len(ids), " ".join(map(str, ids)), own.decode(ids), np.array(ids, np.int32).tobytes()) for ids in paths]
+        return [(len(ids), " ".join([decimal[i] for i in ids]), " ".join([label[i] for i in ids])) for ids in paths]
 
     def join(a: tuple, b: tuple) -> tuple:
         return (a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}", *((a[3] + b[3],) if with_ids else ()))
 
     parts = own.encode("Ab,") == own.encode("ab") + own.encode(",") == [*own.encode("AB"), *own.encode(",")]
-    return Kept(make, 120_000, join if parts else None)
+    return Kept(make, 100_000 if with_ids else 250_000, join if parts else None)
 
 
 def _joined(found: list[tuple]) -> np.ndarray:
@@ -259,8 +263,9 @@ def _digests(docs: DataFrame, name: str, with_ids: bool) -> DataFrame:
                     rows.append((sum(sizes), *digest, *((_joined(found),) if with_ids else ())))
                 yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
         finally:
-            kept.forget()
-            automaton(vocabulary(name)).known.clear()
+            if with_ids:  # other stages' workers need the memory
+                kept.forget()
+                automaton(vocabulary(name)).known.clear()
 
     return docs.select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")
 
