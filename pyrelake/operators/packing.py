@@ -133,15 +133,14 @@ def uneven_thresholds(extent: DataFrame) -> DataFrame:
 def pack_extent(extent: DataFrame, columns: list[str], thresholds: list[str]) -> DataFrame:
     """(world, first_date, n_days, gaps, offsets BINARY, cube BINARY) of wide daily extents, one row a world.
 
-    The cube is days x thresholds x columns of u16, the offsets are i32 days from the first: all of a world's
+    A world whose thresholds do not have the same days is refused. The cube is days x thresholds x columns of u16, the offsets are i32 days from the first: all of a world's
     days are one small table (thousands of rows).
     """
-    for r in extent.select("world").distinct().collect():
-        refuse(uneven_thresholds(extent.where(F.col("world") == r.world)), f"{r.world}: thresholds with other days")
-
     def pack(rows):
         rows = rows.sort_values("date")
         days = np.sort(rows["date"].unique())
+        if not (rows.groupby("threshold")["date"].nunique().reindex(thresholds, fill_value=0) == len(days)).all():
+            raise ValueError(f"{rows['world'].iloc[0]}: thresholds with other days")
         offsets = np.array([(d - days[0]).days for d in days], "<i4")
         cube = np.zeros((len(days), len(thresholds), len(columns)), "<u2")
         for k, t in enumerate(thresholds):

@@ -148,14 +148,14 @@ ORACLE_SQL = {
     "extent_at": f"WITH {TO_WORLD}, {_WIDE}, found AS (SELECT world, {packed('global')} / CAST(10000 AS DOUBLE) AS value FROM wide WHERE date = DATE '1996-06-15' AND threshold = 'p90') SELECT w.world, found.value FROM (SELECT DISTINCT world FROM wide) w LEFT JOIN found USING (world)",
     "uneven_thresholds": f"WITH {TO_WORLD}, c AS (SELECT threshold, count(DISTINCT date) AS n FROM world WHERE NOT (threshold = 'p99' AND month(date) = 2) GROUP BY 1) SELECT threshold, n FROM c WHERE n <> (SELECT count(DISTINCT date) FROM world)",
     "readout": f"WITH {TO_WORLD} SELECT date, round(max(v) FILTER (world = 'observed') * 100, 1) AS observed, round(max(v) FILTER (world = 'counterfactual') * 100, 1) AS counterfactual, round((max(v) FILTER (world = 'observed') - max(v) FILTER (world = 'counterfactual')) * 100, 1) AS gap FROM (SELECT world, date, round(fraction, 9) AS v FROM world WHERE threshold = 'p90') GROUP BY date",
-    "year_spec": "SELECT * FROM (VALUES (1, 1991), (1, 1992), (1, 1993), (2, 1991), (2, 2018), (3, 1979), (3, 1980), (3, 1981), (3, 2024)) AS t(id, year)",
-    "paired_years": "SELECT * FROM (VALUES (1996), (1998)) AS t(year)",
+    "year_spec": "SELECT CAST(id AS BIGINT) AS id, CAST(year AS BIGINT) AS year FROM (VALUES (1, 1991), (1, 1992), (1, 1993), (2, 1991), (2, 2018), (3, 1979), (3, 1980), (3, 1981), (3, 2024)) AS t(id, year)",
+    "paired_years": "SELECT CAST(year AS BIGINT) AS year FROM (VALUES (1996), (1998)) AS t(year)",
     "year_gaps": "SELECT y AS year FROM (SELECT unnest(range(1995, 1999)) AS y) WHERE y NOT IN (1995, 1996, 1998)",
     "manifest_entries": f"WITH {LISTING} SELECT path, size, sha256, CASE WHEN path LIKE '%counter%' THEN 'https://archive.example/api/' ELSE 'https://host.example/api/' END || path AS url, world, coalesce(year, 0) AS year FROM files",
-    "download_order": f"WITH {LISTING} SELECT path, CASE WHEN year IS NULL THEN 0 WHEN world = 'observed' AND year BETWEEN 1991 AND 2020 THEN 1 ELSE 2 END AS tier, coalesce(year, 0) AS year, CASE WHEN world = 'observed' THEN 0 ELSE 1 END AS world_rank FROM files ORDER BY 2, coalesce(year, 0), 4, path",
+    "download_order": f"WITH {LISTING} SELECT path, CAST(CASE WHEN year IS NULL THEN 0 WHEN world = 'observed' AND year BETWEEN 1991 AND 2020 THEN 1 ELSE 2 END AS BIGINT) AS tier, coalesce(year, 0) AS year, CAST(CASE WHEN world = 'observed' THEN 0 ELSE 1 END AS BIGINT) AS world_rank FROM files ORDER BY 2, coalesce(year, 0), 4, path",
     "years_wanted": f"WITH {LISTING} SELECT path FROM files WHERE year IS NULL OR year = 1995",
     "file_status": f"WITH {LISTING}, {STATUS} SELECT * FROM st",
     "status_counts": f"WITH {LISTING}, {STATUS} SELECT status, count(*) AS n FROM st GROUP BY 1",
-    "epoch_parse": "SELECT id, coalesce(CAST(epoch AS VARCHAR), '') AS epoch, coalesce(CAST(CAST(epoch + INTERVAL 365 DAY AS DATE) AS VARCHAR), '') AS a_year_on FROM (VALUES (1, DATE '1900-01-01'), (2, DATE '1979-01-02'), (3, DATE '1900-01-01'), (4, DATE '1899-12-31'), (5, NULL), (6, NULL)) AS t(id, epoch)",
+    "epoch_parse": "SELECT CAST(id AS BIGINT) AS id, coalesce(CAST(epoch AS VARCHAR), '') AS epoch, coalesce(CAST(CAST(epoch + INTERVAL 365 DAY AS DATE) AS VARCHAR), '') AS a_year_on FROM (VALUES (1, DATE '1900-01-01'), (2, DATE '1979-01-02'), (3, DATE '1900-01-01'), (4, DATE '1899-12-31'), (5, NULL), (6, NULL)) AS t(id, epoch)",
     "month_labels": "SELECT i AS month_idx, 1979 + i // 12 AS year, i % 12 + 1 AS month, CAST(make_date(1979 + i // 12, i % 12 + 1, 1) + to_days(CAST(floor(day(last_day(make_date(1979 + i // 12, i % 12 + 1, 1))) * 0.5) AS INTEGER)) AS DATE) AS mid_day FROM (SELECT unnest(range(552)) AS i)",
 }

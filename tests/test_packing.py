@@ -70,8 +70,9 @@ def test_extents(spark):
     assert pk.extent_at(small, "2021-01-02", "p90", "global").first().value == pytest.approx(0.101)
     assert pk.extent_at(small, "2021-01-03", "p90", "global").first().value is None
     uneven = wide.unionByName(spark.createDataFrame([("observed", dates[0], "p99", 0.0, 0.0)], wide.schema))
-    with pytest.raises(Refused):
-        pk.pack_extent(uneven, ["global"], ["p90", "p99"])
+    with pytest.raises(Exception, match="thresholds with other days"):
+        pk.pack_extent(uneven, ["global"], ["p90", "p99"]).collect()
+    assert [(r.threshold, r.n) for r in pk.uneven_thresholds(uneven).collect()] == [("p99", 1)]
 
 
 def test_manifests(spark):
