@@ -33,11 +33,12 @@ def _split(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _collapsed(line: Column) -> Column:
-    uneven = line.contains("  ")
+def _collapsed(text: Column) -> Column:
+    """A text in lower case, with any run of white space within its lines as one space."""
+    uneven = text.contains("  ")
     for c in "\t\x0b\f\r":
-        uneven = uneven | line.contains(c)
-    return F.lower(F.trim(F.when(uneven, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
+        uneven = uneven | text.contains(c)
+    return F.lower(F.when(uneven, F.regexp_replace(text, r"[ \t\x0B\f\r]+", " ")).otherwise(text))
 
 
 def _hash(*parts) -> Column:
@@ -46,8 +47,8 @@ def _hash(*parts) -> Column:
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, line_no, s) of every line that is long enough to compare."""
-    lines = docs.select("doc_id", F.posexplode(_split(F.col("text"))).alias("line_no", "raw"))
-    return lines.select("doc_id", "line_no", _collapsed(F.col("raw")).alias("s")).where(F.length("s") >= min_chars)
+    lines = F.transform(_split(_collapsed(F.col("text"))), F.trim)  # once a text, before lines are rows
+    return docs.select("doc_id", F.posexplode(lines).alias("line_no", "s")).where(F.length("s") >= min_chars)
 
 
 def _keyed(lines: DataFrame) -> DataFrame:
