@@ -120,7 +120,10 @@ def grow(x: np.ndarray, y: np.ndarray) -> Forest:
 def train(docs: DataFrame, labels: DataFrame) -> Forest:
     """A forest from labels (doc_id, quality) that are 0 or 1 and not held out, and the texts of their documents."""
     picked = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").cast("int").alias("quality"))
-    picked = picked.where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE)
+    picked = picked.where("doc_id IS NOT NULL")
+    share = min(1.0, 2 * SAMPLE / max(1, picked.count()))  # so that tasks hold back few rows each
+    ticket = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    picked = picked.where(ticket < int(share * (1 << 30))).orderBy(ticket, "doc_id", "quality").limit(SAMPLE)
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most SAMPLE rows of two numbers
     rows = texts.select("doc_id", "quality", _statistics()("text").alias("x")).orderBy("doc_id", "quality").limit(2 * SAMPLE).collect()
     return grow(np.array([r.x for r in rows]).reshape(-1, len(STATISTICS)), np.array([r.quality for r in rows], np.float64))
