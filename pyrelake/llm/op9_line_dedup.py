@@ -26,6 +26,8 @@ THRESHOLD = 1
 MIN_CHARS = 20
 #: Common halves stripped before the edit distance; each strip halves what is left.
 STRIPS = 6
+#: Characters of the blocks that lines of large entries are hashed by.
+BLOCK = 128
 _KEYS = ["len", "whole", "left", "right", "cut_left", "cut_right"]
 
 
@@ -103,26 +105,49 @@ def _stripped(pairs: DataFrame) -> DataFrame:
     return pairs.select("u", "v", left.alias("left")).where("left.near").select("u", "v", "left.a", "left.b")
 
 
+def _chained(blocks: Column) -> Column:
+    """Hashes of the first 0, 1, 2 ... blocks."""
+    return F.aggregate(blocks, F.array(F.lit(0).cast("long")), lambda done, b: F.concat(done, F.array(F.xxhash64(F.element_at(done, -1), b))))
+
+
 def _hot_links(hot: DataFrame, texts: DataFrame) -> DataFrame:
-    """Edges between lines of large entries: hot has (node, side, role), role 1 for probes one shorter."""
-    s, n, p = F.col("s"), F.length("s"), F.col("p")
-    full = hot.distinct().join(texts, "node")
-    size = n - F.col("role")  # of the shorter line, for probes
-    half = F.floor(size / 2).cast("int")
-    low, high = F.when(F.col("side") == 0, half).otherwise(0), F.when(F.col("side") == 0, n).otherwise(half + F.col("role"))
-    before, after = F.xxhash64(F.substring(s, F.lit(1), p)), lambda k: F.xxhash64(F.substring(s, p + 1 + k, n))
-    places = full.select("node", "role", "s", F.explode(F.sequence(low, high)).alias("p"))
-    keys = places.select(
-        "node",
-        F.explode(F.array(
-            F.when((F.col("role") == 0) & (p < n), F.struct(F.lit(0).alias("kind"), _hash("swap", n, p, before, after(1)).alias("h"))),
-            F.when(F.col("role") == 0, F.struct(F.lit(1).alias("kind"), _hash("cut", n, p, before, after(0)).alias("h"))),
-            F.when((F.col("role") == 1) & (p < n), F.struct(F.lit(2).alias("kind"), _hash("cut", n - 1, p, before, after(1)).alias("h"))),
-        )).alias("k"),
-    ).where("k IS NOT NULL").select("node", "k.kind", "k.h")
-    swaps = stars(keys.where("kind = 0"), "h", "node")
-    whole = keys.where("kind = 1").groupBy("h").agg(F.min("node").alias("v"))
-    return swaps.unionByName(matched(keys.where("kind = 2"), whole, ["h"]).select(F.col("node").alias("u"), "v"))
+    """Edges between lines of large entries: hot has (node, side, role), role 1 for probes one shorter.
+
+    What is before a place is hashed by whole blocks from the front, what is after it by whole blocks from the end, and
+    the rest of a block: a place costs a block's length, however long the line.
+    """
+    s, n, size = F.col("s"), F.length("s"), BLOCK
+    last = F.floor((n - 1) / size).cast("int")
+    front = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(s, k * size + 1, F.lit(size)))
+    back = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(s, F.greatest(n - (k + 1) * size, F.lit(0)) + 1, F.least(F.lit(size), n - k * size)))
+    full = hot.distinct().join(texts, "node").select("node", "side", "role", n.alias("n"), front.alias("front"), back.alias("back"))
+    full = full.withColumns({"fronts": _chained(F.col("front")), "backs": _chained(F.col("back"))})
+    n, role = F.col("n"), F.col("role")
+
+    def before(p: Column) -> Column:
+        k, rest = F.floor(p / size).cast("int"), F.pmod(p, F.lit(size))
+        return F.xxhash64(F.get("fronts", k), F.substring(F.coalesce(F.get("front", k), F.lit("")), F.lit(1), rest))
+
+    def after(p: Column) -> Column:
+        """The hash of what follows from place p on."""
+        k, rest = F.floor((n - p) / size).cast("int"), F.pmod(n - p, F.lit(size))
+        block = F.coalesce(F.get("back", k), F.lit(""))
+        return F.xxhash64(F.get("backs", k), F.substring(block, F.length(block) - rest + 1, rest))
+
+    half = F.floor((n - role) / 2).cast("int")  # of the shorter line, for probes
+    low, high = F.when(F.col("side") == 0, half).otherwise(0), F.when(F.col("side") == 0, n).otherwise(half + role)
+
+    def keys(p: Column) -> Column:
+        return F.array(
+            F.when((role == 0) & (p < n), F.struct(F.lit(0).alias("kind"), _hash("swap", n, p, before(p), after(p + 1)).alias("h"))),
+            F.when(role == 0, F.struct(F.lit(1).alias("kind"), _hash("cut", n, p, before(p), after(p)).alias("h"))),
+            F.when((role == 1) & (p < n), F.struct(F.lit(2).alias("kind"), _hash("cut", n - 1, p, before(p), after(p + 1)).alias("h"))),
+        )
+
+    made = full.select("node", F.explode(F.flatten(F.transform(F.sequence(low, high), keys))).alias("k")).where("k IS NOT NULL").select("node", "k.kind", "k.h")
+    swaps = stars(made.where("kind = 0"), "h", "node")
+    whole = made.where("kind = 1").groupBy("h").agg(F.min("node").alias("v"))
+    return swaps.unionByName(matched(made.where("kind = 2"), whole, ["h"]).select(F.col("node").alias("u"), "v"))
 
 
 def _links(distinct: DataFrame, docs: DataFrame, min_chars: int) -> DataFrame:

@@ -57,6 +57,21 @@ def test_classes_match_brute_force_with_small_and_large_entries(spark, n):
     assert sorted((r.doc_id, r.line_no) for r in got.collect()) == brute(rows)
 
 
+def test_long_lines_in_large_entries(spark):
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcde fghij é") for _ in range(700)).strip() + "end"
+    lines = []
+    for _ in range(150):
+        t = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            k, how = rng.choice([0, 5, 127, 128, 129, 350, 351, 352, 512, 600, len(t) - 2]), rng.randrange(3)
+            t[k : k + 1] = [[], [rng.choice("xyz")], [t[k], "q"]][how]
+        lines.append("".join(t))
+    rows = [(i, "\n".join(lines[5 * i : 5 * i + 5])) for i in range(30)]
+    got = duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.line_no) for r in got.collect()) == brute(rows)
+
+
 def test_edit_automaton(spark):
     rng = random.Random(3)
     words = ["", "a", "b", "ab", "ba", "aab"] + ["".join(rng.choice("ab") for _ in range(rng.randrange(9))) for _ in range(60)]
