@@ -96,6 +96,7 @@ class Automaton:
                 node = node[1].setdefault(x, [None, {}])
             node[0] = w
         self.size = {w: len(symbols) for w, symbols in spelt.items()}
+        self.longest = max(self.size.values())
         by = {symbols: w for w, symbols in spelt.items()}
         #: The longest other label that a label begins with.
         self.shorter = {w: next((by[x[:k]] for k in range(len(x) - 1, 0, -1) if x[:k] in by), None) for w, x in spelt.items()}
@@ -133,11 +134,11 @@ class Automaton:
         """The labels of the path that spells a word, with the mark at its end."""
         symbols = [*map(self.inner.__getitem__, word[:-1]), self.final[word[-1]]]
         n, root, known, arc, size, shorter = len(symbols), self.root, self.arcs.get, self.arc, self.size, self.shorter
-        out, dead, i, t, last = [], None, 0, None, -1
+        out, dead, i, t, last, longest = [], None, 0, None, -1, self.longest
         while True:
             if t is None:  # the longest label from here on
                 below = root[1]
-                for x in symbols[i:]:
+                for x in symbols[i : i + longest]:
                     if x not in below:
                         break
                     found, below = below[x]
@@ -156,7 +157,8 @@ class Automaton:
                 last, t = t, None
                 continue
             while t is None:  # the one path that leads here leads no further
-                dead = {i} if dead is None else dead | {i}
+                dead = dead or set()
+                dead.add(i)
                 t = out.pop()
                 last = out[-1] if out else -1
                 i -= size[t]

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import Kept
+from .chunks import LONG, Kept
 from .common import table
 
 VOCABULARY, START = "piece_bpe_32k.model", "▁"
@@ -30,7 +30,7 @@ NODES = 200_000
 
 
 #: A piece's value is its score times this, less one: sums compare by score, then by fewest pieces, and hold both.
-UNIT = 1 << 20
+UNIT = 1 << 32
 
 
 class Unigram:
@@ -55,6 +55,22 @@ class Unigram:
         return len(c.encode("utf-8", "replace")) * self.byte
 
 
+    def pieces(self, word: str) -> int:
+        """The pieces of the best split of one word, without a trie."""
+        best, under_way = 0, [(self.root, 0)]
+        for c in word:
+            before, best, longer = best, None, []
+            for prefix, sum_ in under_way:
+                if (prefix := prefix.get(c)) is not None:
+                    longer.append((prefix, sum_))
+                    if (value := prefix.get("")) is not None and (best is None or sum_ + value > best):
+                        best = sum_ + value
+            if c not in self.value and (best is None or before + self.spelt(c) > best):
+                best = before + self.spelt(c)
+            under_way = [*longer, (self.root, best)]
+        return -best % UNIT
+
+
 class Trie:
     """Distinct pre-tokens by their shared prefixes."""
 
@@ -101,6 +117,9 @@ def _kept(path: str) -> Kept:
         counts: dict[str, int] = {}
         some, size = [], 0
         for w in new:
+            if len(w) > LONG:  # shares little, and would be a node a character
+                counts[START + w] = model.pieces(START + w)
+                continue
             some.append(START + w)
             size += len(w)
             if size >= NODES:

@@ -5,7 +5,7 @@ import pytest
 from pyrelake.llm.op4_bpe import automaton, decode, encode, round_trip, vocabulary
 from tokenizers import Tokenizer
 
-ODD = ["", " ", "Hello, it's a dog's 42!! naïve É́ 中文　x", "a<|endoftext|>b<|startoftext|> <|ENDOFTEXT|> x", "tab\tnew\nline\x1cy\x85z\xa0q", "İstanbul ǅ ß ΣΑΣ Σ", "á b ́c", "\x00\x01ab", "don't DON'T 's'", "aaaaaaaaaaaaaaaaaaaaaaa inininininin", "\U0001f600\U0001f468‍\U0001f469", "x" * 5000, "!?!?....---___"]
+ODD = ["", " ", "Hello, it's a dog's 42!! naïve É́ 中文　x", "a<|endoftext|>b<|startoftext|> <|ENDOFTEXT|> x", "tab\tnew\nline\x1cy\x85z\xa0q", "İstanbul ǅ ß ΣΑΣ Σ", "á b ́c", "\x00\x01ab", "don't DON'T 's'", "aaaaaaaaaaaaaaaaaaaaaaa inininininin", "\U0001f600\U0001f468‍\U0001f469", "x" * 5000, "ethanol" * 20000, "!?!?....---___"]
 
 
 @pytest.fixture(scope="module")

@@ -23,7 +23,7 @@ def test_shared_prefixes_give_what_each_word_gives_alone():
     words = ["", "▁", "a", "▁the", "▁then", "▁thenx", "▁日本", "\U0001f600\U0001f600a", "é" * 40]
     words += ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 5))) for _ in range(1500)]
     words += ["▁" + "".join(rng.choice("etaoin字é\U0001f601") for _ in range(rng.randrange(1, 9))) for _ in range(1500)]
-    assert Trie(words).counts(model) == {w: alone(w) for w in words}
+    assert Trie(words).counts(model) == {w: alone(w) for w in words} == {w: model.pieces(w) for w in words}
 
 
 def test_tables(spark, sf, odd_docs):
