@@ -58,7 +58,12 @@ def samples(hist: DataFrame, bins: Bins) -> DataFrame:
 
 
 def quantiles(hist: DataFrame, qs: tuple[float, ...], bins: Bins) -> DataFrame:
-    """(cell_id, threshold, q, thr). The rank q(n-1) lies between two order statistics; each is placed in its bin
+    """(cell_id, threshold, q, thr)."""
+    return long_thresholds(wide_quantiles(hist, qs, bins), qs)
+
+
+def wide_quantiles(hist: DataFrame, qs: tuple[float, ...], bins: Bins) -> DataFrame:
+    """(cell_id, and a column a quantile). The rank q(n-1) lies between two order statistics; each is placed in its bin
     by its place among the bin's values, and the result is between them in proportion. One window, one aggregation."""
     by = Window.partitionBy("cell_id")
     placed = hist.withColumns({"cum": F.sum("n").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("n").over(by)})
@@ -74,7 +79,7 @@ def quantiles(hist: DataFrame, qs: tuple[float, ...], bins: Bins) -> DataFrame:
         k = F.floor(rank)
         low, high, rest = order_statistic(k), order_statistic(F.least(k + 1, F.col("total") - 1)), F.max(rank - k)
         parts.append((low + rest * (high - low)).cast("float").alias(quantile_name(q)))
-    return long_thresholds(placed.groupBy("cell_id").agg(*parts), qs)
+    return placed.groupBy("cell_id").agg(*parts)
 
 
 def long_thresholds(wide: DataFrame, qs: tuple[float, ...]) -> DataFrame:

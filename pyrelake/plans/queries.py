@@ -36,7 +36,7 @@ class Data:
     reference = cached_property(lambda self: thr.reference(self.daily, SETTINGS))
     hist = cached_property(lambda self: histogram.histogram(self.reference, SETTINGS.bins))
     thresholds = cached_property(lambda self: histogram.quantiles(self.hist, SETTINGS.quantiles, SETTINGS.bins))
-    wide = cached_property(lambda self: histogram.wide_thresholds(self.thresholds, SETTINGS.names))
+    wide = cached_property(lambda self: histogram.wide_quantiles(self.hist, SETTINGS.quantiles, SETTINGS.bins))
     hits = cached_property(lambda self: exceedance.compared(self.daily, self.wide, SETTINGS.names))
     counts = cached_property(lambda self: exceedance.monthly(self.hits, SETTINGS.names))
     observed = cached_property(lambda self: exceedance.days_observed(self.daily))
