@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.grid import COLUMNS, ROWS
 from ..functions.values import exceeds, ratio
 
 
@@ -51,13 +52,24 @@ def areas(cells: DataFrame) -> DataFrame:
     return burnable.groupBy("region").agg(F.sum("w").alias("area")).where("region IS NOT NULL").unionByName(burnable.agg(F.lit(None).cast("int").alias("region"), F.sum("w").alias("area")))
 
 
-def extent(hits: DataFrame, cells: DataFrame, names: list[str]) -> DataFrame:
+def dimension(cells: DataFrame) -> DataFrame:
+    """A table of cells, marked for broadcast after counting that it has no more rows than the grid; larger ones are left to the optimizer.
+
+    Its size cannot be guessed before it runs: a join's estimate is the product of its sides, and without the mark
+    the daily values would be the side that is sent round.
+    """
+    small = cells.select("cell_id", "region", "w")
+    return F.broadcast(small) if small.limit(ROWS * COLUMNS + 1).count() <= ROWS * COLUMNS else small
+
+
+def extent(daily: DataFrame, thresholds: DataFrame, cells: DataFrame, names: list[str]) -> DataFrame:
     """(world, date, threshold, region, hit_area, observed_area): region NULL is the whole world, region 0 counts there alone.
 
-    Worlds and regions come from one pass by grouping sets. A day whose values are all missing keeps its rows.
+    Only burnable cells meet their thresholds (wide). World and regions come from one pass by grouping sets. A day whose
+    values are all missing keeps its rows.
     """
-    burnable = cells.where("burnable").select("cell_id", "region", "w")
-    found = hits.select("world", "date", "cell_id", "fwi", *[f"hit_{n}" for n in names]).join(burnable, "cell_id")
+    burnable = daily.select("world", "date", "cell_id", "fwi").join(dimension(cells.where("burnable")), "cell_id")
+    found = compared(burnable, thresholds, names)
     sums = [F.sum(F.when(F.col(f"hit_{n}") & F.col("fwi").isNotNull(), F.col("w")).otherwise(0.0)).alias(f"hit_{n}") for n in names]
     whole = F.grouping("region").alias("whole")
     sets = found.groupingSets([[F.col("world"), F.col("date")], [F.col("world"), F.col("date"), F.col("region")]], F.col("world"), F.col("date"), F.col("region"))

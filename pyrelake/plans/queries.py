@@ -41,7 +41,7 @@ class Data:
     counts = cached_property(lambda self: exceedance.monthly(self.hits, SETTINGS.names))
     observed = cached_property(lambda self: exceedance.days_observed(self.daily))
     area = cached_property(lambda self: exceedance.areas(self.cells))
-    sums = cached_property(lambda self: exceedance.extent(self.hits, self.cells, SETTINGS.names))
+    sums = cached_property(lambda self: exceedance.extent(self.daily, self.wide, self.cells, SETTINGS.names))
     world = cached_property(lambda self: exceedance.fractions(self.sums, self.area).drop("region"))
     regions = cached_property(lambda self: exceedance.fractions(self.sums, self.area, REGIONS))
     annual = cached_property(lambda self: analytics.annual(self.world))

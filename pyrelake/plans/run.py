@@ -62,7 +62,7 @@ def make_monthly(spark: SparkSession, layout: Layout, settings: Settings, world:
     observed = exceedance.days_observed(daily)
     write_years(exceedance.monthly(hits, names), layout.monthly)
     write_years(observed, layout.observed)
-    area, sums = exceedance.areas(cells), exceedance.extent(hits, cells, names)
+    area, sums = exceedance.areas(cells), exceedance.extent(daily, wide, cells, names)
     whole, regions = exceedance.fractions(sums, area), exceedance.fractions(sums, area, region_ids)
     write_years(exceedance.wide_extent(whole, regions, region_ids).withColumn("year", F.year("date")), layout.extent)
     return exceedance.year_summary(whole, observed)

@@ -11,7 +11,7 @@ def run(spark, fwi, thr, w, region=None, burnable=None, ids=None, dates=None):
     daily = spark.createDataFrame([("observed", DAY, c, v) for c, v in enumerate(fwi)], "world string, date date, cell_id long, fwi float")
     wide = spark.createDataFrame([(c, t) for c, t in enumerate(thr)], "cell_id long, p90 float")
     cells = spark.createDataFrame([(c, (burnable or [True] * n)[c], (region or [1] * n)[c], w[c]) for c in range(n)], "cell_id long, burnable boolean, region int, w double")
-    sums = ex.extent(ex.compared(daily, wide, ["p90"]), cells, ["p90"])
+    sums = ex.extent(daily, wide, cells, ["p90"])
     return {r.region: r for r in ex.fractions(sums, ex.areas(cells), ids).collect()}
 
 
