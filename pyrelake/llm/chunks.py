@@ -18,7 +18,7 @@ KEPT = 180_000
 #: Longer chunks are never kept.
 LONG = 64
 #: Marks that may stand behind a word, and the end of the scripts whose letters were assigned long ago.
-MARKS, LATIN = frozenset(",.;:!?"), "\u0250"
+MARKS, LATIN = ",.;:!?*$%&#|", "\u0250"
 #: Chunks looked up together.
 TOGETHER = 50_000
 
@@ -47,7 +47,7 @@ class Kept:
     def __init__(self, make: Callable[[list[str]], list], most: int = KEPT, join: Callable | None = None):
         """join(a, b): the value of two chunks written together, for tokenizers that lower case and part words from marks.
 
-        With it, a word with one mark behind it is looked up as the two.
+        With it, a word with marks behind it is looked up as the two.
         """
         self.make, self.most, self.join, self.young, self.old = make, most, join, {}, {}
 
@@ -72,17 +72,21 @@ class Kept:
         if missing:
             young.update((c, old[c]) for c in missing if c in old)
             new = [c for c in missing if c not in young]
-            marked = [c for c in new if c[-1] in MARKS and len(c) > 1 and c[-2] < LATIN and c[-2].isalpha()] if self.join else []
+            marked = {}
+            if self.join:
+                for c in new:
+                    if c[-1] in MARKS and (word := c.rstrip(MARKS)) and word.isalpha() and max(word) < LATIN:
+                        marked[c] = word, c[len(word) :]
             if marked:
                 whole = set(new).difference(marked)
-                whole.update(w for c in marked for w in (c[:-1], c[-1]) if w not in young)
+                whole.update(w for parts in marked.values() for w in parts if w not in young)
                 back = [w for w in whole if w in old]
                 young.update((w, old[w]) for w in back)
                 new = list(whole.difference(back))
                 missing |= whole
             young.update(zip(new, self.make(new), strict=True))
-            for c in marked:
-                young[c] = self.join(young[c[:-1]], young[c[-1]])
+            for c, (word, rest) in marked.items():
+                young[c] = self.join(young[word], young[rest])
         for parts in some:
             yield list(map(young.__getitem__, parts))
         for c in missing:
