@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 #: Month abbreviations in terse epoch units.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
+#: Names of yearly files, by world.
+WORLD_FILES = {"counterfactual": r"^fwi_era5_counter_\d{4}\.nc$", "observed": r"^fwi_era5_\d{4}\.nc$"}
+
 
 def quantile_name(q: float) -> str:
     """p90 for 0.9; halves go to the even number."""
@@ -27,8 +30,8 @@ def year_of(path: Column) -> Column:
 
 
 def world_of(path: Column) -> Column:
-    """'counterfactual' for fwi_era5_counter_*, 'observed' for fwi_era5_*, else NULL."""
-    return F.when(path.rlike(r"^fwi_era5_counter_\d{4}\.nc$"), "counterfactual").when(path.rlike(r"^fwi_era5_\d{4}\.nc$"), "observed")
+    """The world whose yearly files have such a name, else NULL."""
+    return F.coalesce(*[F.when(path.rlike(pattern), world) for world, pattern in WORLD_FILES.items()])
 
 
 def epoch_of(units: Column) -> Column:
