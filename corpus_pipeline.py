@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyrelake.llm.common import cut, matched, table
+from pyrelake.llm.common import cut, matched, small_batches, table
 from pyrelake.llm.op4_bpe import encode_and_check
 from pyrelake.llm.op5_simhash import simhash_groups
 from pyrelake.llm.op7_decontamination import all_leaks
@@ -21,6 +21,7 @@ LEAST_SCORE = 0.35
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language the network names with at least LEAST_SCORE; null texts and texts without a letter go."""
+    small_batches(spark)
     said = docs.withColumn("_said", language(train(docs))("text"))
     return said.where((F.col("_said.lang_pred") != UNKNOWN) & (F.col("_said.score") >= LEAST_SCORE)).select(*docs.columns)
 
@@ -33,6 +34,7 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each group of near-duplicates; rows without an id stay."""
+    small_batches(spark)
     kept = simhash_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
     return matched(docs, kept, ["doc_id"], "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
@@ -44,6 +46,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids, and the digests of the ids and of what they decode to."""
+    small_batches(spark)
     return encode_and_check(docs)
 
 

@@ -13,9 +13,17 @@ SMALL_BUCKET = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Has Python workers get 1,000 documents at a time unless the session says otherwise than Spark's 10,000, which can be very long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the session names; only a local session without one gets a folder of its own."""
     sc = spark.sparkContext
