@@ -75,7 +75,7 @@ class Kept:
             marked = {}
             if self.join:
                 for c in new:
-                    if c[-1] in MARKS and (word := c.rstrip(MARKS)) and word.isalpha() and max(word) < LATIN:
+                    if c[-1] in MARKS and (word := c.rstrip(MARKS)) and word.lower().isalpha() and max(word) < LATIN:  # a dotted capital I ends in a mark
                         marked[c] = word, c[len(word) :]
             if marked:
                 whole = set(new).difference(marked)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +30,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not here:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        here = os.path.join("/tmp/checkpoints", os.path.basename(tempfile.mktemp(prefix="run-")))
+        here = f"/tmp/checkpoints/run-{uuid.uuid4().hex}"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(here)
     return here

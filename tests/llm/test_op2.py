@@ -60,6 +60,20 @@ def test_chunks_that_hold_the_mark(lib):
     assert got == [lib.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_any_mixture_of_characters(lib):
+    """Chunks kept, folded and joined give what the library gives for the whole text; the automaton's as well."""
+    import random
+
+    from pyrelake.llm.op4_bpe import _joined, _kept, vocabulary
+
+    rng = random.Random(11)
+    some = [*"abcdefghijklmnopqrstuvwxyzABCDEFXYZ", *"éÉüßñİıΣσςǅ中\u0301Åﬁ１²", *"'.,;:!?*$%&#|<>-_@0123 \n\t", "'s", "'LL", "<|endoftext|>", "***", "  ", "\x00", "\x1d", "\u2028", "\x85"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(60))) for _ in range(4000)]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in op2.serialized(texts, end=None)] == want
+    assert [_joined(x).tolist() for x in _kept(vocabulary(), True).of(texts)] == want
+
+
 def test_tokenizers_that_keep_white_space_read_texts_whole():
     name, texts = "byte_bpe_50k.json", ["Some words,  and\n\nmore", "", None, " x"]
     t = Tokenizer.from_file(public_tokenizers.path(name))
