@@ -1,4 +1,7 @@
-"""python -m pyrelake SETTINGS.toml thresholds | monthly WORLD YEARS | pack WORLD. Exit 2: no input; 1: refused."""
+"""python -m pyrelake SETTINGS.toml thresholds | monthly WORLD YEARS | pack WORLD | verify LISTING.json FOLDER.
+
+Exit 1: refused; 2: no input; 3: a file is not what its listing says.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from pyspark.errors import AnalysisException
 
 from .config import WORLDS, load
 from .functions.names import parse_years
+from .operators import listing
 from .operators.calendar import Refused
 from .plans import run
 from .session import session
@@ -29,6 +33,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     monthly.add_argument("years")
     monthly.add_argument("--regions", default="1-14", help="region ids, as 1-14 or 1,2,5")
     pack.add_argument("--force", action="store_true")
+    verify = sub.add_parser("verify")
+    verify.add_argument("listing")
+    verify.add_argument("folder")
     args = p.parse_args(argv)
     try:
         settings = load(args.settings)
@@ -38,6 +45,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         elif args.command == "monthly":
             ids = sorted({k for part in args.regions.split(",") for a, _, b in [part.partition("-")] for k in range(int(a), int(b or a) + 1)})
             run.make_monthly(spark, layout, settings, args.world, list(parse_years(args.years)), ids, args.allow_short_tail).show()
+        elif args.command == "verify":
+            pages = spark.read.text(args.listing, wholetext=True).withColumnRenamed("value", "json")
+            found = listing.status(listing.entries(pages, ""), listing.digests(spark, args.folder))
+            counts = {r.status: r["count"] for r in found.groupBy("status").count().collect()}
+            print(", ".join(f"{k}: {n}" for k, n in sorted(counts.items())))
+            if set(counts) <= {"missing"}:
+                raise run.NoInput("none of the files is there")
+            return 3 if counts.get("corrupt") else 0
         else:
             print(run.make_bundle(spark, layout, settings, args.world, {}, force=args.force))
     except run.NoInput as e:

@@ -14,6 +14,19 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 WORLD_FILES = {"counterfactual": r"^fwi_era5_counter_\d{4}\.nc$", "observed": r"^fwi_era5_\d{4}\.nc$"}
 
 
+def file_name(world: str, year: int) -> str:
+    """The name of a world's yearly file."""
+    middle = {"observed": "", "counterfactual": "counter_"}
+    if world not in middle:
+        raise ValueError(f"unknown world {world!r}; one of {sorted(middle)}")
+    return f"fwi_era5_{middle[world]}{year}.nc"
+
+
+def text_of(value: Column) -> Column:
+    """Attribute bytes as text, without the zeros that pad them."""
+    return F.rtrim(F.regexp_replace(F.decode(value, "UTF-8"), r"\x00+$", ""))
+
+
 def quantile_name(q: float) -> str:
     """p90 for 0.9; halves go to the even number."""
     return f"p{round(100 * q)}"

@@ -151,6 +151,25 @@ def pack_extent(extent: DataFrame, columns: list[str], thresholds: list[str]) ->
     return small.groupBy("world").applyInPandas(pack, "world string, first_date date, n_days int, gaps int, offsets binary, cube binary")
 
 
+def unpack_extent(cubes: DataFrame, columns: list[str], thresholds: list[str]) -> DataFrame:
+    """(world, date, threshold, columns as whole numbers) of what pack_extent() made; gaps in the days stay gaps."""
+
+    def unpack(batches):
+        for batch in batches:
+            for r in batch.itertuples():
+                offsets = np.frombuffer(expand(r.offsets, 4 * r.n_days), "<i4")
+                cube = np.frombuffer(expand(r.cube, 2 * r.n_days * len(thresholds) * len(columns)), "<u2").reshape(-1, len(columns))
+                out = pd.DataFrame(cube.astype(np.int64), columns=columns)
+                days = pd.to_datetime(pd.Series([r.first_date] * r.n_days)) + pd.to_timedelta(offsets, unit="D")
+                out.insert(0, "threshold", np.tile(thresholds, r.n_days))
+                out.insert(0, "date", days.dt.date.repeat(len(thresholds)).to_numpy())
+                out.insert(0, "world", r.world)
+                yield out
+
+    kinds = ", ".join(f"`{c}` long" for c in columns)
+    return cubes.select("world", "first_date", "n_days", "offsets", "cube").mapInPandas(unpack, f"world string, date date, threshold string, {kinds}")
+
+
 def extent_at(small: DataFrame, date: str, threshold: str, column: str) -> DataFrame:
     """(world, value) of a day in quantised extents; NULL where the day is missing."""
     found = small.where((F.col("date") == F.lit(date).cast("date")) & (F.col("threshold") == threshold)).select("world", (F.col(column) / float(SCALE)).alias("value"))

@@ -143,6 +143,7 @@ ORACLE_SQL = {
     "frame_lookup": f"""WITH {TO_COUNTS}, f AS (SELECT c.cell_id, coalesce(k.days, 0) AS days FROM cells c LEFT JOIN counts k ON k.cell_id = c.cell_id AND k.world = 'observed' AND k.threshold = 'p90' AND k.year = 1998 AND k.month = 5 WHERE c.burnable)
       SELECT 'observed' AS world, 'p90' AS threshold, CAST(40 AS BIGINT) AS month_idx, string_agg(lower(printf('%02x', days)), '' ORDER BY cell_id) AS frame FROM f""",
     "extent_quantised": f"WITH {TO_WORLD}, {_WIDE} SELECT world, date, threshold, " + ", ".join(f"{packed(c)} AS {c}" for c in ("global", "coverage", "region_1", "region_1_cov")) + " FROM wide",
+    "extent_cube_roundtrip": f"WITH {TO_WORLD}, {_WIDE} SELECT world, date, threshold, " + ", ".join(f"{packed(c)} AS {c}" for c in ("global", "coverage", "region_1", "region_1_cov")) + " FROM wide",
     "extent_cube": f"WITH {TO_WORLD}, d AS (SELECT DISTINCT world, date FROM world), g AS (SELECT world, date, datediff('day', lag(date) OVER (PARTITION BY world ORDER BY date), date) AS step FROM d) SELECT world, min(date) AS first_date, count(*) AS n_days, count(*) FILTER (step <> 1) AS gaps FROM g GROUP BY 1",
     "day_offsets": f"WITH {DAYS} SELECT date, datediff('day', (SELECT min(date) FROM days), date) AS day_offset FROM days",
     "extent_at": f"WITH {TO_WORLD}, {_WIDE}, found AS (SELECT world, {packed('global')} / CAST(10000 AS DOUBLE) AS value FROM wide WHERE date = DATE '1996-06-15' AND threshold = 'p90') SELECT w.world, found.value FROM (SELECT DISTINCT world FROM wide) w LEFT JOIN found USING (world)",

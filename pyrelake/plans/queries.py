@@ -320,6 +320,11 @@ def extent_cube(d: Data) -> DataFrame:
     return packing.pack_extent(rounded(wide, *_PACKED, digits=9), _PACKED, SETTINGS.names).select("world", "first_date", F.col("n_days").cast("long"), F.col("gaps").cast("long"))
 
 
+def extent_cube_roundtrip(d: Data) -> DataFrame:
+    wide = rounded(exceedance.wide_extent(d.world, d.regions, REGIONS), *_PACKED, digits=9)
+    return packing.unpack_extent(packing.pack_extent(wide, _PACKED, SETTINGS.names), _PACKED, SETTINGS.names)
+
+
 def day_offsets(d: Data) -> DataFrame:
     return packing.day_offsets(d.order_days).withColumn("day_offset", F.col("day_offset").cast("long"))
 
@@ -405,7 +410,7 @@ QUERIES = {
         short_tail_vs_hole, monthly_exceedance, monthly_dense, days_observed, days_in_month, extent_global, extent_regions, extent_wide, extent_observed_fraction, coverage_by_month, year_summary,
         annual_mean, world_gap, period_means, decade_extra_days, gap_statistics, gap_top_cells, trend_slopes, trend_attribution, sync_days, sync_factor, month_fraction_interp, burnable_mask,
         burnable_share, regrid_vote, regrid_nw, mask_assembly, canonicalise_lon, grid_weights, angular_distance, equal_earth, cell_index, frame_chunks, frame_scatter, pack_roundtrip, blob_totals,
-        frame_lookup, extent_quantised, extent_cube, day_offsets, extent_at, uneven_thresholds, readout, year_spec, paired_years, year_gaps, manifest_entries, download_order, years_wanted,
+        frame_lookup, extent_quantised, extent_cube, extent_cube_roundtrip, day_offsets, extent_at, uneven_thresholds, readout, year_spec, paired_years, year_gaps, manifest_entries, download_order, years_wanted,
         file_status, status_counts, epoch_parse, month_labels,
     )
 }

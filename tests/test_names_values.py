@@ -26,6 +26,14 @@ def test_names(spark):
         assert one(spark, names.epoch_of(F.lit(units))) == want
 
 
+def test_files_and_bytes(spark):
+    assert names.file_name("observed", 1999) == "fwi_era5_1999.nc"
+    assert one(spark, names.world_of(F.lit(names.file_name("counterfactual", 1999)))) == "counterfactual"
+    with pytest.raises(ValueError):
+        names.file_name("other", 1999)
+    assert one(spark, names.text_of(F.lit(bytearray("Süd\0\0".encode())))) == "Süd"
+
+
 def test_grid(spark):
     assert one(spark, grid.signed_longitude(F.lit(359.75))) == -0.25 and one(spark, grid.signed_longitude(F.lit(180.0))) == -180.0
     assert one(spark, grid.angular_distance(F.lit(179.0), F.lit(-179.0))) == 2.0

@@ -70,6 +70,23 @@ def test_all_passes(spark, root, capsys):
     spark.catalog.clearCache()
 
 
+def test_verify(spark, root, tmp_path, capsys):
+    import hashlib
+
+    folder = tmp_path / "files"
+    folder.mkdir()
+    (folder / "a.nc").write_bytes(b"abc")
+    files = [{"path": p, "size": 3, "digestType": "sha-256", "digest": hashlib.sha256(b"abc").hexdigest().upper()} for p in ("a.nc", "b.nc")]
+    (tmp_path / "list.json").write_text(json.dumps({"_embedded": {"stash:files": files}}, indent=1))
+    args = [str(root / "s.toml"), "verify", str(tmp_path / "list.json"), str(folder)]
+    assert main(args, spark) == 0 and capsys.readouterr().out.strip() == "complete: 1, missing: 1"
+    (folder / "b.nc").write_bytes(b"abd")
+    assert main(args, spark) == 3
+    (folder / "a.nc").unlink()
+    (folder / "b.nc").rename(folder / "c.nc")
+    assert main(args, spark) == 2
+
+
 def test_exit_codes(spark, root, capsys):
     s = str(root / "s.toml")
     assert main([s, "monthly", "observed", "1990"], spark) == 2
