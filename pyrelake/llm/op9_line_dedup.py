@@ -26,6 +26,8 @@ THRESHOLD = 1
 MIN_CHARS = 20
 #: Common halves stripped before the edit distance; each strip halves what is left.
 STRIPS = 6
+#: Lines to fetch the texts of, up to which their documents' ids (eight bytes each) are broadcast.
+FEW = 500_000
 #: Characters of the blocks that lines of large entries are hashed by.
 BLOCK = 128
 _KEYS = ["len", "whole", "left", "right", "cut_left", "cut_right"]
@@ -161,7 +163,10 @@ def _links(distinct: DataFrame, docs: DataFrame, min_chars: int) -> DataFrame:
     hot = live.where(F.col("n") > SMALL_BUCKET).select("node", "side", "role")
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(hot.select("node")).distinct()
     wanted = cut(distinct.join(nodes, "node", "left_semi").select("node", "doc_id", "line_no", "whole"))
-    some = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    places = wanted.select("doc_id").distinct()
+    # a few ids go to the texts; where they are many, the texts are dealt out to the ids
+    places = F.broadcast(places) if wanted.count() <= FEW else places
+    some = docs.select("doc_id", "text").join(places, "doc_id", "left_semi")
     texts = cut(_lines(some, min_chars).withColumn("whole", _hash("line", F.col("s"))).join(wanted, ["doc_id", "line_no", "whole"]).groupBy("node").agg(F.min("s").alias("s")))
     both = pairs.join(texts.select(F.col("node").alias("u"), F.col("s").alias("a")), "u").join(texts.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
     near = _stripped(both).where(within_one_edit(F.col("a"), F.col("b"))).select("u", "v")
