@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyrelake.llm.common import cut, matched, small_batches, table
+from pyrelake.llm.common import components, cut, matched, small_batches, table
+from pyrelake.llm.near_copies import near_links
 from pyrelake.llm.op4_bpe import encode_and_check
 from pyrelake.llm.op5_simhash import simhash_groups
 from pyrelake.llm.op7_decontamination import all_leaks
@@ -33,10 +34,14 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near-duplicates; rows without an id stay."""
+    """Keeps the smallest doc_id of each group of near-duplicates; rows without an id stay.
+
+    Documents are linked by their SimHash as in op5, and where their five-word shingles have a Jaccard of 0.8 or more.
+    """
     small_batches(spark)
-    kept = simhash_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return matched(docs, kept, ["doc_id"], "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    alike = simhash_groups(docs).where("doc_id != component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    gone = cut(components(alike.unionByName(near_links(docs)))).where("node != component").select(F.col("node").alias("doc_id")).distinct()
+    return matched(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
