@@ -20,7 +20,7 @@ from .common import table
 
 #: Edits allowed for each character of an item.
 ERRORS = 0.08
-#: Items with fewer characters in their words are left out: they are found in texts that never saw them.
+#: Items with fewer characters in their words are found only as whole words and without edits.
 MIN_ITEM = 32
 #: Characters of items that one automaton holds; more items are searched in blocks, each against all documents.
 BLOCK_CHARS = 4_000_000
@@ -33,7 +33,7 @@ def plain(text: str | None) -> str:
 
 
 def budget(item: str) -> int:
-    return math.floor(ERRORS * len(item))
+    return math.floor(ERRORS * len(item)) if len(item) >= MIN_ITEM else 0
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -98,6 +98,10 @@ class Matcher:
             name, item = self.items[k]
             m, most = len(item), budget(item)
             exact = [s for s in starts if s >= 0 and body.startswith(item, s)]
+            if m < MIN_ITEM:
+                exact = [s for s in exact if (s == 0 or body[s - 1] == " ") and body[s + m : s + m + 1] in ("", " ")]
+                if not exact:
+                    continue
             if exact:
                 found.append((name, 0, min(exact) + m))
                 continue
@@ -132,7 +136,7 @@ def _matcher(shared) -> Matcher:
 def leaks(benchmark: DataFrame) -> list:
     """A column function for each block of the benchmark (item_id, text): text -> array of (item_id, distance, end).
 
-    Items that are null or shorter than ``MIN_ITEM`` match nothing; of equal ids each row is an item of its own.
+    Items that are null or without words match nothing, those shorter than ``MIN_ITEM`` only as whole words without edits; of equal ids each row is an item of its own.
     """
     spark = benchmark.sparkSession
     items = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -141,7 +145,7 @@ def leaks(benchmark: DataFrame) -> list:
     found = []
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        shared = spark.sparkContext.broadcast([(r.item_id, p) for r in rows if len(p := plain(r.text)) >= MIN_ITEM])
+        shared = spark.sparkContext.broadcast([(r.item_id, p) for r in rows if (p := plain(r.text))])
         found.append(_search(shared))
     return found
 
