@@ -1,7 +1,8 @@
 """Line deduplication by a segment-partition edit join, in DataFrame functions alone.
 
-Lines are compared after collapsing white space and case. Equal lines, and lines within one edit of each
-other, form classes (connected groups); of each class the first occurrence by (doc_id, line number) stays.
+Lines are compared after collapsing white space and case; blank ones stay. Equal lines, and lines of
+``MIN_CHARS`` or more within one edit of each other, form classes (connected groups); of each class the first
+occurrence by (doc_id, the text's hash, line number) stays.
 
 The join: a line is split into threshold + 1 = 2 segments. An edit touches one of them, so the other is
 found whole: at the same place in a line of the same length, or shifted by at most one in a line one longer.
@@ -18,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SMALL_BUCKET, components, cut, matched, stars, table
+from .common import SMALL_BUCKET, components, cut, matched, stars, table, unused
 
 #: Edits allowed between two lines. The way around large entries is exact for one edit.
 THRESHOLD = 1
-#: Shorter lines (after collapsing) stay as they are: a heading or a list mark says little when it repeats.
+#: Lines with fewer characters (after collapsing) are repeats only of equal lines: an edit in so few says another thing.
 MIN_CHARS = 20
 #: Common halves stripped before the edit distance; each strip halves what is left.
 STRIPS = 6
@@ -31,6 +32,9 @@ FEW = 500_000
 #: Characters of the blocks that lines of large entries are hashed by.
 BLOCK = 128
 _KEYS = ["len", "whole", "left", "right", "cut_left", "cut_right"]
+#: A line's place. Rows that share an id are told apart by their texts' hashes.
+_DOC = ["doc_id", "body"]
+_PLACE = [*_DOC, "line_no"]
 
 
 def _split(text: Column) -> Column:
@@ -49,10 +53,15 @@ def _hash(*parts) -> Column:
     return F.xxhash64(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, line_no, s) of every line that is long enough to compare."""
-    lines = F.transform(_split(_collapsed(F.col("text"))), F.trim)  # once a text, before lines are rows
-    return docs.select("doc_id", F.posexplode(lines).alias("line_no", "s")).where(F.length("s") >= min_chars)
+def _bodies(docs: DataFrame) -> DataFrame:
+    """(doc_id, body, text) of the rows with an id."""
+    return docs.select("doc_id", "text").where("doc_id IS NOT NULL").select("doc_id", _hash("body", F.col("text")).alias("body"), "text")
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, body, line_no, s) of every line that is not blank."""
+    lines = F.transform(_split(_collapsed(F.col("text"))), lambda x: F.trim(x))  # once a text, before lines are rows
+    return docs.select(*_DOC, F.posexplode(lines).alias("line_no", "s")).where(F.length("s") > 0)
 
 
 def _keyed(lines: DataFrame) -> DataFrame:
@@ -60,7 +69,7 @@ def _keyed(lines: DataFrame) -> DataFrame:
     s, n = F.col("s"), F.length("s")
     half, shorter = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
     return lines.select(
-        "doc_id", "line_no", n.alias("len"), _hash("line", s).alias("whole"),
+        *_PLACE, n.alias("len"), _hash("line", s).alias("whole"),
         _hash("left", n, F.substring(s, F.lit(1), half)).alias("left"), _hash("right", n, F.substring(s, half + 1, n)).alias("right"),
         _hash("left", n - 1, F.substring(s, F.lit(1), shorter)).alias("cut_left"), _hash("right", n - 1, F.substring(s, shorter + 2, n)).alias("cut_right"),
     )
@@ -152,7 +161,7 @@ def _hot_links(hot: DataFrame, texts: DataFrame) -> DataFrame:
     return swaps.unionByName(matched(made.where("kind = 2"), whole, ["h"]).select(F.col("node").alias("u"), "v"))
 
 
-def _links(distinct: DataFrame, docs: DataFrame, min_chars: int) -> DataFrame:
+def _links(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """Edges (u, v) between nodes of distinct lines that are connected by single edits."""
     entries = [("left", 0, 0), ("right", 1, 0), ("cut_left", 0, 1), ("cut_right", 1, 1)]
     posted = distinct.select("node", F.explode(F.array(*[F.struct(F.col(c).alias("key"), F.lit(side).alias("side"), F.lit(role).alias("role")) for c, side, role in entries])).alias("p")).select("p.*", "node")
@@ -162,55 +171,62 @@ def _links(distinct: DataFrame, docs: DataFrame, min_chars: int) -> DataFrame:
     pairs = cut(a.join(b, "key").where("u > v AND role_u + role_v < 2").select("u", "v").distinct())
     hot = live.where(F.col("n") > SMALL_BUCKET).select("node", "side", "role")
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).unionByName(hot.select("node")).distinct()
-    wanted = cut(distinct.join(nodes, "node", "left_semi").select("node", "doc_id", "line_no", "whole"))
+    wanted = cut(distinct.join(nodes, "node", "left_semi").select("node", *_PLACE, "whole"))
     places = wanted.select("doc_id").distinct()
     # a few ids go to the texts; where they are many, the texts are dealt out to the ids
     places = F.broadcast(places) if wanted.count() <= FEW else places
-    some = docs.select("doc_id", "text").join(places, "doc_id", "left_semi")
-    texts = cut(_lines(some, min_chars).withColumn("whole", _hash("line", F.col("s"))).join(wanted, ["doc_id", "line_no", "whole"]).groupBy("node").agg(F.min("s").alias("s")))
+    some = docs.join(places, "doc_id", "left_semi")
+    texts = cut(_lines(some).withColumn("whole", _hash("line", F.col("s"))).join(wanted, [*_PLACE, "whole"]).groupBy("node").agg(F.min("s").alias("s")))
+    # what large entries' keys connect is held against the texts like any other pair: keys are hashes
+    pairs = pairs.unionByName(_hot_links(hot, texts)).distinct()
     both = pairs.join(texts.select(F.col("node").alias("u"), F.col("s").alias("a")), "u").join(texts.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
-    near = _stripped(both).where(within_one_edit(F.col("a"), F.col("b"))).select("u", "v")
-    return near.unionByName(_hot_links(hot, texts))
+    return _stripped(both).where(within_one_edit(F.col("a"), F.col("b"))).select("u", "v")
 
 
 def duplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, line_no) of the lines that repeat an earlier line, equal or within one edit; line numbers start at 0.
+    """(doc_id, body, line_no) of the lines that repeat an earlier one: equal, or within one edit if of min_chars or more.
 
-    Documents without an id have no place in the order: their lines are neither compared nor removed.
-    Rows that share an id and a text are one document, and lose the same lines.
+    body is the hash of a row's text, line numbers start at 0. Documents without an id have no place in the order:
+    their lines are neither compared nor removed. Rows that share an id and a text are one document, and lose the
+    same lines; rows that share only an id are documents of their own.
     """
-    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    placed = _keyed(_lines(docs, min_chars))
-    first = F.min(F.struct("doc_id", "line_no"))
-    distinct = cut(placed.groupBy(*_KEYS).agg(first.alias("first"), F.max(F.struct("doc_id", "line_no")).alias("last")).select(*_KEYS, "first.doc_id", "first.line_no", (F.col("first") < F.col("last")).alias("again")).withColumn("node", F.monotonically_increasing_id()))
-    named = cut(components(_links(distinct, docs, min_chars)))
-    classed = distinct.join(named, "node").select("node", "component", F.struct("doc_id", "line_no").alias("at"))
+    docs = _bodies(docs)
+    placed = _keyed(_lines(docs))
+    place = F.struct(*_PLACE)
+    distinct = cut(placed.groupBy(*_KEYS).agg(F.min(place).alias("first"), F.max(place).alias("last")).select(*_KEYS, "first.*", (F.col("first") < F.col("last")).alias("again")).withColumn("node", F.monotonically_increasing_id()))
+    named = cut(components(_links(distinct.where(F.col("len") >= min_chars), docs)))
+    classed = distinct.join(named, "node").select("node", "component", place.alias("at"))
     tops = classed.groupBy("component").agg(F.min("at").alias("top"))
     tops = cut(matched(classed.select("node", "component"), tops, ["component"]).select("node", "top"))
     of = ["len", "whole", "left"]  # two hashes of 64 bits and the length tell lines apart
-    chosen = cut(distinct.join(tops, "node", "left").where("again OR top IS NOT NULL").select(*of, F.coalesce("top", F.struct("doc_id", "line_no")).alias("top")))
-    return matched(placed.select("doc_id", "line_no", *of), chosen, of).where(F.struct("doc_id", "line_no") != F.col("top")).select("doc_id", "line_no").distinct()
+    chosen = cut(distinct.join(tops, "node", "left").where("again OR top IS NOT NULL").select(*of, F.coalesce("top", place).alias("top")))
+    return matched(placed.select(*_PLACE, *of), chosen, of).where(place != F.col("top")).select(*_PLACE).distinct()
 
 
 def _per_document(removed: DataFrame) -> DataFrame:
-    return removed.groupBy("doc_id").agg(F.array_sort(F.collect_list("line_no")).alias("_removed"))
+    return removed.groupBy(*_DOC).agg(F.array_sort(F.collect_list("line_no")).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with the repeated lines taken out of text; null texts stay null, and all columns and rows stay."""
-    gone = matched(docs, _per_document(duplicate_lines(docs, min_chars)), ["doc_id"], "left")
+    """docs with the repeated lines taken out of text; null texts stay null, and all columns and rows stay.
+
+    Columns of any name pass through; a null id, a repeated row and rows that share an id are as in duplicate_lines().
+    """
+    body, removed = unused("body", docs), unused("removed", docs)
+    found = _per_document(duplicate_lines(docs, min_chars)).select("doc_id", F.col("body").alias(body), F.col("removed").alias(removed))
+    gone = matched(docs.withColumn(body, _hash("body", F.col("text"))), found, ["doc_id", body], "left")
     lines = _split(F.col("text"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
+    text = F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
     return gone.withColumn("text", text).select(*docs.columns)
 
 
 def line_report(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Per row of docs: doc_id, n_lines (0 for null texts), n_removed and the numbers of the removed lines."""
-    counts = docs.select("doc_id", F.coalesce(F.size(_split(F.col("text"))), F.lit(0)).cast("long").alias("n_lines"))
-    counts = counts.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    out = matched(counts, _per_document(duplicate_lines(docs, min_chars)), ["doc_id"], "left")
-    removed = F.coalesce("_removed", F.array().cast("array<int>"))
+    n_lines = F.coalesce(F.greatest(F.size(_split(F.col("text"))), F.lit(0)), F.lit(0)).cast("long")
+    counts = docs.select("doc_id", _hash("body", F.col("text")).alias("body"), n_lines.alias("n_lines"))
+    out = matched(counts, _per_document(duplicate_lines(docs, min_chars)), _DOC, "left")
+    removed = F.coalesce("removed", F.array().cast("array<int>"))
     return out.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), F.concat_ws(",", removed.cast("array<string>")).alias("removed_lines"))
 
 
@@ -222,17 +238,18 @@ ORACLE_SQL = f"""
 WITH RECURSIVE cut AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 raw AS (SELECT doc_id, unnest(range(0, len(ls))) AS line_no, unnest(ls) AS line FROM cut),
 lines AS (SELECT doc_id, line_no, lower(trim(regexp_replace(line, '\\s+', ' ', 'g'))) AS s FROM raw),
-uniq AS (SELECT s, length(s) AS n, row_number() OVER (ORDER BY s) AS node FROM lines WHERE length(s) >= {MIN_CHARS} GROUP BY s),
+uniq AS (SELECT s, length(s) AS n, row_number() OVER (ORDER BY s) AS node FROM lines WHERE s <> '' GROUP BY s),
+lengthy AS (SELECT * FROM uniq WHERE n >= {MIN_CHARS}),
 keyed AS (
-  SELECT node, s, n, 0 AS side, substr(s, 1, CAST(floor(n / 2) AS BIGINT)) AS k, 0 AS role FROM uniq
-  UNION ALL SELECT node, s, n, 1, substr(s, CAST(floor(n / 2) AS BIGINT) + 1), 0 FROM uniq
-  UNION ALL SELECT node, s, n - 1, 0, substr(s, 1, CAST(floor((n - 1) / 2) AS BIGINT)), 1 FROM uniq
-  UNION ALL SELECT node, s, n - 1, 1, substr(s, CAST(floor((n - 1) / 2) AS BIGINT) + 2), 1 FROM uniq),
+  SELECT node, s, n, 0 AS side, substr(s, 1, CAST(floor(n / 2) AS BIGINT)) AS k, 0 AS role FROM lengthy
+  UNION ALL SELECT node, s, n, 1, substr(s, CAST(floor(n / 2) AS BIGINT) + 1), 0 FROM lengthy
+  UNION ALL SELECT node, s, n - 1, 0, substr(s, 1, CAST(floor((n - 1) / 2) AS BIGINT)), 1 FROM lengthy
+  UNION ALL SELECT node, s, n - 1, 1, substr(s, CAST(floor((n - 1) / 2) AS BIGINT) + 2), 1 FROM lengthy),
 edges AS (SELECT DISTINCT a.node AS u, b.node AS v FROM keyed a JOIN keyed b USING (n, side, k)
   WHERE a.node <> b.node AND a.role + b.role < 2 AND levenshtein(a.s, b.s) <= 1),
 reach(node, other) AS (SELECT u, v FROM edges UNION SELECT r.node, e.v FROM reach r JOIN edges e ON r.other = e.u),
 comp AS (SELECT node, least(node, min(other)) AS c FROM reach GROUP BY node),
-classed AS (SELECT l.doc_id, l.line_no, coalesce(c.c, u.node) AS c FROM lines l JOIN uniq u USING (s) LEFT JOIN comp c ON c.node = u.node WHERE length(l.s) >= {MIN_CHARS}),
+classed AS (SELECT l.doc_id, l.line_no, coalesce(c.c, u.node) AS c FROM lines l JOIN uniq u USING (s) LEFT JOIN comp c ON c.node = u.node),
 ranked AS (SELECT doc_id, line_no, row_number() OVER (PARTITION BY c ORDER BY doc_id, line_no) AS rn FROM classed),
 gone AS (SELECT doc_id, count(*) AS n, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS removed FROM ranked WHERE rn > 1 GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(string_split(d.text, chr(10))) AS BIGINT) AS n_lines, coalesce(g.n, 0) AS n_removed, coalesce(g.removed, '') AS removed_lines

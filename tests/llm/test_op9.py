@@ -16,10 +16,10 @@ def close(a, b):
 
 def brute(rows, least=20):
     seen = [(i, n, " ".join(t.split()).lower()) for i, text in rows for n, t in enumerate(text.split("\n"))]
-    seen = sorted(x for x in seen if len(x[2]) >= least)
+    seen = sorted(x for x in seen if x[2])
     texts = sorted({x[2] for x in seen})
     name = {t: k for k, t in enumerate(texts)}
-    edges = [(a, b) for k, a in enumerate(texts) for b in texts[k + 1 :] if close(a, b)]
+    edges = [(a, b) for k, a in enumerate(texts) for b in texts[k + 1 :] if min(len(a), len(b)) >= least and close(a, b)]
     changed = True
     while changed:
         changed = False
@@ -98,6 +98,31 @@ def test_odd_rows_keep_their_columns(spark, odd_docs):
     assert dedup_lines(odd_docs.limit(0)).collect() == []
 
 
+def test_rows_that_share_an_id_lose_only_their_own_lines(spark):
+    rows = [(1, "A line that is shared\nunique line"), (1, "other\nA line that is shared"), (1, "other\nA line that is shared"), (2, "unique line\nmore")]
+    out = [(r.doc_id, r.text) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    one = [t for i, t in out if i == 1]
+    # the shared line stays in the text whose hash is smaller; equal rows are one document
+    assert sorted(one) in (sorted(["A line that is shared\nunique line", "other", "other"]), sorted(["unique line", *["other\nA line that is shared"] * 2]))
+    assert [t for i, t in out if i == 2] == ["more"]
+
+
+def test_short_lines_repeat_only_when_equal(spark):
+    rows = [(1, "Menu\nmenu \nMenus\n\n \n-"), (2, "-\nMENU\nHome")]
+    got = duplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.line_no) for r in got.collect()) == brute(rows) == [(1, 1), (2, 0), (2, 1)]
+
+
+def test_columns_of_any_name_pass(spark):
+    names = ["_removed", "_twin", "removed", "body", "line_no", "top", "at", "node", "first", "last", "again", "s", "whole", "len", "left", "right", "key", "side", "role", "Removed_", "_TWIN_"]
+    docs = spark.createDataFrame([(1, "a line that is here twice\na line that is here twice", "en", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long")
+    for k, c in enumerate(names):
+        docs = docs.withColumn(c, F.lit(k))
+    r = dedup_lines(docs).collect()[0]
+    assert r.text == "a line that is here twice" and [r[c] for c in names] == list(range(len(names)))
+    assert line_report(docs).collect()[0].removed_lines == "1"
+
+
 def test_no_python_in_the_plan(spark, sf, capsys):
     line_report(spark.read.parquet(f"{sf}/documents.parquet")).explain()
     assert "Python" not in capsys.readouterr().out
