@@ -57,12 +57,10 @@ def _byte_symbols() -> list[str]:
     return [names.setdefault(b, chr(256 + b - sum(x < b for x in seen))) for b in range(256)]
 
 
-def _later_characters(path: str) -> str:
+def _later_characters(tokenizer) -> str:
     """Characters that the pattern library knows as letters or numbers and the tokenizer's Unicode tables do not, for a set."""
-    from tokenizers import Tokenizer
-
-    new = regex.findall(r"[\p{L}\p{N}]", "".join(c for c in map(chr, range(ord(LATER), 0x32400)) if unicodedata.category(c) == "Cn"))
-    pieces = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str(" ".join(f"&{c}" for c in new))
+    new = regex.findall(r"[\p{L}\p{N}]", "".join(c for c in map(chr, range(ord(LATER), 0x110000)) if unicodedata.category(c) == "Cn"))
+    pieces = tokenizer.pre_tokenizer.pre_tokenize_str(" ".join(f"&{c}" for c in new))
     return "".join(rf"\U{ord(new[at // 3]):08x}" for _, (at, end) in pieces if end - at == 2)
 
 
@@ -70,6 +68,8 @@ class Automaton:
     """Compiled from a tokenizer file with byte-level symbols and a mark at the end of words."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -104,7 +104,10 @@ class Automaton:
         self.known: dict[bytes, list[int]] = {}
         self.find = regex.compile(self.word_pattern).findall
         self.letters = self.find("ab") == ["ab"]
-        later = _later_characters(path)
+        tokenizer = Tokenizer.from_file(path)
+        #: How the tokenizer writes characters that other Unicode tables may not have: composed, and in lower case.
+        self.written = tokenizer.normalizer.normalize_str
+        later = _later_characters(tokenizer)
         self.find_any = regex.compile("(?V1)" + self.word_pattern.replace(r"\p{L}", rf"[\p{{L}}--[{later}]]").replace(r"\p{N}", rf"[\p{{N}}--[{later}]]")).findall if later else self.find
         self.outside = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else lambda text: [text]
 
@@ -169,10 +172,12 @@ class Automaton:
         if text.isascii():
             text = text.lower()
             return [text.encode()] if self.letters and text.isalpha() else [w.encode() for w in self.find(text)]
+        if max(text) >= LATER:
+            return [w.encode() for w in self.find_any(self.written(text.encode("utf-8", "replace").decode()))]
         text = unicodedata.normalize("NFC", text)
         # the library lowers each character by itself: no final sigma
         text = text.lower() if "\u03a3" not in text else "".join(map(str.lower, text))
-        return [w.encode("utf-8", "replace") for w in (self.find if max(text) < LATER else self.find_any)(text)]
+        return [w.encode() for w in (self.find if max(text) < LATER else self.find_any)(text)]
 
     def encode(self, text: str | None) -> list[int]:
         ids = []

@@ -1,7 +1,9 @@
 import hashlib
 import random
+import unicodedata
 
 import pytest
+import regex
 from pyrelake.llm.op4_bpe import automaton, decode, encode, round_trip, vocabulary
 from tokenizers import Tokenizer
 
@@ -25,6 +27,23 @@ def test_paths_are_what_the_library_gives(lib):
         assert own.decode(e.ids) == lib.decode(e.ids, skip_special_tokens=False)
 
 
+def test_every_code_point(lib):
+    own = automaton(vocabulary())
+    known = regex.compile(r"[^\p{Cn}\p{Co}\p{Cs}]").match  # assigned in tables later than this Python's
+    points = [f"a{chr(c)}b {chr(c)}" for c in range(0x110000) if known(chr(c)) or c % 97 == 0 and not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 500):
+        text = " . ".join(points[k : k + 500])
+        assert own.encode(text) == lib.encode(text, add_special_tokens=False).ids, hex(ord(points[k][1]))
+
+
+def test_marks_in_any_order(lib):
+    own, rng = automaton(vocabulary()), random.Random(8)
+    marks = [chr(c) for c in range(0x300, 0x11000) if unicodedata.combining(chr(c))] + [chr(c) for c in (0x897, 0x10D69, 0x113CE, 0x1612F, 0x16D67)]
+    for _ in range(5000):
+        text = "".join(rng.choice(["a", "e", "O", "\u105d2", "\u0b47", *rng.sample(marks, 3)]) for _ in range(6))
+        assert own.encode(text) == lib.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def digest(lib, text):
     ids = lib.encode(text or "", add_special_tokens=False).ids
     return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
