@@ -3,7 +3,8 @@
 A text's UTF-8 bytes are cut into windows of a fixed length, all of them, the last padded with zeros. Each
 byte has a small vector; filters of several widths slide over a window, the largest answer of each filter
 is kept, and a softmax over these gives the languages' probabilities. A document's are the mean over its
-windows, by bytes. Training takes a bounded sample: the same share of hashed ids of each language.
+windows, by bytes. Training takes a bounded sample: of each language the documents with the smallest hashes of id
+and text, and of each of these some windows spread over the whole text.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import held_out, slices, table
 
 WINDOW, WIDTHS, FILTERS, VECTOR = 256, (2, 3, 4), 12, 8
-#: Bounds of the training sample: documents of a language, its most frequent languages, characters of a document.
-SAMPLE_DOCUMENTS, SAMPLE_LANGUAGES, SAMPLE_CHARS = 400, 200, 2048
+#: Bounds of the training sample: documents of a language, and windows of a document.
+SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 400, 8
 EPOCHS, BATCH, RATE, SEED = 8, 64, 0.01, 7
 #: Windows answered at once.
 BLOCK = 512
@@ -156,24 +157,38 @@ def _gathered(cut: list[np.ndarray], sizes: list[np.ndarray]):
         yield np.concatenate(some), np.concatenate(lens)
 
 
+def _spread():
+    """A column function: text -> the windows that are learned from, all or SAMPLE_WINDOWS from its begin to its end."""
+
+    @F.pandas_udf("binary")
+    def spread(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in slices(batches):
+            cuts = [windows(t)[0] for t in texts]
+            yield pd.Series([w[np.unique(np.linspace(0, len(w) - 1, SAMPLE_WINDOWS).round().astype(int))].tobytes() for w in cuts])
+
+    return spread
+
+
 def train(docs: DataFrame) -> Network:
-    """A network for the languages of docs (doc_id, text, lang), from rows that are not held out and have a language and a letter."""
-    labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
-    counts = {r.lang: r.n for r in docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES).collect()}
+    """A network for the languages of docs (doc_id, text, lang), from rows that are not held out and have a language and a letter.
+
+    Every language there is gets SAMPLE_DOCUMENTS documents, or all it has. Rows without an id and repeated ids are told
+    apart by their texts; equal rows count once. The driver gets so many windows of each language: lang must be a label,
+    not free text.
+    """
+    ticket = F.xxhash64("doc_id", "text")
+    labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")).select("lang", ticket.alias("ticket"), "text")
+    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.approx_count_distinct("ticket").alias("n")).collect()}
     if not counts:
         return Network([])
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 1.5 * SAMPLE_DOCUMENTS / n)))])
-    ticket = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = labelled.where(ticket < share[F.col("lang")]).select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), ticket.alias("t")).orderBy("t", "text").limit(2 * SAMPLE_DOCUMENTS * len(counts)).collect()
-    by: dict[str, list[str]] = {}
-    for r in picked:
-        if len(some := by.setdefault(r.lang, [])) < SAMPLE_DOCUMENTS:
-            some.append(r.text)
-    names = sorted(by)
-    pairs = [(windows(t)[0], k) for k, name in enumerate(names) for t in by[name]]
-    if not pairs:
-        return Network([])
-    return Network(names).fit(np.concatenate([w for w, _ in pairs]), np.concatenate([np.full(len(w), k) for w, k in pairs]))
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2 * SAMPLE_DOCUMENTS / n)))])
+    # the share leaves few rows to order, the window keeps each language's own limit
+    some = labelled.where(F.pmod("ticket", F.lit(1 << 30)) / float(1 << 30) < share[F.col("lang")]).dropDuplicates(["lang", "ticket"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("ticket"))
+    picked = some.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCUMENTS).select("lang", "place", _spread()("text").alias("wins")).collect()
+    names = sorted({r.lang for r in picked})
+    picked = [(names.index(r.lang), np.frombuffer(r.wins, np.uint8).reshape(-1, WINDOW)) for r in sorted(picked, key=lambda r: (r.lang, r.place))]
+    return Network(names).fit(np.concatenate([w for _, w in picked]), np.concatenate([np.full(len(w), k) for k, w in picked]))
 
 
 def language(network: Network):

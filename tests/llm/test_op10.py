@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from pyrelake.llm.op10_language import UNKNOWN, WINDOW, Network, identify, op10_language, train, windows
+from pyrelake.llm.op10_language import UNKNOWN, WINDOW, Network, _spread, identify, op10_language, train, windows
 from pyspark.sql import functions as F
 
 
@@ -39,6 +39,22 @@ def test_labels_of_held_out_rows_teach_nothing(spark, sf):
     assert a.languages == b.languages and all((a.parts[k] == b.parts[k]).all() for k in a.parts)
 
 
+def test_every_language_is_learned_from_its_own_limit(spark):
+    """Rows without an id, or of one id, do not take the places of other languages; nor do rows that repeat."""
+    words = {"de": "und der die das nicht ein", "en": "the and of to in that", "fr": "le la les des est une", "xx": "zqx qzz xqz"}
+    rows = [(None, f"{words['de']} {k}", "de") for k in range(4000)] + [(7, f"{words['en']} {k}", "en") for k in range(2000)] + [(k, f"{words['fr']} {k}", "fr") for k in range(30)] + [(9, words["xx"], "xx")] * 900
+    net = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert net.languages == ["de", "en", "fr", "xx"]
+    assert [x for x, _ in net.predict([f"{words[k]} 5" for k in ("de", "en", "fr")])] == ["de", "en", "fr"]
+
+
+def test_windows_of_the_sample_reach_the_end_of_a_text(spark):
+    text = "".join(chr(97 + k) * WINDOW for k in range(20))
+    got = spark.createDataFrame([(text,), ("ab",)], "text string").select(_spread()("text").alias("w")).collect()
+    first = np.frombuffer(got[0].w, np.uint8).reshape(-1, WINDOW)
+    assert [chr(w[0]) for w in first] == [chr(97 + round(k * 19 / 7)) for k in range(8)] and got[1].w[:3] == b"ab\0"
+
+
 def test_odd_rows(spark, odd_docs):
     net = train(odd_docs)
     rows = {r.doc_id: r for r in identify(odd_docs, net).collect()}
