@@ -1,11 +1,13 @@
-"""Near copies by an exact set-similarity join: pairs of texts whose five-word shingles have a Jaccard of 0.8 or more.
+"""Near copies beyond SimHash's bits: pairs of texts whose five-word shingles have a Jaccard of 0.8 or more, all of them.
 
 The shingles of a text stand in one order for all texts. Two sets that are similar enough share one of their first
-n // 5 + 1 shingles (n: a set's size), so texts are posted under those alone; sizes and places in the order leave
-out pairs that cannot reach the similarity, and the rest are verified on the whole sets. The order has the shingles
-last that a sample of the documents shows to be common; it decides what is compared, never what is found.
-A posting list of more than ``SMALL_BUCKET`` sets compares its members with its smallest first. What that connects
-needs no pairs any more: of the rest, each is compared with the members that are not connected to it.
+n // 5 + 1 shingles (n: a set's size), so texts are posted under those alone. A pair's shared postings are tallied;
+sizes, places in the order and the tally leave out pairs that cannot reach the similarity, and the rest are verified
+on the whole sets. The order has the shingles last that a sample of the documents shows to be common; it decides what
+is compared, never what is found.
+A posting list of more than ``SMALL_BUCKET`` texts is dealt into blocks by the texts' ids, and pairs are compared
+within blocks, twice with other blocks: as many as the list is long, times a block. What that connects needs no pairs
+any more: only texts outside a list's largest connected group are compared with all that they are not connected to.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from .common import SMALL_BUCKET, components, cut, matched
 WIDTH = 5
 #: Documents that the common shingles are read off, about, and how many of these are put last in the order.
 SAMPLE, COMMON = 4_000, 50_000
+#: Rounds of blocks that large posting lists are dealt into.
+ROUNDS = 2
 #: Documents to fetch the texts of, up to which their ids (eight bytes each) are broadcast.
 FEW = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -58,7 +62,7 @@ def _sets():
             made = [shingles(t) for t in texts]
             yield pd.DataFrame({"whole": pd.Series([_whole(g) for g in made], dtype="int64"), "grams": pd.Series(made, dtype=object)})
 
-    return sets
+    return sets.asNondeterministic()  # or filters on what it gives would run it again, below the joins that leave few rows
 
 
 def _prefixes(common: np.ndarray):
@@ -76,7 +80,7 @@ def _prefixes(common: np.ndarray):
             made = [shingles(t) for t in texts]
             yield pd.DataFrame({"whole": pd.Series([_whole(g) for g in made], dtype="int64"), "n": pd.Series([len(g) for g in made], dtype="int32"), "prefix": pd.Series([prefix(g) for g in made], dtype=object)})
 
-    return prefixes
+    return prefixes.asNondeterministic()
 
 
 def _common(docs: DataFrame) -> np.ndarray:
@@ -87,59 +91,101 @@ def _common(docs: DataFrame) -> np.ndarray:
     return np.array(sorted(r.g for r in rows), np.int64)
 
 
+def _alike() -> Column:
+    """Whether sets of these sizes can reach the similarity."""
+    return 5 * F.least("n_u", "n_v") >= 4 * F.greatest("n_u", "n_v")
+
+
 def _fits() -> Column:
     """Whether two sets that share a shingle at these places can reach the similarity, if it is the first they share."""
     most = F.least(F.col("n_u") - F.col("pos_u"), F.col("n_v") - F.col("pos_v"))
-    return (5 * F.least("n_u", "n_v") >= 4 * F.greatest("n_u", "n_v")) & (9 * most >= 4 * (F.col("n_u") + F.col("n_v")))
+    return 9 * most >= 4 * (F.col("n_u") + F.col("n_v"))
+
+
+def _enough(tally: Column) -> Column:
+    """Whether two sets can reach the similarity of whose prefixes so many shingles are shared.
+
+    What they share besides lies after the end of one prefix: at most n - (n // 5 + 1) shingles.
+    """
+    after = F.greatest(*[F.col(f"n_{x}") - F.floor(F.col(f"n_{x}") / 5) - 1 for x in "uv"])
+    return 9 * (tally + after) >= 4 * (F.col("n_u") + F.col("n_v"))
+
+
+def _side(of: DataFrame, x: str, keys: list[str], more: list[str]) -> DataFrame:
+    return of.select(*keys, F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "pos", *more)])
+
+
+def _tallied(small: DataFrame, hot: DataFrame) -> DataFrame:
+    """The pairs (u, v) in small lists that their tally of shared postings lets reach the similarity; postings in large lists count as shared."""
+    if not hot.isEmpty():
+        small = matched(small, hot.groupBy("node").agg(F.count("*").cast("int").alias("large")), ["node"], "left")
+    else:
+        small = small.withColumn("large", F.lit(0))
+    small = small.withColumn("large", F.coalesce("large", F.lit(0)))
+    a, b = (_side(small, x, ["g"], ["large"]) for x in "uv")
+    sized = ["u", "v", "n_u", "n_v", "large_u", "large_v"]
+    found = a.join(b, "g").where("u > v").where(_alike()).groupBy(*sized).agg(F.count("*").alias("tally"), F.max(_fits()).alias("fits"))
+    # with a large list shared before it, a place here is not the first
+    return found.where("fits OR least(large_u, large_v) > 0").where(_enough(F.col("tally") + F.least("large_u", "large_v"))).select("u", "v").distinct()
 
 
-def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) of sets whose Jaccard is 0.8 or more."""
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (u, v) of ids that have texts with a Jaccard of 0.8 or more."""
     pairs = cut(pairs.distinct())
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("whole")).distinct()
-    wanted = cut(matched(distinct.select("whole", "doc_id"), nodes, ["whole"]))
-    ids = wanted.select("doc_id").distinct()
-    some = docs.join(F.broadcast(ids), "doc_id", "left_semi") if wanted.count() <= FEW else matched(docs, ids, ["doc_id"], "left_semi")
-    some = some.select("doc_id", _sets()("text").alias("s")).select("doc_id", "s.whole", "s.grams")
-    grams = cut(matched(some, wanted, ["doc_id", "whole"]).dropDuplicates(["whole"]).select("whole", "grams"))
-    both = matched(pairs, grams.select(F.col("whole").alias("u"), F.col("grams").alias("a")), ["u"])
-    both = matched(both, grams.select(F.col("whole").alias("v"), F.col("grams").alias("b")), ["v"])
-    return cut(both.where(9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b"))).select("u", "v"))
+    ids = cut(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
+    some = docs.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= FEW else matched(docs, ids, ["doc_id"], "left_semi")
+    grams = cut(some.select("doc_id", _sets()("text").alias("s")).select("doc_id", "s.whole", "s.grams").dropDuplicates(["doc_id", "whole"]).select("doc_id", "grams"))
+    both = matched(pairs, grams.select(F.col("doc_id").alias("u"), F.col("grams").alias("a")), ["u"])
+    both = matched(both, grams.select(F.col("doc_id").alias("v"), F.col("grams").alias("b")), ["v"])
+    return cut(both.where(9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b"))).select("u", "v").distinct())
+
+
+def _grouped(hot: DataFrame, links: DataFrame) -> DataFrame:
+    """hot with the component that links put each node in."""
+    named = components(links).select(F.col("node"), "component").distinct()
+    return cut(matched(hot.drop("component"), named, ["node"], "left").withColumn("component", F.coalesce("component", "node")))
+
+
+def _large_lists(hot: DataFrame, links: DataFrame, docs: DataFrame) -> DataFrame:
+    """links, and links that connect what pairs within the large lists connect: hot has (g, node, n, pos, size).
+
+    Pairs that share a small list too were compared there: of the others, the large lists hold all that their prefixes share.
+    """
+    lists = hot.groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "g"))), lambda x: x["g"]).alias("lists"))  # a node's own, a fifth of its shingles at most
+    hot = matched(hot, lists, ["node"])
+    shared = F.array_intersect("lists_u", "lists_v")
+    # of the lists that two nodes share, the first in the order compares them
+    once = _alike() & _fits() & (F.col("g") == F.get(shared, F.lit(0))) & _enough(F.size(shared))
+    for k in range(ROUNDS):
+        hot = _grouped(hot, links)
+        blocks = F.pow(F.lit(2.0), F.floor(F.log2(F.col("size") / float(SMALL_BUCKET)))).cast("long")
+        dealt = hot.withColumn("block", F.pmod(F.xxhash64("node", F.lit(k)), blocks))
+        a, b = (_side(dealt, x, ["g", "block"], ["component", "lists"]) for x in "uv")
+        pairs = a.join(b, ["g", "block"]).where("u > v AND component_u != component_v").where(once).select("u", "v")
+        links = cut(links.unionByName(_verified(pairs, docs)))
+    hot = _grouped(hot, links)
+    largest = hot.groupBy("g", "component").agg(F.count("*").alias("k")).groupBy("g").agg(F.max_by("component", F.struct("k", "component")).alias("top"))
+    rest = cut(matched(hot, largest, ["g"]).where("component != top").drop("top"))
+    if rest.isEmpty():
+        return links
+    far = matched(_side(rest, "u", ["g"], ["component", "lists"]), _side(hot, "v", ["g"], ["component", "lists"]), ["g"]).where("component_u != component_v").where(once)
+    return links.unionByName(_verified(far.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), docs))
 
 
 def near_links(docs: DataFrame) -> DataFrame:
     """Edges (u, v) between doc_ids of docs (doc_id, text): they connect just what pairs of near copies connect.
 
-    Rows without an id take no part, and texts without words are copies of nothing.
+    Rows without an id take no part, rows that share one are a node, and texts without words are copies of nothing.
     """
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     own = cut(docs.select("doc_id", _prefixes(_common(docs))("text").alias("s")).select("doc_id", "s.*").where("n > 0"))
-    distinct = cut(own.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    name = distinct.select("whole", F.col("doc_id").alias("v"))
-    same = matched(own.select("whole", F.col("doc_id").alias("u")), name, ["whole"]).where("u != v").select("u", "v")
-
-    posted = distinct.select("whole", "n", F.posexplode("prefix").alias("pos", "g"))
+    distinct = cut(own.groupBy("whole").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
+    same = cut(matched(own.select("whole", F.col("doc_id").alias("u")), distinct.select("whole", F.col("node").alias("v")), ["whole"]).where("u != v").select("u", "v").distinct())
+    posted = distinct.select("node", "n", F.posexplode("prefix").alias("pos", "g"))
     sizes = cut(posted.groupBy("g").agg(F.count("*").alias("size")).where("size > 1"))
     live = cut(matched(posted, sizes, ["g"]))
-
-    def side(of: DataFrame, x: str, *more: str) -> DataFrame:
-        return of.select("g", F.col("whole").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "pos", *more)])
-
     small, hot = live.where(F.col("size") <= SMALL_BUCKET), live.where(F.col("size") > SMALL_BUCKET)
-    pairs = side(small, "u").join(side(small, "v"), "g").where("u > v").where(_fits()).select("u", "v")
-    if hot.isEmpty():
-        links = _verified(pairs, distinct, docs)
-    else:
-        hub = cut(hot.groupBy("g").agg(F.min(F.struct("whole", "n", "pos")).alias("hub")).select("g", "hub.*"))
-        links = _verified(pairs.unionByName(matched(side(hot, "u"), side(hub, "v"), ["g"]).where("u > v").where(_fits()).select("u", "v")), distinct, docs)
-        named = cut(components(links).select(F.col("node").alias("whole"), "component").distinct())
-        hot = cut(matched(hot, named, ["whole"], "left").withColumn("component", F.coalesce("component", "whole")))
-        top = matched(hub.select("g", "whole"), hot, ["g", "whole"]).select("g", F.col("component").alias("top")).distinct()
-        rest = cut(matched(hot, top, ["g"]).where("component != top"))
-        if not rest.isEmpty():
-            far = matched(side(rest, "u", "component"), side(hot, "v", "component"), ["g"]).where("component_u != component_v").where(_fits())
-            links = links.unionByName(_verified(far.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), distinct, docs))
-    ids = distinct.select("whole", "doc_id")
-    ends = matched(links, ids.select(F.col("whole").alias("u"), F.col("doc_id").alias("_u")), ["u"])
-    ends = matched(ends, ids.select(F.col("whole").alias("v"), F.col("doc_id").alias("_v")), ["v"]).select(F.col("_u").alias("u"), F.col("_v").alias("v"))
-    return same.unionByName(ends)
+    links = _verified(_tallied(small, hot), docs)
+    if not hot.isEmpty():
+        links = _large_lists(hot, links, docs)
+    return same.unionByName(links)
