@@ -25,7 +25,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .chunks import Kept
@@ -40,8 +40,8 @@ RECORD = np.dtype([("doc_id", "<i8"), ("no_id", "u1"), ("ids", "<u8"), ("end", "
 FILE_BYTES = 16 << 20
 #: Chunks in each generation that a worker keeps: short strings and a few bytes each.
 KEPT = 400_000
-#: The dictionary's size, and the bounds of its sample: documents, and ids of each.
-DICTIONARY, SAMPLE, SAMPLE_IDS, LEVEL = 64 << 10, 1000, 2000, 3
+#: The dictionary's size, and the bounds of its sample: documents, and of each so many pieces of so many characters.
+DICTIONARY, SAMPLE, PIECES, PIECE, LEVEL = 64 << 10, 1000, 8, 2000, 3
 
 
 def _fs(uri: str):
@@ -170,15 +170,21 @@ def serialized(texts, name: str = VOCABULARY, end: int | None = END) -> Iterator
         yield data + last
 
 
+def _spread(text: Column) -> Column:
+    """A text of PIECES times PIECE characters or less, else so many pieces from its begin to its end."""
+    n = F.length(text)
+    starts = [F.floor((n - PIECE) * (k / (PIECES - 1))).cast("int") + 1 for k in range(PIECES)]
+    return F.when(n <= PIECES * PIECE, text).otherwise(F.concat_ws(" ", *[F.substring(text, s, F.lit(PIECE)) for s in starts]))
+
+
 def dictionary(docs: DataFrame, name: str = VOCABULARY) -> bytes:
-    """Trained on the leading ids of a bounded sample of documents; where zstandard finds too little to train on, their ids as they are."""
+    """Trained on ids from all over the texts of a bounded sample of documents; where zstandard finds too little to train on, their ids as they are."""
     import zstandard
 
     share = min(1.0, 2 * SAMPLE / max(1, docs.count()))  # so that tasks hold back few rows each
     ticket = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    rows = docs.where(F.col("text").isNotNull() & (ticket < int(share * (1 << 30)))).select(F.substring("text", 1, 8 * SAMPLE_IDS).alias("text"), ticket.alias("h")).orderBy("h", "text").limit(SAMPLE).collect()
-    width = _encoder(name)[1]
-    some = [x[: width * SAMPLE_IDS] for x in serialized((r.text for r in rows), name)]
+    rows = docs.where(F.col("text").isNotNull() & (ticket < int(share * (1 << 30)))).select(_spread(F.col("text")).alias("text"), ticket.alias("h")).orderBy("h", "text").limit(SAMPLE).collect()
+    some = list(serialized((r.text for r in rows), name))
     try:
         return zstandard.train_dictionary(DICTIONARY, some).as_bytes()
     except zstandard.ZstdError:
@@ -189,8 +195,9 @@ def write(docs: DataFrame, folder: str, name: str = VOCABULARY, end: int | None
     """Writes the ids of docs (doc_id, text) in ascending doc_id order and gives the list of files.
 
     A row a file: uri, first (its place in the order), documents, ids, and start (ids of all files before).
-    Rows without an id come first, rows with one id by their texts; null texts are empty. Null-only or empty
-    tables give what they hold: an end id for each row, or no file.
+    Rows without an id come first, rows with one id by their texts' hashes, so that many of either are dealt
+    to many tasks; null texts are empty. Null-only or empty tables give what they hold: an end id for each
+    row, or no file.
     """
     shared = dictionary(docs, name)
     write_file(f"{folder}/{hashlib.sha256(shared).hexdigest()}.dictionary", shared)
@@ -216,7 +223,8 @@ def write(docs: DataFrame, folder: str, name: str = VOCABULARY, end: int | None
         if shard.records:
             yield done()
 
-    dealt = docs.select("doc_id", "text").repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    order = [F.asc_nulls_first("doc_id"), F.asc("body")]
+    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("body")).repartitionByRange(*order).sortWithinPartitions(*order, "text")
     made = cut(dealt.mapInPandas(files, "uri string, part int, k int, documents long, ids long"))
     before = Window.orderBy("part", "k").rowsBetween(Window.unboundedPreceding, -1)
     return made.select("uri", F.coalesce(F.sum("documents").over(before), F.lit(0)).alias("first"), "documents", "ids", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
