@@ -13,10 +13,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table, unused
 
 #: Edits allowed for each character of an item.
 ERRORS = 0.08
@@ -133,8 +133,8 @@ def _matcher(shared) -> Matcher:
     return _matchers[key][1]
 
 
-def leaks(benchmark: DataFrame) -> list:
-    """A column function for each block of the benchmark (item_id, text): text -> array of (item_id, distance, end).
+def _blocks(benchmark: DataFrame) -> Iterator:
+    """A broadcast of each block of the benchmark (item_id, text), of about BLOCK_CHARS; one is there at a time.
 
     Items that are null or without words match nothing, those shorter than ``MIN_ITEM`` only as whole words without edits; of equal ids each row is an item of its own.
     """
@@ -142,12 +142,12 @@ def leaks(benchmark: DataFrame) -> list:
     items = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
-    found = []
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         shared = spark.sparkContext.broadcast([(r.item_id, p) for r in rows if (p := plain(r.text))])
-        found.append(_search(shared))
-    return found
+        yield shared, blocks > 1
+        if blocks > 1:
+            shared.destroy()
 
 
 def _search(shared):
@@ -157,21 +157,30 @@ def _search(shared):
         for texts in batches:
             yield pd.Series([[dict(zip(("item_id", "distance", "ends_at"), x, strict=True)) for x in matcher.find(t)] for t in texts], dtype=object)
 
-    return search
-
-
-def all_leaks(benchmark: DataFrame, text: str = "text") -> Column:
-    """The leaks of every block in one array."""
-    parts = [search(text) for search in leaks(benchmark)]
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+    return search.asNondeterministic()  # or a filter on what it finds would search again
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document and item found in it: doc_id, item_id, distance, ends_at (characters into the document's plain words).
 
     Null and empty texts have none; repeated rows give repeated rows; columns other than doc_id and text are left out.
+    A benchmark of several blocks is searched for a block at a time, and what is found is kept in the checkpoint folder.
     """
-    return docs.select("doc_id", F.explode(all_leaks(benchmark)).alias("leak")).select("doc_id", "leak.*")
+    found = None
+    for shared, several in _blocks(benchmark):
+        part = docs.select("doc_id", F.explode(_search(shared)("text")).alias("leak")).select("doc_id", "leak.*")
+        part = cut(part) if several else part
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, in which no item is found; each block of the benchmark searches what is left."""
+    name, columns = unused("leaks", docs), docs.columns
+    for shared, several in _blocks(benchmark):
+        docs = docs.withColumn(name, _search(shared)("text")).where(F.size(name) == 0).select(*columns)
+        docs = cut(docs) if several else docs
+    return docs
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,36 @@ def test_whole_table_matches_brute_force(spark, sf):
     assert {(r.doc_id, r.item_id) for r in op7_decontamination(spark, sf).where("distance = 0").collect()} == exact
 
 
+def test_blocks_of_the_benchmark_find_the_same(spark, sf, monkeypatch):
+    from pyrelake.llm import op7_decontamination as op7
+
+    docs, items = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "benchmark"))
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    want, kept = key(contaminated(docs, items)), key(op7.without_leaks(docs, items).select("doc_id"))
+    monkeypatch.setattr(op7, "BLOCK_CHARS", 1 + sum(len(r.text) for r in items.collect()) // 3)
+    assert key(contaminated(docs, items)) == want and len(want) > 0
+    assert key(op7.without_leaks(docs.withColumn("leaks", docs.n_chars), items).select("doc_id")) == kept
+    assert {k for k, in kept} == {r.doc_id for r in docs.collect()} - {r[0] for r in want}
+
+
+def test_whole_texts_with_edits(spark, sf):
+    """Edited items in the middle of whole long documents."""
+    rng = random.Random(11)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").limit(4).collect()]
+    texts = sorted((r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()), key=len)[-3:]
+    docs = []
+    for k, t in enumerate(texts):
+        half = len(t) // 2
+        docs.append((k, f"{t[:half]} {edited(rng, items[k][1], 4)} {t[half:][:20_000]}"))
+    found = {(r.doc_id, r.item_id): r.distance for r in contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for d, t in docs:
+        for i, x in items:
+            n = least(plain(x), plain(t)) if d == 0 else None
+            if n is not None:
+                assert found.get((d, i)) == (n if n <= budget(plain(x)) else None)
+        assert (d, items[d][0]) in found
+
+
 def test_odd_rows(spark, odd_docs):
     items = spark.createDataFrame([(1, None, 0), (2, "", 1), (3, "the same line of some words here and", 1), (3, "the same line of some words here the same", 1), (None, "x" * 50, 1), (4, "long text with many words and a 42 in it", 1)], "item_id long, text string, doc_id int")
     assert sorted({(r.doc_id, r.item_id) for r in contaminated(odd_docs, items).collect()}) == [(6, 3), (7, 4)]
