@@ -8,11 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyrelake.llm.common import components, cut, matched, small_batches, table
-from pyrelake.llm.near_copies import near_links
+from pyrelake.llm.common import components, cut, matched, small_batches, table, unused
+from pyrelake.llm.near_copies import FEW, WIDTH, near_links
 from pyrelake.llm.op4_bpe import encode_and_check
 from pyrelake.llm.op5_simhash import simhash_groups
-from pyrelake.llm.op7_decontamination import all_leaks
+from pyrelake.llm.op7_decontamination import without_leaks
 from pyrelake.llm.op9_line_dedup import dedup_lines
 from pyrelake.llm.op10_language import UNKNOWN, language, train
 
@@ -23,8 +23,9 @@ LEAST_SCORE = 0.35
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language the network names with at least LEAST_SCORE; null texts and texts without a letter go."""
     small_batches(spark)
-    said = docs.withColumn("_said", language(train(docs))("text"))
-    return said.where((F.col("_said.lang_pred") != UNKNOWN) & (F.col("_said.score") >= LEAST_SCORE)).select(*docs.columns)
+    name = unused("said", docs)
+    said = docs.withColumn(name, language(train(docs))("text"))
+    return said.where((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,20 +34,35 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """docs, of rows that share an id and a text one."""
+    body = unused("body", docs)
+    keyed = docs.withColumn(body, F.xxhash64("text"))
+    again = cut(keyed.where("doc_id IS NOT NULL").groupBy("doc_id", body).count().where("count > 1").select("doc_id", body))
+    if again.isEmpty():
+        return docs
+    several = matched(keyed, again, ["doc_id", body], "left_semi").dropDuplicates(["doc_id", body])
+    return matched(keyed, again, ["doc_id", body], "left_anti").unionByName(several).select(*docs.columns)
+
+
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each group of near-duplicates; rows without an id stay.
 
-    Documents are linked by their SimHash as in op5, and where their five-word shingles have a Jaccard of 0.8 or more.
+    Documents are linked by their SimHash as in op5, over shingles of five words, and where these have a Jaccard of 0.8
+    or more. Of rows that share an id and a text one stays; rows that share only an id stay or go together.
     """
     small_batches(spark)
-    alike = simhash_groups(docs).where("doc_id != component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
-    gone = cut(components(alike.unionByName(near_links(docs)))).where("node != component").select(F.col("node").alias("doc_id")).distinct()
-    return matched(docs, gone, ["doc_id"], "left_anti").select(*docs.columns)
+    alike = simhash_groups(docs, WIDTH).where("doc_id != component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    gone = cut(components(alike.unionByName(near_links(docs))).where("node != component").select(F.col("node").alias("doc_id")).distinct())
+    docs = one_of_each(docs)
+    # a few ids go to the documents; where they are many, the documents are dealt out to the ids
+    left = docs.join(F.broadcast(gone), "doc_id", "left_anti") if gone.count() <= FEW else matched(docs, gone, ["doc_id"], "left_anti")
+    return left.select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which a benchmark item is found."""
-    return docs.withColumn("_leaks", all_leaks(table(spark, sf_dir, "benchmark"))).where(F.size("_leaks") == 0).select(*docs.columns)
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
