@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 #: Month abbreviations in terse epoch units.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
+#: How time axes write their first day, and which parts are the year, the month and the day.
+EPOCHS = ((r"(?i)^\s*days? since (\d{4})-(\d{1,2})-(\d{1,2})", (1, 2, 3)), (r"(?i)^\s*days?_since_([a-z]{3})(\d{1,2}?)(\d{4})\s*$", (3, 1, 2)))
+
 #: Names of yearly files, by world.
 WORLD_FILES = {"counterfactual": r"^fwi_era5_counter_\d{4}\.nc$", "observed": r"^fwi_era5_\d{4}\.nc$"}
 
@@ -49,14 +53,24 @@ def world_of(path: Column) -> Column:
 
 def epoch_of(units: Column) -> Column:
     """The day of 'days since 1979-1-2' and of the terse 'days_since_Jan11900'; NULL for other units."""
-    plain, terse = r"(?i)^\s*days since (\d{4})-(\d{1,2})-(\d{1,2})", r"(?i)^\s*days_since_([a-z]{3})(\d{1,2}?)(\d{4})\s*$"
-    part = lambda pattern, k: F.regexp_extract(units, pattern, k)
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(part(terse, 1))).cast("int")
-    number = lambda c: F.when(c != "", c).cast("int")
-    dates = [(plain, number(part(plain, 1)), number(part(plain, 2)), number(part(plain, 3))), (terse, number(part(terse, 3)), month, number(part(terse, 2)))]
-    # make_date would raise for what is no day
-    made = [F.when(units.rlike(p), F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd")) for p, y, m, d in dates]
-    return F.coalesce(*made)
+
+    def day(pattern: str, places: tuple[int, int, int]) -> Column:
+        y, m, d = (F.regexp_extract(units, pattern, k) for k in places)
+        named = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(m)), F.lit(0))
+        month = F.coalesce(F.lpad(named.cast("string"), 2, "0"), F.lpad(m, 2, "0"))
+        # make_date would raise for what is no day
+        return F.when(units.rlike(pattern), F.try_to_date(F.concat_ws("-", y, month, F.lpad(d, 2, "0")), "yyyy-MM-dd"))
+
+    return F.coalesce(*[day(*e) for e in EPOCHS])
+
+
+def epoch_day(units: str) -> dt.date | None:
+    """The same for one text; None for other units."""
+    for pattern, places in EPOCHS:
+        if m := re.match(pattern, units):
+            y, month, d = (m[k].lower() for k in places)
+            return dt.date(int(y), MONTHS.index(month) + 1 if month in MONTHS else int(month), int(d))
+    return None
 
 
 def parse_years(spec: str) -> tuple[int, ...]:

@@ -3,7 +3,8 @@
 spark.dataSource.register(Gridded); spark.read.format("gridded").option("year", 2001).load(folder_or_file)
 
 Rows are (date, cell_id, fwi) on the canonical grid. Files are split into blocks of days, a partition each; a
-block reads its days only, and gives Arrow batches. Axes may have any usual name, order and origin. Days come
+block reads its days only, and gives Arrow batches. Paths are folders or files of any file system that pyarrow opens
+by URI, which executors must reach. Fill values are missing, packed numbers are scaled. Axes may have any usual name, order and origin. Days come
 from the time axis' units, from a companion variable of day offsets, or from bare numbers 1 to 366 and the year
 in the file's name. Files of the later, HDF5-based format need a reader that is not part of this package:
 convert them to the classic format, or store them as Parquet by world and year.
@@ -20,15 +21,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.grid import COLUMNS, ROWS, STEP
-from ..functions.names import MONTHS
+from ..functions.names import epoch_day
+from .readers import LATITUDES, LONGITUDES, TIMES, VARIABLES
 
 #: The format's types, by code.
 _TYPES = {1: ">i1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8", 7: ">u1", 8: ">u2", 9: ">u4", 10: ">i8", 11: ">u8"}
-_NAMES = {"time": ("time", "date", "day"), "lat": ("lat", "latitude"), "lon": ("lon", "longitude")}
-_VARIABLES = ("fwi", "FWI", "fire_weather_index")
+#: What the format has for values that were never written, by type.
+_FILLS = {">i2": -32767, ">i4": -2147483647, ">f4": 9.969209968386869e36, ">f8": 9.969209968386869e36}
+_NAMES = {"time": TIMES, "lat": LATITUDES, "lon": LONGITUDES}
 
 
 @dataclass
@@ -41,12 +45,22 @@ class Variable:
     step: int  # bytes between records
 
 
+def _system(path: str):
+    """(file system, path) of a URI or an absolute path."""
+    return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+
+
+def opened(path: str):
+    system, inner = _system(path)
+    return system.open_input_file(inner)
+
+
 class Classic:
     """The header of a classic file (versions 1, 2 and 5), and slices of its variables along the first dimension."""
 
     def __init__(self, path: str):
         self.path = path
-        with open(path, "rb") as f:
+        with opened(path) as f:
             self.raw = f.read(1 << 16)
             while True:
                 try:
@@ -119,7 +133,7 @@ class Classic:
         last = shape[0] if last is None else min(last, shape[0])
         inner = int(np.prod(shape[1:], dtype=np.int64))
         parts = []
-        with open(self.path, "rb") as f:
+        with opened(self.path) as f:
             if v.step == inner * v.dtype.itemsize:  # the days lie one after another
                 f.seek(v.begin + first * v.step)
                 parts.append(f.read((last - first) * v.step))
@@ -130,14 +144,6 @@ class Classic:
         return np.frombuffer(b"".join(parts), v.dtype).reshape(last - first, *shape[1:])
 
 
-def epoch(units: str) -> dt.date | None:
-    if m := re.match(r"\s*days since (\d{4})-(\d{1,2})-(\d{1,2})", units, re.I):
-        return dt.date(*map(int, m.groups()))
-    if m := re.fullmatch(r"\s*days_since_([a-z]{3})(\d{1,2}?)(\d{4})\s*", units, re.I):
-        return dt.date(int(m[3]), MONTHS.index(m[1].lower()) + 1, int(m[2]))
-    return None
-
-
 def dimension(f: Classic, what: str) -> str:
     for n in f.lengths:
         if n.lower() in _NAMES[what]:
@@ -146,22 +152,34 @@ def dimension(f: Classic, what: str) -> str:
 
 
 def variable(f: Classic, wanted: str | None = None) -> str:
-    """The wanted or a known name; the one other variable on three dimensions only if asked for with '*'."""
-    for n in [wanted] if wanted and wanted != "*" else _VARIABLES:
-        if n in f.variables:
-            return n
+    """The wanted or a known name, in any case; the one other variable on three dimensions only if asked for with '*'."""
+    names = [wanted] if wanted and wanted != "*" else VARIABLES
+    for n in names:
+        for own in f.variables:
+            if own.lower() == n.lower():
+                return own
     cubes = [n for n, v in f.variables.items() if len(v.dims) == 3]
     if wanted == "*" and len(cubes) == 1:
         return cubes[0]
     raise ValueError(f"{f.path}: no known variable among {list(f.variables)}")
 
 
+def decoded(v: Variable, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, missing) of stored numbers: fills are missing, then scale_factor and add_offset are applied."""
+    fills = [x for key in ("_FillValue", "missing_value") if key in v.attrs for x in np.atleast_1d(v.attrs[key])] or [_FILLS.get(v.dtype.str, np.nan)]
+    missing = np.isin(raw, np.asarray(fills, raw.dtype))
+    scale, offset = (float(np.atleast_1d(v.attrs.get(key, default))[0]) for key, default in (("scale_factor", 1.0), ("add_offset", 0.0)))
+    values = raw.astype(np.float64) * scale + offset if (scale, offset) != (1.0, 0.0) else raw
+    values = values.astype(np.float32)
+    return values, missing | ~np.isfinite(values) | (values < 0)
+
+
 def dates(f: Classic, year: int | None) -> list[dt.date]:
     """The day of each slab; days that do not follow each other are refused only where nothing but a count tells them."""
     time = dimension(f, "time")
     axes = [v for v in ([time] if time in f.variables else [])] + [n for n, v in f.variables.items() if v.dims == [time] and n != time]
     for n in axes:
-        start = epoch(str(f.variables[n].attrs.get("units", "")))
+        start = epoch_day(str(f.variables[n].attrs.get("units", "")))
         if start:
             return [start + dt.timedelta(int(x)) for x in np.rint(f.read(n).astype(float))]
     m = re.search(r"(?:19|20)\d{2}", os.path.basename(f.path))
@@ -189,15 +207,17 @@ class Block(InputPartition):
 
 class GriddedReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path = options["path"].removeprefix("file://")
+        self.path = options["path"]
         self.days, self.variable = int(options.get("days", 73)), options.get("variable")
         self.year = int(options["year"]) if "year" in options else None
 
     def partitions(self) -> list[Block]:
-        if not os.path.exists(self.path):
+        system, inner = _system(self.path)
+        here = system.get_file_info(inner)
+        if here.type == fs.FileType.NotFound:
             raise FileNotFoundError(self.path)
-        names = sorted(os.listdir(self.path)) if os.path.isdir(self.path) else [""]
-        paths = [os.path.join(self.path, n) if n else self.path for n in names if n.endswith(".nc") or not n]
+        names = sorted(x.base_name for x in system.get_file_info(fs.FileSelector(inner))) if here.type == fs.FileType.Directory else [""]
+        paths = [f"{self.path.rstrip('/')}/{n}" if n else self.path for n in names if n.endswith(".nc") or not n]
         return [Block(p, k, k + self.days) for p in paths for f in [Classic(p)] for k in range(0, f.lengths[dimension(f, "time")], self.days)]
 
     def read(self, block: Block) -> Iterator[pa.RecordBatch]:
@@ -208,8 +228,7 @@ class GriddedReader(DataSourceReader):
             raise ValueError(f"{block.path}: {name} does not begin with its time axis")
         days, where = dates(f, self.year), cells(f).ravel()
         for k in range(block.first, min(block.last, len(days))):
-            slab = np.transpose(f.read(name, k, k + 1), order)[0].astype(np.float32).ravel()
-            missing = ~np.isfinite(slab) | (slab < 0)
+            slab, missing = (x.ravel() for x in decoded(f.variables[name], np.transpose(f.read(name, k, k + 1), order)[0]))
             yield pa.RecordBatch.from_arrays([pa.array([days[k]] * len(slab), pa.date32()), pa.array(where), pa.array(slab, mask=missing)], ["date", "cell_id", "fwi"])
 
 

@@ -17,7 +17,7 @@ DAILY = T.StructType([
 MASKS = "cell_id long, burnable boolean, region int, w double"
 THRESHOLDS = "cell_id long, threshold string, q double, thr float, n_samples long, overflow boolean"
 #: Names of the value among a file's variables, and of the axes.
-VARIABLES, LATITUDES, LONGITUDES, TIMES = ("fwi", "FWI", "fire_weather_index"), ("lat", "latitude"), ("lon", "longitude"), ("time", "date", "day")
+VARIABLES, LATITUDES, LONGITUDES, TIMES = ("fwi", "fwi_era5", "fwinx", "fire_weather_index"), ("lat", "latitude"), ("lon", "longitude"), ("time", "t", "date", "day")
 
 
 def find(columns: list[str], names: tuple[str, ...]) -> str | None:

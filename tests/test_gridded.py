@@ -3,7 +3,8 @@ import struct
 
 import numpy as np
 import pytest
-from pyrelake.sources.gridded import Classic, Gridded, cells, dates, epoch, variable
+from pyrelake.sources.gridded import Classic, Gridded, Variable, cells, dates, decoded, variable
+from pyrelake.functions.names import epoch_day as epoch
 
 
 def write(path, times, lat, lon, cube, units=None, name="fwi", names=("time", "lat", "lon"), record=False, extra=None):
@@ -63,7 +64,19 @@ def test_time_axes_and_names(tmp_path):
     write(tmp_path / "x_2004.nc", [1, 2, 9], [0.0], [0.0], cube)
     with pytest.raises(ValueError, match="time axis"):
         dates(Classic(str(tmp_path / "x_2004.nc")), None)
-    assert epoch("days_since_Jan11900") == dt.date(1900, 1, 1) and epoch("hours since 1900-01-01") is None
+    assert epoch("days_since_Jan11900") == dt.date(1900, 1, 1) and epoch("hours since 1900-01-01") is None and epoch("day since 1979-1-2") == dt.date(1979, 1, 2)
+
+
+def test_fills_and_packed_numbers():
+    def of(dtype, **attrs):
+        return Variable(["time", "lat", "lon"], {k: np.array([v]) for k, v in attrs.items()}, np.dtype(dtype), 0, False, 0)
+
+    values, missing = decoded(of(">f4"), np.array([1.5, 9.969209968386869e36, np.nan, -1.0], ">f4"))
+    assert missing.tolist() == [False, True, True, True] and values[0] == 1.5
+    values, missing = decoded(of(">i2", _FillValue=-5, scale_factor=0.5, add_offset=10.0), np.array([-5, 4, -20], ">i2"))
+    assert missing.tolist() == [True, False, False] and values[1:].tolist() == [12.0, 0.0]
+    values, missing = decoded(of(">f8", missing_value=7.0), np.array([7.0, 8.0], ">f8"))
+    assert missing.tolist() == [True, False]
 
 
 def test_a_year_on_another_layout(spark, tmp_path):
