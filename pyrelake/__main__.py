@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             run.make_thresholds(spark, layout, settings, args.allow_missing, args.allow_short_tail).show(truncate=False)
         elif args.command == "monthly":
             ids = sorted({k for part in args.regions.split(",") for a, _, b in [part.partition("-")] for k in range(int(a), int(b or a) + 1)})
-            run.make_monthly(spark, layout, settings, args.world, list(parse_years(args.years)), ids, args.allow_short_tail).show()
+            run.make_monthly(spark, layout, settings, args.world, list(parse_years(args.years)), ids, args.allow_short_tail, args.allow_missing).show()
         elif args.command == "verify":
             pages = spark.read.text(args.listing, wholetext=True).withColumnRenamed("value", "json")
             found = listing.status(listing.entries(pages, ""), listing.digests(spark, args.folder))

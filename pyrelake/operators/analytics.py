@@ -49,8 +49,9 @@ def gap_statistics(gaps: DataFrame) -> DataFrame:
 
 
 def top_gaps(gaps: DataFrame, k: int) -> DataFrame:
-    """The k cells of the largest gap; ties by cell."""
-    return gaps.where("gap IS NOT NULL").orderBy(F.desc("gap"), "cell_id").limit(k)
+    """Of each threshold the k cells of the largest gap; ties by cell."""
+    place = F.row_number().over(Window.partitionBy("threshold").orderBy(F.desc("gap"), "cell_id"))
+    return gaps.where("gap IS NOT NULL").withColumn("place", place).where(F.col("place") <= k).drop("place")
 
 
 def trends(years: DataFrame) -> DataFrame:

@@ -25,6 +25,24 @@ def days_seen(daily: DataFrame) -> DataFrame:
     return daily.select("date").distinct()
 
 
+def cell_months(daily: DataFrame) -> DataFrame:
+    """(year, month, cell_id, n_rows, day_mask) of one world: a bit for each day of the month that has a row."""
+    bit = F.expr("shiftleft(1, day(date) - 1)")
+    return daily.groupBy(F.year("date").alias("year"), F.month("date").alias("month"), "cell_id").agg(F.count("*").alias("n_rows"), F.bit_or(bit).alias("day_mask"))
+
+
+def doubled(months: DataFrame) -> DataFrame:
+    """(year, month, cell_id) that have a day more than once: more rows than bits."""
+    return months.where("n_rows > bit_count(day_mask)").select("year", "month", "cell_id")
+
+
+def days_of(months: DataFrame) -> DataFrame:
+    """(date) of the days that any cell has."""
+    masks = months.groupBy("year", "month").agg(F.bit_or("day_mask").alias("day_mask"))
+    days = F.filter(F.sequence(F.lit(1), F.lit(31)), lambda d: F.getbit("day_mask", d - 1) == 1)
+    return masks.select(F.explode(F.transform(days, lambda d: F.make_date("year", "month", d))).alias("date"))
+
+
 def calendar(first: Column, last: Column) -> Column:
     return F.explode(F.sequence(first, last))
 

@@ -25,11 +25,16 @@ def compared(daily: DataFrame, thresholds: DataFrame, names: list[str]) -> DataF
     return daily.join(thresholds, "cell_id", "left").select(*daily.columns, *[exceeds(F.col("fwi"), F.col(n)).alias(f"hit_{n}") for n in names])
 
 
-def monthly(hits: DataFrame, names: list[str]) -> DataFrame:
-    """(world, year, month, cell_id, threshold, days) of cells that have a row in the month."""
+def month_sums(hits: DataFrame, names: list[str]) -> DataFrame:
+    """(world, year, month, cell_id, days_<name>..., n_rows, day_mask): day_mask has a bit for each day of the month that has a row."""
     keys = ["world", "year", "month", "cell_id"]
-    dated = hits.withColumns({"year": F.year("date"), "month": F.month("date")})
-    return _long(dated.groupBy(*keys).agg(*[F.count_if(F.col(f"hit_{n}")).alias(f"days_{n}") for n in names]), keys, names, days="days_")
+    dated = hits.withColumns({"year": F.year("date"), "month": F.month("date"), "day_bit": F.expr("shiftleft(1, day(date) - 1)")})
+    return dated.groupBy(*keys).agg(*[F.count_if(F.col(f"hit_{n}")).alias(f"days_{n}") for n in names], F.count("*").alias("n_rows"), F.bit_or("day_bit").alias("day_mask"))
+
+
+def monthly(sums: DataFrame, names: list[str]) -> DataFrame:
+    """(world, year, month, cell_id, threshold, days) of month_sums(): cells that have a row in the month."""
+    return _long(sums, ["world", "year", "month", "cell_id"], names, days="days_")
 
 
 def dense_monthly(counts: DataFrame, cells: DataFrame, years: DataFrame, names: list[str]) -> DataFrame:
@@ -62,19 +67,32 @@ def dimension(cells: DataFrame) -> DataFrame:
     return F.broadcast(small) if small.limit(ROWS * COLUMNS + 1).count() <= ROWS * COLUMNS else small
 
 
-def extent(daily: DataFrame, thresholds: DataFrame, cells: DataFrame, names: list[str]) -> DataFrame:
-    """(world, date, threshold, region, hit_area, observed_area): region NULL is the whole world, region 0 counts there alone.
+def extent(daily: DataFrame, thresholds: DataFrame, cells: DataFrame, names: list[str], region_ids: list[int] | tuple = ()) -> DataFrame:
+    """(world, date, threshold, region, hit_area, observed_area): region NULL is the whole world; a row for each of region_ids on every day.
 
-    Only burnable cells meet their thresholds (wide). World and regions come from one pass by grouping sets. A day whose
-    values are all missing keeps its rows.
+    Only burnable cells meet their thresholds (wide). Values are summed once, by day and region; the world and the
+    regions come from those few sums. Cells of other regions count in the world alone. A day whose values are all
+    missing keeps its rows.
     """
     burnable = daily.select("world", "date", "cell_id", "fwi").join(dimension(cells.where("burnable")), "cell_id")
     found = compared(burnable, thresholds, names)
-    sums = [F.sum(F.when(F.col(f"hit_{n}") & F.col("fwi").isNotNull(), F.col("w")).otherwise(0.0)).alias(f"hit_{n}") for n in names]
-    whole = F.grouping("region").alias("whole")
-    sets = found.groupingSets([[F.col("world"), F.col("date")], [F.col("world"), F.col("date"), F.col("region")]], F.col("world"), F.col("date"), F.col("region"))
-    summed = sets.agg(*sums, F.sum(F.when(F.col("fwi").isNotNull(), F.col("w")).otherwise(0.0)).alias("observed_area"), whole).where("whole = 1 OR region > 0")
-    return _long(summed, ["world", "date", "region"], names, hit_area="hit_", observed_area="observed_area")
+    area = lambda which: F.sum(F.when(which & F.col("fwi").isNotNull(), F.col("w")).otherwise(0.0))
+    parts = found.groupBy("world", "date", *["region"] * bool(region_ids)).agg(*[area(F.col(f"hit_{n}")).alias(f"hit_{n}") for n in names], area(F.lit(True)).alias("observed"))
+    here = {None: F.lit(True)} | {k: F.col("region") == k for k in region_ids}
+    values = [*(f"hit_{n}" for n in names), "observed"]
+    days = parts.withColumnsRenamed({v: f"{v}_None" for v in values}) if not region_ids else parts.groupBy("world", "date").agg(*[F.sum(F.when(of, F.col(v)).otherwise(0.0)).alias(f"{v}_{k}") for k, of in here.items() for v in values])
+    rows = F.array(*[F.struct(F.lit(n).alias("threshold"), F.lit(k).cast("int").alias("region"), F.col(f"hit_{n}_{k}").alias("hit_area"), F.col(f"observed_{k}").alias("observed_area")) for n in names for k in here])
+    return days.select("world", "date", F.explode(rows).alias("r")).select("world", "date", "r.*")
+
+
+def _measured(sums: DataFrame, area: DataFrame) -> DataFrame:
+    """sums with fraction, fraction_observed and coverage; area is a row a region."""
+    of = area.select(F.col("region").alias("_of"), "area")
+    found = sums.join(F.broadcast(of), F.col("region").eqNullSafe(F.col("_of")), "left")
+    return found.select(
+        "world", "date", "threshold", "region", ratio(F.col("hit_area"), F.col("area")).alias("fraction"),
+        ratio(F.col("hit_area"), F.col("observed_area")).alias("fraction_observed"), ratio(F.col("observed_area"), F.col("area")).alias("coverage"),
+    )
 
 
 def fractions(sums: DataFrame, area: DataFrame, region_ids: list[int] | None = None) -> DataFrame:
@@ -83,24 +101,14 @@ def fractions(sums: DataFrame, area: DataFrame, region_ids: list[int] | None = N
     fraction and coverage are of all burnable area, with or without data. With region_ids there is a row for each
     on every day, NULL where the grid has no such region; without, the rows are the whole world's.
     """
-    measures = lambda df: df.select(
-        "world", "date", "threshold", "region", ratio(F.coalesce("hit_area", F.lit(0.0)), F.col("area")).alias("fraction"),
-        ratio(F.coalesce("hit_area", F.lit(0.0)), F.col("observed_area")).alias("fraction_observed"), ratio(F.coalesce("observed_area", F.lit(0.0)), F.col("area")).alias("coverage"),
-    )
-    if region_ids is None:
-        total = area.where("region IS NULL").select("area")
-        return measures(sums.where("region IS NULL").crossJoin(F.broadcast(total)))  # one row
-    days = sums.where("region IS NULL").select("world", "date", "threshold", F.explode(F.array(*map(F.lit, region_ids))).alias("region"))
-    known = area.where("region IS NOT NULL")
-    return measures(days.join(F.broadcast(known), "region", "left").join(sums, ["world", "date", "threshold", "region"], "left"))  # a row a region
+    return _measured(sums.where("region IS NULL" if region_ids is None else F.col("region").isin(region_ids)), area)
 
 
-def wide_extent(whole: DataFrame, regions: DataFrame, region_ids: list[int]) -> DataFrame:
+def wide_extent(sums: DataFrame, area: DataFrame, region_ids: list[int]) -> DataFrame:
     """The daily table's columns: date, threshold, global, coverage, then region_k and region_k_cov, by world."""
-    keys = ["world", "date", "threshold"]
-    pivoted = regions.groupBy(*keys).pivot("region", region_ids).agg(F.first("fraction").alias("f"), F.first("coverage").alias("c"))
-    columns = [x for k in region_ids for x in (F.col(f"{k}_f").alias(f"region_{k}"), F.col(f"{k}_c").alias(f"region_{k}_cov"))]
-    return whole.select(*keys, F.col("fraction").alias("global"), "coverage").join(pivoted, keys, "left").select(*keys, "global", "coverage", *columns)
+    pick = lambda value, k: F.max(F.when(F.col("region").eqNullSafe(F.lit(k)), F.col(value)))
+    columns = [x for k in region_ids for x in (pick("fraction", k).alias(f"region_{k}"), pick("coverage", k).alias(f"region_{k}_cov"))]
+    return _measured(sums, area).groupBy("world", "date", "threshold").agg(pick("fraction", None).alias("global"), pick("coverage", None).alias("coverage"), *columns)
 
 
 def year_summary(whole: DataFrame, observed: DataFrame) -> DataFrame:

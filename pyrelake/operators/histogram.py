@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Bins
 from ..functions.names import quantile_name
+from .calendar import refuse
 
 
 def bin_of(value: Column, bins: Bins) -> Column:
@@ -52,6 +53,12 @@ def refused_counts(saved: DataFrame, bins: Bins) -> DataFrame:
     return saved.withColumn("times", F.count("*").over(again)).where(bad | (F.col("times") > 1)).drop("times")
 
 
+def resumed(saved: DataFrame, more: DataFrame, bins: Bins) -> DataFrame:
+    """A saved histogram and more counts; a saved one that is not whole is refused."""
+    refuse(refused_counts(saved, bins), "a saved histogram cannot be gone on from")
+    return merged(saved, more)
+
+
 def samples(hist: DataFrame, bins: Bins) -> DataFrame:
     """(cell_id, n_samples, overflow): overflow where a value lies beyond coarse_max, whose bin has no width."""
     return hist.groupBy("cell_id").agg(F.sum("n").alias("n_samples"), (F.max("bin") == bins.count - 1).alias("overflow"))

@@ -65,18 +65,32 @@ def pack_frames(counts: DataFrame, index: DataFrame, first_year: int, years_each
     reaches is not there. days must fit a byte.
     """
     n_cells = index.count()
-    placed = counts.join(index, "cell_id").select("world", "threshold", "year", "month", "pos", "days", chunk_of(F.col("year"), F.lit(first_year), years_each).alias("chunk"))
+    placed = counts.join(index, "cell_id").select("world", "threshold", "year", "month", "pos", "days")
+
+    @F.pandas_udf("binary")
+    def frame(pos: pd.Series, days: pd.Series) -> pd.Series:
+        out = []
+        for where, n in zip(pos, days, strict=True):
+            if np.min(n) < 0 or np.max(n) > 255:
+                raise ValueError("days do not fit a byte")
+            row = np.zeros(n_cells, np.uint8)
+            row[where] = n
+            out.append(row.tobytes())
+        return pd.Series(out)
 
     def pack(key, rows):
         world, threshold, chunk = key
         start = first_year + chunk * years_each
-        if not rows["days"].between(0, 255).all():
-            raise ValueError(f"{world} {threshold} {start}: days do not fit a byte")
         frames = np.zeros(((int(rows["year"].max()) - start + 1) * 12, n_cells), np.uint8)
-        frames[(rows["year"] - start) * 12 + rows["month"] - 1, rows["pos"]] = rows["days"]
+        for at, data in zip((rows["year"] - start) * 12 + rows["month"] - 1, rows["frame"], strict=True):
+            frames[at] = np.frombuffer(data, np.uint8)
         return pd.DataFrame({"world": [world], "threshold": [threshold], "chunk": [chunk], "first_year": [start], "n_frames": [len(frames)], "n_cells": [n_cells], "blob": [compress(frames.tobytes())]})
 
-    return placed.groupBy("world", "threshold", "chunk").applyInPandas(pack, "world string, threshold string, chunk int, first_year int, n_frames int, n_cells long, blob binary")
+    # first a month's bytes, of a row a cell at most; then a chunk's frames, twelve a year
+    cells = placed.groupBy("world", "threshold", "year", "month").agg(F.collect_list(F.struct("pos", "days")).alias("cells"))
+    frames = cells.select("world", "threshold", "year", "month", frame("cells.pos", "cells.days").alias("frame"))
+    chunked = frames.withColumn("chunk", chunk_of(F.col("year"), F.lit(first_year), years_each))
+    return chunked.groupBy("world", "threshold", "chunk").applyInPandas(pack, "world string, threshold string, chunk int, first_year int, n_frames int, n_cells long, blob binary")
 
 
 def unpack_frames(blocks: DataFrame, index: DataFrame) -> DataFrame:

@@ -63,7 +63,12 @@ def packed(c: str) -> str:
     return f"CAST(round_even(least(greatest(coalesce(round({c}, 9), 0), 0), 1) * 10000, 0) AS BIGINT)"
 
 
-_WIDE = "wide AS (SELECT w.world, w.date, w.threshold, w.fraction AS global, w.coverage, r.fraction AS region_1, r.coverage AS region_1_cov FROM world w JOIN regs r ON r.world = w.world AND r.date = w.date AND r.threshold = w.threshold AND r.region = 1)"
+_WIDE = (
+    "wide AS (SELECT w.world, w.date, w.threshold, w.fraction AS global, w.coverage, "
+    + ", ".join(f"max(r.fraction) FILTER (r.region = {k}) AS region_{k}, max(r.coverage) FILTER (r.region = {k}) AS region_{k}_cov" for k in range(1, 6))
+    + " FROM world w JOIN regs r ON r.world = w.world AND r.date = w.date AND r.threshold = w.threshold GROUP BY w.world, w.date, w.threshold, w.fraction, w.coverage)"
+)
+_VALUES = ["global", "coverage", *(f"region_{k}{x}" for k in range(1, 6) for x in ("", "_cov"))]
 _FILES = [("README.md", 10, "aa"), ("fwi_era5_1979.nc", 100, "bb"), ("fwi_era5_1995.nc", 100, "cc"), ("fwi_era5_counter_1995.nc", 100, "dd"), ("fwi_era5_2024.nc", 100, "ee"), ("fwi_era5_counter_2024.nc", 100, "ff")]
 LISTING = "files AS (SELECT *, CASE WHEN path LIKE 'fwi_era5_counter%' THEN 'counterfactual' WHEN path LIKE 'fwi_era5%' THEN 'observed' END AS world, CAST(nullif(regexp_extract(path, '(19|20)[0-9]{2}'), '') AS BIGINT) AS year FROM (VALUES " + ", ".join(f"('{p}', CAST({s} AS BIGINT), '{h}')" for p, s, h in _FILES) + ") AS t(path, size, sha256))"
 STATUS = """loc AS (SELECT * FROM (VALUES ('README.md', 10, 'aa'), ('fwi_era5_1979.nc', 60, 'bb'), ('fwi_era5_1995.nc', 100, 'cc'), ('fwi_era5_counter_1995.nc', 100, '00'), ('fwi_era5_2024.nc', 130, NULL)) AS t(path, size, sha256)),
@@ -81,7 +86,7 @@ ORACLE_SQL = {
     "bin_edges": f"SELECT bin, round({EDGE}, 6) AS edge, round({WIDTH}, 6) AS width FROM (SELECT unnest(range(621)) AS bin)",
     "clean_values": "SELECT l_returnflag, count(*) AS n, count(*) FILTER (l_returnflag NOT IN ('R', 'A')) AS n_valid FROM lineitem GROUP BY 1",
     "exact_percentiles": f"WITH {DAILY}, {REF}, {QS}, p AS (SELECT cell_id, quantile_cont(CAST(fwi AS DOUBLE), [0.9, 0.95, 0.99]) AS v FROM ref GROUP BY 1) SELECT cell_id, unnest(['p90', 'p95', 'p99']) AS threshold, round(unnest(v), 6) AS thr FROM p",
-    "threshold_validation": f"""WITH {TO_THR}, picked AS (SELECT cell_id FROM ref WHERE date = (SELECT min(date) FROM ref) GROUP BY 1 ORDER BY md5('42:' || cell_id), cell_id LIMIT 25),
+    "threshold_validation": f"""WITH {TO_THR}, picked AS (SELECT cell_id FROM ref WHERE date = (SELECT min(date) FROM ref) GROUP BY 1 ORDER BY md5('42:' || cell_id), cell_id LIMIT 3000),
       p AS (SELECT cell_id, count(*) AS n, quantile_cont(CAST(fwi AS DOUBLE), [0.9, 0.95, 0.99]) AS v FROM ref WHERE cell_id IN (SELECT cell_id FROM picked) GROUP BY 1),
       e AS (SELECT cell_id, n, unnest(['p90', 'p95', 'p99']) AS threshold, unnest(v) AS exact FROM p), x AS (SELECT threshold, n, abs(CAST(thr AS DOUBLE) - exact) AS err FROM e JOIN thr USING (cell_id, threshold))
       SELECT threshold, count(*) AS n_cells, CAST(sum(n) AS BIGINT) AS n_samples, round(max(err), 6) AS max_err, round(avg(err), 6) AS mean_err, round(quantile_cont(err, 0.99), 6) AS p99_err FROM x GROUP BY 1""",
@@ -94,7 +99,7 @@ ORACLE_SQL = {
       f AS (SELECT b.year, min(m.date) AS first_missing, min(m.date) FILTER (m.date < b.last) AS hole FROM b JOIN m ON year(m.date) = b.year GROUP BY 1)
       SELECT b.year, b.n_days, coalesce(CAST(f.first_missing AS VARCHAR), '') AS first_missing, coalesce(CAST(f.hole AS VARCHAR), '') AS hole, CASE WHEN f.hole IS NOT NULL THEN 'hole at ' || f.hole WHEN f.first_missing IS NOT NULL THEN 'short tail' ELSE 'complete' END AS verdict FROM b LEFT JOIN f USING (year)""",
     "monthly_exceedance": f"WITH {TO_COUNTS} SELECT * FROM counts",
-    "monthly_dense": f"""WITH {TO_COUNTS}, spine AS (SELECT w.world, 1997 AS year, m.month, c.cell_id, n.threshold FROM (SELECT unnest(['observed', 'counterfactual']) AS world) w, (SELECT unnest(range(1, 13)) AS month) m, cells c, names n WHERE c.burnable)
+    "monthly_dense": f"""WITH {TO_COUNTS}, spine AS (SELECT w.world, w.year, m.month, c.cell_id, n.threshold FROM (SELECT DISTINCT world, year(date) AS year FROM daily) w, (SELECT unnest(range(1, 13)) AS month) m, cells c, names n WHERE c.burnable)
       SELECT s.world, CAST(s.year AS BIGINT) AS year, s.month, s.cell_id, s.threshold, coalesce(c.days, 0) AS days FROM spine s LEFT JOIN counts c ON c.world = s.world AND c.year = s.year AND c.month = s.month AND c.cell_id = s.cell_id AND c.threshold = s.threshold""",
     "days_observed": f"WITH {DAILY}, {OBSERVED} SELECT * FROM obs",
     "days_in_month": "SELECT y AS year, m AS month, CAST(day(last_day(make_date(y, m, 1))) AS BIGINT) AS days FROM (SELECT unnest(range(1896, 2105)) AS y), (SELECT unnest(range(1, 13)) AS m)",
@@ -102,25 +107,25 @@ ORACLE_SQL = {
     "extent_regions": f"WITH {TO_WORLD} SELECT world, date, threshold, CAST(region AS BIGINT) AS region, {_FR} FROM regs",
     "extent_wide": f"""WITH {TO_WORLD} SELECT w.world, w.date, w.threshold, round(w.fraction, 6) AS global, round(w.coverage, 6) AS coverage, """
     + ", ".join(f"round(max(r.fraction) FILTER (r.region = {k}), 6) AS region_{k}, round(max(r.coverage) FILTER (r.region = {k}), 6) AS region_{k}_cov" for k in range(1, 6))
-    + " FROM world w JOIN regs r ON r.world = w.world AND r.date = w.date AND r.threshold = w.threshold WHERE w.threshold = 'p90' GROUP BY w.world, w.date, w.threshold, w.fraction, w.coverage",
+    + " FROM world w JOIN regs r ON r.world = w.world AND r.date = w.date AND r.threshold = w.threshold GROUP BY w.world, w.date, w.threshold, w.fraction, w.coverage",
     "extent_observed_fraction": f"WITH {TO_WORLD} SELECT world, threshold, year(date) AS year, round(avg(CASE WHEN coverage > 0 THEN fraction / coverage END), 6) AS observed_fraction FROM world GROUP BY ALL",
     "coverage_by_month": f"WITH {TO_WORLD} SELECT world, threshold, month(date) AS month, round(avg(coverage), 6) AS coverage, round(avg(fraction), 6) AS fraction, round(avg(fraction_observed), 6) AS fraction_observed FROM world GROUP BY ALL",
-    "year_summary": f"WITH {TO_WORLD}, {OBSERVED}, d AS (SELECT world, year, CAST(sum(days) AS BIGINT) AS days FROM obs GROUP BY ALL), c AS (SELECT world, year(date) AS year, avg(coverage) AS m FROM world WHERE threshold = 'p90' GROUP BY ALL) SELECT world, year, days, round(m, 6) AS mean_coverage FROM d LEFT JOIN c USING (world, year)",
+    "year_summary": f"WITH {TO_WORLD}, {OBSERVED}, d AS (SELECT world, year, CAST(sum(days) AS BIGINT) AS days FROM obs GROUP BY ALL), c AS (SELECT world, year(date) AS year, avg(coverage) AS m FROM world GROUP BY ALL) SELECT world, year, days, round(m, 6) AS mean_coverage FROM d LEFT JOIN c USING (world, year)",
     "annual_mean": f"WITH {TO_WORLD}, {ANNUAL} SELECT world, threshold, year, round(percent, 6) AS percent FROM annual",
-    "world_gap": f"WITH {TO_WORLD} SELECT date, {_SIDE.format(d=6)} FROM (SELECT world, date, fraction AS v FROM world WHERE threshold = 'p90') GROUP BY date",
+    "world_gap": f"WITH {TO_WORLD} SELECT threshold, date, {_SIDE.format(d=6)} FROM (SELECT world, threshold, date, fraction AS v FROM world) GROUP BY threshold, date",
     "period_means": f"""WITH {TO_WORLD}, {ANNUAL}, m AS (SELECT world, threshold, CASE WHEN year <= 1996 THEN '1995-1996' WHEN year <= 1998 THEN '1997-1998' ELSE '1999-2001' END AS period, avg(percent) AS v FROM annual WHERE year BETWEEN 1995 AND 2001 GROUP BY ALL)
       SELECT threshold, period, {_SIDE.format(d=6)} FROM m GROUP BY ALL""",
     "decade_extra_days": f"WITH {TO_COUNTS}, {GAPS} SELECT threshold, cell_id, round(observed, 6) AS observed, round(counterfactual, 6) AS counterfactual, round(gap, 6) AS gap FROM gaps",
     "gap_statistics": f"WITH {TO_COUNTS}, {GAPS} SELECT threshold, count(*) AS cells, round(avg(gap), 6) AS mean_gap, round(quantile_cont(abs(gap), 0.99), 6) AS p99_abs_gap FROM gaps WHERE gap IS NOT NULL GROUP BY 1",
-    "gap_top_cells": f"WITH {TO_COUNTS}, {GAPS} SELECT threshold, cell_id, round(observed, 6) AS observed, round(counterfactual, 6) AS counterfactual, round(gap, 6) AS gap FROM gaps WHERE gap IS NOT NULL AND threshold = 'p90' ORDER BY round(gap, 6) DESC, cell_id LIMIT 10",
+    "gap_top_cells": f"WITH {TO_COUNTS}, {GAPS} SELECT threshold, cell_id, round(observed, 6) AS observed, round(counterfactual, 6) AS counterfactual, round(gap, 6) AS gap FROM gaps WHERE gap IS NOT NULL QUALIFY row_number() OVER (PARTITION BY threshold ORDER BY round(gap, 6) DESC, cell_id) <= 10",
     "trend_slopes": f"WITH {TO_WORLD}, {ANNUAL}, {_FIT} SELECT world, threshold, round(b * 10, 5) AS slope, round(CASE WHEN n > 2 THEN sqrt(greatest((syy - sxy * sxy / sxx) / (n - 2) / sxx, 0)) * 10 END, 5) AS slope_se FROM fit",
     "trend_attribution": f"""WITH {TO_WORLD}, {ANNUAL}, {_FIT} SELECT threshold, {_SIDE.format(d=4)}, round(1 - max(v) FILTER (world = 'counterfactual') / max(v) FILTER (world = 'observed'), 4) AS attributable_share
       FROM (SELECT world, threshold, b * 10 AS v FROM fit) GROUP BY threshold""",
     "sync_days": f"WITH {TO_WORLD}, {_SYNC} SELECT world, threshold, CAST(region AS BIGINT) AS region, year, days FROM sync",
     "sync_factor": f"""WITH {TO_WORLD}, {_SYNC}, p AS (SELECT world, threshold, region, avg(days) FILTER (year BETWEEN 1995 AND 1997) AS early, avg(days) FILTER (year BETWEEN 1999 AND 2001) AS late FROM sync GROUP BY ALL)
       SELECT world, threshold, CAST(region AS BIGINT) AS region, round(early, 6) AS early, round(late, 6) AS late, round(CASE WHEN early <> 0 THEN late / early END, 6) AS factor FROM p""",
-    "month_fraction_interp": f"""WITH {TO_COUNTS}, s AS (SELECT c.world, c.cell_id, (c.year - 1995) * 12 + c.month - 1 AS month_idx, c.days / CAST(greatest(coalesce(nullif(o.days, 0), 30), 1) AS DOUBLE) AS share FROM counts c LEFT JOIN obs o USING (world, year, month) WHERE c.threshold = 'p90')
-      SELECT world, cell_id, month_idx, round(share, 6) AS share, round(share * 0.75 + coalesce(lead(share) OVER (PARTITION BY world, cell_id ORDER BY month_idx), share) * 0.25, 6) AS value FROM s""",
+    "month_fraction_interp": f"""WITH {TO_COUNTS}, s AS (SELECT c.world, c.threshold, c.cell_id, (c.year - 1995) * 12 + c.month - 1 AS month_idx, c.days / CAST(greatest(coalesce(nullif(o.days, 0), 30), 1) AS DOUBLE) AS share FROM counts c LEFT JOIN obs o USING (world, year, month))
+      SELECT world, threshold, cell_id, month_idx, round(share, 6) AS share, round(share * 0.75 + coalesce(lead(share) OVER (PARTITION BY world, threshold, cell_id ORDER BY month_idx), share) * 0.25, 6) AS value FROM s""",
     "burnable_mask": f"WITH {CELLS} SELECT cell_id, CAST(cls AS BIGINT) AS code, burnable FROM cells",
     "burnable_share": f"WITH {CELLS} SELECT count(*) FILTER (burnable) AS n_burnable, round(sum(CASE WHEN burnable THEN w ELSE 0 END) / sum(w), 6) AS share FROM cells",
     "regrid_vote": f"WITH {SOURCE}, {NODES}, {NEAR}, {VOTE} SELECT cell_id, yes, of, yes / CAST(of AS DOUBLE) >= 0.5 AS burnable FROM votes",
@@ -142,8 +147,8 @@ ORACLE_SQL = {
     "blob_totals": f"WITH {CELLS} SELECT unnest(['observed', 'counterfactual']) AS world, CAST(9 AS BIGINT) AS blobs, (SELECT count(*) FROM cells WHERE burnable) * 84 * 3 AS raw_bytes",
     "frame_lookup": f"""WITH {TO_COUNTS}, f AS (SELECT c.cell_id, coalesce(k.days, 0) AS days FROM cells c LEFT JOIN counts k ON k.cell_id = c.cell_id AND k.world = 'observed' AND k.threshold = 'p90' AND k.year = 1998 AND k.month = 5 WHERE c.burnable)
       SELECT 'observed' AS world, 'p90' AS threshold, CAST(40 AS BIGINT) AS month_idx, string_agg(lower(printf('%02x', days)), '' ORDER BY cell_id) AS frame FROM f""",
-    "extent_quantised": f"WITH {TO_WORLD}, {_WIDE} SELECT world, date, threshold, " + ", ".join(f"{packed(c)} AS {c}" for c in ("global", "coverage", "region_1", "region_1_cov")) + " FROM wide",
-    "extent_cube_roundtrip": f"WITH {TO_WORLD}, {_WIDE} SELECT world, date, threshold, " + ", ".join(f"{packed(c)} AS {c}" for c in ("global", "coverage", "region_1", "region_1_cov")) + " FROM wide",
+    "extent_quantised": f"WITH {TO_WORLD}, {_WIDE} SELECT world, date, threshold, " + ", ".join(f"{packed(c)} AS {c}" for c in _VALUES) + " FROM wide",
+    "extent_cube_roundtrip": f"WITH {TO_WORLD}, {_WIDE} SELECT world, date, threshold, " + ", ".join(f"{packed(c)} AS {c}" for c in _VALUES) + " FROM wide",
     "extent_cube": f"WITH {TO_WORLD}, d AS (SELECT DISTINCT world, date FROM world), g AS (SELECT world, date, datediff('day', lag(date) OVER (PARTITION BY world ORDER BY date), date) AS step FROM d) SELECT world, min(date) AS first_date, count(*) AS n_days, count(*) FILTER (step <> 1) AS gaps FROM g GROUP BY 1",
     "day_offsets": f"WITH {DAYS} SELECT date, datediff('day', (SELECT min(date) FROM days), date) AS day_offset FROM days",
     "extent_at": f"WITH {TO_WORLD}, {_WIDE}, found AS (SELECT world, {packed('global')} / CAST(10000 AS DOUBLE) AS value FROM wide WHERE date = DATE '1996-06-15' AND threshold = 'p90') SELECT w.world, found.value FROM (SELECT DISTINCT world FROM wide) w LEFT JOIN found USING (world)",

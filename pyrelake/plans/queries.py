@@ -38,12 +38,13 @@ class Data:
     thresholds = cached_property(lambda self: histogram.quantiles(self.hist, SETTINGS.quantiles, SETTINGS.bins))
     wide = cached_property(lambda self: histogram.wide_quantiles(self.hist, SETTINGS.quantiles, SETTINGS.bins))
     hits = cached_property(lambda self: exceedance.compared(self.daily, self.wide, SETTINGS.names))
-    counts = cached_property(lambda self: exceedance.monthly(self.hits, SETTINGS.names))
+    counts = cached_property(lambda self: exceedance.monthly(exceedance.month_sums(self.hits, SETTINGS.names), SETTINGS.names))
     observed = cached_property(lambda self: exceedance.days_observed(self.daily))
     area = cached_property(lambda self: exceedance.areas(self.cells))
-    sums = cached_property(lambda self: exceedance.extent(self.daily, self.wide, self.cells, SETTINGS.names))
-    world = cached_property(lambda self: exceedance.fractions(self.sums, self.area).drop("region"))
+    sums = cached_property(lambda self: exceedance.extent(self.daily, self.wide, self.cells, SETTINGS.names, REGIONS))
+    world = cached_property(lambda self: exceedance.fractions(exceedance.extent(self.daily, self.wide, self.cells, SETTINGS.names), self.area).drop("region"))
     regions = cached_property(lambda self: exceedance.fractions(self.sums, self.area, REGIONS))
+    table = cached_property(lambda self: exceedance.wide_extent(self.sums, self.area, REGIONS))
     annual = cached_property(lambda self: analytics.annual(self.world))
     gaps = cached_property(lambda self: analytics.extra_days(self.counts, self.cells, list(range(1995, 2002))))
     nodes = cached_property(lambda self: self.cells.select("cell_id", "lat", "lon"))
@@ -82,7 +83,7 @@ def hist_quantiles(d: Data) -> DataFrame:
 
 def hist_merge_resume(d: Data) -> DataFrame:
     early, late = (histogram.histogram(d.reference.where(c), SETTINGS.bins) for c in ("year(date) <= 1997", "year(date) > 1997"))
-    return histogram.merged(early, late)
+    return histogram.resumed(early, late, SETTINGS.bins)
 
 
 def bin_edges(d: Data) -> DataFrame:
@@ -133,8 +134,8 @@ def monthly_exceedance(d: Data) -> DataFrame:
 
 
 def monthly_dense(d: Data) -> DataFrame:
-    years = d.rows("world string, year int", ("observed", 1997), ("counterfactual", 1997))
-    out = exceedance.dense_monthly(d.counts.where("year = 1997"), d.cells.where("burnable"), years, SETTINGS.names)
+    years = d.observed.select("world", "year").distinct()
+    out = exceedance.dense_monthly(d.counts, d.cells.where("burnable"), years, SETTINGS.names)
     return out.select("world", F.col("year").cast("long"), F.col("month").cast("long"), "cell_id", "threshold", "days")
 
 
@@ -159,8 +160,7 @@ def extent_regions(d: Data) -> DataFrame:
 
 
 def extent_wide(d: Data) -> DataFrame:
-    out = exceedance.wide_extent(d.world, d.regions, REGIONS).where("threshold = 'p90'")
-    return rounded(out, *out.columns[3:])
+    return rounded(d.table, *d.table.columns[3:])
 
 
 def extent_observed_fraction(d: Data) -> DataFrame:
@@ -173,7 +173,7 @@ def coverage_by_month(d: Data) -> DataFrame:
 
 
 def year_summary(d: Data) -> DataFrame:
-    out = exceedance.year_summary(d.world.where("threshold = 'p90'"), d.observed)
+    out = exceedance.year_summary(d.world, d.observed)
     return rounded(out.withColumn("year", F.col("year").cast("long")), "mean_coverage")
 
 
@@ -185,7 +185,7 @@ _WORLDS = ("observed", "counterfactual", "gap")
 
 
 def world_gap(d: Data) -> DataFrame:
-    return rounded(analytics.side_by_side(d.world.where("threshold = 'p90'"), ["date"], "fraction"), *_WORLDS)
+    return rounded(analytics.side_by_side(d.world, ["threshold", "date"], "fraction"), *_WORLDS)
 
 
 def period_means(d: Data) -> DataFrame:
@@ -201,7 +201,7 @@ def gap_statistics(d: Data) -> DataFrame:
 
 
 def gap_top_cells(d: Data) -> DataFrame:
-    return analytics.top_gaps(rounded(d.gaps.where("threshold = 'p90'"), *_WORLDS), 10)
+    return analytics.top_gaps(rounded(d.gaps, *_WORLDS), 10)
 
 
 def trend_slopes(d: Data) -> DataFrame:
@@ -223,9 +223,8 @@ def sync_factor(d: Data) -> DataFrame:
 
 
 def month_fraction_interp(d: Data) -> DataFrame:
-    shares = analytics.monthly_shares(d.counts.where("threshold = 'p90'"), d.observed, 1995)
-    out = analytics.between_months(shares, 0.25)
-    return rounded(out.select("world", "cell_id", F.col("month_idx").cast("long"), "share", "value"), "share", "value")
+    out = analytics.between_months(analytics.monthly_shares(d.counts, d.observed, 1995), 0.25)
+    return rounded(out.select("world", "threshold", "cell_id", F.col("month_idx").cast("long"), "share", "value"), "share", "value")
 
 
 def burnable_mask(d: Data) -> DataFrame:
@@ -303,12 +302,11 @@ def frame_lookup(d: Data) -> DataFrame:
     return packing.frame_at(blocks, "observed", "p90", 40).select("world", "threshold", F.col("month_idx").cast("long"), F.lower(F.hex("frame")).alias("frame"))
 
 
-_PACKED = ["global", "coverage", "region_1", "region_1_cov"]
+_PACKED = ["global", "coverage", *(f"region_{k}{x}" for k in REGIONS for x in ("", "_cov"))]
 
 
 def _quantised(d: Data) -> DataFrame:
-    wide = exceedance.wide_extent(d.world, d.regions, REGIONS)
-    return packing.quantised(rounded(wide, *_PACKED, digits=9).select("world", "date", "threshold", *_PACKED), _PACKED)
+    return packing.quantised(rounded(d.table, *_PACKED, digits=9), _PACKED)
 
 
 def extent_quantised(d: Data) -> DataFrame:
@@ -316,12 +314,11 @@ def extent_quantised(d: Data) -> DataFrame:
 
 
 def extent_cube(d: Data) -> DataFrame:
-    wide = exceedance.wide_extent(d.world, d.regions, REGIONS)
-    return packing.pack_extent(rounded(wide, *_PACKED, digits=9), _PACKED, SETTINGS.names).select("world", "first_date", F.col("n_days").cast("long"), F.col("gaps").cast("long"))
+    return packing.pack_extent(rounded(d.table, *_PACKED, digits=9), _PACKED, SETTINGS.names).select("world", "first_date", F.col("n_days").cast("long"), F.col("gaps").cast("long"))
 
 
 def extent_cube_roundtrip(d: Data) -> DataFrame:
-    wide = rounded(exceedance.wide_extent(d.world, d.regions, REGIONS), *_PACKED, digits=9)
+    wide = rounded(d.table, *_PACKED, digits=9)
     return packing.unpack_extent(packing.pack_extent(wide, _PACKED, SETTINGS.names), _PACKED, SETTINGS.names)
 
 

@@ -10,25 +10,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..functions.grid import COLUMNS, ROWS, STEP
 from ..operators import calendar, exceedance, histogram, masks, packing
 from ..operators import thresholds as thr
 from ..sources import readers
-from ..sources.layout import Layout, write_thresholds, write_years
+from ..sources.layout import Layout, stored_text, write_text, write_thresholds, write_years
 
 
 class NoInput(Exception):
     """Nothing to work on."""
 
 
-def check_days(daily: DataFrame, allow_short_tail: bool) -> DataFrame:
-    """The days of one world, or a refusal: doubled cells, days of another year, holes, short tails."""
-    calendar.refuse(daily.groupBy("date", "cell_id").agg(F.count("*").alias("n")).where("n > 1").select("date", "cell_id"), "days that come twice")
+def check_days(daily: DataFrame, months: DataFrame, allow_short_tail: bool) -> DataFrame:
+    """The days of one world, or a refusal: doubled cells, days of another year, holes, short tails. months has n_rows and day_mask of daily's cells."""
+    calendar.refuse(calendar.doubled(months), "cells with days that come twice")
     calendar.refuse(calendar.other_years(daily), "days of another year than their file's")
-    seen = calendar.days_seen(daily)
+    seen = calendar.days_of(months)
     calendar.require_complete(seen, allow_short_tail)
     return seen
 
 
+def require_years(spark: SparkSession, stored: DataFrame, years: list[int], allow_missing: bool) -> None:
+    """Refuses years (year) that are not stored; that none is, is no input."""
+    if stored.isEmpty():
+        raise NoInput(f"no days in {years}")
+    if not allow_missing:
+        calendar.refuse(spark.createDataFrame([(y,) for y in years], "year int").join(stored, "year", "left_anti"), "years without a file")
+
+
 def make_masks(spark: SparkSession, layout: Layout, settings: Settings, nodes: DataFrame, classes: DataFrame, class_grid: masks.SourceGrid, regions: DataFrame, region_grid: masks.SourceGrid) -> None:
     for source, grid in ((classes, class_grid), (regions, region_grid)):
         if {"lat", "lon"} <= set(source.columns):
@@ -39,37 +48,40 @@ def make_masks(spark: SparkSession, layout: Layout, settings: Settings, nodes: D
 def make_thresholds(spark: SparkSession, layout: Layout, settings: Settings, allow_missing: bool = False, allow_short_tail: bool = False) -> DataFrame:
     """Pass 1, from the observed world's reference years; gives the coverage."""
     daily = readers.daily(spark, layout.daily, "observed", list(settings.reference.all))
-    years = daily.select("year").distinct()
-    if years.isEmpty():
-        raise NoInput("no observed days in the reference period")
-    wanted = spark.createDataFrame([(y,) for y in settings.reference.all], "year int")
-    if not allow_missing:
-        calendar.refuse(wanted.join(years, "year", "left_anti"), "years without a file")
-    coverage = calendar.coverage(check_days(daily, allow_short_tail))
+    require_years(spark, daily.select("year").distinct(), list(settings.reference.all), allow_missing)
+    coverage = calendar.coverage(check_days(daily, calendar.cell_months(daily), allow_short_tail))
     write_thresholds(thr.thresholds(daily, settings), layout.thresholds(settings), settings, coverage)
     return coverage
 
 
-def make_monthly(spark: SparkSession, layout: Layout, settings: Settings, world: str, years: list[int], region_ids: list[int], allow_short_tail: bool = False) -> DataFrame:
-    """Pass 2 for one world; gives (world, year, days, mean_coverage). Counts, days observed and extents of a year are replaced together."""
+def make_monthly(spark: SparkSession, layout: Layout, settings: Settings, world: str, years: list[int], region_ids: list[int], allow_short_tail: bool = False, allow_missing: bool = False) -> DataFrame:
+    """Pass 2 for one world; gives (world, year, days, mean_coverage). Counts, days observed and extents of a year are replaced together.
+
+    The days' values are read twice: once for sums by month and cell, of which come the checks, the counts and the days
+    observed, and once for sums by day and region.
+    """
     daily = readers.daily(spark, layout.daily, world, years)
-    if daily.isEmpty():
-        raise NoInput(f"no days of {world} in {years}")
-    check_days(daily, allow_short_tail)
+    require_years(spark, daily.select("year").distinct(), years, allow_missing)
     cells, names = readers.masks(spark, layout.masks), settings.names
     wide = histogram.wide_thresholds(readers.thresholds(spark, layout.thresholds(settings)), names)
-    hits = exceedance.compared(daily.select("world", "date", "cell_id", "fwi"), wide, names)
-    observed = exceedance.days_observed(daily)
-    write_years(exceedance.monthly(hits, names), layout.monthly)
-    write_years(observed, layout.observed)
-    area, sums = exceedance.areas(cells), exceedance.extent(daily, wide, cells, names)
-    whole, regions = exceedance.fractions(sums, area), exceedance.fractions(sums, area, region_ids)
-    write_years(exceedance.wide_extent(whole, regions, region_ids).withColumn("year", F.year("date")), layout.extent)
-    return exceedance.year_summary(whole, observed)
+    months = exceedance.month_sums(exceedance.compared(daily.select("world", "date", "cell_id", "fwi"), wide, names), names).persist()
+    sums = exceedance.extent(daily, wide, cells, names, region_ids).persist()  # a few rows a day
+    try:
+        seen = check_days(daily, months, allow_short_tail)
+        observed = seen.groupBy(F.lit(world).alias("world"), F.year("date").alias("year"), F.month("date").alias("month")).agg(F.count("*").alias("days"))
+        write_years(exceedance.monthly(months, names), layout.monthly)
+        write_years(observed, layout.observed)
+        area = exceedance.areas(cells)
+        write_years(exceedance.wide_extent(sums, area, region_ids).withColumn("year", F.year("date")), layout.extent)
+        made = exceedance.year_summary(exceedance.fractions(sums, area), observed).collect()  # a row a year
+    finally:
+        months.unpersist()
+        sums.unpersist()
+    return spark.createDataFrame(made, "world string, year int, days long, mean_coverage double")
 
 
 def make_bundle(spark: SparkSession, layout: Layout, settings: Settings, world: str, region_names: dict[int, str], years_each: int = 10, old_manifest: str | None = None, force: bool = False) -> str:
-    """Packs a world's years that have both counts and extents; gives the manifest's JSON.
+    """Packs a world's years that have both counts and extents; gives the manifest's JSON, which is kept in the bundle with the other worlds'.
 
     A bundle packed on another mask is refused unless forced: its frames would be read against the wrong cells.
     """
@@ -97,4 +109,9 @@ def make_bundle(spark: SparkSession, layout: Layout, settings: Settings, world:
     for df, name in ((blocks, "frames"), (cube, "extent")):
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("world").parquet(f"{layout.bundle}/{name}")
     packed, cubes = (spark.read.parquet(f"{layout.bundle}/{n}").where(F.col("world") == world) for n in ("frames", "extent"))
-    return packing.merged_manifest(old_manifest, packing.manifest(packed, cubes, columns, region_names) | {"cells": digest})
+    grid = {"rows": ROWS, "columns": COLUMNS, "step": STEP, "first_latitude": 90.0, "first_longitude": -180.0}
+    new = packing.manifest(packed, cubes, columns, region_names) | {"cells": digest, "grid": grid}
+    old = old_manifest or (stored_text(spark, layout.manifest) if before == digest else None)  # worlds of another mask are not taken along
+    text = packing.merged_manifest(old, new)
+    write_text(spark, text, layout.manifest)
+    return text

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import BURNABLE, Settings, Years
 from ..functions.grid import area_weight
 
-SETTINGS = Settings(reference=Years(1995, 1999), validation_cells=25)
+SETTINGS = Settings(reference=Years(1995, 1999))
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ class Layout:
     observed = property(lambda self: f"{self.root}/days_observed")
     extent = property(lambda self: f"{self.root}/extent")
     bundle = property(lambda self: f"{self.root}/bundle")
+    manifest = property(lambda self: f"{self.root}/bundle/manifest")
 
     def thresholds(self, settings: Settings) -> str:
         return f"{self.root}/thresholds_{settings.reference.first}_{settings.reference.last}"
@@ -38,5 +40,19 @@ def write_thresholds(df: DataFrame, path: str, settings: Settings, coverage: Dat
     made.coalesce(1).write.mode("overwrite").text(f"{path}.provenance")
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def stored_text(spark: SparkSession, path: str) -> str | None:
+    """What write_text() wrote; None if there is nothing."""
+    try:
+        return spark.read.text(path, wholetext=True).first().value
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def years_stored(spark: SparkSession, path: str, world: str) -> list[int]:
     return sorted(r.year for r in spark.read.parquet(path).where(F.col("world") == world).select("year").distinct().collect())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Bins
-from ..operators.exceedance import compared, monthly
+from ..operators.exceedance import compared, month_sums, monthly
 from ..operators.histogram import histogram
 
 
@@ -18,7 +18,7 @@ def running_histogram(stream: DataFrame, bins: Bins) -> DataFrame:
 
 def running_monthly(stream: DataFrame, thresholds: DataFrame, names: list[str]) -> DataFrame:
     """Days above the thresholds (wide, static) by month so far. Days may come in any order."""
-    return monthly(compared(stream, thresholds, names), names)
+    return monthly(month_sums(compared(stream, thresholds, names), names), names)
 
 
 def once_a_day(stream: DataFrame, lateness: str = "3 days") -> DataFrame:

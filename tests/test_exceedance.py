@@ -11,7 +11,7 @@ def run(spark, fwi, thr, w, region=None, burnable=None, ids=None, dates=None):
     daily = spark.createDataFrame([("observed", DAY, c, v) for c, v in enumerate(fwi)], "world string, date date, cell_id long, fwi float")
     wide = spark.createDataFrame([(c, t) for c, t in enumerate(thr)], "cell_id long, p90 float")
     cells = spark.createDataFrame([(c, (burnable or [True] * n)[c], (region or [1] * n)[c], w[c]) for c in range(n)], "cell_id long, burnable boolean, region int, w double")
-    sums = ex.extent(daily, wide, cells, ["p90"])
+    sums = ex.extent(daily, wide, cells, ["p90"], ids or ())
     return {r.region: r for r in ex.fractions(sums, ex.areas(cells), ids).collect()}
 
 
@@ -56,7 +56,7 @@ def year(spark, values):
 def test_a_year_of_counts(spark):
     daily = year(spark, [15.0, 25.0, None])
     wide = spark.createDataFrame([(c, 10.0, 20.0) for c in range(3)], "cell_id long, p90 float, p99 float")
-    got = {(r.month, r.cell_id, r.threshold): r.days for r in ex.monthly(ex.compared(daily, wide, ["p90", "p99"]), ["p90", "p99"]).collect()}
+    got = {(r.month, r.cell_id, r.threshold): r.days for r in ex.monthly(ex.month_sums(ex.compared(daily, wide, ["p90", "p99"]), ["p90", "p99"]), ["p90", "p99"]).collect()}
     assert got[1, 0, "p90"] == 31 and got[2, 0, "p90"] == 28 and got[1, 0, "p99"] == 0
     assert sum(v for (m, c, t), v in got.items() if c == 1 and t == "p99") == 365 and got[5, 2, "p90"] == 0
     assert {r.month: r.days for r in ex.days_observed(daily).collect()}[2] == 28
