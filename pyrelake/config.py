@@ -41,8 +41,9 @@ class Bins:
     coarse_step: float = 1.0
 
     def __post_init__(self):
-        _need(self.fine_step > 0 and self.coarse_step > 0, "bin steps must be positive")
-        _need(0 < self.fine_max < self.coarse_max, "need 0 < fine_max < coarse_max")
+        for step in (self.fine_step, self.coarse_step):
+            _need(step > 0, f"a bin of width {step} holds nothing")
+        _need(0 < self.fine_max < self.coarse_max, f"coarse bins from {self.fine_max} to {self.coarse_max}: the ends are out of order")
 
     @property
     def fine(self) -> int:
@@ -81,18 +82,32 @@ class Settings:
         return [quantile_name(q) for q in self.quantiles]
 
 
+def _each(kind: type):
+    """A list of values of one kind."""
+    return lambda values: tuple(kind(v) for v in values)
+
+
+#: What a settings file holds: where, as what, and of which kind.
+_KEYS = (
+    ("paths.root", "root", str), ("archive.first_year", "archive_first", int), ("archive.last_year", "archive_last", int),
+    ("reference.first_year", "reference_first", int), ("reference.last_year", "reference_last", int), ("reference.quantiles", "quantiles", _each(float)),
+    ("histogram.fine_max", "fine_max", float), ("histogram.fine_step", "fine_step", float), ("histogram.coarse_max", "coarse_max", float), ("histogram.coarse_step", "coarse_step", float),
+    ("histogram.validation_cells", "validation_cells", int), ("histogram.seed", "seed", int), ("mask.burnable_classes", "burnable", _each(int)), ("mask.vote_threshold", "vote", float),
+)
+
+
 def load(path: str | Path) -> Settings:
-    """Settings from a TOML file: [paths] root, [archive] and [reference] first_year and last_year, [histogram], [mask]."""
+    """Settings from a TOML file with the tables and keys of _KEYS; all that is absent or of another kind is named at once."""
     with open(path, "rb") as f:
-        raw = tomllib.load(f)
-    try:
-        years = {k: Years(int(raw[k]["first_year"]), int(raw[k]["last_year"])) for k in ("archive", "reference")}
-        h, m = raw["histogram"], raw["mask"]
-        return Settings(
-            root=raw["paths"]["root"], quantiles=tuple(float(q) for q in raw["reference"]["quantiles"]),
-            bins=Bins(*(float(h[k]) for k in ("fine_max", "fine_step", "coarse_max", "coarse_step"))),
-            burnable=tuple(int(x) for x in m["burnable_classes"]), vote=float(m["vote_threshold"]),
-            validation_cells=int(h["validation_cells"]), seed=int(h["seed"]), **years,
-        )
-    except KeyError as e:
-        raise ValueError(f"{path}: missing {e}") from None
+        tables = tomllib.load(f)
+    found, wrong = {}, []
+    for place, name, kind in _KEYS:
+        table, key = place.split(".")
+        try:
+            found[name] = kind(tables[table][key])
+        except (KeyError, TypeError, ValueError):
+            wrong.append(place)
+    _need(not wrong, f"{path}: no usable {', '.join(wrong)}")
+    years = {k: Years(found.pop(f"{k}_first"), found.pop(f"{k}_last")) for k in ("archive", "reference")}
+    bins = Bins(**{k: found.pop(k) for k in ("fine_max", "fine_step", "coarse_max", "coarse_step")})
+    return Settings(bins=bins, **years, **found)
