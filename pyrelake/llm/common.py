@@ -37,9 +37,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared checkpoint folder: lost executors do not take it along."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df, computed once and kept in the shared checkpoint folder: lost executors do not take it along.
+
+    What was shuffled on the way is not needed once it is written, and is given back at once.
+    """
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    checkpoint_dir(spark)
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # the setting is read where a DataFrame is made
+    finally:
+        spark.conf.set(key, before)
 
 
 def held_out(doc_id: Column) -> Column:
