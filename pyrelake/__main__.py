@@ -1,4 +1,4 @@
-"""python -m pyrelake SETTINGS.toml thresholds | monthly WORLD YEARS | pack WORLD | verify LISTING.json FOLDER.
+"""python -m pyrelake SETTINGS.toml ingest WORLD FOLDER | mask CLASSES REGIONS | thresholds | monthly WORLD [YEARS] | pack WORLD | verify LISTING.json FOLDER.
 
 Exit 1: refused; 2: no input; 3: a file is not what its listing says.
 """
@@ -6,6 +6,7 @@ Exit 1: refused; 2: no input; 3: a file is not what its listing says.
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.errors import AnalysisException
@@ -16,7 +17,7 @@ from .operators import listing
 from .operators.calendar import Refused
 from .plans import run
 from .session import session
-from .sources.layout import Layout
+from .sources.layout import Layout, stored_text, years_stored
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -25,12 +26,18 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p.add_argument("--allow-missing", action="store_true", help="go on without some years")
     p.add_argument("--allow-short-tail", action="store_true", help="take years that end early")
     sub = p.add_subparsers(dest="command", required=True)
+    ingest, mask = sub.add_parser("ingest"), sub.add_parser("mask")
+    ingest.add_argument("world", choices=WORLDS)
+    ingest.add_argument("folder")
+    ingest.add_argument("--names", help="pattern of file names of another source")
+    mask.add_argument("classes", help="FILE:VARIABLE of vegetation classes")
+    mask.add_argument("regions", help="FILE:VARIABLE of regions, named by attributes class_1 and so on")
     sub.add_parser("thresholds")
     monthly = sub.add_parser("monthly")
     pack = sub.add_parser("pack")
     for s in (monthly, pack):
         s.add_argument("world", choices=WORLDS)
-    monthly.add_argument("years")
+    monthly.add_argument("years", nargs="?", help="all that are stored if left out")
     monthly.add_argument("--regions", default="1-14", help="region ids, as 1-14 or 1,2,5")
     pack.add_argument("--force", action="store_true")
     verify = sub.add_parser("verify")
@@ -40,11 +47,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     try:
         settings = load(args.settings)
         layout, spark = Layout(settings.root), spark or session()
-        if args.command == "thresholds":
+        if args.command == "ingest":
+            print("years:", *run.ingest(spark, layout, args.world, args.folder, args.names))
+        elif args.command == "mask":
+            run.make_masks_of_files(spark, layout, settings, *[tuple(x.rsplit(":", 1)) for x in (args.classes, args.regions)])
+        elif args.command == "thresholds":
             run.make_thresholds(spark, layout, settings, args.allow_missing, args.allow_short_tail).show(truncate=False)
         elif args.command == "monthly":
             ids = sorted({k for part in args.regions.split(",") for a, _, b in [part.partition("-")] for k in range(int(a), int(b or a) + 1)})
-            run.make_monthly(spark, layout, settings, args.world, list(parse_years(args.years)), ids, args.allow_short_tail, args.allow_missing).show()
+            run.make_monthly(spark, layout, settings, args.world, list(parse_years(args.years)) if args.years else years_stored(spark, layout.daily, args.world), ids, args.allow_short_tail, args.allow_missing).show()
         elif args.command == "verify":
             pages = spark.read.text(args.listing, wholetext=True).withColumnRenamed("value", "json")
             found = listing.status(listing.entries(pages, ""), listing.digests(spark, args.folder))
@@ -54,7 +65,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 raise run.NoInput("none of the files is there")
             return 3 if counts.get("corrupt") else 0
         else:
-            print(run.make_bundle(spark, layout, settings, args.world, {}, force=args.force))
+            named = json.loads(stored_text(spark, layout.region_names) or "{}")
+            print(run.make_bundle(spark, layout, settings, args.world, {int(k): v for k, v in named.items()}, force=args.force))
     except run.NoInput as e:
         print(e, file=sys.stderr)
         return 2

@@ -6,15 +6,19 @@ thresholds (pass 1), monthly counts and daily extents (pass 2, a year at a time
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions.grid import COLUMNS, ROWS, STEP
+from ..functions.grid import cells as grid_cells
+from ..functions.names import WORLD_FILES
 from ..operators import calendar, exceedance, histogram, masks, packing
 from ..operators import thresholds as thr
-from ..sources import readers
-from ..sources.layout import Layout, stored_text, write_text, write_thresholds, write_years
+from ..sources import gridded, readers
+from ..sources.layout import Layout, stored_text, write_text, write_thresholds, write_years, years_stored
 
 
 class NoInput(Exception):
@@ -45,6 +49,33 @@ def make_masks(spark: SparkSession, layout: Layout, settings: Settings, nodes: D
     masks.masks(nodes, classes, class_grid, regions, region_grid, settings.burnable, settings.vote).write.mode("overwrite").parquet(layout.masks)
 
 
+def make_masks_of_files(spark: SparkSession, layout: Layout, settings: Settings, classes: tuple[str, str], regions: tuple[str, str]) -> None:
+    """Masks on the canonical grid, and the regions' names, from two gridded files (path, variable)."""
+    spark.dataSource.register(gridded.Layer)
+    (layers, grids) = zip(*[(spark.read.format("gridded_layer").option("variable", name).load(path), gridded.source_grid(path)) for path, name in (classes, regions)], strict=True)
+    coded = layers[1].withColumn("code", F.coalesce(F.col("code").cast("int"), F.lit(0)))
+    make_masks(spark, layout, settings, grid_cells(spark), layers[0], grids[0], coded, grids[1])
+    write_text(spark, json.dumps(gridded.class_names(*regions), sort_keys=True), layout.region_names)
+
+
+def ingest(spark: SparkSession, layout: Layout, world: str, path: str, names: str | None = None) -> list[int]:
+    """Stores the days of a world's yearly gridded files; gives the years. Years that are stored already are replaced.
+
+    Blocks of days are written as they are read, without a shuffle: names is a pattern of file names, the world's own if there is none.
+    """
+    spark.dataSource.register(gridded.Gridded)
+    try:
+        days = spark.read.format("gridded").option("names", names or WORLD_FILES[world]).load(path)
+        made = days.select(F.lit(world).alias("world"), F.year("date").alias("year"), "date", "cell_id", "fwi")
+        found = gridded.files(path, names or WORLD_FILES[world])
+    except FileNotFoundError as e:
+        raise NoInput(f"nothing at {e}") from None
+    if not found:
+        raise NoInput(f"no file of {world} in {path}")
+    made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("world", "year").parquet(layout.daily)
+    return years_stored(spark, layout.daily, world)
+
+
 def make_thresholds(spark: SparkSession, layout: Layout, settings: Settings, allow_missing: bool = False, allow_short_tail: bool = False) -> DataFrame:
     """Pass 1, from the observed world's reference years; gives the coverage."""
     daily = readers.daily(spark, layout.daily, "observed", list(settings.reference.all))

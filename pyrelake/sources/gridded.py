@@ -1,6 +1,7 @@
 """A Spark data source for yearly gridded files in the classic NetCDF format.
 
 spark.dataSource.register(Gridded); spark.read.format("gridded").option("year", 2001).load(folder_or_file)
+Of a folder, files are read whose names the option names (a pattern) finds; all that end in .nc without it.
 
 Rows are (date, cell_id, fwi) on the canonical grid. Files are split into blocks of days, a partition each; a
 block reads its days only, and gives Arrow batches. Paths are folders or files of any file system that pyarrow opens
@@ -26,6 +27,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.grid import COLUMNS, ROWS, STEP
 from ..functions.names import epoch_day
+from ..operators.masks import SourceGrid
 from .readers import LATITUDES, LONGITUDES, TIMES, VARIABLES
 
 #: The format's types, by code.
@@ -200,6 +202,17 @@ def cells(f: Classic) -> np.ndarray:
     return (rows[:, None] * COLUMNS + columns[None, :]).astype(np.int64)
 
 
+def files(path: str, names: str) -> list[str]:
+    """A file itself, or the files of a folder whose names the pattern finds, in order."""
+    system, inner = _system(path)
+    here = system.get_file_info(inner)
+    if here.type == fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    if here.type != fs.FileType.Directory:
+        return [path]
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(x.base_name for x in system.get_file_info(fs.FileSelector(inner))) if re.search(names, n)]
+
+
 class Block(InputPartition):
     def __init__(self, path: str, first: int, last: int):
         self.path, self.first, self.last = path, first, last
@@ -210,14 +223,10 @@ class GriddedReader(DataSourceReader):
         self.path = options["path"]
         self.days, self.variable = int(options.get("days", 73)), options.get("variable")
         self.year = int(options["year"]) if "year" in options else None
+        self.names = options.get("names", r"\.nc$")
 
     def partitions(self) -> list[Block]:
-        system, inner = _system(self.path)
-        here = system.get_file_info(inner)
-        if here.type == fs.FileType.NotFound:
-            raise FileNotFoundError(self.path)
-        names = sorted(x.base_name for x in system.get_file_info(fs.FileSelector(inner))) if here.type == fs.FileType.Directory else [""]
-        paths = [f"{self.path.rstrip('/')}/{n}" if n else self.path for n in names if n.endswith(".nc") or not n]
+        paths = files(self.path, self.names)
         return [Block(p, k, k + self.days) for p in paths for f in [Classic(p)] for k in range(0, f.lengths[dimension(f, "time")], self.days)]
 
     def read(self, block: Block) -> Iterator[pa.RecordBatch]:
@@ -242,3 +251,69 @@ class Gridded(DataSource):
 
     def reader(self, schema) -> GriddedReader:
         return GriddedReader(self.options)
+
+
+class Rows(InputPartition):
+    def __init__(self, first: int, last: int):
+        self.first, self.last = first, last
+
+
+class LayerReader(DataSourceReader):
+    """One variable on latitude and longitude, of a time axis the first place; a partition is a block of latitudes."""
+
+    def __init__(self, options: dict, block: int = 128):
+        self.path, self.variable, self.block = options["path"], options["variable"], block
+
+    def partitions(self) -> list[Rows]:
+        f = Classic(self.path)
+        n = f.lengths[dimension(f, "lat")]
+        return [Rows(k, min(k + self.block, n)) for k in range(0, n, self.block)]
+
+    def read(self, rows: Rows) -> Iterator[pa.RecordBatch]:
+        f = Classic(self.path)
+        name, (lat, lon) = variable(f, self.variable), axes_of(f)
+        axes = [dimension(f, w) for w in ("lat", "lon")]
+        stored = f.read(name) if f.variables[name].dims[0] in axes else f.read(name, 0, 1)
+        order = [f.variables[name].dims.index(d) for d in axes]
+        plane = np.transpose(stored, [k for k in range(stored.ndim) if k not in order] + order).reshape(-1, len(lat), len(lon))[0]
+        up, east = np.argsort(lat), np.argsort(lon)
+        values, missing = decoded(f.variables[name], plane[up[rows.first : rows.last]][:, east])
+        i, j = (x.ravel() for x in np.indices(values.shape))
+        yield pa.RecordBatch.from_arrays([pa.array((i + rows.first).astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(lat[up][i + rows.first]), pa.array(lon[east][j]), pa.array(values.ravel(), mask=missing.ravel())], ["lat_idx", "lon_idx", "lat", "lon", "code"])
+
+
+class Layer(DataSource):
+    """spark.read.format("gridded_layer").option("variable", name).load(file): places count from the south and from the west."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "gridded_layer"
+
+    def schema(self) -> str:
+        return "lat_idx int, lon_idx int, lat double, lon double, code float"
+
+    def reader(self, schema) -> LayerReader:
+        return LayerReader(self.options)
+
+
+def axes_of(f: Classic) -> tuple[np.ndarray, np.ndarray]:
+    """Latitudes and longitudes, these from -180 to below 180."""
+    lat, lon = (f.read(dimension(f, w)).astype(float).ravel() for w in ("lat", "lon"))
+    return lat, (lon + 180) % 360 - 180
+
+
+def source_grid(path: str) -> SourceGrid:
+    """The grid of a layer, by its own axes; unevenly spaced ones are refused."""
+    lat, lon = (np.sort(x) for x in axes_of(Classic(path)))
+    steps = np.concatenate([np.diff(lat), np.diff(lon)])
+    if not len(steps) or np.ptp(steps) > 1e-4 or steps.min() <= 0:
+        raise ValueError(f"{path}: latitudes and longitudes are not evenly spaced")
+    return SourceGrid(lat[0], len(lat), lon[0], len(lon), round(float(steps.mean()), 6))
+
+
+def class_names(path: str, name: str) -> dict[int, str]:
+    """The names of a variable's classes, from its attributes class_0, class_1 and so on."""
+    f = Classic(path)
+    attrs = f.variables[variable(f, name)].attrs
+    texts = {k: v if isinstance(v, str) else bytes(v).decode("utf-8", "replace").rstrip("\0") for k, v in attrs.items()}
+    return {int(m[1]): texts[k] for k in attrs if (m := re.fullmatch(r"class_(\d+)", k))}

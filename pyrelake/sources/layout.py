@@ -18,6 +18,7 @@ class Layout:
 
     daily = property(lambda self: f"{self.root}/daily")
     masks = property(lambda self: f"{self.root}/masks")
+    region_names = property(lambda self: f"{self.root}/region_names")
     monthly = property(lambda self: f"{self.root}/monthly")
     observed = property(lambda self: f"{self.root}/days_observed")
     extent = property(lambda self: f"{self.root}/extent")
