@@ -315,5 +315,5 @@ def class_names(path: str, name: str) -> dict[int, str]:
     """The names of a variable's classes, from its attributes class_0, class_1 and so on."""
     f = Classic(path)
     attrs = f.variables[variable(f, name)].attrs
-    texts = {k: v if isinstance(v, str) else bytes(v).decode("utf-8", "replace").rstrip("\0") for k, v in attrs.items()}
-    return {int(m[1]): texts[k] for k in attrs if (m := re.fullmatch(r"class_(\d+)", k))}
+    text = lambda v: (v if isinstance(v, str) else bytes(v).decode("utf-8", "replace")).rstrip("\0")
+    return {int(m[1]): text(v) for k, v in attrs.items() if (m := re.fullmatch(r"class_(\d+)", k))}
