@@ -1,8 +1,8 @@
 """Embedding near-duplicates by PCA-ordered tiled comparison.
 
-Equal vectors are one class. Classes are ordered into strips by their leading principal coordinate and the
-strips into tiles of bounded size; two tiles meet in a task unless their strips are too far apart for any
-link. There, the leading coordinates' products come first: with the products of the norms of what is left
+Equal vectors are one class. Classes are parted by their leading principal coordinates, at the median of the
+widest one by turns, into leaves, and large leaves into tiles of bounded size; two tiles meet in a task unless
+the boxes that hold their leaves' coordinates are too far apart for any link. There, the leading coordinates' products come first: with the products of the norms of what is left
 they bound every cosine from above, in one matrix product, and pairs that cannot reach the threshold stop.
 What is left gets the next coordinates, then the cosine in double precision. A task gives a row a vector
 that is linked - how many vectors, and the least class it is connected to there - and never lists pairs.
@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,12 @@ from pyspark.sql import functions as F
 from .common import components, cut, matched, table
 
 THRESHOLD = 0.95
-#: Vectors of a tile on average, and of the blocks in which two tiles are compared.
-TILE, BLOCK = 4096, 1024
-STRIPS = 32
-#: Vectors that the axes are fitted on.
-SAMPLE = 4096
+#: Vectors of a tile on average, bytes of a tile's vectors in double precision, and vectors of the blocks in which two tiles are compared.
+TILE, TILE_BYTES, BLOCK = 8192, 64 << 20, 1024
+#: Vectors that the axes and the leaves are fitted on, and the fewest of them that a leaf has.
+SAMPLE, LEAST = 16384, 8
+#: Coordinates that leaves are parted by.
+PARTED = 8
 #: Leading coordinates taken first, and next.
 LEADS = (16, 32)
 #: What rounding may take off a bound in single precision.
@@ -80,6 +82,45 @@ def join_labels(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             labels = labels[labels]
 
 
+def parted(lead: np.ndarray, most: int) -> list[tuple[int, float, int, int]]:
+    """Nodes (axis, cut, left, right) of a tree over the sample's coordinates whose leaves hold at most so many of it; leaves are (-1, 0, number, 0)."""
+    nodes, work, leaves = [None], [(0, lead)], 0
+    while work:
+        at, x = work.pop()
+        axis = int(np.argmax(np.ptp(x, axis=0))) if len(x) else 0
+        cut_at = float(np.median(x[:, axis])) if len(x) else 0.0
+        right = x[:, axis] > cut_at if len(x) else np.empty(0, bool)
+        if len(x) <= max(most, 2 * LEAST) or not right.any():
+            nodes[at] = (-1, 0.0, leaves, 0)
+            leaves += 1
+            continue
+        nodes[at] = (axis, cut_at, len(nodes), len(nodes) + 1)
+        work += [(len(nodes), x[~right]), (len(nodes) + 1, x[right])]
+        nodes += [None, None]
+    return nodes
+
+
+def leaf_of(nodes: list[tuple[int, float, int, int]], lead: np.ndarray) -> np.ndarray:
+    """The leaf of each row of coordinates."""
+    axis, cut_at, left, right = (np.array(c) for c in zip(*nodes, strict=True))
+    at, rows = np.zeros(len(lead), np.int64), np.arange(len(lead))
+    while (inner := axis[at] >= 0).any():
+        go = lead[rows, axis[at]] > cut_at[at]
+        at = np.where(inner, np.where(go, right[at], left[at]), at)
+    return left[at]
+
+
+def meeting(low: np.ndarray, high: np.ndarray, first: np.ndarray, parts: np.ndarray, dim: np.ndarray, reach: float):
+    """A function: leaf -> the tiles of all leaves whose boxes (low, high) lie within reach of its own; a leaf's tiles are first, first + 1 and so on."""
+
+    def near(leaf: int) -> np.ndarray:
+        gap = np.maximum(np.maximum(low - high[leaf], low[leaf] - high), 0)
+        found = np.nonzero((dim == dim[leaf]) & (np.einsum("ij,ij->i", gap, gap) <= reach * reach))[0]
+        return np.concatenate([np.arange(first[k], first[k] + parts[k], dtype=np.int32) for k in found])
+
+    return near
+
+
 def _valid(vector) -> F.Column:
     x = lambda f: lambda v: f(v.cast("double"))
     finite = F.forall(vector, x(lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))))
@@ -125,50 +166,55 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
     keyed = rows.where("ok").select("vec_id", "embedding", F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2"))
     classes = keyed.groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"), F.first("embedding").alias("vec"))
     classes = cut(classes.select("h1", "h2", "node", "n", "vec", F.size("vec").alias("dim"), F.monotonically_increasing_id().alias("cls")))
-    sample: dict[int, list] = {}
     share = min(1.0, 2 * SAMPLE / max(1, classes.count()))  # so that tasks hold back few rows each
     ticket = F.pmod("h2", F.lit(1 << 30))
-    for r in classes.where(ticket < int(share * (1 << 30))).select("dim", "vec").orderBy(ticket, "h1").limit(SAMPLE).collect():
-        sample.setdefault(r.dim, []).append(r.vec)
-    bases = {d: axes(np.array(v)) for d, v in sample.items()}
-    cuts = {d: np.quantile(unit(np.array(v)) @ bases[d][:, 0], np.linspace(0, 1, STRIPS + 1)[1:-1]) for d, v in sample.items()}
-    for r in classes.groupBy("dim").count().collect():
-        if r.dim not in bases:
-            bases[r.dim], cuts[r.dim] = np.eye(r.dim, min(r.dim, max(LEADS))), np.empty(0)
-
-    @F.pandas_udf("int")
-    def strip(vec):
-        return vec.map(lambda v: int(np.searchsorted(cuts[len(v)], float(unit(np.asarray(v)[None]) @ bases[len(v)][:, 0]))))
-
-    placed = cut(classes.select("cls", "n", "dim", "vec", strip("vec").alias("strip")))
-    sizes = {(r.dim, r.strip): r["count"] for r in placed.groupBy("dim", "strip").count().collect()}
-    # strips that are small together are one tile; a large strip is several
-    tiles, of, at = [], {}, 0
-    for d in sorted(bases):
-        held, low = 0, None
-        for s in sorted(s for e, s in sizes if e == d):
-            edge = lambda k, d=d: -1.0 if k < 0 else 1.0 if k >= len(cuts[d]) else float(cuts[d][k])
-            n = sizes[d, s]
-            if held and held + n <= TILE:
-                tiles[-1][3] = edge(s)
-                of[d, s] = (tiles[-1][0], 1)
-                held += n
-            else:
-                parts = max(1, math.ceil(n / TILE))
-                tiles += [[at + k, d, edge(s - 1), edge(s)] for k in range(parts)]
-                of[d, s] = (at, parts)
-                at += parts
-                held = n if parts == 1 else TILE
-    if not tiles:
+    taken = classes.where(ticket < int(share * (1 << 30))).select("dim", "vec", "h1", "h2").orderBy(ticket, "h1").limit(SAMPLE).toArrow()
+    dims, vecs = taken["dim"].to_numpy(), taken["vec"]
+    sample = {int(d): np.concatenate([np.asarray(v.flatten(), np.float64) for v in vecs.filter(pa.array(dims == d)).chunks]).reshape(-1, d) for d in np.unique(dims)}
+    bases = {d: axes(v) for d, v in sample.items()}
+    counts = {r.dim: r["count"] for r in classes.groupBy("dim").count().collect()}
+    trees = {}
+    for d, n in counts.items():
+        tile = max(1, min(TILE, TILE_BYTES // (8 * d)))
+        if d not in bases:
+            bases[d] = np.eye(d, min(d, max(LEADS)))
+        lead = (unit(sample[d]) @ bases[d])[:, :PARTED] if d in sample else np.empty((0, 1))
+        trees[d] = parted(lead, math.ceil(len(lead) * tile / n))
+
+    @F.pandas_udf("leaf int, lead array<double>")
+    def place(vecs: pd.Series) -> pd.DataFrame:
+        leaves, leads = np.zeros(len(vecs), np.int32), [None] * len(vecs)
+        dims = vecs.map(len).to_numpy()
+        for d in np.unique(dims):
+            mine = np.nonzero(dims == d)[0]
+            lead = (unit(np.array(vecs.iloc[mine].tolist())) @ bases[d])[:, :PARTED]
+            leaves[mine] = leaf_of(trees[d], lead)
+            for k, row in zip(mine, lead, strict=True):
+                leads[k] = row
+        return pd.DataFrame({"leaf": leaves, "lead": leads})
+
+    placed = cut(classes.select("cls", "n", "dim", "vec", place("vec").alias("at")).select("cls", "n", "dim", "vec", "at.leaf", "at.lead"))
+    # the boxes that hold what lies in the leaves: rows as the sample bounds them
+    sides = [f(F.get("lead", F.lit(k))).alias(f"{name}{k}") for name, f in (("low", F.min), ("high", F.max)) for k in range(PARTED)]
+    boxes = placed.groupBy("dim", "leaf").agg(F.count("*").alias("size"), *sides).orderBy("dim", "leaf").collect()
+    if not boxes:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.col("vec_id"), F.lit(False)).alias("kept"))
+    low, high = (np.array([[r[f"{name}{k}"] or 0.0 for k in range(PARTED)] for r in boxes]) for name in ("low", "high"))
+    parts = np.array([math.ceil(r["size"] / max(1, min(TILE, TILE_BYTES // (8 * r.dim)))) for r in boxes])
+    first = np.cumsum(parts) - parts
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-    where = spark.createDataFrame([(d, s, a, p) for (d, s), (a, p) in of.items()], "dim int, strip int, at int, parts int")
-    tiled = placed.join(F.broadcast(where), ["dim", "strip"]).select("cls", "n", "dim", "vec", (F.col("at") + F.pmod(F.xxhash64("cls"), "parts").cast("int")).alias("tile"))
-    board = spark.createDataFrame(tiles, "tile int, dim int, low double, high double")
-    a, b = (board.select(F.col("tile").alias(f"tile_{x}"), "dim", F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in "ab")
-    meet = a.join(b, "dim").where("tile_a <= tile_b").where((F.col("low_b") - F.col("high_a") <= reach) & (F.col("low_a") - F.col("high_b") <= reach))
-    seats = meet.select("tile_a", "tile_b", F.explode(F.when(F.col("tile_a") == F.col("tile_b"), F.array(F.struct(F.col("tile_a").alias("tile"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(F.col("tile_a").alias("tile"), F.lit(0).alias("side")), F.struct(F.col("tile_b").alias("tile"), F.lit(1).alias("side"))))).alias("s")).select("tile_a", "tile_b", "s.*")
-    found = cut(tiled.join(seats, "tile").groupBy("tile_a", "tile_b").applyInArrow(_compare(bases, threshold), "cls long, links long, low long"))
+    near = meeting(low, high, first, parts, np.array([r.dim for r in boxes]), reach)
+
+    @F.pandas_udf("array<int>")
+    def others(leaves: pd.Series) -> pd.Series:
+        known = {k: near(k) for k in leaves.unique()}
+        return leaves.map(lambda k: known[k])
+
+    where = spark.createDataFrame([(r.dim, r.leaf, k, int(first[k]), int(parts[k])) for k, r in enumerate(boxes)], "dim int, leaf int, box int, first int, parts int")
+    tiled = placed.join(F.broadcast(where), ["dim", "leaf"]).select("cls", "n", "vec", "dim", "box", (F.col("first") + F.pmod(F.xxhash64("cls"), "parts").cast("int")).alias("tile"))
+    pairs = tiled.select("cls", "n", "vec", "dim", "tile", F.explode(others("box")).alias("other"))
+    seated = pairs.select("cls", "n", "vec", "dim", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), (F.col("tile") > F.col("other")).cast("int").alias("side"))
+    found = cut(seated.groupBy("tile_a", "tile_b").applyInArrow(_compare(bases, threshold), "cls long, links long, low long"))
     linked = found.groupBy("cls").agg(F.sum("links").alias("links"))
     named = components(found.select(F.col("cls").alias("u"), F.col("low").alias("v")))
     named = cut(named.join(classes.select(F.col("cls").alias("node"), F.col("node").alias("id")), "node"))

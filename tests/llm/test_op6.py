@@ -32,7 +32,7 @@ def brute(rows, threshold=0.95):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("d", "tile"), [(64, 4096), (64, 60), (5, 40)])
+@pytest.mark.parametrize(("d", "tile"), [(64, 4096), (64, 60), (5, 40), (2, 9)])
 def test_matches_brute_force(spark, d, tile, monkeypatch):
     monkeypatch.setattr(op6, "TILE", tile)
     monkeypatch.setattr(op6, "BLOCK", 32)
@@ -44,6 +44,20 @@ def test_matches_brute_force(spark, d, tile, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
+def test_leaves_are_parted_and_far_ones_do_not_meet():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.01, (200, 4)) for c in (-0.6, -0.2, 0.2, 0.6)])
+    nodes = op6.parted(x, 60)
+    leaf = op6.leaf_of(nodes, x)
+    n = leaf.max() + 1
+    assert 16 <= n and max(np.bincount(leaf)) <= 60 and sorted(k[2] for k in nodes if k[0] < 0) == list(range(n))
+    low, high = (np.array([f(x[leaf == k], axis=0) for k in range(n)]) for f in (np.min, np.max))
+    near = op6.meeting(low, high, np.arange(n) * 2, np.full(n, 2), np.full(n, 4), 0.1)
+    for k in range(n):
+        distance = np.sqrt(((x[leaf == k][:, None] - x[None]) ** 2).sum(-1)).min(0)
+        assert {2 * v + e for v in set(leaf[distance <= 0.1]) for e in (0, 1)} <= set(near(k)) and len(near(k)) <= n // 2
+
+
 def test_whole_table(spark, sf):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert sorted(map(tuple, op6.op6_embeddings(spark, sf).collect()), key=str) == brute(rows)
