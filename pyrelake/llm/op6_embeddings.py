@@ -1,8 +1,9 @@
 """Embedding near-duplicates by PCA-ordered tiled comparison.
 
 Equal vectors are one class. Classes are parted by their leading principal coordinates, at the median of the
-widest one by turns, into leaves, and large leaves into tiles of bounded size; two tiles meet in a task unless
-the boxes that hold their leaves' coordinates are too far apart for any link. There, the leading coordinates' products come first: with the products of the norms of what is left
+widest one by turns, into small leaves; neighbouring leaves make tiles of bounded size. A vector goes to the
+tiles that hold a leaf near it: the leaf's box, which holds its vectors' coordinates and the norms of what is
+left of them, is not too far from the vector's own for any link. Two tiles meet in a task with those vectors alone. There, the leading coordinates' products come first: with the products of the norms of what is left
 they bound every cosine from above, in one matrix product, and pairs that cannot reach the threshold stop.
 What is left gets the next coordinates, then the cosine in double precision. A task gives a row a vector
 that is linked - how many vectors, and the least class it is connected to there - and never lists pairs.
@@ -12,6 +13,7 @@ The axes come from a bounded sample: any orthonormal axes give the same links, g
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,8 +28,8 @@ THRESHOLD = 0.95
 TILE, TILE_BYTES, BLOCK = 8192, 64 << 20, 1024
 #: Vectors that the axes and the leaves are fitted on, and the fewest of them that a leaf has.
 SAMPLE, LEAST = 16384, 8
-#: Coordinates that leaves are parted by.
-PARTED = 8
+#: Coordinates that leaves are parted by; boxes have one more side, the norm of all other coordinates.
+PARTED = 16
 #: Leading coordinates taken first, and next.
 LEADS = (16, 32)
 #: What rounding may take off a bound in single precision.
@@ -82,15 +84,15 @@ def join_labels(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             labels = labels[labels]
 
 
-def parted(lead: np.ndarray, most: int) -> list[tuple[int, float, int, int]]:
-    """Nodes (axis, cut, left, right) of a tree over the sample's coordinates whose leaves hold at most so many of it; leaves are (-1, 0, number, 0)."""
+def parted(lead: np.ndarray) -> list[tuple[int, float, int, int]]:
+    """Nodes (axis, cut, left, right) of a tree over the sample's coordinates whose leaves hold few of it; leaves are (-1, 0, number, 0)."""
     nodes, work, leaves = [None], [(0, lead)], 0
     while work:
         at, x = work.pop()
         axis = int(np.argmax(np.ptp(x, axis=0))) if len(x) else 0
         cut_at = float(np.median(x[:, axis])) if len(x) else 0.0
         right = x[:, axis] > cut_at if len(x) else np.empty(0, bool)
-        if len(x) <= max(most, 2 * LEAST) or not right.any():
+        if len(x) <= 2 * LEAST or not right.any():
             nodes[at] = (-1, 0.0, leaves, 0)
             leaves += 1
             continue
@@ -110,15 +112,37 @@ def leaf_of(nodes: list[tuple[int, float, int, int]], lead: np.ndarray) -> np.nd
     return left[at]
 
 
-def meeting(low: np.ndarray, high: np.ndarray, first: np.ndarray, parts: np.ndarray, dim: np.ndarray, reach: float):
-    """A function: leaf -> the tiles of all leaves whose boxes (low, high) lie within reach of its own; a leaf's tiles are first, first + 1 and so on."""
+def places(x: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """The coordinates of unit vectors that leaves are parted by, and behind them the norm of all others: no farther apart than the vectors are."""
+    lead = (x @ basis)[:, :PARTED]
+    return np.column_stack([lead, np.sqrt(np.maximum(1 - np.einsum("ij,ij->i", lead, lead), 0))])
 
-    def near(leaf: int) -> np.ndarray:
-        gap = np.maximum(np.maximum(low - high[leaf], low[leaf] - high), 0)
-        found = np.nonzero((dim == dim[leaf]) & (np.einsum("ij,ij->i", gap, gap) <= reach * reach))[0]
-        return np.concatenate([np.arange(first[k], first[k] + parts[k], dtype=np.int32) for k in found])
 
-    return near
+def near_tiles(at: np.ndarray, low: np.ndarray, high: np.ndarray, first: np.ndarray, parts: np.ndarray, reach: float) -> list[np.ndarray]:
+    """For each row of places, the tiles of all leaves whose boxes (low, high) lie within reach of it; a leaf's tiles are first, first + 1 and so on, as many as parts."""
+    at, low, high = (np.ascontiguousarray(x.T, np.float32) for x in (at, low, high))
+    far = np.zeros((at.shape[1], low.shape[1]), np.float32)
+    for x, a, b in zip(at, low, high, strict=True):
+        gap = x[:, None] - np.clip(x[:, None], a, b)
+        far += np.multiply(gap, gap, out=gap)
+    shared, start = np.unique(first, return_index=True)  # leaves that share a tile are next to each other
+    hit = np.logical_or.reduceat(far <= reach * reach + SLACK, start, axis=1)
+    hit, tiles = np.repeat(hit, parts[start], axis=1), np.concatenate([np.arange(f, f + p, dtype=np.int32) for f, p in zip(shared, parts[start], strict=True)])
+    return [tiles[row] for row in hit]
+
+
+def tiles_of(sizes: list[int], dims: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(first tile, number of tiles) of each leaf: leaves next to each other share a tile, a large one is dealt over several."""
+    first, parts, at, held = [], [], -1, 0
+    for k, (n, d) in enumerate(zip(sizes, dims, strict=True)):
+        most = max(1, min(TILE, TILE_BYTES // (8 * d)))
+        need = math.ceil(n / most)
+        if not k or d != dims[k - 1] or held + n > most:
+            at, held = at + 1, 0
+        first.append(at)
+        parts.append(need)
+        at, held = at + need - 1, held + n if need == 1 else most
+    return np.array(first), np.array(parts)
 
 
 def _valid(vector) -> F.Column:
@@ -138,7 +162,7 @@ def _compare(bases: dict[int, np.ndarray], threshold: float):
         cls, n = rows["cls"].to_numpy()[order], rows["n"].to_numpy()[order]
         leads = _leads(x, bases[d])
         links, labels = np.zeros(len(x), np.int64), np.arange(len(x))
-        own = first == len(x)
+        own = key[0].as_py() == key[1].as_py()
         for a in range(0, first, BLOCK):
             for b in range(a if own else first, len(x), BLOCK):
                 s, t = slice(a, min(a + BLOCK, first)), slice(b, b + BLOCK)
@@ -172,14 +196,11 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
     dims, vecs = taken["dim"].to_numpy(), taken["vec"]
     sample = {int(d): np.concatenate([np.asarray(v.flatten(), np.float64) for v in vecs.filter(pa.array(dims == d)).chunks]).reshape(-1, d) for d in np.unique(dims)}
     bases = {d: axes(v) for d, v in sample.items()}
-    counts = {r.dim: r["count"] for r in classes.groupBy("dim").count().collect()}
     trees = {}
-    for d, n in counts.items():
-        tile = max(1, min(TILE, TILE_BYTES // (8 * d)))
+    for d in [r.dim for r in classes.select("dim").distinct().collect()]:
         if d not in bases:
             bases[d] = np.eye(d, min(d, max(LEADS)))
-        lead = (unit(sample[d]) @ bases[d])[:, :PARTED] if d in sample else np.empty((0, 1))
-        trees[d] = parted(lead, math.ceil(len(lead) * tile / n))
+        trees[d] = parted(places(unit(sample[d]), bases[d])[:, :-1] if d in sample else np.empty((0, 1)))
 
     @F.pandas_udf("leaf int, lead array<double>")
     def place(vecs: pd.Series) -> pd.DataFrame:
@@ -187,32 +208,39 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
         dims = vecs.map(len).to_numpy()
         for d in np.unique(dims):
             mine = np.nonzero(dims == d)[0]
-            lead = (unit(np.array(vecs.iloc[mine].tolist())) @ bases[d])[:, :PARTED]
-            leaves[mine] = leaf_of(trees[d], lead)
-            for k, row in zip(mine, lead, strict=True):
+            at = places(unit(np.array(vecs.iloc[mine].tolist())), bases[d])
+            leaves[mine] = leaf_of(trees[d], at)
+            for k, row in zip(mine, at, strict=True):
                 leads[k] = row
         return pd.DataFrame({"leaf": leaves, "lead": leads})
 
     placed = cut(classes.select("cls", "n", "dim", "vec", place("vec").alias("at")).select("cls", "n", "dim", "vec", "at.leaf", "at.lead"))
     # the boxes that hold what lies in the leaves: rows as the sample bounds them
-    sides = [f(F.get("lead", F.lit(k))).alias(f"{name}{k}") for name, f in (("low", F.min), ("high", F.max)) for k in range(PARTED)]
+    sides = [f(F.get("lead", F.lit(k))).alias(f"{name}{k}") for name, f in (("low", F.min), ("high", F.max)) for k in range(PARTED + 1)]
     boxes = placed.groupBy("dim", "leaf").agg(F.count("*").alias("size"), *sides).orderBy("dim", "leaf").collect()
     if not boxes:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.col("vec_id"), F.lit(False)).alias("kept"))
-    low, high = (np.array([[r[f"{name}{k}"] or 0.0 for k in range(PARTED)] for r in boxes]) for name in ("low", "high"))
-    parts = np.array([math.ceil(r["size"] / max(1, min(TILE, TILE_BYTES // (8 * r.dim)))) for r in boxes])
-    first = np.cumsum(parts) - parts
+    low, high = (np.array([[r[f"{name}{k}"] or 0.0 for k in range(PARTED + 1)] for r in boxes]) for name in ("low", "high"))
+    first, parts = tiles_of([r["size"] for r in boxes], [r.dim for r in boxes])
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
-    near = meeting(low, high, first, parts, np.array([r.dim for r in boxes]), reach)
+    dims = np.array([r.dim for r in boxes])
 
     @F.pandas_udf("array<int>")
-    def others(leaves: pd.Series) -> pd.Series:
-        known = {k: near(k) for k in leaves.unique()}
-        return leaves.map(lambda k: known[k])
-
-    where = spark.createDataFrame([(r.dim, r.leaf, k, int(first[k]), int(parts[k])) for k, r in enumerate(boxes)], "dim int, leaf int, box int, first int, parts int")
-    tiled = placed.join(F.broadcast(where), ["dim", "leaf"]).select("cls", "n", "vec", "dim", "box", (F.col("first") + F.pmod(F.xxhash64("cls"), "parts").cast("int")).alias("tile"))
-    pairs = tiled.select("cls", "n", "vec", "dim", "tile", F.explode(others("box")).alias("other"))
+    def others(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for dim, leads in batches:
+            out = [None] * len(dim)
+            for d in dim.unique():
+                mine, of = np.nonzero((dim == d).to_numpy())[0], dims == d
+                for some in np.array_split(mine, math.ceil(len(mine) / 256)):
+                    at = np.array(leads.iloc[some].tolist())
+                    sides = at.shape[1]  # as many as a short vector has
+                    for k, tiles in zip(some, near_tiles(at, low[of, :sides], high[of, :sides], first[of], parts[of], reach), strict=True):
+                        out[k] = tiles
+            yield pd.Series(out, dtype=object)
+
+    where = spark.createDataFrame([(r.dim, r.leaf, int(first[k]), int(parts[k])) for k, r in enumerate(boxes)], "dim int, leaf int, first int, parts int")
+    tiled = placed.join(F.broadcast(where), ["dim", "leaf"]).select("cls", "n", "vec", "dim", "lead", (F.col("first") + F.pmod(F.xxhash64("cls"), "parts").cast("int")).alias("tile"))
+    pairs = tiled.select("cls", "n", "vec", "dim", "tile", F.explode(others("dim", "lead")).alias("other"))
     seated = pairs.select("cls", "n", "vec", "dim", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), (F.col("tile") > F.col("other")).cast("int").alias("side"))
     found = cut(seated.groupBy("tile_a", "tile_b").applyInArrow(_compare(bases, threshold), "cls long, links long, low long"))
     linked = found.groupBy("cls").agg(F.sum("links").alias("links"))

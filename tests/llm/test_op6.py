@@ -47,15 +47,21 @@ def test_matches_brute_force(spark, d, tile, monkeypatch):
 def test_leaves_are_parted_and_far_ones_do_not_meet():
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(c, 0.01, (200, 4)) for c in (-0.6, -0.2, 0.2, 0.6)])
-    nodes = op6.parted(x, 60)
+    nodes = op6.parted(x)
     leaf = op6.leaf_of(nodes, x)
     n = leaf.max() + 1
-    assert 16 <= n and max(np.bincount(leaf)) <= 60 and sorted(k[2] for k in nodes if k[0] < 0) == list(range(n))
+    assert 50 <= n and max(np.bincount(leaf)) <= 16 and sorted(k[2] for k in nodes if k[0] < 0) == list(range(n))
     low, high = (np.array([f(x[leaf == k], axis=0) for k in range(n)]) for f in (np.min, np.max))
-    near = op6.meeting(low, high, np.arange(n) * 2, np.full(n, 2), np.full(n, 4), 0.1)
-    for k in range(n):
-        distance = np.sqrt(((x[leaf == k][:, None] - x[None]) ** 2).sum(-1)).min(0)
-        assert {2 * v + e for v in set(leaf[distance <= 0.1]) for e in (0, 1)} <= set(near(k)) and len(near(k)) <= n // 2
+    near = op6.near_tiles(x, low, high, np.arange(n) * 2, np.full(n, 2), 0.1)
+    for k in range(0, len(x), 7):
+        close = set(leaf[np.sqrt(((x - x[k]) ** 2).sum(1)) <= 0.1])
+        assert {2 * v + e for v in close for e in (0, 1)} <= set(near[k]) and len(near[k]) <= n // 2
+
+
+def test_tiles(monkeypatch):
+    monkeypatch.setattr(op6, "TILE", 10)
+    first, parts = op6.tiles_of([3, 4, 4, 25, 2, 9, 1, 1], [8, 8, 8, 8, 8, 8, 8, 9])
+    assert first.tolist() == [0, 0, 1, 2, 5, 6, 6, 7] and parts.tolist() == [1, 1, 1, 3, 1, 1, 1, 1]
 
 
 def test_whole_table(spark, sf):
