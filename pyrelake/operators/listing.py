@@ -37,10 +37,10 @@ def of_years(files: DataFrame, years: list[int]) -> DataFrame:
 
 
 def status(files: DataFrame, local: DataFrame) -> DataFrame:
-    """(path, status) against local (path, size, sha256): missing, partial, corrupt or complete; a NULL digest is not compared."""
+    """(path, status) against local (path, size, sha256): missing, partial, verified or corrupt by digest, complete-unverified where either digest is NULL."""
     here = local.select("path", F.col("size").alias("own_size"), F.col("sha256").alias("own_sha256"))
-    wrong = F.col("sha256").isNotNull() & F.col("own_sha256").isNotNull() & (F.col("sha256") != F.col("own_sha256"))
-    what = F.when(F.col("own_size").isNull(), "missing").when(F.col("own_size") < F.col("size"), "partial").when((F.col("own_size") > F.col("size")) | wrong, "corrupt").otherwise("complete")
+    same = F.col("sha256") == F.col("own_sha256")
+    what = F.when(F.col("own_size").isNull(), "missing").when(F.col("own_size") < F.col("size"), "partial").when(same, "verified").when(~same, "corrupt").otherwise("complete-unverified")
     return files.join(here, "path", "left").select("path", what.alias("status"))
 
 

@@ -72,7 +72,7 @@ _VALUES = ["global", "coverage", *(f"region_{k}{x}" for k in range(1, 6) for x i
 _FILES = [("README.md", 10, "aa"), ("fwi_era5_1979.nc", 100, "bb"), ("fwi_era5_1995.nc", 100, "cc"), ("fwi_era5_counter_1995.nc", 100, "dd"), ("fwi_era5_2024.nc", 100, "ee"), ("fwi_era5_counter_2024.nc", 100, "ff")]
 LISTING = "files AS (SELECT *, CASE WHEN path LIKE 'fwi_era5_counter%' THEN 'counterfactual' WHEN path LIKE 'fwi_era5%' THEN 'observed' END AS world, CAST(nullif(regexp_extract(path, '(19|20)[0-9]{2}'), '') AS BIGINT) AS year FROM (VALUES " + ", ".join(f"('{p}', CAST({s} AS BIGINT), '{h}')" for p, s, h in _FILES) + ") AS t(path, size, sha256))"
 STATUS = """loc AS (SELECT * FROM (VALUES ('README.md', 10, 'aa'), ('fwi_era5_1979.nc', 60, 'bb'), ('fwi_era5_1995.nc', 100, 'cc'), ('fwi_era5_counter_1995.nc', 100, '00'), ('fwi_era5_2024.nc', 130, NULL)) AS t(path, size, sha256)),
-  st AS (SELECT f.path, CASE WHEN l.size IS NULL THEN 'missing' WHEN l.size < f.size THEN 'partial' WHEN l.size > f.size OR l.sha256 <> f.sha256 THEN 'corrupt' ELSE 'complete' END AS status FROM files f LEFT JOIN loc l USING (path))"""
+  st AS (SELECT f.path, CASE WHEN l.size IS NULL THEN 'missing' WHEN l.size < f.size THEN 'partial' WHEN l.sha256 = f.sha256 THEN 'verified' WHEN l.sha256 <> f.sha256 THEN 'corrupt' ELSE 'complete-unverified' END AS status FROM files f LEFT JOIN loc l USING (path))"""
 _FR = "round(fraction, 6) AS fraction, round(fraction_observed, 6) AS fraction_observed, round(coverage, 6) AS coverage"
 _SIDE = "round(max(v) FILTER (world = 'observed'), {d}) AS observed, round(max(v) FILTER (world = 'counterfactual'), {d}) AS counterfactual, round(max(v) FILTER (world = 'observed') - max(v) FILTER (world = 'counterfactual'), {d}) AS gap"
 _SYNC = "sync AS (SELECT world, threshold, region, year(date) AS year, count(*) FILTER (round(fraction, 9) >= 0.05) AS days FROM regs GROUP BY ALL)"

@@ -26,7 +26,7 @@ def once_a_day(stream: DataFrame, lateness: str = "3 days") -> DataFrame:
     return stream.withColumn("event_time", F.col("date").cast("timestamp")).withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["world", "cell_id", "date"])
 
 
-def monthly_windows(stream: DataFrame, lateness: str = "3 days") -> DataFrame:
+def closed_days(stream: DataFrame, lateness: str = "3 days") -> DataFrame:
     """(world, date, n) of each day, given out once the watermark has passed it: for append mode."""
     timed = stream.withColumn("event_time", F.col("date").cast("timestamp")).withWatermark("event_time", lateness)
     days = timed.groupBy("world", F.window("event_time", "1 day")).agg(F.count("fwi").alias("n"))

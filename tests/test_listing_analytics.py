@@ -31,3 +31,9 @@ def test_files_are_digested_and_ordered(spark, tmp_path):
     wanted = spark.createDataFrame([(2000,), (2001,)], "year int")
     present = spark.createDataFrame([("x_2000.nc",)], "path string")
     assert [x.year for x in listing.missing_files(wanted, present).collect()] == [2001]
+
+
+def test_states_of_files(spark):
+    files = spark.createDataFrame([(p, 10, d) for p, d in (("a", "x"), ("b", "x"), ("c", "x"), ("d", "x"), ("e", None), ("f", "x"))], "path string, size long, sha256 string")
+    local = spark.createDataFrame([("b", 9, "x"), ("c", 10, "x"), ("d", 10, "y"), ("e", 10, "y"), ("f", 11, None)], "path string, size long, sha256 string")
+    assert {r.path: r.status for r in listing.status(files, local).collect()} == {"a": "missing", "b": "partial", "c": "verified", "d": "corrupt", "e": "complete-unverified", "f": "complete-unverified"}

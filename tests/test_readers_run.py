@@ -79,7 +79,7 @@ def test_verify(spark, root, tmp_path, capsys):
     files = [{"path": p, "size": 3, "digestType": "sha-256", "digest": hashlib.sha256(b"abc").hexdigest().upper()} for p in ("a.nc", "b.nc")]
     (tmp_path / "list.json").write_text(json.dumps({"_embedded": {"stash:files": files}}, indent=1))
     args = [str(root / "s.toml"), "verify", str(tmp_path / "list.json"), str(folder)]
-    assert main(args, spark) == 0 and capsys.readouterr().out.strip() == "complete: 1, missing: 1"
+    assert main(args, spark) == 0 and capsys.readouterr().out.strip() == "missing: 1, verified: 1"
     (folder / "b.nc").write_bytes(b"abd")
     assert main(args, spark) == 3
     (folder / "a.nc").unlink()

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyrelake.config import Bins
 from pyrelake.operators.histogram import histogram
-from pyrelake.streaming.histogram import monthly_windows, once_a_day, running_histogram, running_monthly, to_table
+from pyrelake.streaming.histogram import closed_days, once_a_day, running_histogram, running_monthly, to_table
 
 SCHEMA = "world string, date date, cell_id long, fwi float"
 
@@ -30,7 +30,7 @@ def test_a_stream_counts_what_a_batch_counts(spark, tmp_path):
 
 def test_days_close_behind_the_watermark(spark, tmp_path):
     _, stream = files(spark, tmp_path / "in", 1)
-    done(to_table(monthly_windows(stream), "closed", str(tmp_path / "c"), "append"))
+    done(to_table(closed_days(stream), "closed", str(tmp_path / "c"), "append"))
     got = {r.date: r.n for r in spark.table("closed").collect()}
     assert got and max(got) < dt.date(2021, 3, 31) and set(got.values()) == {1}
 
