@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import op6_embeddings as op6
 from . import op9_line_dedup as op9
+from . import op13_hard_negatives as op13
 from .op1_quality import op1_quality
 from .op2_token_files import op2_token_files
 from .op3_pii import op3_pii
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9.op9_line_dedup,
     "op10_language": op10_language,
+    "op13_hard_negatives": op13.op13_hard_negatives,
 }
-ORACLE_SQL = {"op6_embeddings": op6.ORACLE_SQL, "op9_line_dedup": op9.ORACLE_SQL}
+ORACLE_SQL = {"op6_embeddings": op6.ORACLE_SQL, "op9_line_dedup": op9.ORACLE_SQL, "op13_hard_negatives": op13.ORACLE_SQL}
