@@ -13,6 +13,7 @@ from .op5_simhash import op5_simhash
 from .op7_decontamination import op7_decontamination
 from .op8_token_counts import op8_token_counts
 from .op10_language import op10_language
+from .op12_spelling import op12_spelling
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9.op9_line_dedup,
     "op10_language": op10_language,
+    "op12_spelling": op12_spelling,
     "op13_hard_negatives": op13.op13_hard_negatives,
 }
 ORACLE_SQL = {"op6_embeddings": op6.ORACLE_SQL, "op9_line_dedup": op9.ORACLE_SQL, "op13_hard_negatives": op13.ORACLE_SQL}
