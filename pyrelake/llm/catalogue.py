@@ -13,6 +13,7 @@ from .op5_simhash import op5_simhash
 from .op7_decontamination import op7_decontamination
 from .op8_token_counts import op8_token_counts
 from .op10_language import op10_language
+from .op11_toxicity import op11_toxicity
 from .op12_spelling import op12_spelling
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9.op9_line_dedup,
     "op10_language": op10_language,
+    "op11_toxicity": op11_toxicity,
     "op12_spelling": op12_spelling,
     "op13_hard_negatives": op13.op13_hard_negatives,
 }
