@@ -61,17 +61,18 @@ def make_masks_of_files(spark: SparkSession, layout: Layout, settings: Settings,
 def ingest(spark: SparkSession, layout: Layout, world: str, path: str, names: str | None = None) -> list[int]:
     """Stores the days of a world's yearly gridded files; gives the years. Years that are stored already are replaced.
 
+    A file with days of another year than its name's is refused before anything is written: it would replace that other year.
     Blocks of days are written as they are read, without a shuffle: names is a pattern of file names, the world's own if there is none.
     """
-    spark.dataSource.register(gridded.Gridded)
     try:
-        days = spark.read.format("gridded").option("names", names or WORLD_FILES[world]).load(path)
+        days = gridded.load(spark, path, names=names or WORLD_FILES[world])
         made = days.select(F.lit(world).alias("world"), F.year("date").alias("year"), "date", "cell_id", "fwi")
         found = gridded.files(path, names or WORLD_FILES[world])
     except FileNotFoundError as e:
         raise NoInput(f"nothing at {e}") from None
     if not found:
         raise NoInput(f"no file of {world} in {path}")
+    gridded.check_years(found)
     made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("world", "year").parquet(layout.daily)
     return years_stored(spark, layout.daily, world)
 

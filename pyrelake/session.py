@@ -14,6 +14,8 @@ def session(name: str = "pyrelake", master: str | None = None, **conf: str) -> S
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # ranges of days and cells reach the gridded files
+        "spark.sql.python.filterPushdown.enabled": "true",
         # a year's partition is replaced as a whole when it is run again
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     } | {k.replace("_", "."): v for k, v in conf.items()}

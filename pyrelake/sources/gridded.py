@@ -1,14 +1,17 @@
-"""A Spark data source for yearly gridded files in the classic NetCDF format.
+"""A Spark data source for yearly gridded files in the classic and in the HDF5-based NetCDF format.
 
 spark.dataSource.register(Gridded); spark.read.format("gridded").option("year", 2001).load(folder_or_file)
 Of a folder, files are read whose names the option names (a pattern) finds; all that end in .nc without it.
 
-Rows are (date, cell_id, fwi) on the canonical grid. Files are split into blocks of days, a partition each; a
-block reads its days only, and gives Arrow batches. Paths are folders or files of any file system that pyarrow opens
+Rows are (date, cell_id, fwi) on the canonical grid. Files are split into blocks of days (the option days, 73), a partition
+each; a block opens its file once, reads its days only, and gives Arrow batches. Blocks of chunked files begin and end
+with chunks, so that no chunk is inflated twice; where a chunk has more days than a block, blocks part its rows. With the option push, and
+a session that gives filters to Python sources (spark.sql.python.filterPushdown.enabled), ranges of date and cell_id leave
+out blocks before any task starts, and chunks within blocks; Spark applies the filters again. load() sets the option.
+Paths are folders or files of any file system that pyarrow opens
 by URI, which executors must reach. Fill values are missing, packed numbers are scaled. Axes may have any usual name, order and origin. Days come
 from the time axis' units, from a companion variable of day offsets, or from bare numbers 1 to 366 and the year
-in the file's name. Files of the later, HDF5-based format need a reader that is not part of this package:
-convert them to the classic format, or store them as Parquet by world and year.
+in the file's name.
 """
 
 from __future__ import annotations
@@ -17,17 +20,21 @@ import datetime as dt
 import os
 import re
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from ..functions.grid import COLUMNS, ROWS, STEP
 from ..functions.names import epoch_day
+from ..operators.calendar import Refused
 from ..operators.masks import SourceGrid
+from .hdf5 import SIGNATURE, Hdf5
 from .readers import LATITUDES, LONGITUDES, TIMES, VARIABLES
 
 #: The format's types, by code.
@@ -45,6 +52,7 @@ class Variable:
     begin: int
     record: bool
     step: int  # bytes between records
+    chunk: list[int] | None = None
 
 
 def _system(path: str):
@@ -60,20 +68,19 @@ def opened(path: str):
 class Classic:
     """The header of a classic file (versions 1, 2 and 5), and slices of its variables along the first dimension."""
 
-    def __init__(self, path: str):
-        self.path = path
-        with opened(path) as f:
-            self.raw = f.read(1 << 16)
-            while True:
-                try:
-                    self.at = 0
-                    self._header()
-                    break
-                except (struct.error, IndexError):
-                    more = f.read(len(self.raw))
-                    if not more:
-                        raise ValueError(f"{path}: not a classic NetCDF file") from None
-                    self.raw += more
+    def __init__(self, path: str, file=None):
+        self.path, self.file = path, file or opened(path)
+        self.raw = self.file.read_at(1 << 16, 0)
+        while True:
+            try:
+                self.at = 0
+                self._header()
+                break
+            except (struct.error, IndexError):
+                more = self.file.read_at(len(self.raw), len(self.raw))
+                if not more:
+                    raise ValueError(f"{path}: not a classic NetCDF file") from None
+                self.raw += more
 
     def _take(self, kind: str) -> int:
         out = struct.unpack_from(f">{kind}", self.raw, self.at)[0]
@@ -127,33 +134,42 @@ class Classic:
             v.step = (inner if len(records_size) == 1 else sum(records_size)) if v.record else inner
             self.variables[name] = v
 
-    def read(self, name: str, first: int = 0, last: int | None = None) -> np.ndarray:
+    def read(self, name: str, first: int = 0, last: int | None = None, rows: tuple[int, int] | None = None) -> np.ndarray:
+        """A variable's places first to last, and rows of its second dimension."""
         v = self.variables[name]
         shape = [self.lengths[d] for d in v.dims]
         if not shape:
             shape, last = [1], 1
         last = shape[0] if last is None else min(last, shape[0])
         inner = int(np.prod(shape[1:], dtype=np.int64))
-        parts = []
-        with opened(self.path) as f:
-            if v.step == inner * v.dtype.itemsize:  # the days lie one after another
-                f.seek(v.begin + first * v.step)
-                parts.append(f.read((last - first) * v.step))
-            else:
-                for k in range(first, last):
-                    f.seek(v.begin + k * v.step)
-                    parts.append(f.read(inner * v.dtype.itemsize))
+        if rows and len(shape) > 1:
+            row, low, high = inner // max(1, shape[1]) * v.dtype.itemsize, rows[0], min(rows[1], shape[1])
+            parts = [self.file.read_at((high - low) * row, v.begin + k * v.step + low * row) for k in range(first, last)]
+            shape[1] = high - low
+        elif v.step == inner * v.dtype.itemsize:  # the days lie one after another
+            parts = [self.file.read_at((last - first) * v.step, v.begin + first * v.step)]
+        else:
+            parts = [self.file.read_at(inner * v.dtype.itemsize, v.begin + k * v.step) for k in range(first, last)]
         return np.frombuffer(b"".join(parts), v.dtype).reshape(last - first, *shape[1:])
 
 
-def dimension(f: Classic, what: str) -> str:
+GridFile = Classic | Hdf5
+
+
+def grid_file(path: str) -> GridFile:
+    """A file of either format, by its first bytes."""
+    file = opened(path)
+    return Hdf5(path, file) if file.read_at(8, 0) == SIGNATURE else Classic(path, file)
+
+
+def dimension(f: GridFile, what: str) -> str:
     for n in f.lengths:
         if n.lower() in _NAMES[what]:
             return n
     raise ValueError(f"{f.path}: no {what} among {list(f.lengths)}")
 
 
-def variable(f: Classic, wanted: str | None = None) -> str:
+def variable(f: GridFile, wanted: str | None = None) -> str:
     """The wanted or a known name, in any case; the one other variable on three dimensions only if asked for with '*'."""
     names = [wanted] if wanted and wanted != "*" else VARIABLES
     for n in names:
@@ -168,7 +184,7 @@ def variable(f: Classic, wanted: str | None = None) -> str:
 
 def decoded(v: Variable, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(values, missing) of stored numbers: fills are missing, then scale_factor and add_offset are applied."""
-    fills = [x for key in ("_FillValue", "missing_value") if key in v.attrs for x in np.atleast_1d(v.attrs[key])] or [_FILLS.get(v.dtype.str, np.nan)]
+    fills = [x for key in ("_FillValue", "missing_value") if key in v.attrs for x in np.atleast_1d(v.attrs[key])] or [_FILLS.get(v.dtype.newbyteorder(">").str, np.nan)]
     missing = np.isin(raw, np.asarray(fills, raw.dtype))
     scale, offset = (float(np.atleast_1d(v.attrs.get(key, default))[0]) for key, default in (("scale_factor", 1.0), ("add_offset", 0.0)))
     values = raw.astype(np.float64) * scale + offset if (scale, offset) != (1.0, 0.0) else raw
@@ -176,7 +192,7 @@ def decoded(v: Variable, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values, missing | ~np.isfinite(values) | (values < 0)
 
 
-def dates(f: Classic, year: int | None) -> list[dt.date]:
+def dates(f: GridFile, year: int | None) -> list[dt.date]:
     """The day of each slab; days that do not follow each other are refused only where nothing but a count tells them."""
     time = dimension(f, "time")
     axes = [v for v in ([time] if time in f.variables else [])] + [n for n, v in f.variables.items() if v.dims == [time] and n != time]
@@ -184,15 +200,14 @@ def dates(f: Classic, year: int | None) -> list[dt.date]:
         start = epoch_day(str(f.variables[n].attrs.get("units", "")))
         if start:
             return [start + dt.timedelta(int(x)) for x in np.rint(f.read(n).astype(float))]
-    m = re.search(r"(?:19|20)\d{2}", os.path.basename(f.path))
-    year = year or (int(m[0]) if m else None)
+    year = year or named_year(f.path)
     numbers = f.read(time).astype(float) if time in f.variables else np.arange(1, f.lengths[time] + 1)
     if year is None or len(numbers) > 366 or not (np.diff(numbers) == 1).all() or numbers[0] < 1 or numbers[-1] > 366:
         raise ValueError(f"{f.path}: its time axis does not say which days it has")
     return [dt.date(year, 1, 1) + dt.timedelta(int(x) - 1) for x in numbers]
 
 
-def cells(f: Classic) -> np.ndarray:
+def cells(f: GridFile) -> np.ndarray:
     """The canonical cell of each (latitude, longitude) place; another resolution, or a part of the globe, is refused."""
     lat, lon = (f.read(dimension(f, w)).astype(float).ravel() for w in ("lat", "lon"))
     rows, columns = np.rint((90 - lat) / STEP), np.rint((((lon + 180) % 360) - 180 + 180) / STEP) % COLUMNS
@@ -213,9 +228,62 @@ def files(path: str, names: str) -> list[str]:
     return [f"{path.rstrip('/')}/{n}" for n in sorted(x.base_name for x in system.get_file_info(fs.FileSelector(inner))) if re.search(names, n)]
 
 
+def named_year(path: str) -> int | None:
+    """The year in a file's name."""
+    m = re.search(r"(?:19|20)\d{2}", os.path.basename(path))
+    return int(m[0]) if m else None
+
+
+def check_years(paths: list[str]) -> None:
+    """Refuses files with days of another year than their name's, and two files of one year: headers and time axes are read, no data."""
+    by_year = defaultdict(list)
+    for path in paths:
+        year = named_year(path)
+        found = sorted({d.year for d in dates(grid_file(path), None)})
+        if year is not None and found != [year]:
+            raise Refused(f"{path}: days of {', '.join(map(str, found)) or 'no year'}, not of {year}")
+        for y in found:
+            by_year[y].append(path)
+    for y, own in by_year.items():
+        if len(own) > 1:
+            raise Refused(f"{y} comes in more than one file: {', '.join(own)}")
+
+
 class Block(InputPartition):
-    def __init__(self, path: str, first: int, last: int):
-        self.path, self.first, self.last = path, first, last
+    def __init__(self, path: str, first: int, last: int, rows: tuple[int, int] | None = None):
+        self.path, self.first, self.last, self.rows = path, first, last, rows
+
+
+def _ranges(filters: list[Filter]) -> dict[str, tuple]:
+    """The least and greatest value that filters leave of date and cell_id; None where there is no bound."""
+    out = {"date": (None, None), "cell_id": (None, None)}
+    one = {"date": dt.timedelta(1), "cell_id": 1}
+    for f in filters:
+        name = getattr(f, "attribute", (None,))[0]
+        if name not in out:
+            continue
+        low, high = out[name]
+        a = b = None
+        if isinstance(f, EqualTo):
+            a = b = f.value
+        elif isinstance(f, In):
+            values = [v for v in f.value if v is not None]
+            a, b = (min(values), max(values)) if values else (None, None)
+        elif isinstance(f, GreaterThan):
+            a = f.value + one[name]
+        elif isinstance(f, GreaterThanOrEqual):
+            a = f.value
+        elif isinstance(f, LessThan):
+            b = f.value - one[name]
+        elif isinstance(f, LessThanOrEqual):
+            b = f.value
+        out[name] = (a if low is None else low if a is None else max(low, a), b if high is None else high if b is None else min(high, b))
+    return out
+
+
+def _meets(bounds: tuple, low, high) -> bool:
+    """Whether something from low to high is within bounds."""
+    return (bounds[0] is None or high >= bounds[0]) and (bounds[1] is None or low <= bounds[1])
 
 
 class GriddedReader(DataSourceReader):
@@ -224,21 +292,59 @@ class GriddedReader(DataSourceReader):
         self.days, self.variable = int(options.get("days", 73)), options.get("variable")
         self.year = int(options["year"]) if "year" in options else None
         self.names = options.get("names", r"\.nc$")
+        self.ranges = _ranges([])
+
+    def _cube(self, f: GridFile) -> tuple[str, np.ndarray, int, int]:
+        """The variable, the cells of its two last dimensions, and the days and rows that are read together."""
+        name = variable(f, self.variable)
+        v = f.variables[name]
+        order = [v.dims.index(dimension(f, w)) for w in ("time", "lat", "lon")]
+        if order[0] != 0:
+            raise ValueError(f"{f.path}: {name} does not begin with its time axis")
+        where = cells(f) if order[1] < order[2] else cells(f).T
+        return name, where, *(v.chunk[:2] if v.chunk else (1, len(where)))
 
     def partitions(self) -> list[Block]:
-        paths = files(self.path, self.names)
-        return [Block(p, k, k + self.days) for p in paths for f in [Classic(p)] for k in range(0, f.lengths[dimension(f, "time")], self.days)]
+        out = []
+        for path in files(self.path, self.names):
+            f = grid_file(path)
+            days = dates(f, self.year)
+            _, where, each, rows = self._cube(f)
+            step = max(1, self.days // each) * each
+            # a chunk of more days than a block has its rows parted, by whole chunks
+            high = max(1, -(-len(where) // rows) * self.days // each) * rows if each > self.days else len(where)
+            for k in range(0, len(days), step):
+                own = days[k : k + step]
+                if not _meets(self.ranges["date"], min(own), max(own)):
+                    continue
+                for r in range(0, len(where), high):
+                    some = where[r : r + high]
+                    if _meets(self.ranges["cell_id"], some.min(), some.max()):
+                        out.append(Block(path, k, k + len(own), (r, r + len(some))))
+        return out
 
     def read(self, block: Block) -> Iterator[pa.RecordBatch]:
-        f = Classic(block.path)
-        name = variable(f, self.variable)
-        order = [f.variables[name].dims.index(dimension(f, w)) for w in ("time", "lat", "lon")]
-        if order[0] != 0:
-            raise ValueError(f"{block.path}: {name} does not begin with its time axis")
-        days, where = dates(f, self.year), cells(f).ravel()
-        for k in range(block.first, min(block.last, len(days))):
-            slab, missing = (x.ravel() for x in decoded(f.variables[name], np.transpose(f.read(name, k, k + 1), order)[0]))
-            yield pa.RecordBatch.from_arrays([pa.array([days[k]] * len(slab), pa.date32()), pa.array(where), pa.array(slab, mask=missing)], ["date", "cell_id", "fwi"])
+        f = grid_file(block.path)
+        days = dates(f, self.year)
+        name, where, each, rows = self._cube(f)
+        for k in range(block.first, block.last, each):
+            wanted = [t for t in range(k, min(k + each, block.last)) if _meets(self.ranges["date"], days[t], days[t])]
+            for r in range(block.rows[0], block.rows[1], rows) if wanted else ():
+                own = where[r : min(r + rows, block.rows[1])]
+                if not _meets(self.ranges["cell_id"], own.min(), own.max()):
+                    continue
+                cube = f.read(name, wanted[0], wanted[-1] + 1, (r, r + len(own)))
+                for t in wanted:
+                    slab, missing = (x.ravel() for x in decoded(f.variables[name], cube[t - wanted[0]]))
+                    yield pa.RecordBatch.from_arrays([pa.array([days[t]] * len(slab), pa.date32()), pa.array(own.ravel()), pa.array(slab, mask=missing)], ["date", "cell_id", "fwi"])
+
+
+class PushedReader(GriddedReader):
+    """With filters, which Spark gives only where the session allows it and then asks of every reader that takes them."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        self.ranges = _ranges(filters)
+        yield from filters  # blocks are left out by them, rows are not
 
 
 class Gridded(DataSource):
@@ -250,7 +356,14 @@ class Gridded(DataSource):
         return "date date, cell_id bigint, fwi float"
 
     def reader(self, schema) -> GriddedReader:
-        return GriddedReader(self.options)
+        return (PushedReader if self.options.get("push", "false").lower() == "true" else GriddedReader)(self.options)
+
+
+def load(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The days of a file or folder, with filters pushed into the source where the session allows it."""
+    spark.dataSource.register(Gridded)
+    push = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    return spark.read.format("gridded").options(push=push, **options).load(path)
 
 
 class Rows(InputPartition):
@@ -265,19 +378,28 @@ class LayerReader(DataSourceReader):
         self.path, self.variable, self.block = options["path"], options["variable"], block
 
     def partitions(self) -> list[Rows]:
-        f = Classic(self.path)
+        f = grid_file(self.path)
         n = f.lengths[dimension(f, "lat")]
         return [Rows(k, min(k + self.block, n)) for k in range(0, n, self.block)]
 
     def read(self, rows: Rows) -> Iterator[pa.RecordBatch]:
-        f = Classic(self.path)
+        f = grid_file(self.path)
         name, (lat, lon) = variable(f, self.variable), axes_of(f)
-        axes = [dimension(f, w) for w in ("lat", "lon")]
-        stored = f.read(name) if f.variables[name].dims[0] in axes else f.read(name, 0, 1)
-        order = [f.variables[name].dims.index(d) for d in axes]
-        plane = np.transpose(stored, [k for k in range(stored.ndim) if k not in order] + order).reshape(-1, len(lat), len(lon))[0]
+        v, axes = f.variables[name], [dimension(f, w) for w in ("lat", "lon")]
         up, east = np.argsort(lat), np.argsort(lon)
-        values, missing = decoded(f.variables[name], plane[up[rows.first : rows.last]][:, east])
+        own = up[rows.first : rows.last]
+        low, high = int(own.min()), int(own.max()) + 1
+        if v.dims[0] == axes[0]:
+            stored = f.read(name, low, high)
+        elif v.dims[0] in axes:
+            stored = f.read(name)[:, low:high]
+        else:
+            stored = f.read(name, 0, 1, (low, high) if v.dims[1] == axes[0] else None)
+            if v.dims[1] != axes[0]:
+                stored = stored[:, :, low:high]
+        order = [v.dims.index(d) for d in axes]
+        plane = np.transpose(stored, [k for k in range(stored.ndim) if k not in order] + order).reshape(-1, high - low, len(lon))[0]
+        values, missing = decoded(v, plane[own - low][:, east])
         i, j = (x.ravel() for x in np.indices(values.shape))
         yield pa.RecordBatch.from_arrays([pa.array((i + rows.first).astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(lat[up][i + rows.first]), pa.array(lon[east][j]), pa.array(values.ravel(), mask=missing.ravel())], ["lat_idx", "lon_idx", "lat", "lon", "code"])
 
@@ -296,7 +418,7 @@ class Layer(DataSource):
         return LayerReader(self.options)
 
 
-def axes_of(f: Classic) -> tuple[np.ndarray, np.ndarray]:
+def axes_of(f: GridFile) -> tuple[np.ndarray, np.ndarray]:
     """Latitudes and longitudes, these from -180 to below 180."""
     lat, lon = (f.read(dimension(f, w)).astype(float).ravel() for w in ("lat", "lon"))
     return lat, (lon + 180) % 360 - 180
@@ -304,7 +426,7 @@ def axes_of(f: Classic) -> tuple[np.ndarray, np.ndarray]:
 
 def source_grid(path: str) -> SourceGrid:
     """The grid of a layer, by its own axes; unevenly spaced ones are refused."""
-    lat, lon = (np.sort(x) for x in axes_of(Classic(path)))
+    lat, lon = (np.sort(x) for x in axes_of(grid_file(path)))
     steps = np.concatenate([np.diff(lat), np.diff(lon)])
     if not len(steps) or np.ptp(steps) > 1e-4 or steps.min() <= 0:
         raise ValueError(f"{path}: latitudes and longitudes are not evenly spaced")
@@ -313,7 +435,7 @@ def source_grid(path: str) -> SourceGrid:
 
 def class_names(path: str, name: str) -> dict[int, str]:
     """The names of a variable's classes, from its attributes class_0, class_1 and so on."""
-    f = Classic(path)
+    f = grid_file(path)
     attrs = f.variables[variable(f, name)].attrs
     text = lambda v: (v if isinstance(v, str) else bytes(v).decode("utf-8", "replace")).rstrip("\0")
     return {int(m[1]): text(v) for k, v in attrs.items() if (m := re.fullmatch(r"class_(\d+)", k))}

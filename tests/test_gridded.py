@@ -1,9 +1,13 @@
 import datetime as dt
 import struct
 
+import hdf5_files
 import numpy as np
 import pytest
-from pyrelake.sources.gridded import Classic, Gridded, Variable, cells, dates, decoded, variable
+from pyrelake.operators.calendar import Refused
+from pyrelake.sources import gridded
+from pyrelake.sources.gridded import Classic, Gridded, Variable, cells, dates, decoded, grid_file, variable
+from pyrelake.sources.hdf5 import Unsupported
 from pyrelake.functions.names import epoch_day as epoch
 
 
@@ -93,3 +97,90 @@ def test_a_year_on_another_layout(spark, tmp_path):
     top = {(r.date, r.cell_id): r.fwi for r in df.where("cell_id IN (0, 721, 1440)").collect()}
     assert top[dt.date(1999, 1, 2), 0] == 90 * 1000 - 180 + 1 and top[dt.date(1999, 1, 1), 721] == pytest.approx(90 * 1000 + 0.25)
     assert df.where("fwi IS NULL").count() > 2 and df.count() == 2 * 721 * 1440
+
+
+@pytest.mark.parametrize("new", [True, False])
+@pytest.mark.parametrize("how", [{}, {"chunk": (2, 3, 4)}, {"chunk": (1, 5, 7), "shuffle": False, "checksum": True}, {"chunk": (4, 2, 3), "deflate": False}])
+def test_hdf5_based_files(tmp_path, new, how):
+    cube = np.arange(5 * 5 * 7).reshape(5, 5, 7).astype(">f4" if new else "<f4")
+    hdf5_files.write(tmp_path / "a.nc", range(5), np.arange(5.0), np.arange(7.0), cube, "days since 2000-02-28", new=new, attrs={"_FillValue": np.float32(-5), "long_name": "x" * 30}, **how)
+    f = grid_file(str(tmp_path / "a.nc"))
+    v = f.variables["fwi"]
+    assert v.dims == ["time", "lat", "lon"] and v.attrs["_FillValue"] == [-5] and v.attrs["long_name"] == "x" * 30
+    assert f.lengths == {"time": 5, "lat": 5, "lon": 7} and v.chunk == (list(how["chunk"]) if how else None)
+    assert (f.read("fwi") == cube).all() and (f.read("lat") == np.arange(5.0)).all()
+    assert (f.read("fwi", 1, 4, (2, 5)) == cube[1:4, 2:5]).all() and (f.read("fwi", 3) == cube[3:]).all()
+    assert dates(f, None)[-1] == dt.date(2000, 3, 3)
+
+
+def test_chunks_that_were_never_written_and_what_is_not_read(tmp_path):
+    cube = np.ones((4, 2, 2), "<f4")
+    hdf5_files.write(tmp_path / "a.nc", range(4), [0.0, 1.0], [0.0, 1.0], cube, chunk=(1, 2, 2), absent={(2, 0, 0)})
+    f = grid_file(str(tmp_path / "a.nc"))
+    assert [x.tolist() for x in f.read("fwi")[:, 0, 0]] == [1, 1, -99, 1] and f.variables["fwi"].dims == ["time", "of_2", "of_2"] or f.variables["fwi"].dims[0] == "time"
+    raw = (tmp_path / "a.nc").read_bytes()
+    (tmp_path / "b.nc").write_bytes(raw[: len(raw) // 2])
+    with pytest.raises(ValueError, match="ends at byte"):
+        grid_file(str(tmp_path / "b.nc"))
+    (tmp_path / "c.nc").write_bytes(raw.replace(struct.pack("<HHHI", 1, 0, 1, 4), struct.pack("<HHHI", 7, 0, 1, 4)))
+    with pytest.raises(Unsupported, match="filter 7"):
+        grid_file(str(tmp_path / "c.nc"))
+
+
+@pytest.fixture(scope="module")
+def year_files(tmp_path_factory):
+    """The same days in both formats, chunked by days and by rows."""
+    path = tmp_path_factory.mktemp("years")
+    slab = np.round(LAT[:, None] + LON[None, :] / 4, 2).astype("<f4")
+    cube = np.stack([slab + k for k in range(6)])
+    args = ([0, 1, 2, 3, 4, 5], LAT, LON, cube, "days since 2001-01-01")
+    for n in ("classic", "days", "rows"):
+        (path / n).mkdir()
+    write(path / "classic" / "fwi_2001.nc", *args)
+    hdf5_files.write(path / "days" / "fwi_2001.nc", *args, chunk=(2, 721, 1440))
+    hdf5_files.write(path / "rows" / "fwi_2001.nc", *args, new=False, chunk=(6, 100, 1440))
+    return path
+
+
+def test_both_formats_give_the_same_rows(spark, year_files):
+    of = {n: gridded.load(spark, str(year_files / n), days=2) for n in ("classic", "days", "rows")}
+    assert [of[n].rdd.getNumPartitions() for n in of] == [3, 3, 4]
+    sums = {n: tuple(df.selectExpr("count(*)", "count(fwi)", "bit_xor(xxhash64(date, cell_id, fwi))").first()) for n, df in of.items()}
+    assert len(set(sums.values())) == 1 and sums["classic"][0] == 6 * 721 * 1440
+
+
+def test_ranges_of_days_and_cells_leave_out_blocks(spark, year_files):
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        for n, parts in (("classic", (2, 1)), ("days", (2, 1)), ("rows", (4, 1))):
+            df = gridded.load(spark, str(year_files / n), days=2)
+            some = df.where("date >= '2001-01-02' AND date < '2001-01-04'")
+            assert some.rdd.getNumPartitions() == parts[0] and some.count() == 2 * 721 * 1440
+            few = df.where("date = '2001-01-05' AND cell_id BETWEEN 1440 * 150 AND 1440 * 160 - 1")
+            assert few.rdd.getNumPartitions() == parts[1] and few.count() == 10 * 1440
+            either = df.where("date IN ('2001-01-01', '2001-01-06') AND fwi > 0 AND cell_id <> 3")
+            spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+            whole = gridded.load(spark, str(year_files / n), days=2).where("day(date) IN (1, 6) AND fwi > 0 AND cell_id <> 3")
+            spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+            assert either.count() == whole.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_ranges_by_themselves():
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull, LessThanOrEqual
+
+    day = dt.date(2001, 1, 5)
+    assert gridded._ranges([GreaterThan(("date",), day), LessThanOrEqual(("cell_id",), 7), IsNotNull(("date",)), In(("cell_id",), (3, None, 9))]) == {"date": (day + dt.timedelta(1), None), "cell_id": (3, 7)}
+    assert gridded._ranges([EqualTo(("fwi",), 1.0)]) == {"date": (None, None), "cell_id": (None, None)}
+
+
+def test_files_with_foreign_days_are_refused(tmp_path):
+    cube = np.zeros((2, 1, 1))
+    write(tmp_path / "fwi_2001.nc", [364, 365], [0.0], [0.0], cube, "days since 2001-01-01")
+    with pytest.raises(Refused, match="2002"):
+        gridded.check_years([str(tmp_path / "fwi_2001.nc")])
+    write(tmp_path / "a_2001.nc", [0, 1], [0.0], [0.0], cube, "days since 2001-01-01")
+    gridded.check_years([str(tmp_path / "a_2001.nc")])
+    with pytest.raises(Refused, match="more than one"):
+        gridded.check_years([str(tmp_path / "a_2001.nc")] * 2)
