@@ -5,9 +5,10 @@ n // 5 + 1 shingles (n: a set's size), so texts are posted under those alone. A
 sizes, places in the order and the tally leave out pairs that cannot reach the similarity, and the rest are verified
 on the whole sets. The order has the shingles last that a sample of the documents shows to be common; it decides what
 is compared, never what is found.
-A posting list of more than ``SMALL_BUCKET`` texts is dealt into blocks by the texts' ids, and pairs are compared
-within blocks, twice with other blocks: as many as the list is long, times a block. What that connects needs no pairs
-any more: only texts outside a list's largest connected group are compared with all that they are not connected to.
+Groups of copies are connected before pairs are listed: in each of a few rounds the members of a long posting list
+are compared with one of them, its pivot, which most of the lists of a group agree on. A round costs a row a posting
+and verifies a few pairs a text. Then pairs are tallied, exactly, between texts that are not connected yet: within short
+lists all of them, and in long ones texts outside a list's largest connected group with the rest of the list.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from .common import SMALL_BUCKET, components, cut, matched
 WIDTH = 5
 #: Documents that the common shingles are read off, about, and how many of these are put last in the order.
 SAMPLE, COMMON = 4_000, 50_000
-#: Rounds of blocks that large posting lists are dealt into.
-ROUNDS = 2
+#: Rounds of pivots, the shortest posting lists that have one, and the share of a text's prefix that it must have in common with
+#: a pivot to be compared. They decide how much is connected early, not what is found.
+ROUNDS, PIVOTED, SHARE = 3, 8, 0.2
 #: Documents to fetch the texts of, up to which their ids (eight bytes each) are broadcast.
 FEW = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -85,8 +87,7 @@ def _prefixes(common: np.ndarray):
 
 def _common(docs: DataFrame) -> np.ndarray:
     """The shingles that most documents of a sample share, in ascending order."""
-    part = max(1, docs.count() // SAMPLE)
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0).select(_sets()("text").alias("s")).select("s.whole", "s.grams").dropDuplicates(["whole"])
+    some = docs.sample(min(1.0, SAMPLE / max(1, docs.count())), 7).select(_sets()("text").alias("s")).select("s.whole", "s.grams").dropDuplicates(["whole"])
     rows = some.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("k")).where("k > 2").orderBy(F.desc("k"), "g").limit(COMMON).collect()
     return np.array(sorted(r.g for r in rows), np.int64)
 
@@ -115,20 +116,6 @@ def _side(of: DataFrame, x: str, keys: list[str], more: list[str]) -> DataFrame:
     return of.select(*keys, F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "pos", *more)])
 
 
-def _tallied(small: DataFrame, hot: DataFrame) -> DataFrame:
-    """The pairs (u, v) in small lists that their tally of shared postings lets reach the similarity; postings in large lists count as shared."""
-    if not hot.isEmpty():
-        small = matched(small, hot.groupBy("node").agg(F.count("*").cast("int").alias("large")), ["node"], "left")
-    else:
-        small = small.withColumn("large", F.lit(0))
-    small = small.withColumn("large", F.coalesce("large", F.lit(0)))
-    a, b = (_side(small, x, ["g"], ["large"]) for x in "uv")
-    sized = ["u", "v", "n_u", "n_v", "large_u", "large_v"]
-    found = a.join(b, "g").where("u > v").where(_alike()).groupBy(*sized).agg(F.count("*").alias("tally"), F.max(_fits()).alias("fits"))
-    # with a large list shared before it, a place here is not the first
-    return found.where("fits OR least(large_u, large_v) > 0").where(_enough(F.col("tally") + F.least("large_u", "large_v"))).select("u", "v").distinct()
-
-
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) of ids that have texts with a Jaccard of 0.8 or more."""
     pairs = cut(pairs.distinct())
@@ -140,36 +127,48 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return cut(both.where(9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b"))).select("u", "v").distinct())
 
 
-def _grouped(hot: DataFrame, links: DataFrame) -> DataFrame:
-    """hot with the component that links put each node in."""
-    named = components(links).select(F.col("node"), "component").distinct()
-    return cut(matched(hot.drop("component"), named, ["node"], "left").withColumn("component", F.coalesce("component", "node")))
+def _grouped(live: DataFrame, links: DataFrame) -> DataFrame:
+    """live with the component that links put each node in."""
+    named = components(links).select("node", "component").distinct()
+    return matched(live.drop("component"), named, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _large_lists(hot: DataFrame, links: DataFrame, docs: DataFrame) -> DataFrame:
-    """links, and links that connect what pairs within the large lists connect: hot has (g, node, n, pos, size).
-
-    Pairs that share a small list too were compared there: of the others, the large lists hold all that their prefixes share.
-    """
-    lists = hot.groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "g"))), lambda x: x["g"]).alias("lists"))  # a node's own, a fifth of its shingles at most
-    hot = matched(hot, lists, ["node"])
-    shared = F.array_intersect("lists_u", "lists_v")
-    # of the lists that two nodes share, the first in the order compares them
-    once = _alike() & _fits() & (F.col("g") == F.get(shared, F.lit(0))) & _enough(F.size(shared))
-    for k in range(ROUNDS):
-        hot = _grouped(hot, links)
-        blocks = F.pow(F.lit(2.0), F.floor(F.log2(F.col("size") / float(SMALL_BUCKET)))).cast("long")
-        dealt = hot.withColumn("block", F.pmod(F.xxhash64("node", F.lit(k)), blocks))
-        a, b = (_side(dealt, x, ["g", "block"], ["component", "lists"]) for x in "uv")
-        pairs = a.join(b, ["g", "block"]).where("u > v AND component_u != component_v").where(once).select("u", "v")
-        links = cut(links.unionByName(_verified(pairs, docs)))
-    hot = _grouped(hot, links)
-    largest = hot.groupBy("g", "component").agg(F.count("*").alias("k")).groupBy("g").agg(F.max_by("component", F.struct("k", "component")).alias("top"))
-    rest = cut(matched(hot, largest, ["g"]).where("component != top").drop("top"))
-    if rest.isEmpty():
+def _pivots(live: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (u, v) between texts and the pivots of the long lists that they are in: live has (g, node, n, pos, size)."""
+    spark = docs.sparkSession
+    links = spark.createDataFrame([], "u long, v long")
+    many = live.where(F.col("size") >= PIVOTED).select("g", "node", "n", F.col("node").alias("component"))
+    if many.isEmpty():
         return links
-    far = matched(_side(rest, "u", ["g"], ["component", "lists"]), _side(hot, "v", ["g"], ["component", "lists"]), ["g"]).where("component_u != component_v").where(once)
-    return links.unionByName(_verified(far.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), docs))
+    for k in range(ROUNDS):
+        pivots = many.groupBy("g").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n", "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high"))
+        pivots = pivots.where("low < high").select("g", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_v"), F.col("p.component").alias("own"))
+        met = matched(many.withColumnRenamed("n", "n_u"), pivots, ["g"]).where("component != own").where(_alike())
+        met = met.groupBy("node", "pivot", "n_u", "n_v").agg(F.count("*").alias("tally")).where(F.col("tally") >= SHARE * (F.floor(F.col("n_u") / 5) + 1))
+        new = _verified(met.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")), docs)
+        if new.isEmpty():
+            break
+        links = cut(links.unionByName(new))
+        many = cut(_grouped(many, links))
+    return links
+
+
+def _tallied(live: DataFrame) -> DataFrame:
+    """The pairs (u, v) of nodes that are not connected and may reach the similarity, by all lists that they share: live has component too."""
+    on, keys = ["g"], ["u", "v", "n_u", "n_v"]
+    small, hot = live.where(F.col("size") <= SMALL_BUCKET), live.where(F.col("size") > SMALL_BUCKET)
+    a, b = (_side(small, x, on, ["component"]) for x in "uv")
+    met = a.join(b, "g").where("u > v AND component_u != component_v")
+    if not hot.isEmpty():
+        top = hot.groupBy("g", "component").agg(F.count("*").alias("k")).groupBy("g").agg(F.max_by("component", F.struct("k", "component")).alias("top"), F.count("*").alias("groups")).where("groups > 1")
+        some = cut(matched(hot, top.select("g", "top"), on))  # lists that are one group already are done
+        rest = some.where("component != top")
+        # of two that are both outside the largest group the greater id is u; one inside it is v
+        far = matched(_side(rest, "u", on, ["component"]), _side(some, "v", on, ["component", "top"]), on).where("component_u != component_v").where("component_v = top_v OR u > v").drop("top_v")
+        met = met.unionByName(far.select(*met.columns))
+    # the two ends of a pair may have come either way round
+    turned = met.where(_alike()).select(*[F.when(F.col("u") > F.col("v"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("u", "v"), ("v", "u"), ("n_u", "n_v"), ("n_v", "n_u"))], _fits().alias("fits"))
+    return turned.groupBy(*keys).agg(F.count("*").alias("tally"), F.max("fits").alias("fits")).where("fits").where(_enough(F.col("tally"))).select("u", "v").distinct()
 
 
 def near_links(docs: DataFrame) -> DataFrame:
@@ -184,8 +183,6 @@ def near_links(docs: DataFrame) -> DataFrame:
     posted = distinct.select("node", "n", F.posexplode("prefix").alias("pos", "g"))
     sizes = cut(posted.groupBy("g").agg(F.count("*").alias("size")).where("size > 1"))
     live = cut(matched(posted, sizes, ["g"]))
-    small, hot = live.where(F.col("size") <= SMALL_BUCKET), live.where(F.col("size") > SMALL_BUCKET)
-    links = _verified(_tallied(small, hot), docs)
-    if not hot.isEmpty():
-        links = _large_lists(hot, links, docs)
-    return same.unionByName(links)
+    links = _pivots(live, docs)
+    live = live.withColumn("component", F.col("node")) if links.isEmpty() else cut(_grouped(live, links))
+    return same.unionByName(links).unionByName(_verified(_tallied(live), docs))

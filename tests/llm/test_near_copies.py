@@ -1,6 +1,8 @@
 import random
 
 import corpus_pipeline as cp
+import pytest
+from pyrelake.llm import near_copies
 from pyrelake.llm.near_copies import near_links
 from pyrelake.llm.op5_simhash import fingerprint
 
@@ -73,6 +75,32 @@ def test_large_posting_lists_lose_no_link(spark):
     assert found(spark, rows) == want and 20 < len(set(want.values())) < 290
 
 
+@pytest.mark.parametrize(("pivoted", "small"), [(8, 64), (2, 3), (10**6, 2)])
+def test_chains_of_copies_whatever_is_connected_early(spark, monkeypatch, pivoted, small):
+    """Texts of a row that each differ a little from the one before: only neighbours are near."""
+    monkeypatch.setattr(near_copies, "PIVOTED", pivoted)
+    monkeypatch.setattr(near_copies, "SMALL_BUCKET", small)
+    rng = random.Random(8)
+    rows = []
+    for c in range(3):
+        words = [f"c{c}w{i}" for i in range(100)]
+        for _ in range(30):
+            rows.append((len(rows), " ".join(words)))
+            words = edited(rng, words, 2)
+    rng.shuffle(rows)
+    want = brute(rows)
+    assert found(spark, rows) == want and len(set(want.values())) < 40
+
+
+def test_very_long_near_copies(spark):
+    """Copies of 20,000 words, each edited in places of its own; few pairs are listed."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(5000)}" for _ in range(20_000)]
+    rows = [(k, " ".join(edited(rng, base, 150))) for k in range(40)] + [(100, "something else of a few words only")]
+    links = [(r.u, r.v) for r in near_links(spark.createDataFrame(rows, DOCS)).collect()]
+    assert set(groups(links, rows).values()) == {0, 100} and len(links) < 300
+
+
 def test_the_stage_drops_copies_beyond_two_bits(spark, sf):
     rng = random.Random(7)
     base = [f"w{rng.randrange(900)}" for _ in range(200)]
