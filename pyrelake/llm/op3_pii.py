@@ -175,7 +175,11 @@ _DAYS = datetime.date(YEARS[1], 12, 31).toordinal() - _FIRST + 1
 
 
 def date(permute: Permute, text: str) -> str | None:
-    """Year first or last, with - / or . between; of the two orders with the year last, day first where both are possible."""
+    """Year first or last, with - / or . between; of the two orders with the year last, day first where both are possible.
+
+    What is read month first must be read so again: it walks on to a day after the twelfth. Such a date may so part from
+    its other spellings.
+    """
     a, mark, b, c = re.fullmatch(r"(\d+)([-/.])(\d+)[-/.](\d+)", text).groups()
     orders = [(0, 1, 2)] if len(a) == 4 else [(2, 1, 0), (2, 0, 1)]
     for order in orders:
@@ -186,7 +190,9 @@ def date(permute: Permute, text: str) -> str | None:
             continue
         if not YEARS[0] <= day.year <= YEARS[1]:
             continue
-        new = datetime.date.fromordinal(_FIRST + permute("date", _DAYS, day.toordinal() - _FIRST))
+        new = day
+        while new == day or order == (2, 0, 1) and new.day <= 12:
+            new = datetime.date.fromordinal(_FIRST + permute("date", _DAYS, new.toordinal() - _FIRST))
         parts = {order[0]: f"{new.year}", order[1]: f"{new.month:02d}", order[2]: f"{new.day:02d}"}
         return mark.join(parts[k] for k in range(3))
     return None
