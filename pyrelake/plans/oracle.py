@@ -51,12 +51,14 @@ GAPS = """per AS (SELECT c.world, c.cell_id, c.threshold, sum(c.days) / CAST(7 A
     max(v) FILTER (world = 'observed') - max(v) FILTER (world = 'counterfactual') AS gap FROM per GROUP BY ALL)"""
 DAYS = "days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders)"
 YEARS_CAL = "cal AS (SELECT CAST(unnest(generate_series(make_date(y, 1, 1), make_date(y, 12, 31), INTERVAL 1 DAY)) AS DATE) AS date FROM (SELECT DISTINCT year(date) AS y FROM days))"
-SOURCE = "src AS (SELECT id // 120 AS i, id % 120 AS j, (id * 7 + 3) % 21 AS code FROM (SELECT unnest(range(7200)) AS id))"
-NODES = "nodes AS (SELECT id AS cell_id, id // 120 AS r, id % 120 AS c FROM (SELECT unnest(range(7320)) AS id))"
-# node (r, c) lies between source rows r - 1 and r, and between source columns c - 1 (round the globe) and c
-NEAR = "near AS (SELECT cell_id, r - 1 + di AS i, (c - 1 + dj + 120) % 120 AS j FROM nodes, (SELECT unnest([0, 1]) AS di), (SELECT unnest([0, 1]) AS dj))"
+SOURCE = "src AS (SELECT (c_custkey * 7) % 60 AS i, (c_custkey * 13) % 120 AS j, max(c_nationkey % 21) AS code FROM customer GROUP BY 1, 2)"
+NODES = f"{CELLS}, nodes AS (SELECT cell_id, lat, lon FROM cells UNION ALL SELECT -1 - cell_id, round_even(lat / 3, 0) * 3, round_even(lon / 3, 0) * 3 FROM cells)"
+# centres are 3 degrees apart from -88.5 and -178.5: rows may lie beyond the poles, columns go round the globe
+NEAR = """rowed AS (SELECT *, floor((lat + 88.5) / 3 - 0.5 + 1e-6) + di AS i FROM nodes, (SELECT unnest([0, 1]) AS di)), placed2 AS (SELECT *, floor((lon + 178.5) / 3 - 0.5 + 1e-6) + dj AS j FROM rowed, (SELECT unnest([0, 1]) AS dj)),
+  near AS (SELECT cell_id, CAST(i AS BIGINT) AS i, CAST(j - 120 * floor(j / 120) AS BIGINT) AS j FROM placed2 WHERE abs(-88.5 + 3 * i - lat) <= 1.500001 AND abs(-178.5 + 3 * j - lon) <= 1.500001)"""
 VOTE = """votes AS (SELECT n.cell_id, count(*) FILTER (s.code IN (1,2,3,4,5,6,7,8,9,10,14,18,19)) AS yes, count(*) AS of FROM near n LEFT JOIN src s ON s.i = n.i AND s.j = n.j GROUP BY n.cell_id),
-  nw AS (SELECT n.cell_id, coalesce(s.code, 0) AS code FROM nodes n LEFT JOIN src s ON s.i = n.r AND s.j = (n.c + 119) % 120)"""
+  beside AS (SELECT cell_id, CAST(floor((lat + 88.5) / 3 - 0.5 + 1e-6) AS BIGINT) + 1 AS i, CAST(floor((lon + 178.5) / 3 - 0.5 + 1e-6) AS BIGINT) AS j, lat, lon FROM nodes),
+  nw AS (SELECT b.cell_id, coalesce(s.code, 0) AS code FROM beside b LEFT JOIN src s ON s.i = b.i AND s.j = (b.j + 120) % 120 AND abs(-88.5 + 3 * b.i - b.lat) <= 1.500001 AND abs(-178.5 + 3 * b.j - b.lon) <= 1.500001)"""
 
 
 def packed(c: str) -> str:
@@ -69,10 +71,10 @@ _WIDE = (
     + " FROM world w JOIN regs r ON r.world = w.world AND r.date = w.date AND r.threshold = w.threshold GROUP BY w.world, w.date, w.threshold, w.fraction, w.coverage)"
 )
 _VALUES = ["global", "coverage", *(f"region_{k}{x}" for k in range(1, 6) for x in ("", "_cov"))]
-_FILES = [("README.md", 10, "aa"), ("fwi_era5_1979.nc", 100, "bb"), ("fwi_era5_1995.nc", 100, "cc"), ("fwi_era5_counter_1995.nc", 100, "dd"), ("fwi_era5_2024.nc", 100, "ee"), ("fwi_era5_counter_2024.nc", 100, "ff")]
-LISTING = "files AS (SELECT *, CASE WHEN path LIKE 'fwi_era5_counter%' THEN 'counterfactual' WHEN path LIKE 'fwi_era5%' THEN 'observed' END AS world, CAST(nullif(regexp_extract(path, '(19|20)[0-9]{2}'), '') AS BIGINT) AS year FROM (VALUES " + ", ".join(f"('{p}', CAST({s} AS BIGINT), '{h}')" for p, s, h in _FILES) + ") AS t(path, size, sha256))"
-STATUS = """loc AS (SELECT * FROM (VALUES ('README.md', 10, 'aa'), ('fwi_era5_1979.nc', 60, 'bb'), ('fwi_era5_1995.nc', 100, 'cc'), ('fwi_era5_counter_1995.nc', 100, '00'), ('fwi_era5_2024.nc', 130, NULL)) AS t(path, size, sha256)),
-  st AS (SELECT f.path, CASE WHEN l.size IS NULL THEN 'missing' WHEN l.size < f.size THEN 'partial' WHEN l.sha256 = f.sha256 THEN 'verified' WHEN l.sha256 <> f.sha256 THEN 'corrupt' ELSE 'complete-unverified' END AS status FROM files f LEFT JOIN loc l USING (path))"""
+LISTING = """files AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 5 = 0 THEN 'notes_' || s_suppkey || '.md' WHEN s_suppkey % 2 = 1 THEN 'fwi_era5_' || (1900 + (s_suppkey // 2) % 200) || '.nc' ELSE 'fwi_era5_counter_' || (1900 + (s_suppkey // 2) % 200) || '.nc' END AS path,
+  100 + s_suppkey AS size, sha256(s_name) AS sha256, CASE WHEN s_suppkey % 5 = 0 THEN NULL WHEN s_suppkey % 2 = 1 THEN 'observed' ELSE 'counterfactual' END AS world, CASE WHEN s_suppkey % 5 > 0 THEN 1900 + (s_suppkey // 2) % 200 END AS year FROM supplier)"""
+STATUS = "st AS (SELECT path, CASE k % 7 WHEN 0 THEN 'missing' WHEN 1 THEN 'partial' WHEN 2 THEN 'corrupt' WHEN 3 THEN 'complete-unverified' ELSE 'verified' END AS status FROM files)"
+OUTPUTS = "outputs AS (SELECT CAST(1900 + floor(abs(s_acctbal)) % 200 AS BIGINT) AS year, s_nationkey % 2 = 1 AS extent FROM supplier)"
 _FR = "round(fraction, 6) AS fraction, round(fraction_observed, 6) AS fraction_observed, round(coverage, 6) AS coverage"
 _SIDE = "round(max(v) FILTER (world = 'observed'), {d}) AS observed, round(max(v) FILTER (world = 'counterfactual'), {d}) AS counterfactual, round(max(v) FILTER (world = 'observed') - max(v) FILTER (world = 'counterfactual'), {d}) AS gap"
 _SYNC = "sync AS (SELECT world, threshold, region, year(date) AS year, count(*) FILTER (round(fraction, 9) >= 0.05) AS days FROM regs GROUP BY ALL)"
@@ -83,7 +85,7 @@ ORACLE_SQL = {
     "hist_overflow": "SELECT user_id AS cell_id, count(*) AS n_samples, bool_or(v >= 300) AS overflow FROM (SELECT user_id, CAST(ts AS DATE) AS d, CAST(max(value) AS FLOAT) AS v FROM events GROUP BY ALL) GROUP BY 1",
     "hist_quantiles": f"WITH {TO_THR} SELECT cell_id, threshold, round(CAST(thr AS DOUBLE), 6) AS thr FROM thr",
     "hist_merge_resume": f"WITH {DAILY}, {REF}, {HIST} SELECT * FROM hist",
-    "bin_edges": f"SELECT bin, round({EDGE}, 6) AS edge, round({WIDTH}, 6) AS width FROM (SELECT unnest(range(621)) AS bin)",
+    "bin_edges": f"WITH {DAILY}, {REF}, {HIST}, b AS (SELECT bin, CAST(sum(n) AS BIGINT) AS n FROM hist GROUP BY 1) SELECT bin, n, round({EDGE}, 6) AS edge, round({WIDTH}, 6) AS width FROM b",
     "clean_values": "SELECT l_returnflag, count(*) AS n, count(*) FILTER (l_returnflag NOT IN ('R', 'A')) AS n_valid FROM lineitem GROUP BY 1",
     "exact_percentiles": f"WITH {DAILY}, {REF}, {QS}, p AS (SELECT cell_id, quantile_cont(CAST(fwi AS DOUBLE), [0.9, 0.95, 0.99]) AS v FROM ref GROUP BY 1) SELECT cell_id, unnest(['p90', 'p95', 'p99']) AS threshold, round(unnest(v), 6) AS thr FROM p",
     "threshold_validation": f"""WITH {TO_THR}, picked AS (SELECT cell_id FROM ref WHERE date = (SELECT min(date) FROM ref) GROUP BY 1 ORDER BY md5('42:' || cell_id), cell_id LIMIT 3000),
@@ -102,7 +104,7 @@ ORACLE_SQL = {
     "monthly_dense": f"""WITH {TO_COUNTS}, spine AS (SELECT w.world, w.year, m.month, c.cell_id, n.threshold FROM (SELECT DISTINCT world, year(date) AS year FROM daily) w, (SELECT unnest(range(1, 13)) AS month) m, cells c, names n WHERE c.burnable)
       SELECT s.world, CAST(s.year AS BIGINT) AS year, s.month, s.cell_id, s.threshold, coalesce(c.days, 0) AS days FROM spine s LEFT JOIN counts c ON c.world = s.world AND c.year = s.year AND c.month = s.month AND c.cell_id = s.cell_id AND c.threshold = s.threshold""",
     "days_observed": f"WITH {DAILY}, {OBSERVED} SELECT * FROM obs",
-    "days_in_month": "SELECT y AS year, m AS month, CAST(day(last_day(make_date(y, m, 1))) AS BIGINT) AS days FROM (SELECT unnest(range(1896, 2105)) AS y), (SELECT unnest(range(1, 13)) AS m)",
+    "days_in_month": f"WITH {DAYS}, m AS (SELECT year(date) AS y, month(date) AS m, count(*) AS days_seen FROM days GROUP BY 1, 2) SELECT y AS year, m AS month, days_seen, CAST(day(last_day(make_date(y, m, 1))) AS BIGINT) AS days, CAST(day(last_day(make_date(y + 108, m, 1))) AS BIGINT) AS days_later FROM m",
     "extent_global": f"WITH {TO_WORLD} SELECT world, date, threshold, {_FR} FROM world",
     "extent_regions": f"WITH {TO_WORLD} SELECT world, date, threshold, CAST(region AS BIGINT) AS region, {_FR} FROM regs",
     "extent_wide": f"""WITH {TO_WORLD} SELECT w.world, w.date, w.threshold, round(w.fraction, 6) AS global, round(w.coverage, 6) AS coverage, """
@@ -130,10 +132,10 @@ ORACLE_SQL = {
     "burnable_share": f"WITH {CELLS} SELECT count(*) FILTER (burnable) AS n_burnable, round(sum(CASE WHEN burnable THEN w ELSE 0 END) / sum(w), 6) AS share FROM cells",
     "regrid_vote": f"WITH {SOURCE}, {NODES}, {NEAR}, {VOTE} SELECT cell_id, yes, of, yes / CAST(of AS DOUBLE) >= 0.5 AS burnable FROM votes",
     "regrid_nw": f"WITH {SOURCE}, {NODES}, {NEAR}, {VOTE} SELECT cell_id, CAST(code AS BIGINT) AS code FROM nw",
-    "mask_assembly": f"""WITH {SOURCE}, {NODES}, {NEAR}, {VOTE} SELECT n.cell_id, yes / CAST(of AS DOUBLE) >= 0.5 AS burnable, CAST(nw.code % 5 AS BIGINT) AS region, round(CAST(CAST(greatest(cos(radians(n.r * CAST(3 AS DOUBLE) - 90)), 0) AS FLOAT) AS DOUBLE), 6) AS w
+    "mask_assembly": f"""WITH {SOURCE}, {NODES}, {NEAR}, {VOTE} SELECT n.cell_id, yes / CAST(of AS DOUBLE) >= 0.5 AS burnable, CAST(nw.code % 5 AS BIGINT) AS region, round(CAST(CAST(greatest(cos(radians(n.lat)), 0) AS FLOAT) AS DOUBLE), 6) AS w
       FROM nodes n JOIN votes USING (cell_id) JOIN nw USING (cell_id)""",
     "canonicalise_lon": f"WITH {CELLS} SELECT cell_id, grid_row * 1440 + grid_col AS grid_cell FROM cells",
-    "grid_weights": "SELECT r AS grid_row, 90 - CAST(0.25 AS DOUBLE) * r AS lat, round(greatest(cos(radians(90 - CAST(0.25 AS DOUBLE) * r)), 0), 9) AS w FROM (SELECT unnest(range(721)) AS r)",
+    "grid_weights": f"WITH {CELLS} SELECT grid_row, count(*) AS n_cells, lat, round(w, 9) AS w FROM cells GROUP BY grid_row, lat, w",
     "angular_distance": f"""WITH {CELLS}, x AS (SELECT cell_id, lon * 3 - 170 AS d, lon + 580 AS t FROM cells)
       SELECT cell_id, round(abs(d + 180 - 360 * floor((d + 180) / 360) - 180), 6) AS distance, round(t - 360 * floor(t / 360) - 180, 6) AS turned FROM x""",
     "equal_earth": f"""WITH {CELLS}, k AS (SELECT cell_id, lon, lat, asin(sqrt(CAST(3 AS DOUBLE)) / 2 * sin(radians(lat))) AS t, CAST(1.340264 AS DOUBLE) AS a1, CAST(-0.081106 AS DOUBLE) AS a2, CAST(0.000893 AS DOUBLE) AS a3, CAST(0.003796 AS DOUBLE) AS a4 FROM cells WHERE abs(lat) < 89)
@@ -154,14 +156,14 @@ ORACLE_SQL = {
     "extent_at": f"WITH {TO_WORLD}, {_WIDE}, found AS (SELECT world, {packed('global')} / CAST(10000 AS DOUBLE) AS value FROM wide WHERE date = DATE '1996-06-15' AND threshold = 'p90') SELECT w.world, found.value FROM (SELECT DISTINCT world FROM wide) w LEFT JOIN found USING (world)",
     "uneven_thresholds": f"WITH {TO_WORLD}, c AS (SELECT threshold, count(DISTINCT date) AS n FROM world WHERE NOT (threshold = 'p99' AND month(date) = 2) GROUP BY 1) SELECT threshold, n FROM c WHERE n <> (SELECT count(DISTINCT date) FROM world)",
     "readout": f"WITH {TO_WORLD} SELECT date, round(max(v) FILTER (world = 'observed') * 100, 1) AS observed, round(max(v) FILTER (world = 'counterfactual') * 100, 1) AS counterfactual, round((max(v) FILTER (world = 'observed') - max(v) FILTER (world = 'counterfactual')) * 100, 1) AS gap FROM (SELECT world, date, round(fraction, 9) AS v FROM world WHERE threshold = 'p90') GROUP BY date",
-    "year_spec": "SELECT CAST(id AS BIGINT) AS id, CAST(year AS BIGINT) AS year FROM (VALUES (1, 1991), (1, 1992), (1, 1993), (2, 1991), (2, 2018), (3, 1979), (3, 1980), (3, 1981), (3, 2024)) AS t(id, year)",
-    "paired_years": "SELECT CAST(year AS BIGINT) AS year FROM (VALUES (1996), (1998)) AS t(year)",
-    "year_gaps": "SELECT y AS year FROM (SELECT unnest(range(1995, 1999)) AS y) WHERE y NOT IN (1995, 1996, 1998)",
-    "manifest_entries": f"WITH {LISTING} SELECT path, size, sha256, CASE WHEN path LIKE '%counter%' THEN 'https://archive.example/api/' ELSE 'https://host.example/api/' END || path AS url, world, coalesce(year, 0) AS year FROM files",
+    "year_spec": "WITH s AS (SELECT s_suppkey AS id, 1980 + s_suppkey % 20 AS a, 1978 + s_nationkey AS b FROM supplier), y AS (SELECT id, a + unnest([0, 1, 2]) AS year FROM s UNION SELECT id, b FROM s) SELECT id, CAST(year AS BIGINT) AS year FROM y",
+    "paired_years": f"WITH {OUTPUTS} SELECT year FROM outputs WHERE extent INTERSECT SELECT year FROM outputs WHERE NOT extent",
+    "year_gaps": f"WITH {OUTPUTS} SELECT y AS year FROM (SELECT unnest(range((SELECT min(year) FROM outputs), (SELECT max(year) FROM outputs))) AS y) WHERE y NOT IN (SELECT year FROM outputs)",
+    "manifest_entries": f"WITH {LISTING} SELECT path, size, sha256, CASE WHEN k % 2 = 0 THEN 'https://archive.example/api/' ELSE 'https://host.example/api/' END || path AS url, world, coalesce(year, 0) AS year FROM files",
     "download_order": f"WITH {LISTING} SELECT path, CAST(CASE WHEN year IS NULL THEN 0 WHEN world = 'observed' AND year BETWEEN 1991 AND 2020 THEN 1 ELSE 2 END AS BIGINT) AS tier, coalesce(year, 0) AS year, CAST(CASE WHEN world = 'observed' THEN 0 ELSE 1 END AS BIGINT) AS world_rank FROM files ORDER BY 2, coalesce(year, 0), 4, path",
-    "years_wanted": f"WITH {LISTING} SELECT path FROM files WHERE year IS NULL OR year = 1995",
+    "years_wanted": f"WITH {LISTING} SELECT path FROM files WHERE year IS NULL OR year IN (1905, 1910, 1941)",
     "file_status": f"WITH {LISTING}, {STATUS} SELECT * FROM st",
     "status_counts": f"WITH {LISTING}, {STATUS} SELECT status, count(*) AS n FROM st GROUP BY 1",
-    "epoch_parse": "SELECT CAST(id AS BIGINT) AS id, coalesce(CAST(epoch AS VARCHAR), '') AS epoch, coalesce(CAST(CAST(epoch + INTERVAL 365 DAY AS DATE) AS VARCHAR), '') AS a_year_on FROM (VALUES (1, DATE '1900-01-01'), (2, DATE '1979-01-02'), (3, DATE '1900-01-01'), (4, DATE '1899-12-31'), (5, NULL), (6, NULL)) AS t(id, epoch)",
-    "month_labels": "SELECT i AS month_idx, 1979 + i // 12 AS year, i % 12 + 1 AS month, CAST(make_date(1979 + i // 12, i % 12 + 1, 1) + to_days(CAST(floor(day(last_day(make_date(1979 + i // 12, i % 12 + 1, 1))) * 0.5) AS INTEGER)) AS DATE) AS mid_day FROM (SELECT unnest(range(552)) AS i)",
+    "epoch_parse": "WITH o AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END AS epoch FROM orders) SELECT id, coalesce(CAST(epoch AS VARCHAR), '') AS epoch, coalesce(CAST(CAST(epoch + INTERVAL 365 DAY AS DATE) AS VARCHAR), '') AS a_year_on FROM o",
+    "month_labels": f"WITH {DAILY}, m AS (SELECT DISTINCT (year(date) - 1992) * 12 + month(date) - 1 AS i FROM daily) SELECT i AS month_idx, 1992 + i // 12 AS year, i % 12 + 1 AS month, CAST(make_date(1992 + i // 12, i % 12 + 1, 1) + to_days(CAST(floor(day(last_day(make_date(1992 + i // 12, i % 12 + 1, 1))) * 0.5) AS INTEGER)) AS DATE) AS mid_day FROM m",
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,24 +48,22 @@ class Data:
     gaps = cached_property(lambda self: analytics.extra_days(self.counts, self.cells, list(range(1995, 2002))))
     nodes = cached_property(lambda self: self.cells.select("cell_id", "lat", "lon"))
 
-    def rows(self, schema: str, *rows: tuple) -> DataFrame:
-        return self.spark.createDataFrame(list(rows), schema)
 
-
-#: A coarse source grid for the regridding queries: centres 3 degrees apart, and a code by index.
+#: A coarse source grid for the regridding queries: centres 3 degrees apart.
 SOURCE = masks.SourceGrid(-88.5, 60, -178.5, 120, 3.0)
-SOURCE_NODES = masks.SourceGrid(-88.5, 60, -178.5, 120, 3.0)
 
 
 def source_cells(d: Data) -> DataFrame:
-    ids = d.spark.range(SOURCE.n_lat * SOURCE.n_lon)
-    out = ids.select(F.floor(F.col("id") / SOURCE.n_lon).cast("int").alias("lat_idx"), (F.col("id") % SOURCE.n_lon).cast("int").alias("lon_idx"), ((F.col("id") * 7 + 3) % 21).cast("int").alias("code"))
-    return masks.burnable_classes(out, SETTINGS.burnable)
+    """Customers placed on the source grid; where several meet, the largest code counts, and some places have none."""
+    k = F.col("c_custkey")
+    placed = testdata.table(d.spark, d.sf, "customer").select(((k * 7) % SOURCE.n_lat).cast("int").alias("lat_idx"), ((k * 13) % SOURCE.n_lon).cast("int").alias("lon_idx"), (F.col("c_nationkey") % 21).cast("int").alias("code"))
+    return masks.burnable_classes(placed.groupBy("lat_idx", "lon_idx").agg(F.max("code").alias("code")), SETTINGS.burnable)
 
 
 def corner_nodes(d: Data) -> DataFrame:
-    """Nodes at the source's corners, poles and date line too."""
-    return d.spark.range(61 * 120).select(F.col("id").alias("cell_id"), (F.floor(F.col("id") / 120) * 3.0 - 90.0).alias("lat"), ((F.col("id") % 120) * 3.0 - 180.0).alias("lon"))
+    """Cells where they are, and once more moved to the nearest corner of four source cells, poles and date line too."""
+    moved = d.nodes.select((-1 - F.col("cell_id")).alias("cell_id"), (F.rint(F.col("lat") / 3) * 3).alias("lat"), (F.rint(F.col("lon") / 3) * 3).alias("lon"))
+    return d.nodes.unionByName(moved)
 
 
 def hist_counts(d: Data) -> DataFrame:
@@ -87,8 +84,10 @@ def hist_merge_resume(d: Data) -> DataFrame:
 
 
 def bin_edges(d: Data) -> DataFrame:
+    """The bins that values of the reference fall into, with their edges."""
     b = SETTINGS.bins
-    return rounded(d.spark.range(b.count).select(F.col("id").alias("bin"), histogram.lower_edge(F.col("id"), b).alias("edge"), histogram.width(F.col("id"), b).alias("width")), "edge", "width")
+    seen = d.hist.groupBy("bin").agg(F.sum("n").alias("n"))
+    return rounded(seen.select("bin", "n", histogram.lower_edge(F.col("bin"), b).alias("edge"), histogram.width(F.col("bin"), b).alias("width")), "edge", "width")
 
 
 def clean_values(d: Data) -> DataFrame:
@@ -144,8 +143,10 @@ def days_observed(d: Data) -> DataFrame:
 
 
 def days_in_month(d: Data) -> DataFrame:
-    months = d.spark.range(1896, 2105).select(F.col("id").alias("year"), F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
-    return months.select("year", F.col("month").cast("long"), values.days_in_month(F.col("year").cast("int"), F.col("month")).cast("long").alias("days"))
+    """The months of orders, with the days that they have, have had orders, and have 108 years on (2100 is no leap year)."""
+    months = d.order_days.groupBy(F.year("date").alias("year"), F.month("date").alias("month")).agg(F.count("*").alias("days_seen"))
+    days = lambda year: values.days_in_month(year, F.col("month")).cast("long")
+    return months.select(F.col("year").cast("long"), F.col("month").cast("long"), "days_seen", days(F.col("year")).alias("days"), days(F.col("year") + 108).alias("days_later"))
 
 
 _FRACTIONS = ("fraction", "fraction_observed", "coverage")
@@ -246,7 +247,7 @@ def regrid_nw(d: Data) -> DataFrame:
 def mask_assembly(d: Data) -> DataFrame:
     nodes = corner_nodes(d).withColumn("w", grid.area_weight(F.col("lat")))
     regions = source_cells(d).select("lat_idx", "lon_idx", (F.col("code") % 5).alias("code"))
-    out = masks.masks(nodes, source_cells(d).drop("burnable"), SOURCE, regions, SOURCE_NODES, SETTINGS.burnable, SETTINGS.vote)
+    out = masks.masks(nodes, source_cells(d).drop("burnable"), SOURCE, regions, SOURCE, SETTINGS.burnable, SETTINGS.vote)
     return rounded(out.withColumn("region", F.col("region").cast("long")), "w")
 
 
@@ -258,8 +259,11 @@ def canonicalise_lon(d: Data) -> DataFrame:
 
 
 def grid_weights(d: Data) -> DataFrame:
-    rows = grid.cells(d.spark).where("grid_col = 0")
-    return rounded(rows.select(F.col("grid_row").cast("long"), "lat", "w"), "w", digits=9)
+    """Rows of the grid that have cells: latitude, weight, and how many."""
+    row = grid.row_of(F.col("lat"))
+    rows = d.cells.groupBy(row.cast("long").alias("grid_row")).agg(F.count("*").alias("n_cells"))
+    lat = grid.latitude(F.col("grid_row"))
+    return rounded(rows.select("grid_row", "n_cells", lat.alias("lat"), grid.area_weight(lat).alias("w")), "w", digits=9)
 
 
 def angular_distance(d: Data) -> DataFrame:
@@ -339,30 +343,45 @@ def readout(d: Data) -> DataFrame:
 
 
 def year_spec(d: Data) -> DataFrame:
-    specs = d.rows("id long, spec string", (1, "1991-1993"), (2, "2018,1991"), (3, "1979-1981, 1980,2024"))
-    return specs.select("id", F.explode(names.years_in(F.col("spec"))).alias("year")).withColumn("year", F.col("year").cast("long"))
+    """A range and a single year, as text, of every supplier."""
+    first = 1980 + F.col("s_suppkey") % 20
+    spec = F.concat(first.cast("string"), F.lit("-"), (first + 2).cast("string"), F.lit(" , "), (1978 + F.col("s_nationkey")).cast("string"))
+    out = testdata.table(d.spark, d.sf, "supplier").select(F.col("s_suppkey").alias("id"), F.explode(names.years_in(spec)).alias("year"))
+    return out.withColumn("year", F.col("year").cast("long"))
 
 
-_COUNTS = [("out/observed_1995.nc",), ("out/observed_1996.nc",), ("out/observed_1998.nc",), ("out/readme.txt",)]
-_EXTENTS = [("out/observed_1996_extent.parquet",), ("out/observed_1998_extent.parquet",), ("out/observed_1999_extent.parquet",)]
+def _outputs(d: Data) -> DataFrame:
+    """(path, extent) of yearly outputs: a year for every supplier, by its balance."""
+    s = testdata.table(d.spark, d.sf, "supplier")
+    year = (1900 + F.floor(F.abs("s_acctbal")) % 200).cast("string")
+    extent = F.col("s_nationkey") % 2 == 1
+    return s.select(F.concat(F.lit("out/observed_"), year, F.when(extent, "_extent.parquet").otherwise(".nc")).alias("path"), extent.alias("extent"))
 
 
 def paired_years(d: Data) -> DataFrame:
-    return listing.paired_years(d.rows("path string", *_COUNTS), d.rows("path string", *_EXTENTS)).withColumn("year", F.col("year").cast("long"))
+    out = _outputs(d)
+    return listing.paired_years(out.where("NOT extent"), out.where("extent")).withColumn("year", F.col("year").cast("long"))
 
 
 def year_gaps(d: Data) -> DataFrame:
-    years = d.rows("path string", *_COUNTS).select(names.year_of(F.col("path")).alias("year")).where("year IS NOT NULL")
-    return calendar.missing_years(years).withColumn("year", F.col("year").cast("long"))
+    return calendar.missing_years(_outputs(d).select(names.year_of(F.col("path")).alias("year")).distinct()).withColumn("year", F.col("year").cast("long"))
 
 
-_FILES = [("README.md", 10, "aa"), ("fwi_era5_1979.nc", 100, "bb"), ("fwi_era5_1995.nc", 100, "CC"), ("fwi_era5_counter_1995.nc", 100, "dd"), ("fwi_era5_2024.nc", 100, "ee"), ("fwi_era5_counter_2024.nc", 100, "ff")]
+def _files(d: Data) -> DataFrame:
+    """(k, nation, path, size, digest): a file for every supplier, of either world, or of none."""
+    k = F.col("s_suppkey")
+    year = (1900 + F.floor(k / 2) % 200).cast("string")
+    path = F.when(k % 5 == 0, F.concat(F.lit("notes_"), k.cast("string"), F.lit(".md"))).otherwise(F.concat(F.when(k % 2 == 1, "fwi_era5_").otherwise("fwi_era5_counter_"), year, F.lit(".nc")))
+    return testdata.table(d.spark, d.sf, "supplier").select(k.alias("k"), F.col("s_nationkey").alias("nation"), path.alias("path"), (100 + k).alias("size"), F.sha2("s_name", 256).alias("digest"))
 
 
 def _listing(d: Data) -> DataFrame:
-    link = lambda p: f"/api/{p}" if "counter" in p else f"https://host.example/api/{p}"
-    page = {"_embedded": {"stash:files": [{"path": p, "size": s, "digestType": "sha-256", "digest": h, "_links": {"stash:download": {"href": link(p)}}} for p, s, h in _FILES]}}
-    return listing.entries(d.rows("json string", (json.dumps(page),)), "https://archive.example")
+    """A page of the archive's JSON for every nation, read again; links of half the files are relative, and digests in capitals."""
+    href = F.concat(F.when(F.col("k") % 2 == 0, "/api/").otherwise("https://host.example/api/"), F.col("path"))
+    link = F.struct(F.struct(href.alias("href")).alias("stash:download"))
+    file = F.struct("path", "size", F.lit("sha-256").alias("digestType"), F.upper("digest").alias("digest"), link.alias("_links"))
+    pages = _files(d).groupBy("nation").agg(F.collect_list(file).alias("files"))
+    return listing.entries(pages.select(F.to_json(F.struct(F.struct(F.col("files").alias("stash:files")).alias("_embedded"))).alias("json")), "https://archive.example")
 
 
 def manifest_entries(d: Data) -> DataFrame:
@@ -375,14 +394,15 @@ def download_order(d: Data) -> DataFrame:
 
 
 def years_wanted(d: Data) -> DataFrame:
-    return listing.of_years(_listing(d), [1995]).select("path")
-
-
-_LOCAL = [("README.md", 10, "aa"), ("fwi_era5_1979.nc", 60, "bb"), ("fwi_era5_1995.nc", 100, "cc"), ("fwi_era5_counter_1995.nc", 100, "00"), ("fwi_era5_2024.nc", 130, None)]
+    return listing.of_years(_listing(d), [1905, 1910, 1941]).select("path")
 
 
 def file_status(d: Data) -> DataFrame:
-    return listing.status(_listing(d), d.rows("path string, size long, sha256 string", *_LOCAL))
+    """Local copies: of seven files one is not there, one is half, one is another, and one has not been read."""
+    kind = F.col("k") % 7
+    size, digest = F.when(kind == 1, F.floor(F.col("size") / 2)).otherwise(F.col("size")), F.when(kind == 2, F.sha2("path", 256)).when(kind != 3, F.col("digest"))
+    local = _files(d).where(kind != 0).select("path", size.cast("long").alias("size"), digest.alias("sha256"))
+    return listing.status(_listing(d), local)
 
 
 def status_counts(d: Data) -> DataFrame:
@@ -390,14 +410,20 @@ def status_counts(d: Data) -> DataFrame:
 
 
 def epoch_parse(d: Data) -> DataFrame:
-    units = d.rows("id long, units string", (1, "days since 1900-01-01"), (2, "days since 1979-1-2 00:00"), (3, "days_since_Jan11900"), (4, "days_since_Dec311899"), (5, "hours since 1900-01-01"), (6, "days since 1900-13-41"))
+    """Units of time axes that begin on the day of an order, in three spellings; hours are none."""
+    o = testdata.table(d.spark, d.sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("day"))
+    plain = F.concat_ws("-", F.year("day"), F.month("day"), F.dayofmonth("day"))
+    terse = F.concat(F.date_format("day", "MMM"), F.dayofmonth("day"), F.year("day"))
+    units = F.when(F.col("id") % 5 == 0, F.concat(F.lit("hours since "), plain)).when(F.col("id") % 2 == 0, F.concat(F.lit("days since "), plain, F.lit(" 00:00"))).otherwise(F.concat(F.lit("days_since_"), terse))
     epoch = names.epoch_of(F.col("units"))
-    return units.select("id", *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in (("epoch", epoch), ("a_year_on", F.date_add(epoch, 365)))])
+    return o.select("id", units.alias("units")).select("id", *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in (("epoch", epoch), ("a_year_on", F.date_add(epoch, 365)))])
 
 
 def month_labels(d: Data) -> DataFrame:
-    year, month = values.month_label(F.col("id"), F.lit(1979))
-    return d.spark.range(0, 552).select(F.col("id").alias("month_idx"), year.cast("long").alias("year"), month.cast("long").alias("month"), values.day_within(F.col("id"), F.lit(1979)).alias("mid_day"))
+    """The months of the daily values by their place, and back."""
+    months = d.daily.select(((F.year("date") - 1992) * 12 + F.month("date") - 1).cast("long").alias("month_idx")).distinct()
+    year, month = values.month_label(F.col("month_idx"), F.lit(1992))
+    return months.select("month_idx", year.cast("long").alias("year"), month.cast("long").alias("month"), values.day_within(F.col("month_idx"), F.lit(1992)).alias("mid_day"))
 
 
 QUERIES = {
