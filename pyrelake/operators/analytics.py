@@ -98,3 +98,21 @@ def readout(whole: DataFrame, threshold: str) -> DataFrame:
     """(date, observed, counterfactual, gap) in percent with one decimal, the gap in points."""
     both = side_by_side(whole.where(F.col("threshold") == threshold), ["date"], "fraction")
     return both.select("date", *[F.round(F.col(c) * 100, 1).alias(c) for c in ("observed", "counterfactual", "gap")])
+
+
+def spells(hits: DataFrame, names: list[str]) -> DataFrame:
+    """(world, cell_id, threshold, first_day, last_day, days): consecutive days of a cell above a threshold, as long as they last.
+
+    hits is as exceedance.compared() gives it. A session of days less than a day and a half apart is a spell, so
+    batches and streams (with a watermark on event_time) have them alike; a day is expected once a cell.
+    """
+    timed = hits if "event_time" in hits.columns else hits.withColumn("event_time", F.col("date").cast("timestamp"))
+    above = F.filter(F.array(*[F.when(F.col(f"hit_{n}"), F.lit(n)) for n in names]), lambda n: n.isNotNull())
+    days = timed.select("world", "cell_id", "date", "event_time", F.explode(above).alias("threshold"))
+    runs = days.groupBy("world", "cell_id", "threshold", F.session_window("event_time", "36 hours")).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.count("*").alias("days"))
+    return runs.select("world", "cell_id", "threshold", "first_day", "last_day", "days")
+
+
+def spell_statistics(found: DataFrame) -> DataFrame:
+    """(world, threshold, year, spells, days, longest) of spells by the year that they begin in."""
+    return found.groupBy("world", "threshold", F.year("first_day").alias("year")).agg(F.count("*").alias("spells"), F.sum("days").alias("days"), F.max("days").alias("longest"))

@@ -78,6 +78,8 @@ OUTPUTS = "outputs AS (SELECT CAST(1900 + floor(abs(s_acctbal)) % 200 AS BIGINT)
 _FR = "round(fraction, 6) AS fraction, round(fraction_observed, 6) AS fraction_observed, round(coverage, 6) AS coverage"
 _SIDE = "round(max(v) FILTER (world = 'observed'), {d}) AS observed, round(max(v) FILTER (world = 'counterfactual'), {d}) AS counterfactual, round(max(v) FILTER (world = 'observed') - max(v) FILTER (world = 'counterfactual'), {d}) AS gap"
 _SYNC = "sync AS (SELECT world, threshold, region, year(date) AS year, count(*) FILTER (round(fraction, 9) >= 0.05) AS days FROM regs GROUP BY ALL)"
+_SPELLS = """islands AS (SELECT world, cell_id, threshold, date, datediff('day', DATE '1970-01-01', date) - row_number() OVER (PARTITION BY world, cell_id, threshold ORDER BY date) AS island FROM hits WHERE hit),
+  spells AS (SELECT world, cell_id, threshold, min(date) AS first_day, max(date) AS last_day, count(*) AS days FROM islands GROUP BY world, cell_id, threshold, island)"""
 _FIT = """fit AS (SELECT world, threshold, regr_slope(percent, year) AS b, regr_syy(percent, year) AS syy, regr_sxy(percent, year) AS sxy, regr_sxx(percent, year) AS sxx, regr_count(percent, year) AS n FROM annual GROUP BY ALL)"""
 
 ORACLE_SQL = {
@@ -128,6 +130,8 @@ ORACLE_SQL = {
       SELECT world, threshold, CAST(region AS BIGINT) AS region, round(early, 6) AS early, round(late, 6) AS late, round(CASE WHEN early <> 0 THEN late / early END, 6) AS factor FROM p""",
     "month_fraction_interp": f"""WITH {TO_COUNTS}, s AS (SELECT c.world, c.threshold, c.cell_id, (c.year - 1995) * 12 + c.month - 1 AS month_idx, c.days / CAST(greatest(coalesce(nullif(o.days, 0), 30), 1) AS DOUBLE) AS share FROM counts c LEFT JOIN obs o USING (world, year, month))
       SELECT world, threshold, cell_id, month_idx, round(share, 6) AS share, round(share * 0.75 + coalesce(lead(share) OVER (PARTITION BY world, threshold, cell_id ORDER BY month_idx), share) * 0.25, 6) AS value FROM s""",
+    "spells": f"WITH {TO_THR}, {HITS}, {_SPELLS} SELECT * FROM spells",
+    "spell_statistics": f"WITH {TO_THR}, {HITS}, {_SPELLS} SELECT world, threshold, year(first_day) AS year, count(*) AS spells, CAST(sum(days) AS BIGINT) AS days, max(days) AS longest FROM spells GROUP BY ALL",
     "burnable_mask": f"WITH {CELLS} SELECT cell_id, CAST(cls AS BIGINT) AS code, burnable FROM cells",
     "burnable_share": f"WITH {CELLS} SELECT count(*) FILTER (burnable) AS n_burnable, round(sum(CASE WHEN burnable THEN w ELSE 0 END) / sum(w), 6) AS share FROM cells",
     "regrid_vote": f"WITH {SOURCE}, {NODES}, {NEAR}, {VOTE} SELECT cell_id, yes, of, yes / CAST(of AS DOUBLE) >= 0.5 AS burnable FROM votes",

@@ -228,6 +228,14 @@ def month_fraction_interp(d: Data) -> DataFrame:
     return rounded(out.select("world", "threshold", "cell_id", F.col("month_idx").cast("long"), "share", "value"), "share", "value")
 
 
+def spells(d: Data) -> DataFrame:
+    return analytics.spells(d.hits, SETTINGS.names)
+
+
+def spell_statistics(d: Data) -> DataFrame:
+    return analytics.spell_statistics(spells(d)).withColumn("year", F.col("year").cast("long"))
+
+
 def burnable_mask(d: Data) -> DataFrame:
     return masks.burnable_classes(d.cells.select("cell_id", F.col("cls").alias("code")), SETTINGS.burnable).select("cell_id", F.col("code").cast("long"), "burnable")
 
@@ -431,7 +439,7 @@ QUERIES = {
     for f in (
         hist_counts, hist_overflow, hist_quantiles, hist_merge_resume, bin_edges, clean_values, exact_percentiles, threshold_validation, ref_coverage, missing_days, day_gaps, duplicate_days,
         short_tail_vs_hole, monthly_exceedance, monthly_dense, days_observed, days_in_month, extent_global, extent_regions, extent_wide, extent_observed_fraction, coverage_by_month, year_summary,
-        annual_mean, world_gap, period_means, decade_extra_days, gap_statistics, gap_top_cells, trend_slopes, trend_attribution, sync_days, sync_factor, month_fraction_interp, burnable_mask,
+        annual_mean, world_gap, period_means, decade_extra_days, gap_statistics, gap_top_cells, trend_slopes, trend_attribution, sync_days, sync_factor, month_fraction_interp, spells, spell_statistics, burnable_mask,
         burnable_share, regrid_vote, regrid_nw, mask_assembly, canonicalise_lon, grid_weights, angular_distance, equal_earth, cell_index, frame_chunks, frame_scatter, pack_roundtrip, blob_totals,
         frame_lookup, extent_quantised, extent_cube, extent_cube_roundtrip, day_offsets, extent_at, uneven_thresholds, readout, year_spec, paired_years, year_gaps, manifest_entries, download_order, years_wanted,
         file_status, status_counts, epoch_parse, month_labels,
