@@ -1,4 +1,4 @@
-"""python -m pyrelake SETTINGS.toml ingest WORLD FOLDER | mask CLASSES REGIONS | thresholds | monthly WORLD [YEARS] | pack WORLD | verify LISTING.json FOLDER.
+"""python -m pyrelake SETTINGS.toml ingest WORLD FOLDER | arrange WORLD | mask CLASSES REGIONS | thresholds | monthly WORLD [YEARS] | pack WORLD | verify LISTING.json FOLDER.
 
 Exit 1: refused; 2: no input; 3: a file is not what its listing says.
 """
@@ -32,6 +32,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     ingest.add_argument("--names", help="pattern of file names of another source")
     mask.add_argument("classes", help="FILE:VARIABLE of vegetation classes")
     mask.add_argument("regions", help="FILE:VARIABLE of regions, named by attributes class_1 and so on")
+    arrange = sub.add_parser("arrange", help="lay stored days out by cell as well")
+    arrange.add_argument("world", choices=WORLDS)
+    arrange.add_argument("--buckets", type=int)
     sub.add_parser("thresholds")
     monthly = sub.add_parser("monthly")
     pack = sub.add_parser("pack")
@@ -49,6 +52,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         layout, spark = Layout(settings.root), spark or session()
         if args.command == "ingest":
             print("years:", *run.ingest(spark, layout, args.world, args.folder, args.names))
+        elif args.command == "arrange":
+            print("buckets:", run.arrange(spark, layout, args.world, args.buckets))
         elif args.command == "mask":
             run.make_masks_of_files(spark, layout, settings, *[tuple(x.rsplit(":", 1)) for x in (args.classes, args.regions)])
         elif args.command == "thresholds":

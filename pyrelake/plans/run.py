@@ -17,7 +17,7 @@ from ..functions.grid import cells as grid_cells
 from ..functions.names import WORLD_FILES
 from ..operators import calendar, exceedance, histogram, masks, packing
 from ..operators import thresholds as thr
-from ..sources import gridded, readers
+from ..sources import buckets, gridded, readers
 from ..sources.layout import Layout, stored_text, write_text, write_thresholds, write_years, years_stored
 
 
@@ -77,9 +77,24 @@ def ingest(spark: SparkSession, layout: Layout, world: str, path: str, names: st
     return years_stored(spark, layout.daily, world)
 
 
+def arrange(spark: SparkSession, layout: Layout, world: str, n: int | None = None) -> int:
+    """Lays a world's stored days out by cell as well; passes that sum by cell read them from there. Gives the number of buckets."""
+    return buckets.arrange(readers.daily(spark, layout.daily, world), layout.by_cell(world), n)
+
+
+def days_of(spark: SparkSession, layout: Layout, world: str, years: list[int]) -> DataFrame:
+    """Daily values of a world's years, laid out by cell if all of the years are, and by days otherwise."""
+    stored = buckets.opened(spark, layout.by_cell(world))
+    if stored is not None:
+        have = {r.year for r in stored.select("year").distinct().collect()}
+        if have >= set(years) & set(years_stored(spark, layout.daily, world)):
+            return stored.where(F.col("year").isin(*years)).withColumn("world", F.lit(world))
+    return readers.daily(spark, layout.daily, world, years)
+
+
 def make_thresholds(spark: SparkSession, layout: Layout, settings: Settings, allow_missing: bool = False, allow_short_tail: bool = False) -> DataFrame:
     """Pass 1, from the observed world's reference years; gives the coverage."""
-    daily = readers.daily(spark, layout.daily, "observed", list(settings.reference.all))
+    daily = days_of(spark, layout, "observed", list(settings.reference.all))
     require_years(spark, daily.select("year").distinct(), list(settings.reference.all), allow_missing)
     coverage = calendar.coverage(check_days(daily, calendar.cell_months(daily), allow_short_tail))
     write_thresholds(thr.thresholds(daily, settings), layout.thresholds(settings), settings, coverage)
@@ -92,7 +107,7 @@ def make_monthly(spark: SparkSession, layout: Layout, settings: Settings, world:
     The days' values are read twice: once for sums by month and cell, of which come the checks, the counts and the days
     observed, and once for sums by day and region.
     """
-    daily = readers.daily(spark, layout.daily, world, years)
+    daily = days_of(spark, layout, world, years)
     require_years(spark, daily.select("year").distinct(), years, allow_missing)
     cells, names = readers.masks(spark, layout.masks), settings.names
     wide = histogram.wide_thresholds(readers.thresholds(spark, layout.thresholds(settings)), names)

@@ -25,6 +25,9 @@ class Layout:
     bundle = property(lambda self: f"{self.root}/bundle")
     manifest = property(lambda self: f"{self.root}/bundle/manifest")
 
+    def by_cell(self, world: str) -> str:
+        return f"{self.root}/by_cell/{world}"
+
     def thresholds(self, settings: Settings) -> str:
         return f"{self.root}/thresholds_{settings.reference.first}_{settings.reference.last}"
 
