@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SMALL_BUCKET, components, cut, matched
+from .common import SMALL_BUCKET, components, cut, matched, slices
 
 WIDTH = 5
 #: Documents that the common shingles are read off, about, and how many of these are put last in the order.
@@ -60,7 +60,7 @@ def _sets():
 
     @F.pandas_udf("struct<whole:long,grams:array<long>>")
     def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in slices(batches):
             made = [shingles(t) for t in texts]
             yield pd.DataFrame({"whole": pd.Series([_whole(g) for g in made], dtype="int64"), "grams": pd.Series(made, dtype=object)})
 
@@ -78,7 +78,7 @@ def _prefixes(common: np.ndarray):
 
     @F.pandas_udf("struct<whole:long,n:int,prefix:array<long>>")
     def prefixes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in slices(batches):
             made = [shingles(t) for t in texts]
             yield pd.DataFrame({"whole": pd.Series([_whole(g) for g in made], dtype="int64"), "n": pd.Series([len(g) for g in made], dtype="int32"), "prefix": pd.Series([prefix(g) for g in made], dtype=object)})
 

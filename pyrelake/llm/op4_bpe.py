@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import LONG, Kept
-from .common import slices, table
+from .common import give_back, slices, table
 
 VOCABULARY = "word_bpe_49k.json"
 #: Characters below it were assigned long ago.
@@ -223,7 +223,7 @@ def _kept(path: str, with_ids: bool) -> Kept:
         return (a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}", *((a[3] + b[3],) if with_ids else ()))
 
     parts = own.encode("Ab,") == own.encode("ab") + own.encode(",") == [*own.encode("AB"), *own.encode(",")]
-    return Kept(make, 100_000 if with_ids else 250_000, join if parts else None)
+    return Kept(make, 60_000 if with_ids else 250_000, join if parts else None)
 
 
 def _joined(found: list[tuple]) -> np.ndarray:
@@ -273,6 +273,7 @@ def _digests(docs: DataFrame, name: str, with_ids: bool) -> DataFrame:
             if with_ids:  # other stages' workers need the memory
                 kept.forget()
                 automaton(vocabulary(name)).known.clear()
+                give_back()
 
     return docs.select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")
 
