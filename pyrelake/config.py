@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tomllib
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 from .functions.names import quantile_name
@@ -81,6 +81,11 @@ class Settings:
     def names(self) -> list[str]:
         return [quantile_name(q) for q in self.quantiles]
 
+    def of_years(self, years: tuple[int, ...]) -> Settings:
+        """The same with another reference period, of years in a row."""
+        _need(years == tuple(range(years[0], years[-1] + 1)), f"years of a reference period with gaps: {years}")
+        return replace(self, reference=Years(years[0], years[-1]))
+
 
 def _each(kind: type):
     """A list of values of one kind."""

@@ -26,9 +26,11 @@ def days_seen(daily: DataFrame) -> DataFrame:
 
 
 def cell_months(daily: DataFrame) -> DataFrame:
-    """(year, month, cell_id, n_rows, day_mask) of one world: a bit for each day of the month that has a row."""
+    """(year, month, cell_id, n_rows, day_mask) of one world: a bit for each day of the month that has a row. Where daily has the year of its file, n_foreign counts days of others."""
     bit = F.expr("shiftleft(1, day(date) - 1)")
-    return daily.groupBy(F.year("date").alias("year"), F.month("date").alias("month"), "cell_id").agg(F.count("*").alias("n_rows"), F.bit_or(bit).alias("day_mask"))
+    foreign = [F.count_if(F.year("date") != F.col("year")).alias("n_foreign")] if "year" in daily.columns else []
+    keyed = daily.withColumns({"_year": F.year("date"), "month": F.month("date")})
+    return keyed.groupBy("_year", "month", "cell_id").agg(F.count("*").alias("n_rows"), F.bit_or(bit).alias("day_mask"), *foreign).withColumnRenamed("_year", "year")
 
 
 def doubled(months: DataFrame) -> DataFrame:

@@ -26,10 +26,15 @@ def compared(daily: DataFrame, thresholds: DataFrame, names: list[str]) -> DataF
 
 
 def month_sums(hits: DataFrame, names: list[str]) -> DataFrame:
-    """(world, year, month, cell_id, days_<name>..., n_rows, day_mask): day_mask has a bit for each day of the month that has a row."""
+    """(world, year, month, cell_id, days_<name>..., n_rows, day_mask): day_mask has a bit for each day of the month that has a row.
+
+    Where hits has the year of its file, n_foreign counts days of others: refusals come from the same sums.
+    """
     keys = ["world", "year", "month", "cell_id"]
-    dated = hits.withColumns({"year": F.year("date"), "month": F.month("date"), "day_bit": F.expr("shiftleft(1, day(date) - 1)")})
-    return dated.groupBy(*keys).agg(*[F.count_if(F.col(f"hit_{n}")).alias(f"days_{n}") for n in names], F.count("*").alias("n_rows"), F.bit_or("day_bit").alias("day_mask"))
+    foreign = [F.count_if("_foreign").alias("n_foreign")] if "year" in hits.columns else []
+    dated = hits.withColumn("_foreign", F.year("date") != F.col("year")) if foreign else hits
+    dated = dated.withColumns({"year": F.year("date"), "month": F.month("date"), "day_bit": F.expr("shiftleft(1, day(date) - 1)")})
+    return dated.groupBy(*keys).agg(*[F.count_if(F.col(f"hit_{n}")).alias(f"days_{n}") for n in names], F.count("*").alias("n_rows"), F.bit_or("day_bit").alias("day_mask"), *foreign)
 
 
 def monthly(sums: DataFrame, names: list[str]) -> DataFrame:

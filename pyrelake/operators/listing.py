@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +17,13 @@ LISTING = "struct<_embedded:struct<`stash:files`:array<struct<path:string,size:l
 
 
 def entries(pages: DataFrame, base: str) -> DataFrame:
-    """(path, size, sha256, url, world, year) of pages (json); digests of other kinds are NULL, relative links get the base."""
+    """(path, size, sha256, url, world, year) of pages (json); digests of other kinds are refused, relative links get the base."""
     files = pages.select(F.explode(F.from_json("json", LISTING)["_embedded"]["stash:files"]).alias("f")).select("f.*")
     href = F.col("_links")["stash:download"]["href"]
-    world = world_of(F.col("path"))
+    world, kind = world_of(F.col("path")), F.coalesce("digestType", F.lit("none"))
+    other = F.raise_error(F.concat("path", F.lit(": digests of kind "), kind))
     return files.select(
-        "path", "size", F.when(F.lower("digestType").isin("sha-256", "sha256"), F.lower("digest")).alias("sha256"),
+        "path", "size", F.when(F.lower(kind).isin("sha-256", "sha256"), F.lower("digest")).otherwise(other).alias("sha256"),
         F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(base.rstrip("/")), href)).alias("url"),
         world.alias("world"), F.when(world.isNotNull(), year_of(F.col("path"))).alias("year"),
     )
@@ -44,9 +50,34 @@ def status(files: DataFrame, local: DataFrame) -> DataFrame:
     return files.join(here, "path", "left").select("path", what.alias("status"))
 
 
-def digests(spark: SparkSession, path: str) -> DataFrame:
-    """(path, size, sha256) of the files under a path."""
-    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+def digests(spark: SparkSession, path: str, piece: int = 8 << 20) -> DataFrame:
+    """(path, size, sha256) of the files under a path, of any size: each is read in pieces, from the file system that the path names.
+
+    A digest goes over a file's bytes in turn, so that a file is a task; tasks are dealt out a file each.
+    """
+    system, inner = file_system(path)
+    found = [x for x in system.get_file_info(fs.FileSelector(inner)) if x.type == fs.FileType.File]
+    if not found:
+        return spark.createDataFrame([], "path string, size long, sha256 string")
+
+    def read(batches):
+        for batch in batches:
+            own, at = file_system(path)
+            for name in batch["path"]:
+                digest, size = hashlib.sha256(), 0
+                with own.open_input_stream(f"{at}/{name}") as f:
+                    while data := f.read(piece):
+                        digest.update(data)
+                        size += len(data)
+                yield pd.DataFrame({"path": [name], "size": [size], "sha256": [digest.hexdigest()]})
+
+    names = spark.createDataFrame([(x.base_name,) for x in found], "path string").repartition(len(found))
+    return names.mapInPandas(read, "path string, size long, sha256 string")
+
+
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """(file system, path) of a URI or an absolute path."""
+    return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
 
 
 def paired_years(counts: DataFrame, extents: DataFrame) -> DataFrame:

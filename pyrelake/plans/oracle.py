@@ -150,7 +150,7 @@ ORACLE_SQL = {
       SELECT c.cell_id, coalesce(o.days, 0) AS days, coalesce(o.days + 1, 0) AS texel FROM cells c LEFT JOIN one o USING (cell_id)""",
     "pack_roundtrip": f"""WITH {TO_COUNTS}, spine AS (SELECT w.world, y.year, m.month, c.cell_id, n.threshold FROM (SELECT unnest(['observed', 'counterfactual']) AS world) w, (SELECT unnest(range(1995, 2002)) AS year) y, (SELECT unnest(range(1, 13)) AS month) m, cells c, names n WHERE c.burnable)
       SELECT s.world, s.threshold, s.year, s.month, s.cell_id, coalesce(c.days, 0) AS days FROM spine s LEFT JOIN counts c ON c.world = s.world AND c.year = s.year AND c.month = s.month AND c.cell_id = s.cell_id AND c.threshold = s.threshold""",
-    "blob_totals": f"WITH {CELLS} SELECT unnest(['observed', 'counterfactual']) AS world, CAST(9 AS BIGINT) AS blobs, (SELECT count(*) FROM cells WHERE burnable) * 84 * 3 AS raw_bytes",
+    "blob_totals": f"WITH {CELLS} SELECT unnest(['observed', 'counterfactual']) AS world, CAST(9 AS BIGINT) AS blobs, (SELECT count(*) FROM cells WHERE burnable) * 84 * 3 AS raw_bytes, true AS halved",
     "frame_lookup": f"""WITH {TO_COUNTS}, f AS (SELECT c.cell_id, coalesce(k.days, 0) AS days FROM cells c LEFT JOIN counts k ON k.cell_id = c.cell_id AND k.world = 'observed' AND k.threshold = 'p90' AND k.year = 1998 AND k.month = 5 WHERE c.burnable)
       SELECT 'observed' AS world, 'p90' AS threshold, CAST(40 AS BIGINT) AS month_idx, string_agg(lower(printf('%02x', days)), '' ORDER BY cell_id) AS frame FROM f""",
     "extent_quantised": f"WITH {TO_WORLD}, {_WIDE} SELECT world, date, threshold, " + ", ".join(f"{packed(c)} AS {c}" for c in _VALUES) + " FROM wide",

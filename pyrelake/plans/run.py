@@ -17,7 +17,7 @@ from ..functions.grid import cells as grid_cells
 from ..functions.names import WORLD_FILES
 from ..operators import calendar, exceedance, histogram, masks, packing
 from ..operators import thresholds as thr
-from ..sources import buckets, gridded, readers
+from ..sources import buckets, bundle, gridded, readers
 from ..sources.layout import Layout, stored_text, write_text, write_thresholds, write_years, years_stored
 
 
@@ -28,7 +28,8 @@ class NoInput(Exception):
 def check_days(daily: DataFrame, months: DataFrame, allow_short_tail: bool) -> DataFrame:
     """The days of one world, or a refusal: doubled cells, days of another year, holes, short tails. months has n_rows and day_mask of daily's cells."""
     calendar.refuse(calendar.doubled(months), "cells with days that come twice")
-    calendar.refuse(calendar.other_years(daily), "days of another year than their file's")
+    foreign = months.where("n_foreign > 0").select("year", "month").distinct() if "n_foreign" in months.columns else calendar.other_years(daily)
+    calendar.refuse(foreign, "days of another year than their file's")
     seen = calendar.days_of(months)
     calendar.require_complete(seen, allow_short_tail)
     return seen
@@ -101,17 +102,17 @@ def make_thresholds(spark: SparkSession, layout: Layout, settings: Settings, all
     return coverage
 
 
-def make_monthly(spark: SparkSession, layout: Layout, settings: Settings, world: str, years: list[int], region_ids: list[int], allow_short_tail: bool = False, allow_missing: bool = False) -> DataFrame:
+def make_monthly(spark: SparkSession, layout: Layout, settings: Settings, world: str, years: list[int], region_ids: list[int], allow_short_tail: bool = False, allow_missing: bool = False, of: str | None = None) -> DataFrame:
     """Pass 2 for one world; gives (world, year, days, mean_coverage). Counts, days observed and extents of a year are replaced together.
 
     The days' values are read twice: once for sums by month and cell, of which come the checks, the counts and the days
-    observed, and once for sums by day and region.
+    observed, and once for sums by day and region. of names the thresholds by their years, as 1991-2020.
     """
     daily = days_of(spark, layout, world, years)
     require_years(spark, daily.select("year").distinct(), years, allow_missing)
     cells, names = readers.masks(spark, layout.masks), settings.names
-    wide = histogram.wide_thresholds(readers.thresholds(spark, layout.thresholds(settings)), names)
-    months = exceedance.month_sums(exceedance.compared(daily.select("world", "date", "cell_id", "fwi"), wide, names), names).persist()
+    wide = histogram.wide_thresholds(readers.thresholds(spark, layout.stored_thresholds(spark, settings, of)), names)
+    months = exceedance.month_sums(exceedance.compared(daily.select("world", "year", "date", "cell_id", "fwi"), wide, names), names).persist()
     sums = exceedance.extent(daily, wide, cells, names, region_ids).persist()  # a few rows a day
     try:
         seen = check_days(daily, months, allow_short_tail)
@@ -127,7 +128,7 @@ def make_monthly(spark: SparkSession, layout: Layout, settings: Settings, world:
     return spark.createDataFrame(made, "world string, year int, days long, mean_coverage double")
 
 
-def make_bundle(spark: SparkSession, layout: Layout, settings: Settings, world: str, region_names: dict[int, str], years_each: int = 10, old_manifest: str | None = None, force: bool = False) -> str:
+def make_bundle(spark: SparkSession, layout: Layout, settings: Settings, world: str, region_names: dict[int, str], years_each: int = 10, old_manifest: str | None = None, force: bool = False, quality: int = packing.QUALITY) -> str:
     """Packs a world's years that have both counts and extents; gives the manifest's JSON, which is kept in the bundle with the other worlds'.
 
     A bundle packed on another mask is refused unless forced: its frames would be read against the wrong cells.
@@ -137,7 +138,9 @@ def make_bundle(spark: SparkSession, layout: Layout, settings: Settings, world:
     if years.isEmpty():
         raise NoInput(f"no year of {world} has both counts and extents")
     calendar.refuse(calendar.missing_years(years), "years are missing before packing")
-    index = packing.cell_index(readers.masks(spark, layout.masks))
+    cells = readers.masks(spark, layout.masks)
+    calendar.refuse(packing.unfinished_years(counts.join(years, "year", "left_semi"), cells, settings.names), "years without all months and cells")
+    index = packing.cell_index(cells)
     digest, path = packing.index_digest(index), f"{layout.bundle}/cells"
     try:
         before = packing.index_digest(spark.read.parquet(path))
@@ -150,9 +153,9 @@ def make_bundle(spark: SparkSession, layout: Layout, settings: Settings, world:
     if before != digest:
         index.write.mode("overwrite").parquet(path)
     first = years.agg(F.min("year")).first()[0]
-    blocks = packing.pack_frames(counts.join(years, "year", "left_semi"), index, first, years_each)
+    blocks = packing.pack_frames(counts.join(years, "year", "left_semi"), index, first, years_each, quality)
     columns = [c for c in extents.columns if c not in ("world", "year", "date", "threshold")]
-    cube = packing.pack_extent(extents.join(years, "year", "left_semi"), columns, settings.names)
+    cube = packing.pack_extent(extents.join(years, "year", "left_semi"), columns, settings.names, quality)
     for df, name in ((blocks, "frames"), (cube, "extent")):
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("world").parquet(f"{layout.bundle}/{name}")
     packed, cubes = (spark.read.parquet(f"{layout.bundle}/{n}").where(F.col("world") == world) for n in ("frames", "extent"))
@@ -162,3 +165,17 @@ def make_bundle(spark: SparkSession, layout: Layout, settings: Settings, world:
     text = packing.merged_manifest(old, new)
     write_text(spark, text, layout.manifest)
     return text
+
+
+def export(spark: SparkSession, layout: Layout, settings: Settings, worlds: list[str], folder: str) -> dict:
+    """The packed tables of some worlds as files in a client's form, beside those of other worlds on the same mask; gives the manifest."""
+    frames, cubes = (spark.read.parquet(f"{layout.bundle}/{n}").where(F.col("world").isin(*worlds)) for n in ("frames", "extent"))
+    index = spark.read.parquet(f"{layout.bundle}/cells")
+    kept = json.loads(stored_text(spark, layout.manifest) or '{"worlds": {}}')
+    if missing := [w for w in worlds if w not in kept["worlds"]]:
+        raise NoInput(f"{', '.join(missing)} not packed")
+    packed = packing.bundle_files(frames, cubes, index)
+    observed = spark.read.parquet(layout.observed).where(F.col("world").isin(*worlds)).collect()  # twelve rows a year
+    manifest = packing.bundle_manifest(frames, cubes, index, kept, {(r.world, r.year, r.month): r.days for r in observed}, settings.names)
+    bundle.write(packed, folder, manifest)
+    return bundle.read_manifest(folder)

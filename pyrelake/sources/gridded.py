@@ -33,6 +33,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from ..functions.grid import COLUMNS, ROWS, STEP
 from ..functions.names import epoch_day
 from ..operators.calendar import Refused
+from ..operators.listing import file_system
 from ..operators.masks import SourceGrid
 from .hdf5 import SIGNATURE, Hdf5
 from .readers import LATITUDES, LONGITUDES, TIMES, VARIABLES
@@ -55,13 +56,8 @@ class Variable:
     chunk: list[int] | None = None
 
 
-def _system(path: str):
-    """(file system, path) of a URI or an absolute path."""
-    return fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
-
-
 def opened(path: str):
-    system, inner = _system(path)
+    system, inner = file_system(path)
     return system.open_input_file(inner)
 
 
@@ -219,7 +215,7 @@ def cells(f: GridFile) -> np.ndarray:
 
 def files(path: str, names: str) -> list[str]:
     """A file itself, or the files of a folder whose names the pattern finds, in order."""
-    system, inner = _system(path)
+    system, inner = file_system(path)
     here = system.get_file_info(inner)
     if here.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)

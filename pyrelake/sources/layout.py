@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import asdict
 
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..operators.listing import file_system
 
 
 class Layout:
@@ -32,6 +35,16 @@ class Layout:
         return f"{self.root}/thresholds_{settings.reference.first}_{settings.reference.last}"
 
 
+    def stored_thresholds(self, spark: SparkSession, settings: Settings, years: str | None = None) -> str:
+        """Thresholds of the years FIRST-LAST; without any, the reference period's or, where these are not stored, the latest."""
+        if years:
+            return f"{self.root}/thresholds_{years.replace('-', '_')}"
+        own = self.thresholds(settings)
+        system, inner = file_system(self.root)
+        names = sorted(x.base_name for x in system.get_file_info(fs.FileSelector(inner, allow_not_found=True)) if re.fullmatch(r"thresholds_\d{4}_\d{4}", x.base_name))
+        return own if own.rsplit("/", 1)[-1] in names or not names else f"{self.root}/{names[-1]}"
+
+
 def write_years(df: DataFrame, path: str) -> None:
     """By world and year: partitions that df has are replaced, others stay. Rows are dealt out by what they are stored by."""
     df.repartition("world", "year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("world", "year").parquet(path)

@@ -72,6 +72,12 @@ def test_extents(spark):
     uneven = wide.unionByName(spark.createDataFrame([("observed", dates[0], "p99", 0.0, 0.0)], wide.schema))
     with pytest.raises(Exception, match="thresholds with other days"):
         pk.pack_extent(uneven, ["global"], ["p90", "p99"]).collect()
+    for world in (uneven, wide):
+        axis = pk.pack_extent(world, ["global"], ["p90", "p99"], reindex=True)
+        back = pk.unpack_extent(axis, ["global"], ["p90", "p99"])
+        assert sorted(map(tuple, back.collect())) == sorted((r.world, r.date, r.threshold, round(r["global"] * 10000)) for r in world.collect())
+    with pytest.raises(Exception, match="come twice"):
+        pk.pack_extent(wide.unionByName(wide), ["global"], ["p90"], reindex=True).collect()
     assert [(r.threshold, r.n) for r in pk.uneven_thresholds(uneven).collect()] == [("p99", 1)]
 
 

@@ -5,9 +5,11 @@ import json
 
 import pytest
 from pyrelake.__main__ import main
-from pyrelake.operators import packing
+from pyrelake.config import load
+from pyrelake.operators import calendar, packing
 from pyrelake.operators.calendar import Refused
-from pyrelake.sources import readers
+from pyrelake.sources import bundle, readers
+from pyrelake.sources.layout import Layout
 
 
 def test_points_of_other_layouts_find_their_cells(spark):
@@ -63,6 +65,24 @@ def test_all_passes(spark, root, capsys):
     back = packing.unpack_frames(spark.read.parquet(f"{root}/bundle/frames"), index)
     want = monthly.where("world = 'observed'").join(index, "cell_id").groupBy("threshold").sum("days").collect()
     assert {r.threshold: r[1] for r in back.groupBy("threshold").sum("days").collect()} == {r.threshold: r[1] for r in want}
+    # the same as files in a client's form, beside those of the other world
+    assert main([s, "pack", "counterfactual", "--chunk-years", "1", "--quality", "5"], spark) == 0
+    folder = str(root / "web")
+    assert main([s, "export", folder, "--worlds", "observed"], spark) == 0 and main([s, "export", folder], spark) == 0
+    m = bundle.read_manifest(folder)
+    assert [len(m["worlds"][w]["thresholds"]["p90"]) for w in ("observed", "counterfactual")] == [1, 2]
+    assert m["worlds"]["observed"]["days_observed"] == [31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31, 31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+    assert m["worlds"]["observed"]["extent"]["shape"] == [731, 2, 8] and json.loads((root / "web" / "grid.json").read_text())["n_cells"] == 2
+    files = bundle.frames(spark, folder).where("world = 'observed'").groupBy("threshold").sum("days").collect()
+    assert {r.threshold: r[1] for r in files} == {r.threshold: r[1] for r in want}
+    # laid out by cell, the passes give the same
+    before = sorted(map(tuple, monthly.collect()))
+    assert main([s, "arrange", "observed", "--buckets", "2"], spark) == 0
+    assert main([s, "thresholds", "2000-2000", ], spark) == 0 and main([s, "monthly", "observed", "2000-2001", "--regions", "1,2,14", "--thresholds", "2000-2001"], spark) == 0
+    spark.catalog.clearCache()
+    assert sorted(map(tuple, spark.read.parquet(f"{root}/monthly").collect())) == before
+    layout, settings = Layout(str(root)), load(s)
+    assert layout.stored_thresholds(spark, settings).endswith("2000_2001") and layout.stored_thresholds(spark, settings.of_years((1999,))).endswith("thresholds_2000_2001")
     # another mask under a packed bundle is refused
     spark.createDataFrame([(1, True, 1, 1.0), (2, False, 2, 0.5), (3, True, 2, 1.0)], readers.MASKS).write.mode("overwrite").parquet(f"{root}/masks")
     assert main([s, "pack", "observed"], spark) == 1
@@ -70,6 +90,22 @@ def test_all_passes(spark, root, capsys):
     spark.catalog.clearCache()
 
 
+def test_years_that_are_not_whole_are_not_packed(spark):
+    cells = spark.createDataFrame([(1, True), (2, True), (3, False)], "cell_id long, burnable boolean")
+    rows = [("observed", y, m, c, t, 1) for y in (2001, 2002, 2003) for m in range(1, 13) for c in (1, 2, 3) for t in ("p90", "p95") if (y, m, c) != (2002, 3, 2) and (y, m) != (2003, 12)]
+    counts = spark.createDataFrame(rows, "world string, year int, month int, cell_id long, threshold string, days long")
+    assert sorted((r.year, r.months, r["rows"]) for r in packing.unfinished_years(counts, cells, ["p90", "p95"]).collect()) == [(2002, 24, 46), (2003, 22, 44)]
+
+
+def test_days_of_another_year_are_seen_in_the_same_sums(spark, root, tmp_path):
+    from pyrelake.plans.run import check_days
+
+    rows = [("observed", 2000, dt.date(2001, 1, 1), 1, 1.0), ("observed", 2000, dt.date(2000, 1, 1), 1, 1.0)]
+    daily = spark.createDataFrame(rows, readers.DAILY)
+    with pytest.raises(Refused, match="another year"):
+        check_days(daily, calendar.cell_months(daily), True)
+
+
 def test_verify(spark, root, tmp_path, capsys):
     import hashlib
 
