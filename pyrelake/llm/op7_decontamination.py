@@ -4,6 +4,8 @@ Documents and test items are compared as lower-case words with single spaces bet
 characters may be found with k = ``ERRORS`` * m edits. It is split into k + 1 pieces: k edits leave one of
 them whole, so an exact search for all pieces at once (an Aho-Corasick automaton) finds every place where
 the item can be. The places' windows go to Myers' bit-parallel search, whose columns are single numbers.
+Items of fewer than ``MIN_ITEM`` characters are searched with the spaces around them, so that they are found as whole
+words; an edit of such a space counts like any other.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from .common import cut, table, unused
 
 #: Edits allowed for each character of an item.
 ERRORS = 0.08
-#: Items with fewer characters in their words are found only as whole words and without edits.
+#: Items with fewer characters in their words are searched with the spaces around them.
 MIN_ITEM = 32
 #: Characters of items that one automaton holds; more items are searched in blocks, each against all documents.
 BLOCK_CHARS = 4_000_000
@@ -33,14 +35,19 @@ def plain(text: str | None) -> str:
 
 
 def budget(item: str) -> int:
-    return math.floor(ERRORS * len(item)) if len(item) >= MIN_ITEM else 0
+    return math.floor(ERRORS * len(item))
+
+
+def searched(item: str) -> str:
+    """What is searched for: an item, a short one with the spaces around it."""
+    return item if len(item) >= MIN_ITEM else f" {item} "
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
-    """(offset, piece) of the budget plus one pieces of an item, as even as can be."""
-    n = budget(item) + 1
-    ends = [len(item) * i // n for i in range(n + 1)]
-    return [(a, item[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+    """(offset, piece) of the budget plus one pieces of what is searched for, as even as can be."""
+    n, whole = budget(item) + 1, searched(item)
+    ends = [len(whole) * i // n for i in range(n + 1)]
+    return [(a, whole[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def best_match(item: str, text: str) -> tuple[int, int]:
@@ -86,8 +93,8 @@ class Matcher:
 
     def find(self, text: str | None) -> list[tuple[int, int, int]]:
         """(item_id, distance, end in the plain text) of every item within its budget, by item_id; the best place of each."""
-        body = plain(text)
-        if not body or not self.items:
+        body = f" {plain(text)} "
+        if len(body) == 2 or not self.items:
             return []
         spots: dict[int, set[int]] = {}
         for end, (size, uses) in self.automaton.iter(body):
@@ -96,26 +103,23 @@ class Matcher:
         found = []
         for k, starts in spots.items():
             name, item = self.items[k]
-            m, most = len(item), budget(item)
-            exact = [s for s in starts if s >= 0 and body.startswith(item, s)]
-            if m < MIN_ITEM:
-                exact = [s for s in exact if (s == 0 or body[s - 1] == " ") and body[s + m : s + m + 1] in ("", " ")]
-                if not exact:
-                    continue
+            whole, most = searched(item), budget(item)
+            m, before = len(whole), 1 + (len(whole) - len(item)) // 2  # spaces that are no part of the item in the text
+            exact = [s for s in starts if s >= 0 and body.startswith(whole, s)]
             if exact:
-                found.append((name, 0, min(exact) + m))
+                found.append((name, 0, min(exact) + m - before))
                 continue
             runs: list[list[int]] = []
-            for s in sorted(starts):
+            for s in sorted(starts) if most else ():
                 low, high = max(0, s - most), s + m + most
                 if runs and low <= runs[-1][1]:
                     runs[-1][1] = high
                 else:
                     runs.append([low, high])
-            tried = [(d, low + e) for low, high in runs for d, e in [best_match(item, body[low:high])]]
-            d, e = min(tried)
+            tried = [(d, low + e) for low, high in runs for d, e in [best_match(whole, body[low:high])]]
+            d, e = min(tried, default=(most + 1, 0))
             if d <= most:
-                found.append((name, d, e))
+                found.append((name, d, min(e - before, len(body) - 2)))
         return sorted(found)
 
 
@@ -136,10 +140,10 @@ def _matcher(shared) -> Matcher:
 def _blocks(benchmark: DataFrame) -> Iterator:
     """A broadcast of each block of the benchmark (item_id, text), of about BLOCK_CHARS; one is there at a time.
 
-    Items that are null or without words match nothing, those shorter than ``MIN_ITEM`` only as whole words without edits; of equal ids each row is an item of its own.
+    Items that are null or without words match nothing, those shorter than ``MIN_ITEM`` only as whole words; of equal ids each text is an item of its own, and equal rows are one.
     """
     spark = benchmark.sparkSession
-    items = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
     for k in range(blocks):
