@@ -1,9 +1,10 @@
 """Gridded files in the HDF5-based format: what is needed to read variables on their dimensions, chunk by chunk.
 
-Read are superblocks 0 to 3, object headers 1 and 2, groups as symbol tables or as links, attributes in object headers,
+Read are superblocks 0 to 3, object headers 1 and 2, groups as symbol tables or as links, links and attributes in object
+headers or, where there are many, in heaps of their own,
 whole numbers, floats, strings and references, and data that is compact, contiguous, or chunked under a version 1 tree, with
-deflate, shuffle and checksum filters. What a file has beyond that (links or attributes in heaps of their own, newer
-chunk indexes, other filters) is refused by name, never skipped. Files are opened once and read at places: headers, the
+deflate, shuffle and checksum filters. What a file has beyond that (newer
+chunk indexes, other filters, filtered heaps) is refused by name, never skipped. Files are opened once and read at places: headers, the
 chunk tree, and the chunks of the slice that is asked for.
 """
 
@@ -156,8 +157,8 @@ class Hdf5:
                 self._link(body, out)
             elif kind == _LINK_INFO:
                 at = 2 + (8 if body[1] & 1 else 0)
-                if struct.unpack_from("<Q", body, at)[0] != _NOWHERE:
-                    raise Unsupported(f"{self.path}: a group with its links in a heap")
+                for link in self._dense(*struct.unpack_from("<QQ", body, at)):
+                    self._link(link, out)
         return out
 
     def _symbols(self, node: int, names: int, out: dict) -> None:
@@ -217,8 +218,9 @@ class Hdf5:
                 out.attrs[name] = value
             elif kind == _ATTRIBUTE_INFO:
                 at = 2 + (2 if body[1] & 1 else 0)
-                if struct.unpack_from("<Q", body, at)[0] != _NOWHERE:
-                    raise Unsupported(f"{self.path}: a variable with its attributes in a heap")
+                for one in self._dense(*struct.unpack_from("<QQ", body, at)):
+                    name, value = self._attribute(one)
+                    out.attrs[name] = value
         if out.layout[0] == "chunked":
             out.chunk = list(out.layout[2])
         return out
@@ -328,6 +330,81 @@ class Hdf5:
             self.heaps[address] = found
         return self.heaps[address].get(index, b"")
 
+    # many links or attributes: their messages are in a fractal heap, and a version 2 tree has their places by name
+
+    def _dense(self, heap: int, tree: int) -> list[bytes]:
+        """The messages in a heap that a tree of names lists; none where there is no heap."""
+        if heap == _NOWHERE:
+            return []
+        head = self._at(tree, 38)
+        if head[:4] != b"BTHD" or head[5] not in (5, 8):
+            raise ValueError(f"{self.path}: no tree of names at {tree}")
+        node, size, depth = struct.unpack_from("<IHH", head, 6)
+        root, n = struct.unpack_from("<QH", head, 16)
+        start = 4 if head[5] == 5 else 0  # a link's place follows its name's hash
+        places = [r[start:] for r in self._records(root, n, depth, node, size)]
+        read = self._heap(heap)
+        return [read(p) for p in places]
+
+    def _records(self, at: int, n: int, depth: int, node: int, size: int) -> list[bytes]:
+        if n == 0:
+            return []
+        body = self._at(at, node)
+        own = [body[6 + k * size : 6 + (k + 1) * size] for k in range(n)]
+        if depth == 0:
+            return own
+        if depth > 1:
+            raise Unsupported(f"{self.path}: a tree of names of more than two levels")
+        width = -(-((node - 10) // size).bit_length() // 8)  # of the number of a leaf's records
+        for k in range(n + 1):
+            child = 6 + n * size + k * (8 + width)
+            address = struct.unpack_from("<Q", body, child)[0]
+            own += self._records(address, int.from_bytes(body[child + 8 : child + 8 + width], "little"), 0, node, size)
+        return own
+
+    def _heap(self, at: int):
+        """A function: place in the heap -> the message there."""
+        head = self._at(at, 142)
+        if head[:4] != b"FRHP":
+            raise ValueError(f"{self.path}: no heap at {at}")
+        if struct.unpack_from("<H", head, 7)[0]:
+            raise Unsupported(f"{self.path}: a filtered heap")
+        largest = struct.unpack_from("<I", head, 10)[0]
+        width, first, most, bits = struct.unpack_from("<HQQH", head, 110)
+        root, rows = struct.unpack_from("<QH", head, 132)
+        o = -(-bits // 8)
+        n = -(-min(most, largest).bit_length() // 8)
+        blocks: list[tuple[int, int, int]] = []  # offset in the heap, length, address
+
+        def spread(block: int, offset: int, rows: int) -> None:
+            body = self._at(block, 13 + o + 8 * rows * width)
+            for row in range(rows):
+                length = first << max(0, row - 1)
+                for k in range(width):
+                    address = struct.unpack_from("<Q", body, 13 + o + 8 * (row * width + k))[0]
+                    if address != _NOWHERE:
+                        if length > most:
+                            raise Unsupported(f"{self.path}: a heap of more than two levels")
+                        blocks.append((offset, length, address))
+                    offset += length
+
+        if rows:
+            spread(root, 0, rows)
+        elif root != _NOWHERE:
+            blocks.append((0, first, root))
+
+        def read(place: bytes) -> bytes:
+            kind = place[0] >> 4 & 3
+            if kind == 2:
+                return place[1 : 2 + (place[0] & 15)]
+            if kind == 1:
+                raise Unsupported(f"{self.path}: huge messages")
+            offset, length = int.from_bytes(place[1 : 1 + o], "little"), int.from_bytes(place[1 + o : 1 + o + n], "little")
+            begin, _, address = next(b for b in blocks if b[0] <= offset < b[0] + b[1])
+            return self._at(address + offset - begin, length)
+
+        return read
+
     # data
 
     def chunks(self, name: str) -> list[Chunk]:

@@ -11,8 +11,8 @@ NOWHERE = 2**64 - 1
 class Writer:
     """new: superblock 2, headers 2 and links; otherwise superblock 0, headers 1 and symbol tables."""
 
-    def __init__(self, new):
-        self.new, self.raw, self.names = new, bytearray(48 if new else 96), {}
+    def __init__(self, new, dense=0):
+        self.new, self.dense, self.raw, self.names = new, dense, bytearray(48 if new else 96), {}
 
     def put(self, data):
         self.raw += bytes(-len(self.raw) % 8)
@@ -103,9 +103,56 @@ class Writer:
             messages.append((5, struct.pack("<BB", 3, 0x20) + struct.pack("<I", data.itemsize) + np.array(-99, data.dtype).tobytes() if self.new else struct.pack("<BBBBI", 2, 2, 0, 1, data.itemsize) + np.array(-99, data.dtype).tobytes()))
         else:
             messages.append((8, struct.pack("<BBQQ", 3, 1, self.put(data.tobytes()), data.nbytes)))
-        messages += [(12, self.attribute(k, v)) for k, v in attrs.items()]
+        own = [self.attribute(k, v) for k, v in attrs.items()]
+        if self.new and len(own) > (self.dense or 10**9):
+            messages.append((21, struct.pack("<BBQQ", 0, 0, *self.heap(own, 8))))
+            own = []
+        messages += [(12, a) for a in own]
         self.names[name] = self.header(messages)
 
+    def heap(self, items, kind, small=64):
+        """Messages in a fractal heap of small blocks (two in each row), and a version 2 tree of names over them: (heap, tree)."""
+        first, most, width = small, 1 << 16, 2
+        blocks, places, head = [], [], 5 + 8 + 4  # a block: offset, length, data, row; its head has an offset of 32 bits
+        slots = ((sum(width * (first << max(0, r - 1)) for r in range(row)) + k * (first << max(0, row - 1)), first << max(0, row - 1), row) for row in range(12) for k in range(width))
+        for x in items:
+            while not blocks or head + len(blocks[-1][2]) + len(x) > blocks[-1][1]:
+                offset, length, row = next(slots)
+                if head + len(x) <= length:
+                    blocks.append([offset, length, b"", row])
+            places.append((blocks[-1][0] + head + len(blocks[-1][2]), len(x)))
+            blocks[-1][2] += x
+        row = blocks[-1][3]
+        rows = row + 1
+        header = self.put(bytes(142))
+        table = [NOWHERE] * (rows * width)
+        for offset, length, data, r in blocks:
+            before = sum(width * (first << max(0, k - 1)) for k in range(r))
+            table[r * width + (offset - before) // length] = self.put((b"FHDB" + struct.pack("<BQI", 0, header, offset) + data).ljust(length, b"\0"))
+        root = self.put(b"FHIB" + struct.pack("<BQI", 0, header, 0) + struct.pack(f"<{len(table)}Q", *table) + bytes(4))
+        self.raw[header : header + 142] = b"FRHP" + struct.pack("<BHHBIQQQQQQQQQQQQ", 0, 7 if kind == 5 else 8, 0, 0, 4096, 0, NOWHERE, 0, NOWHERE, 0, 0, 0, len(items), 0, 0, 0, 0) + struct.pack("<HQQHHQH", width, first, most, 32, 1, root, rows)
+        ids = [bytes([0]) + struct.pack("<I", o) + n.to_bytes(2, "little") for o, n in places]
+        records = [struct.pack("<I", k) + i if kind == 5 else i.ljust(8, b"\0") + struct.pack("<BII", 0, k, k) for k, i in enumerate(ids)]
+        size, node = len(records[0]), 256
+        room = (node - 10) // size
+        make = lambda name, body: self.put((name + struct.pack("<BB", 0, kind) + body).ljust(node, b"\0"))
+        if len(records) <= room:
+            depth, top, n = 0, make(b"BTLF", b"".join(records)), len(records)
+        else:  # leaves, and between them a record each in the node above
+            own, pointers, k = [], b"", 0
+            while k < len(records):
+                leaf = records[k : k + room - 1]
+                pointers += struct.pack("<QB", make(b"BTLF", b"".join(leaf)), len(leaf))
+                k += len(leaf)
+                if k < len(records):
+                    own.append(records[k])
+                    k += 1
+                    if k == len(records):
+                        pointers += struct.pack("<QB", make(b"BTLF", b""), 0)
+            depth, top, n = 1, make(b"BTIN", b"".join(own) + pointers), len(own)
+        tree = self.put(b"BTHD" + struct.pack("<BBIHHBBQHQI", 0, kind, node, size, depth, 100, 40, top, n, len(records), 0))
+        return header, tree
+
     @staticmethod
     def tree(kind, level, entries):
         body = b"".join(key + struct.pack("<Q", at) for key, at in entries)
@@ -115,7 +162,10 @@ class Writer:
         names = sorted(self.names)
         if self.new:
             links = [(6, struct.pack("<BBB", 1, 0, len(n)) + n.encode() + struct.pack("<Q", self.names[n])) for n in names]
-            root = self.header([(2, struct.pack("<BBQQ", 0, 0, NOWHERE, NOWHERE)), *links])
+            where = (NOWHERE, NOWHERE)
+            if len(links) > (self.dense or 10**9):
+                where, links = self.heap([b for _, b in links], 5), [(0, bytes(4))]
+            root = self.header([(2, struct.pack("<BBQQ", 0, 0, *where)), *links])
             self.raw[:48] = b"\x89HDF\r\n\x1a\n" + struct.pack("<BBBBQQQQI", 2, 8, 8, 0, 0, NOWHERE, len(self.raw), root, 0)
         else:
             text, at = bytearray(8), {}
@@ -131,9 +181,9 @@ class Writer:
         path.write_bytes(bytes(self.raw))
 
 
-def write(path, times, lat, lon, cube, units=None, name="fwi", names=("time", "lat", "lon"), new=True, chunk=None, attrs=None, **how):
+def write(path, times, lat, lon, cube, units=None, name="fwi", names=("time", "lat", "lon"), new=True, chunk=None, attrs=None, dense=0, **how):
     """A file as netCDF-4 has them: three axes that are dimension scales, and a variable on them."""
-    w = Writer(new)
+    w = Writer(new, dense)
     for n, axis, more in ((names[0], np.array(times, "<i4"), {"units": units} if units else {}), (names[1], np.array(lat, "<f8"), {}), (names[2], np.array(lon, "<f4"), {})):
         w.dataset(n, axis, {"CLASS": "DIMENSION_SCALE", "NAME": n, **more})
     w.dataset(name, cube, {"DIMENSION_LIST": list(names), **(attrs or {})}, chunk, **how)

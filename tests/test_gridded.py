@@ -113,6 +113,18 @@ def test_hdf5_based_files(tmp_path, new, how):
     assert dates(f, None)[-1] == dt.date(2000, 3, 3)
 
 
+@pytest.mark.parametrize("n", [2, 9, 40])
+def test_many_attributes_and_links(tmp_path, n):
+    """They are in heaps of their own; few of them fit a node of the tree, so that it has two levels."""
+    cube = np.ones((2, 2, 3), "<f4")
+    attrs = {f"note_{k}": f"{k} " * (k + 1) for k in range(n)} | {"_FillValue": np.float32(-7)}
+    hdf5_files.write(tmp_path / "a.nc", [0, 1], [0.0, 1.0], [0.0, 1.0, 2.0], cube, "days since 2001-01-01", attrs=attrs, dense=2, chunk=(1, 2, 3))
+    f = grid_file(str(tmp_path / "a.nc"))
+    v = f.variables["fwi"]
+    assert v.dims == ["time", "lat", "lon"] and {k: v.attrs[k] for k in attrs if k != "_FillValue"} == {k: x for k, x in attrs.items() if k != "_FillValue"} and v.attrs["_FillValue"] == [-7]
+    assert (f.read("fwi") == cube).all() and dates(f, None) == [dt.date(2001, 1, 1), dt.date(2001, 1, 2)]
+
+
 def test_chunks_that_were_never_written_and_what_is_not_read(tmp_path):
     cube = np.ones((4, 2, 2), "<f4")
     hdf5_files.write(tmp_path / "a.nc", range(4), [0.0, 1.0], [0.0, 1.0], cube, chunk=(1, 2, 2), absent={(2, 0, 0)})
