@@ -62,14 +62,13 @@ def areas(cells: DataFrame) -> DataFrame:
     return burnable.groupBy("region").agg(F.sum("w").alias("area")).where("region IS NOT NULL").unionByName(burnable.agg(F.lit(None).cast("int").alias("region"), F.sum("w").alias("area")))
 
 
-def dimension(cells: DataFrame) -> DataFrame:
-    """A table of cells, marked for broadcast after counting that it has no more rows than the grid; larger ones are left to the optimizer.
+def of_the_grid(rows: DataFrame) -> DataFrame:
+    """A table of a row a cell, marked for broadcast after counting that it has no more rows than the grid; larger ones are left to the optimizer.
 
     Its size cannot be guessed before it runs: a join's estimate is the product of its sides, and without the mark
     the daily values would be the side that is sent round.
     """
-    small = cells.select("cell_id", "region", "w")
-    return F.broadcast(small) if small.limit(ROWS * COLUMNS + 1).count() <= ROWS * COLUMNS else small
+    return F.broadcast(rows) if rows.limit(ROWS * COLUMNS + 1).count() <= ROWS * COLUMNS else rows
 
 
 def extent(daily: DataFrame, thresholds: DataFrame, cells: DataFrame, names: list[str], region_ids: list[int] | tuple = ()) -> DataFrame:
@@ -79,7 +78,7 @@ def extent(daily: DataFrame, thresholds: DataFrame, cells: DataFrame, names: lis
     regions come from those few sums. Cells of other regions count in the world alone. A day whose values are all
     missing keeps its rows.
     """
-    burnable = daily.select("world", "date", "cell_id", "fwi").join(dimension(cells.where("burnable")), "cell_id")
+    burnable = daily.select("world", "date", "cell_id", "fwi").join(of_the_grid(cells.where("burnable").select("cell_id", "region", "w")), "cell_id")
     found = compared(burnable, thresholds, names)
     area = lambda which: F.sum(F.when(which & F.col("fwi").isNotNull(), F.col("w")).otherwise(0.0))
     parts = found.groupBy("world", "date", *["region"] * bool(region_ids)).agg(*[area(F.col(f"hit_{n}")).alias(f"hit_{n}") for n in names], area(F.lit(True)).alias("observed"))

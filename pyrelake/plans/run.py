@@ -111,7 +111,7 @@ def make_monthly(spark: SparkSession, layout: Layout, settings: Settings, world:
     daily = days_of(spark, layout, world, years)
     require_years(spark, daily.select("year").distinct(), years, allow_missing)
     cells, names = readers.masks(spark, layout.masks), settings.names
-    wide = histogram.wide_thresholds(readers.thresholds(spark, layout.stored_thresholds(spark, settings, of)), names)
+    wide = exceedance.of_the_grid(histogram.wide_thresholds(readers.thresholds(spark, layout.stored_thresholds(spark, settings, of)), names))
     months = exceedance.month_sums(exceedance.compared(daily.select("world", "year", "date", "cell_id", "fwi"), wide, names), names).persist()
     sums = exceedance.extent(daily, wide, cells, names, region_ids).persist()  # a few rows a day
     try:
