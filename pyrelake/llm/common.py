@@ -19,10 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Has Python workers get 1,000 documents at a time unless the session says otherwise than Spark's 10,000, which can be very long."""
+    """Has Python workers get 500 documents at a time unless the session says otherwise than Spark's 10,000, which can be very long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
-        spark.conf.set(key, "1000")
+        spark.conf.set(key, "500")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

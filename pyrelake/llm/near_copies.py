@@ -7,7 +7,9 @@ on the whole sets. The order has the shingles last that a sample of the document
 is compared, never what is found.
 Groups of copies are connected before pairs are listed: in each of a few rounds the members of a long posting list
 are compared with one of them, its pivot, which most of the lists of a group agree on. A round costs a row a posting
-and verifies a few pairs a text. Then pairs are tallied, exactly, between texts that are not connected yet: within short
+and verifies a few pairs a text. Long lists that hold several groups even so are of shingles that many texts share
+and the sample missed: these are put last in the order too, which gives new prefixes to the texts of such lists and
+to no others. Then pairs are tallied, exactly, between texts that are not connected yet: within short
 lists all of them, and in long ones texts outside a list's largest connected group with the rest of the list.
 """
 
@@ -28,6 +30,8 @@ SAMPLE, COMMON = 4_000, 50_000
 #: Rounds of pivots, the shortest posting lists that have one, and the share of a text's prefix that it must have in common with
 #: a pivot to be compared. They decide how much is connected early, not what is found.
 ROUNDS, PIVOTED, SHARE = 3, 8, 0.2
+#: Shingles of long lists of several groups that are put last, about; the longest lists first.
+LATE = 200_000
 #: Documents to fetch the texts of, up to which their ids (eight bytes each) are broadcast.
 FEW = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -176,13 +180,44 @@ def near_links(docs: DataFrame) -> DataFrame:
 
     Rows without an id take no part, rows that share one are a node, and texts without words are copies of nothing.
     """
-    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    own = cut(docs.select("doc_id", _prefixes(_common(docs))("text").alias("s")).select("doc_id", "s.*").where("n > 0"))
+    docs, common = docs.select("doc_id", "text").where("doc_id IS NOT NULL"), _common(docs)
+    own = cut(docs.select("doc_id", _prefixes(common)("text").alias("s")).select("doc_id", "s.*").where("n > 0"))
     distinct = cut(own.groupBy("whole").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
     same = cut(matched(own.select("whole", F.col("doc_id").alias("u")), distinct.select("whole", F.col("node").alias("v")), ["whole"]).where("u != v").select("u", "v").distinct())
-    posted = distinct.select("node", "n", F.posexplode("prefix").alias("pos", "g"))
-    sizes = cut(posted.groupBy("g").agg(F.count("*").alias("size")).where("size > 1"))
-    live = cut(matched(posted, sizes, ["g"]))
+    live = _live(distinct)
     links = _pivots(live, docs)
-    live = live.withColumn("component", F.col("node")) if links.isEmpty() else cut(_grouped(live, links))
+    live = _named(live, links)
+    late = _late(live)
+    if len(late):
+        live = _named(_live(_prefixed_again(distinct, live, docs, common, late)), links)
     return same.unionByName(links).unionByName(_verified(_tallied(live), docs))
+
+
+def _live(distinct: DataFrame) -> DataFrame:
+    """(g, node, n, pos, size) of the postings that more than one set has."""
+    posted = distinct.select("node", "n", F.posexplode("prefix").alias("pos", "g"))
+    sizes = cut(posted.groupBy("g").agg(F.count("*").alias("size")).where("size > 1"))
+    return cut(matched(posted, sizes, ["g"]))
+
+
+def _named(live: DataFrame, links: DataFrame) -> DataFrame:
+    return live.withColumn("component", F.col("node")) if links.isEmpty() else cut(_grouped(live, links))
+
+
+def _late(live: DataFrame) -> np.ndarray:
+    """The shingles of long lists that hold texts of several groups, in ascending order."""
+    groups = live.where(F.col("size") > SMALL_BUCKET).groupBy("g", "component").agg(F.count("*").alias("k"))
+    mixed = groups.groupBy("g").agg((F.sum("k") - F.max("k")).alias("rest")).where("rest > 0")
+    return np.array(sorted(r.g for r in mixed.orderBy(F.desc("rest"), "g").limit(LATE).collect()), np.int64)
+
+
+def _prefixed_again(distinct: DataFrame, live: DataFrame, docs: DataFrame, common: np.ndarray, late: np.ndarray) -> DataFrame:
+    """distinct, with late shingles last too: prefixes that have none of these are the same in the new order."""
+    spark = docs.sparkSession
+    moved = F.broadcast(spark.createDataFrame(pd.DataFrame({"g": late})))  # at most LATE numbers
+    touched = cut(live.join(moved, "g", "left_semi").select("node").distinct())
+    ids = touched.select(F.col("node").alias("doc_id"))
+    some = docs.join(F.broadcast(ids), "doc_id", "left_semi") if touched.count() <= FEW else matched(docs, ids, ["doc_id"], "left_semi")
+    fresh = some.select(F.col("doc_id").alias("node"), _prefixes(np.union1d(common, late))("text").alias("s")).select("node", "s.*").dropDuplicates(["node", "whole"])
+    fresh = matched(fresh, distinct.select("node", "whole"), ["node", "whole"], "left_semi")
+    return cut(matched(distinct, touched, ["node"], "left_anti").unionByName(fresh.select(*distinct.columns)))

@@ -223,7 +223,7 @@ def _kept(path: str, with_ids: bool) -> Kept:
         return (a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}", *((a[3] + b[3],) if with_ids else ()))
 
     parts = own.encode("Ab,") == own.encode("ab") + own.encode(",") == [*own.encode("AB"), *own.encode(",")]
-    return Kept(make, 60_000 if with_ids else 250_000, join if parts else None)
+    return Kept(make, 30_000 if with_ids else 250_000, join if parts else None)
 
 
 def _joined(found: list[tuple]) -> np.ndarray:

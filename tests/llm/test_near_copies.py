@@ -92,6 +92,21 @@ def test_chains_of_copies_whatever_is_connected_early(spark, monkeypatch, pivote
     assert found(spark, rows) == want and len(set(want.values())) < 40
 
 
+def test_shingles_that_many_texts_share_are_put_last(spark, monkeypatch):
+    """A line in many texts, which no sample shows; some of the texts are copies of each other besides."""
+    monkeypatch.setattr(near_copies, "COMMON", 1)
+    rng = random.Random(10)
+    line, rows = [f"s{i}" for i in range(14)], []
+    for k in range(120):
+        own = [f"t{k}_{i}" for i in range(rng.choice([12, 20, 60]))]
+        rows += [(len(rows) + j, " ".join(edited(rng, own, j % 2) + line)) for j in range(rng.choice([1, 1, 2]))]
+    tried = []
+    again = near_copies._prefixed_again
+    monkeypatch.setattr(near_copies, "_prefixed_again", lambda *a: tried.append(len(a[-1])) or again(*a))
+    want = brute(rows)
+    assert found(spark, rows) == want and len(set(want.values())) < len(rows) and tried and tried[0] > 0
+
+
 def test_very_long_near_copies(spark):
     """Copies of 20,000 words, each edited in places of its own; few pairs are listed."""
     rng = random.Random(9)
