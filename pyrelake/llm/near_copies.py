@@ -141,9 +141,10 @@ def _pivots(live: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (u, v) between texts and the pivots of the long lists that they are in: live has (g, node, n, pos, size)."""
     spark = docs.sparkSession
     links = spark.createDataFrame([], "u long, v long")
-    many = live.where(F.col("size") >= PIVOTED).select("g", "node", "n", F.col("node").alias("component"))
-    if many.isEmpty():
+    base = cut(live.where(F.col("size") >= PIVOTED).select("g", "node", "n"))
+    if base.isEmpty():
         return links
+    many = base.withColumn("component", F.col("node"))
     for k in range(ROUNDS):
         pivots = many.groupBy("g").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n", "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high"))
         pivots = pivots.where("low < high").select("g", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_v"), F.col("p.component").alias("own"))
@@ -153,7 +154,7 @@ def _pivots(live: DataFrame, docs: DataFrame) -> DataFrame:
         if new.isEmpty():
             break
         links = cut(links.unionByName(new))
-        many = cut(_grouped(many, links))
+        many = _grouped(base, links)  # kept once, and named again each round
     return links
 
 
@@ -197,11 +198,12 @@ def _live(distinct: DataFrame) -> DataFrame:
     """(g, node, n, pos, size) of the postings that more than one set has."""
     posted = distinct.select("node", "n", F.posexplode("prefix").alias("pos", "g"))
     sizes = cut(posted.groupBy("g").agg(F.count("*").alias("size")).where("size > 1"))
-    return cut(matched(posted, sizes, ["g"]))
+    return matched(posted, sizes, ["g"])
 
 
 def _named(live: DataFrame, links: DataFrame) -> DataFrame:
-    return live.withColumn("component", F.col("node")) if links.isEmpty() else cut(_grouped(live, links))
+    """live with components, kept: postings are many, and checkpoints stay."""
+    return cut(live.withColumn("component", F.col("node")) if links.isEmpty() else _grouped(live, links))
 
 
 def _late(live: DataFrame) -> np.ndarray:
