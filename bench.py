@@ -1,6 +1,6 @@
 """Times the catalogue's headline queries: prints one JSON line. BENCH_SF_DIR and BENCH_CPUS choose data and cores.
 
-Beside them it gives rows a second of the two passes' heaviest sums over BENCH_ROWS daily rows (30 million; 0: none):
+Beside them it gives rows a second of the two passes' heaviest sums over BENCH_ROWS daily rows (10 million; 0: none):
 the given tables' daily values, repeated for other cells and stored as days and by cell.
 """
 
@@ -61,7 +61,7 @@ def main() -> None:
         began = time.time()
         found[name](spark, sf).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - began, 3)
-    wanted = int(os.environ.get("BENCH_ROWS", "30000000"))
+    wanted = int(os.environ.get("BENCH_ROWS", "10000000"))
     rows = {"rows_a_second": many_rows(spark, sf, wanted)} if wanted else {}
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, **rows, "sf": os.path.basename(sf.rstrip("/"))}))
     spark.stop()
