@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import op6_embeddings as op6
 from . import op9_line_dedup as op9
+from . import op12_spelling as op12
 from . import op13_hard_negatives as op13
 from .op1_quality import op1_quality
 from .op2_token_files import op2_token_files
@@ -14,7 +15,6 @@ from .op7_decontamination import op7_decontamination
 from .op8_token_counts import op8_token_counts
 from .op10_language import op10_language
 from .op11_toxicity import op11_toxicity
-from .op12_spelling import op12_spelling
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -28,7 +28,7 @@ QUERIES = {
     "op9_line_dedup": op9.op9_line_dedup,
     "op10_language": op10_language,
     "op11_toxicity": op11_toxicity,
-    "op12_spelling": op12_spelling,
+    "op12_spelling": op12.op12_spelling,
     "op13_hard_negatives": op13.op13_hard_negatives,
 }
-ORACLE_SQL = {"op6_embeddings": op6.ORACLE_SQL, "op9_line_dedup": op9.ORACLE_SQL, "op13_hard_negatives": op13.ORACLE_SQL}
+ORACLE_SQL = {"op6_embeddings": op6.ORACLE_SQL, "op9_line_dedup": op9.ORACLE_SQL, "op12_spelling": op12.ORACLE_SQL, "op13_hard_negatives": op13.ORACLE_SQL}

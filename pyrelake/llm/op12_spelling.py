@@ -73,39 +73,45 @@ def _first_equal() -> Column:
 
 
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
-    """(u, v, n_u, n_v): every pair of words (word, n) that differ by one inserted, deleted or replaced letter, once."""
+    """(u, v, n_u, n_v): every pair of words (word, n) that differ by one inserted, deleted or replaced letter, once.
+
+    Keys are hashes, so that rows stay short: what meets is held against the words themselves, and found twice counts once.
+    """
     known = vocabulary.select("word", "n", F.length("word").alias("size"), mask(F.col("word")).alias("mask"))
     # role 1: a word under the length one shorter, where the words that it has a letter more than are
-    entries = F.array(*[F.struct(F.lit(k).alias("band"), _band(k).alias("bits"), (F.col("size") - role).alias("len"), F.lit(role).alias("role")) for k in range(BANDS) for role in (0, 1)])
-    posted = known.select("word", "n", "mask", F.explode(entries).alias("e")).select("word", "n", "mask", "e.*")
-    key = ["band", "bits", "len"]
-    sizes = cut(posted.groupBy(*key).agg(F.count("*").alias("listed"), F.sum("role").alias("probes")).where("listed > 1 AND listed > probes").select(*key, "listed"))
-    live = cut(matched(posted, sizes, key))
-    sides = [live.where(F.col("listed") <= LARGE).select(*key, *[F.col(c).alias(f"{c}_{x}") for c in ("word", "n", "mask", "role")]) for x in "uv"]
-    once = _first_equal() == F.col("band")
+    entries = F.array(*[F.struct(F.xxhash64(F.lit(k), _band(k), F.col("size") - role).alias("key"), F.lit(2 * k + role).cast("byte").alias("tag")) for k in range(BANDS) for role in (0, 1)])
+    posted = known.select("word", "n", "mask", F.explode(entries).alias("e")).select("e.*", "word", "n", "mask")
+    sizes = cut(posted.groupBy("key").agg(F.count("*").alias("listed"), F.sum(F.col("tag") % 2).alias("probes")).where("listed > 1 AND listed > probes").select("key", "listed"))
+    live = cut(matched(posted, sizes, ["key"]))
+    small, large = live.where(F.col("listed") <= LARGE).drop("listed"), live.where(F.col("listed") > LARGE).drop("listed")
     # of two equally long words one comes first; of two others the shorter one is u
-    met = matched(*sides, key).where("role_u = 0 AND (role_v = 1 OR word_u < word_v)").where(F.bit_count(F.col("mask_u").bitwiseXOR(F.col("mask_v"))) <= 2).where(once)
-    listed = met.where(F.levenshtein("word_u", "word_v", 1) == 1)
-    return listed.select(F.col("word_u").alias("u"), F.col("word_v").alias("v"), F.col("n_u"), F.col("n_v")).unionByName(_large(live.where(F.col("listed") > LARGE), key))
+    met = matched(_side(small, "u"), _side(small, "v"), ["key"]).where("tag_u % 2 = 0 AND (tag_v % 2 = 1 OR word_u < word_v)")
+    return _verified(met).unionByName(_verified(_large(large))).distinct()
 
 
-def _large(live: DataFrame, key: list[str]) -> DataFrame:
-    """The near pairs of the large lists, by their words with a letter left out."""
-    word, size = F.col("word"), F.length("word")
-    without = F.transform(F.sequence(F.lit(1), size), lambda p: F.struct(p.alias("place"), F.concat(F.substring(word, F.lit(1), p - 1), F.substring(word, p + 1, size)).alias("rest")))
-    left = live.select(*key, "word", "n", "mask", "role", F.explode(without).alias("w")).select(*key, "word", "n", "mask", "role", "w.*")
-    once = _first_equal() == F.col("band")
+def _side(of: DataFrame, x: str) -> DataFrame:
+    return of.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("word", "n", "mask", "tag")])
+
+
+def _verified(met: DataFrame) -> DataFrame:
+    """The pairs that are near, under the first band in which they are equal."""
+    met = met.where(F.bit_count(F.col("mask_u").bitwiseXOR(F.col("mask_v"))) <= 2).where((_first_equal() == F.floor(F.col("tag_u") / 2)) & (F.floor(F.col("tag_u") / 2) == F.floor(F.col("tag_v") / 2)))
+    return met.where(F.levenshtein("word_u", "word_v", 1) == 1).select(F.col("word_u").alias("u"), F.col("word_v").alias("v"), "n_u", "n_v")
 
-    def side(of: DataFrame, x: str, on: list[str]) -> DataFrame:
-        return of.select(*key, *on, *[F.col(c).alias(f"{c}_{x}") for c in ("word", "n", "mask")])
 
-    swaps = [side(left.where("role = 0"), x, ["place", "rest"]) for x in "uv"]
-    swapped = matched(*swaps, [*key, "place", "rest"]).where("word_u < word_v")
-    whole = side(live.where("role = 0").withColumn("rest", word), "u", ["rest"])
+def _large(live: DataFrame) -> DataFrame:
+    """The words of large lists that agree with a letter left out, or with another word that has a letter less."""
+    word, size = F.col("word"), F.length("word")
+    without = lambda p: F.concat(F.substring(word, F.lit(1), p - 1), F.substring(word, p + 1, size))
+    places = F.sequence(F.lit(1), size)
+    keyed = lambda of, keys: of.select(F.explode(keys).alias("key"), "word", "n", "mask", "tag")
+    same, more = live.where("tag % 2 = 0"), live.where("tag % 2 = 1")
+    swaps = keyed(same, F.transform(places, lambda p: F.xxhash64("key", p, without(p))))
+    swapped = matched(_side(swaps, "u"), _side(swaps, "v"), ["key"]).where("word_u < word_v")
+    whole = same.select(F.xxhash64("key", F.lit(0), word).alias("key"), "word", "n", "mask", "tag")
     # of letters that stand twice in a row either may be left out
-    longer = side(left.where("role = 1").dropDuplicates([*key, "word", "rest"]), "v", ["rest"])
-    dropped = matched(whole, longer, [*key, "rest"])
-    return swapped.select("band", "word_u", "word_v", "n_u", "n_v", "mask_u", "mask_v").unionByName(dropped.select("band", "word_u", "word_v", "n_u", "n_v", "mask_u", "mask_v")).where(once).select(F.col("word_u").alias("u"), F.col("word_v").alias("v"), "n_u", "n_v")
+    longer = keyed(more, F.array_distinct(F.transform(places, lambda p: F.xxhash64("key", F.lit(0), without(p)))))
+    return swapped.unionByName(matched(_side(whole, "u"), _side(longer, "v"), ["key"]).select(*swapped.columns))
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -141,3 +147,26 @@ def spelling_variants(docs: DataFrame) -> DataFrame:
 
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+#: The checksum by its definition: a table of 256 remainders, and a step a byte of UTF-8.
+_BYTES = "flatten(list_transform(string_split({s}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [192 + (CAST(ord(c) AS BIGINT) >> 6), 128 + (CAST(ord(c) AS BIGINT) & 63)] END))"
+_CRC = f"xor(list_reduce([4294967295] || {_BYTES}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+ORACLE_SQL = f"""
+WITH RECURSIVE tbl AS (SELECT list(v ORDER BY n) AS t FROM (SELECT n, list_reduce([n] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS n))),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{WORD}')) AS run FROM documents WHERE text IS NOT NULL),
+uniq AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS s, run, count(*) AS k FROM runs GROUP BY 1, 2),
+hashed AS (SELECT run, k, {_CRC.format(s="s")} AS h FROM uniq, tbl),
+words AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+vocab AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM words WHERE length(word) >= {MIN_LENGTH} GROUP BY 1 HAVING sum(k) >= {MIN_COUNT}),
+cuts AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM vocab)),
+near AS (
+  SELECT a.word AS u, b.word AS v, b.n AS n FROM cuts a JOIN cuts b ON a.p = b.p AND a.rest = b.rest WHERE a.word <> b.word
+  UNION SELECT c.word, v.word, v.n FROM cuts c JOIN vocab v ON c.rest = v.word
+  UNION SELECT v.word, c.word, c.n FROM cuts c JOIN vocab v ON c.rest = v.word),
+ranked AS (SELECT u, v, n, count(*) OVER (PARTITION BY u) AS n_near, row_number() OVER (PARTITION BY u ORDER BY n DESC, v) AS k FROM near),
+formed AS (SELECT v.word, v.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= {TIMES} * v.n THEN r.v END AS form, CASE WHEN r.n >= {TIMES} * v.n THEN r.n END AS form_n FROM vocab v LEFT JOIN ranked r ON r.u = v.word AND r.k = 1),
+ways(word, tip) AS (SELECT word, word FROM formed UNION ALL SELECT w.word, f.form FROM ways w JOIN formed f ON f.word = w.tip WHERE f.form IS NOT NULL),
+ends AS (SELECT w.word, w.tip AS root FROM ways w JOIN formed f ON f.word = w.tip WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e ON e.word = f.word
+"""
