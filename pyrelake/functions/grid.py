@@ -61,7 +61,7 @@ def equal_earth(lon: Column, lat: Column) -> tuple[Column, Column]:
 
 
 def equal_earth_inverse(x: Column, y: Column, rounds: int = 8) -> tuple[Column, Column]:
-    """Longitude and latitude in degrees, by Newton's method; NULL off the map."""
+    """Longitude and latitude in degrees, by Newton's method; NULL off the map, whose edge counts as on it however it is rounded."""
     a1, a2, a3, a4 = 1.340264, -0.081106, 0.000893, 0.003796
 
     def step(t: Column, _: Column) -> Column:
@@ -74,5 +74,6 @@ def equal_earth_inverse(x: Column, y: Column, rounds: int = 8) -> tuple[Column,
     t6 = t2 * t2 * t2
     sine = F.sin(t) * (2 / 3**0.5)
     lon = F.degrees(x * 3 * (a1 + 3 * a2 * t2 + t6 * (7 * a3 + 9 * a4 * t2)) / (2 * 3**0.5 * F.cos(t)))
-    inside = (F.abs(sine) <= 1) & (F.abs(lon) <= 180)
-    return F.when(inside, lon), F.when(inside, F.degrees(F.asin(sine)))
+    inside = (F.abs(sine) <= 1 + 1e-12) & (F.abs(lon) <= 180 + 1e-9)
+    held = lambda v, most: F.greatest(F.least(v, F.lit(most)), F.lit(-most))
+    return F.when(inside, held(lon, 180.0)), F.when(inside, F.degrees(F.asin(held(sine, 1.0))))

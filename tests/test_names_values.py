@@ -62,3 +62,13 @@ def test_settings(tmp_path):
     (tmp_path / "b.toml").write_text(text.replace("seed = 1\n", ""))
     with pytest.raises(ValueError, match="seed"):
         load(tmp_path / "b.toml")
+
+
+def test_the_edge_of_the_map_is_on_it(spark):
+    """The date line at every row: rounded, it may come out beyond 180 degrees."""
+    edge = spark.range(-359, 360).select((F.col("id") / 4).alias("lat"), F.explode(F.array(F.lit(-180.0), F.lit(180.0))).alias("lon"))
+    on = edge.select("lat", "lon", *[c.alias(n) for c, n in zip(grid.equal_earth(F.col("lon"), F.col("lat")), "xy", strict=True)])
+    back = on.select("lat", "lon", *[c.alias(n) for c, n in zip(grid.equal_earth_inverse(F.col("x"), F.col("y")), ("lon2", "lat2"), strict=True)])
+    assert back.where("lon2 IS NULL OR abs(lon2) > 180 OR abs(lon - lon2) > 1e-8 OR lat2 IS NULL OR abs(lat - lat2) > 1e-6").count() == 0
+    off = on.where("lat = 10").select(*grid.equal_earth_inverse(F.col("x") * 1.001, F.col("y"))).union(on.where("abs(lat) > 89").select(*grid.equal_earth_inverse(F.col("x") / 2, F.col("y") * 1.01)))
+    assert off.count() > 2 and {tuple(r) for r in off.collect()} == {(None, None)}
