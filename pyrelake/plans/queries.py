@@ -384,12 +384,13 @@ def _files(d: Data) -> DataFrame:
     return testdata.table(d.spark, d.sf, "supplier").select(k.alias("k"), F.col("s_nationkey").alias("nation"), path.alias("path"), (100 + k).alias("size"), F.sha2("s_name", 256).alias("digest"))
 
 
-def _listing(d: Data) -> DataFrame:
+def _listing(d: Data, files: DataFrame | None = None) -> DataFrame:
     """A page of the archive's JSON for every nation, read again; links of half the files are relative, and digests in capitals."""
+    files = _files(d) if files is None else files
     href = F.concat(F.when(F.col("k") % 2 == 0, "/api/").otherwise("https://host.example/api/"), F.col("path"))
     link = F.struct(F.struct(href.alias("href")).alias("stash:download"))
     file = F.struct("path", "size", F.lit("sha-256").alias("digestType"), F.upper("digest").alias("digest"), link.alias("_links"))
-    pages = _files(d).groupBy("nation").agg(F.collect_list(file).alias("files"))
+    pages = files.groupBy("nation").agg(F.collect_list(file).alias("files"))
     return listing.entries(pages.select(F.to_json(F.struct(F.struct(F.col("files").alias("stash:files")).alias("_embedded"))).alias("json")), "https://archive.example")
 
 
@@ -407,11 +408,15 @@ def years_wanted(d: Data) -> DataFrame:
 
 
 def file_status(d: Data) -> DataFrame:
-    """Local copies: of seven files one is not there, one is half, one is another, and one has not been read."""
+    """Local copies: of seven files one is not there, one is half, one is another, and one has not been read.
+
+    Names come again every 200 years, so each file is in a folder of its own.
+    """
+    files = _files(d).withColumn("path", F.concat_ws("/", F.col("k"), "path"))
     kind = F.col("k") % 7
     size, digest = F.when(kind == 1, F.floor(F.col("size") / 2)).otherwise(F.col("size")), F.when(kind == 2, F.sha2("path", 256)).when(kind != 3, F.col("digest"))
-    local = _files(d).where(kind != 0).select("path", size.cast("long").alias("size"), digest.alias("sha256"))
-    return listing.status(_listing(d), local)
+    local = files.where(kind != 0).select("path", size.cast("long").alias("size"), digest.alias("sha256"))
+    return listing.status(_listing(d, files), local).withColumn("path", F.substring_index("path", "/", -1))
 
 
 def status_counts(d: Data) -> DataFrame:

@@ -37,3 +37,12 @@ def test_states_of_files(spark):
     files = spark.createDataFrame([(p, 10, d) for p, d in (("a", "x"), ("b", "x"), ("c", "x"), ("d", "x"), ("e", None), ("f", "x"))], "path string, size long, sha256 string")
     local = spark.createDataFrame([("b", 9, "x"), ("c", 10, "x"), ("d", 10, "y"), ("e", 10, "y"), ("f", 11, None)], "path string, size long, sha256 string")
     assert {r.path: r.status for r in listing.status(files, local).collect()} == {"a": "missing", "b": "partial", "c": "verified", "d": "corrupt", "e": "complete-unverified", "f": "complete-unverified"}
+
+
+def test_a_path_is_one_local_file(spark):
+    """Listed twice it is two rows; there twice it is refused."""
+    files = spark.createDataFrame([("a", 10, "x"), ("a", 10, "y"), ("b", 10, "x")], "path string, size long, sha256 string")
+    local = spark.createDataFrame([("a", 10, "x")], "path string, size long, sha256 string")
+    assert sorted(map(tuple, listing.status(files, local).collect())) == [("a", "corrupt"), ("a", "verified"), ("b", "missing")]
+    with pytest.raises(Exception, match="a: more than one local file"):
+        listing.status(files, local.union(local)).collect()
