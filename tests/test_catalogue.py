@@ -46,7 +46,7 @@ def test_query_matches_sql(spark, sf, duck, name):
     assert sorted(tuple(map(plain, r)) for r in df.select(*order).collect()) == want and want
 
 
-@pytest.mark.parametrize("name", ["file_status"])
+@pytest.mark.parametrize("name", ["file_status", "status_counts"])
 def test_files_of_one_name_have_states_of_their_own(spark, tmp_path, name):
     """Suppliers beyond 400, whose files have the names of earlier ones."""
     spark.sql("SELECT id AS s_suppkey, concat('S', id) AS s_name, CAST(id % 25 AS INT) AS s_nationkey FROM range(1300)").write.parquet(f"{tmp_path}/supplier.parquet")
