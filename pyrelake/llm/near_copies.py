@@ -3,8 +3,8 @@
 The shingles of a text stand in one order for all texts. Two sets that are similar enough share one of their first
 n // 5 + 1 shingles (n: a set's size), so texts are posted under those alone. A pair's shared postings are tallied;
 sizes, places in the order and the tally leave out pairs that cannot reach the similarity, and the rest are verified
-on the whole sets. The order has the shingles last that a sample of the documents shows to be common; it decides what
-is compared, never what is found.
+on the whole sets. The order has the shingles last that a sample of the documents shows to be common, the most
+common at the very end; it decides what is compared, never what is found.
 Groups of copies are connected before pairs are listed: in each of a few rounds the members of a long posting list
 are compared with one of them, its pivot, which most of the lists of a group agree on. A round costs a row a posting
 and verifies a few pairs a text. Long lists that hold several groups even so are of shingles that many texts share
@@ -71,14 +71,17 @@ def _sets():
     return sets.asNondeterministic()  # or filters on what it gives would run it again, below the joins that leave few rows
 
 
-def _prefixes(common: np.ndarray):
-    """A column function: text -> (whole, n, prefix), prefix the first n // 5 + 1 shingles of the order that has common ones last."""
+def _prefixes(last: np.ndarray):
+    """A column function: text -> (whole, n, prefix), prefix the first n // 5 + 1 shingles of the order that has last at its end, as it stands."""
+    place = np.argsort(last, kind="stable")
+    sorted_last = last[place]
 
     def prefix(grams: np.ndarray) -> np.ndarray:
-        if not len(grams):
-            return grams
-        late = common[np.minimum(np.searchsorted(common, grams), len(common) - 1)] == grams if len(common) else np.zeros(len(grams), bool)
-        return np.concatenate([grams[~late], grams[late]])[: len(grams) // 5 + 1]
+        if not len(grams) or not len(last):
+            return grams[: len(grams) // 5 + 1]
+        at = np.minimum(np.searchsorted(sorted_last, grams), len(last) - 1)
+        late = sorted_last[at] == grams
+        return np.concatenate([grams[~late], grams[late][np.argsort(place[at[late]])]])[: len(grams) // 5 + 1]
 
     @F.pandas_udf("struct<whole:long,n:int,prefix:array<long>>")
     def prefixes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -90,10 +93,10 @@ def _prefixes(common: np.ndarray):
 
 
 def _common(docs: DataFrame) -> np.ndarray:
-    """The shingles that most documents of a sample share, in ascending order."""
+    """The shingles that most documents of a sample share, the most common last."""
     some = docs.sample(min(1.0, SAMPLE / max(1, docs.count())), 7).select(_sets()("text").alias("s")).select("s.whole", "s.grams").dropDuplicates(["whole"])
     rows = some.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count("*").alias("k")).where("k > 2").orderBy(F.desc("k"), "g").limit(COMMON).collect()
-    return np.array(sorted(r.g for r in rows), np.int64)
+    return np.array([r.g for r in reversed(rows)], np.int64)
 
 
 def _alike() -> Column:
@@ -131,19 +134,21 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return cut(both.where(9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b"))).select("u", "v").distinct())
 
 
-def _grouped(live: DataFrame, links: DataFrame) -> DataFrame:
-    """live with the component that links put each node in."""
-    named = components(links).select("node", "component").distinct()
+def _grouped(live: DataFrame, named: DataFrame) -> DataFrame:
+    """live with the component that named (node, component) puts each node in."""
     return matched(live.drop("component"), named, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _pivots(live: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (u, v) between texts and the pivots of the long lists that they are in: live has (g, node, n, pos, size)."""
+def _pivots(live: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Links (u, v) between texts and the pivots of the long lists that they are in, and the components (node, component) of these.
+
+    live has (g, node, n, pos, size); without links there are no components.
+    """
     spark = docs.sparkSession
-    links = spark.createDataFrame([], "u long, v long")
+    links, named = spark.createDataFrame([], "u long, v long"), None
     base = cut(live.where(F.col("size") >= PIVOTED).select("g", "node", "n"))
     if base.isEmpty():
-        return links
+        return links, named
     many = base.withColumn("component", F.col("node"))
     for k in range(ROUNDS):
         pivots = many.groupBy("g").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n", "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -153,9 +158,12 @@ def _pivots(live: DataFrame, docs: DataFrame) -> DataFrame:
         new = _verified(met.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")), docs)
         if new.isEmpty():
             break
-        links = cut(links.unionByName(new))
-        many = _grouped(base, links)  # kept once, and named again each round
-    return links
+        links = links.unionByName(new)  # checkpoints each
+        # what is connected already goes in as stars
+        named = components(new if named is None else new.unionByName(named.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+        named = named.select("node", "component").distinct()
+        many = _grouped(base, named)  # kept once, and named again each round
+    return links, named
 
 
 def _tallied(live: DataFrame) -> DataFrame:
@@ -186,11 +194,11 @@ def near_links(docs: DataFrame) -> DataFrame:
     distinct = cut(own.groupBy("whole").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
     same = cut(matched(own.select("whole", F.col("doc_id").alias("u")), distinct.select("whole", F.col("node").alias("v")), ["whole"]).where("u != v").select("u", "v").distinct())
     live = _live(distinct)
-    links = _pivots(live, docs)
-    live = _named(live, links)
+    links, named = _pivots(live, docs)
+    live = _named(live, named)
     late = _late(live)
     if len(late):
-        live = _named(_live(_prefixed_again(distinct, live, docs, common, late)), links)
+        live = _named(_live(_prefixed_again(distinct, live, docs, common, late)), named)
     return same.unionByName(links).unionByName(_verified(_tallied(live), docs))
 
 
@@ -201,25 +209,25 @@ def _live(distinct: DataFrame) -> DataFrame:
     return matched(posted, sizes, ["g"])
 
 
-def _named(live: DataFrame, links: DataFrame) -> DataFrame:
+def _named(live: DataFrame, named: DataFrame | None) -> DataFrame:
     """live with components, kept: postings are many, and checkpoints stay."""
-    return cut(live.withColumn("component", F.col("node")) if links.isEmpty() else _grouped(live, links))
+    return cut(live.withColumn("component", F.col("node")) if named is None else _grouped(live, named))
 
 
 def _late(live: DataFrame) -> np.ndarray:
-    """The shingles of long lists that hold texts of several groups, in ascending order."""
+    """The shingles of long lists that hold texts of several groups, the longest lists last."""
     groups = live.where(F.col("size") > SMALL_BUCKET).groupBy("g", "component").agg(F.count("*").alias("k"))
     mixed = groups.groupBy("g").agg((F.sum("k") - F.max("k")).alias("rest")).where("rest > 0")
-    return np.array(sorted(r.g for r in mixed.orderBy(F.desc("rest"), "g").limit(LATE).collect()), np.int64)
+    return np.array([r.g for r in reversed(mixed.orderBy(F.desc("rest"), "g").limit(LATE).collect())], np.int64)
 
 
 def _prefixed_again(distinct: DataFrame, live: DataFrame, docs: DataFrame, common: np.ndarray, late: np.ndarray) -> DataFrame:
-    """distinct, with late shingles last too: prefixes that have none of these are the same in the new order."""
+    """distinct, with late shingles last too, before the common ones: prefixes that have none of these are the same in the new order."""
     spark = docs.sparkSession
     moved = F.broadcast(spark.createDataFrame(pd.DataFrame({"g": late})))  # at most LATE numbers
     touched = cut(live.join(moved, "g", "left_semi").select("node").distinct())
     ids = touched.select(F.col("node").alias("doc_id"))
     some = docs.join(F.broadcast(ids), "doc_id", "left_semi") if touched.count() <= FEW else matched(docs, ids, ["doc_id"], "left_semi")
-    fresh = some.select(F.col("doc_id").alias("node"), _prefixes(np.union1d(common, late))("text").alias("s")).select("node", "s.*").dropDuplicates(["node", "whole"])
+    fresh = some.select(F.col("doc_id").alias("node"), _prefixes(np.concatenate([late[~np.isin(late, common)], common]))("text").alias("s")).select("node", "s.*").dropDuplicates(["node", "whole"])
     fresh = matched(fresh, distinct.select("node", "whole"), ["node", "whole"], "left_semi")
     return cut(matched(distinct, touched, ["node"], "left_anti").unionByName(fresh.select(*distinct.columns)))

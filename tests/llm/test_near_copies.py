@@ -125,3 +125,10 @@ def test_the_stage_drops_copies_beyond_two_bits(spark, sf):
     rows = [(1, " ".join(base)), (2, copy), (3, "another text of some words altogether"), (None, copy)]
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS + ", lang string, source string, n_chars long")
     assert sorted(str(r.doc_id) for r in cp.distinct_documents(spark, docs, sf).collect()) == ["1", "3", "None"]
+
+
+def test_of_shingles_that_are_put_last_the_rarest_come_first(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    last = near_copies.shingles(text)[::-1].copy()  # 26, the first of them the rarest
+    df = spark.createDataFrame([(1, text)], DOCS)
+    assert df.select(near_copies._prefixes(last)("text").alias("s")).first().s.prefix == last[:6].tolist()
