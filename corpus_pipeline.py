@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyrelake.llm.common import components, cut, matched, small_batches, table, unused
-from pyrelake.llm.near_copies import FEW, WIDTH, near_links
+from pyrelake.llm.common import beside, components, cut, gathered, matched, small_batches, table, unused
+from pyrelake.llm.near_copies import WIDTH, near_links
 from pyrelake.llm.op4_bpe import encode_and_check
 from pyrelake.llm.op5_simhash import simhash_groups
 from pyrelake.llm.op7_decontamination import without_leaks
@@ -54,10 +54,8 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     small_batches(spark)
     alike = simhash_groups(docs, WIDTH).where("doc_id != component_id").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
     gone = cut(components(alike.unionByName(near_links(docs))).where("node != component").select(F.col("node").alias("doc_id")).distinct())
-    docs = one_of_each(docs)
-    # a few ids go to the documents; where they are many, the documents are dealt out to the ids
-    left = docs.join(F.broadcast(gone), "doc_id", "left_anti") if gone.count() <= FEW else matched(docs, gone, ["doc_id"], "left_anti")
-    return left.select(*docs.columns)
+    docs, n = one_of_each(docs), gone.count()
+    return beside(docs, gathered(gone, n), ["doc_id"], n, "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

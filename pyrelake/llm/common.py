@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Largest number of members of a bucket whose pairs are listed one by one; larger buckets take an exact way without pairs.
 SMALL_BUCKET = 64
+#: Rows of a few numbers up to which a table is broadcast; of those of a checkpoint, about how many a task reads.
+FEW, A_TASK = 500_000, 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +79,19 @@ def matched(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner"
     return left.withColumn(name, twin).join(right.withColumn(name, twin), [*on, name], how).drop(name)
 
 
+def beside(left: DataFrame, right: DataFrame, on: list[str], rows: int, how: str = "inner") -> DataFrame:
+    """left joined to right, which has so many rows of a few numbers: FEW go to every task, and more are matched."""
+    return left.join(F.broadcast(right), on, how) if rows <= FEW else matched(left, right, on, how)
+
+
+def gathered(df: DataFrame, rows: int, a_task: int = A_TASK) -> DataFrame:
+    """df, a checkpoint of so many rows, read by as many tasks as these are worth, and eight at least, whatever its files are.
+
+    Where small tables are gone through again and again, it is tasks that cost time, and disk for what they log and write.
+    """
+    return df.coalesce(max(8, -(-rows // a_task)))
+
+
 def slices(batches, rows: int = 500):
     """Batches of a column function in smaller parts, which it may give back one by one: what it makes of a part is gone before the next."""
     for texts in batches:
@@ -104,19 +119,22 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in edges (u, v: long); component is the smallest node reachable.
 
     Alternating large-star and small-star steps: each round is two aggregations and two joins over
-    the edges, and rounds grow with the logarithm of the diameter. Null ends and loops are left out.
+    the edges, and rounds grow with the logarithm of the diameter. While edges are few, the least
+    ends go to every task instead of a join. Null ends and loops are left out.
     """
     flat = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
+    state = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+    pair = lambda a, b: F.struct(F.col(a).alias("u"), F.col(b).alias("v"))
     now, last = cut(flat.distinct()), None
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    own = state(now)
+    while own != last and own[0]:
+        last, now = own, gathered(now, own[0])
+        both = now.select(F.inline(F.array(pair("u", "v"), pair("v", "u"))))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = matched(both, least, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = beside(both, least, ["u"], 2 * own[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large if 2 * own[0] <= FEW else large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = matched(large, least, ["u"]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
-        now = cut(small.select("e.u", "e.v").where("u > v").distinct())
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == last:
-            break
-        last = state
+        now = cut(beside(large, least, ["u"], 2 * own[0]).select(F.inline(F.array(pair("v", "m"), pair("u", "m")))).where("u > v").distinct())
+        own = state(gathered(now, own[0]))
+    now = gathered(now, own[0])
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SMALL_BUCKET, components, cut, matched, slices
+from .common import SMALL_BUCKET, beside, components, cut, gathered, matched, slices
 
 WIDTH = 5
 #: Documents that the common shingles are read off, about, and how many of these are put last in the order.
@@ -32,8 +32,8 @@ SAMPLE, COMMON = 4_000, 50_000
 ROUNDS, PIVOTED, SHARE = 3, 8, 0.2
 #: Shingles of long lists of several groups that are put last, about; the longest lists first.
 LATE = 200_000
-#: Documents to fetch the texts of, up to which their ids (eight bytes each) are broadcast.
-FEW = 500_000
+#: Sets of shingles that a task reads from a checkpoint, about.
+SETS = 500
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -126,9 +126,15 @@ def _side(of: DataFrame, x: str, keys: list[str], more: list[str]) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) of ids that have texts with a Jaccard of 0.8 or more."""
     pairs = cut(pairs.distinct())
+    many = pairs.count()
+    if not many:
+        return pairs
+    pairs = gathered(pairs, many)
     ids = cut(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
-    some = docs.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= FEW else matched(docs, ids, ["doc_id"], "left_semi")
+    n = gathered(ids, many).count()
+    some = beside(docs, gathered(ids, n), ["doc_id"], n, "left_semi")
     grams = cut(some.select("doc_id", _sets()("text").alias("s")).select("doc_id", "s.whole", "s.grams").dropDuplicates(["doc_id", "whole"]).select("doc_id", "grams"))
+    grams = gathered(grams, n, SETS)
     both = matched(pairs, grams.select(F.col("doc_id").alias("u"), F.col("grams").alias("a")), ["u"])
     both = matched(both, grams.select(F.col("doc_id").alias("v"), F.col("grams").alias("b")), ["v"])
     return cut(both.where(9 * F.size(F.array_intersect("a", "b")) >= 4 * (F.size("a") + F.size("b"))).select("u", "v").distinct())
@@ -136,7 +142,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _grouped(live: DataFrame, named: DataFrame) -> DataFrame:
     """live with the component that named (node, component) puts each node in."""
-    return matched(live.drop("component"), named, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
+    return beside(live.drop("component"), named, ["node"], named.count(), "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def _pivots(live: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -147,8 +153,10 @@ def _pivots(live: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame | No
     spark = docs.sparkSession
     links, named = spark.createDataFrame([], "u long, v long"), None
     base = cut(live.where(F.col("size") >= PIVOTED).select("g", "node", "n"))
-    if base.isEmpty():
+    postings = base.count()
+    if not postings:
         return links, named
+    base = gathered(base, postings)
     many = base.withColumn("component", F.col("node"))
     for k in range(ROUNDS):
         pivots = many.groupBy("g").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n", "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -161,7 +169,8 @@ def _pivots(live: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame | No
         links = links.unionByName(new)  # checkpoints each
         # what is connected already goes in as stars
         named = components(new if named is None else new.unionByName(named.select(F.col("node").alias("u"), F.col("component").alias("v"))))
-        named = named.select("node", "component").distinct()
+        named = cut(named.select("node", "component").distinct())
+        named = gathered(named, named.count())
         many = _grouped(base, named)  # kept once, and named again each round
     return links, named
 
@@ -227,7 +236,7 @@ def _prefixed_again(distinct: DataFrame, live: DataFrame, docs: DataFrame, commo
     moved = F.broadcast(spark.createDataFrame(pd.DataFrame({"g": late})))  # at most LATE numbers
     touched = cut(live.join(moved, "g", "left_semi").select("node").distinct())
     ids = touched.select(F.col("node").alias("doc_id"))
-    some = docs.join(F.broadcast(ids), "doc_id", "left_semi") if touched.count() <= FEW else matched(docs, ids, ["doc_id"], "left_semi")
+    some = beside(docs, ids, ["doc_id"], touched.count(), "left_semi")
     fresh = some.select(F.col("doc_id").alias("node"), _prefixes(np.concatenate([late[~np.isin(late, common)], common]))("text").alias("s")).select("node", "s.*").dropDuplicates(["node", "whole"])
     fresh = matched(fresh, distinct.select("node", "whole"), ["node", "whole"], "left_semi")
     return cut(matched(distinct, touched, ["node"], "left_anti").unionByName(fresh.select(*distinct.columns)))
