@@ -6,8 +6,8 @@ sizes, places in the order and the tally leave out pairs that cannot reach the s
 on the whole sets. The order has the shingles last that a sample of the documents shows to be common, the most
 common at the very end; it decides what is compared, never what is found.
 Groups of copies are connected before pairs are listed: in each of a few rounds the members of a long posting list
-are compared with one of them, its pivot, which most of the lists of a group agree on. A round costs a row a posting
-and verifies a few pairs a text. Long lists that hold several groups even so are of shingles that many texts share
+are compared with a few of them, its pivots, which most of the lists of a group agree on. With several, groups are connected
+too of whose members only some are near each other. A round costs a few rows a posting and verifies a few pairs a text. Long lists that hold several groups even so are of shingles that many texts share
 and the sample missed: these are put last in the order too, which gives new prefixes to the texts of such lists and
 to no others. Then pairs are tallied, exactly, between texts that are not connected yet: within short
 lists all of them, and in long ones texts outside a list's largest connected group with the rest of the list.
@@ -27,9 +27,9 @@ from .common import SMALL_BUCKET, beside, components, cut, gathered, matched, sl
 WIDTH = 5
 #: Documents that the common shingles are read off, about, and how many of these are put last in the order.
 SAMPLE, COMMON = 4_000, 50_000
-#: Rounds of pivots, the shortest posting lists that have one, and the share of a text's prefix that it must have in common with
-#: a pivot to be compared. They decide how much is connected early, not what is found.
-ROUNDS, PIVOTED, SHARE = 3, 8, 0.2
+#: Rounds of pivots, how many a list has in a round, the shortest posting lists that have any, and the share of a text's prefix that it
+#: must have in common with a pivot to be compared. They decide how much is connected early, not what is found.
+ROUNDS, PIVOTS, PIVOTED, SHARE = 3, 8, 8, 0.2
 #: Shingles of long lists of several groups that are put last, about; the longest lists first.
 LATE = 200_000
 #: Sets of shingles that a task reads from a checkpoint, about.
@@ -159,8 +159,9 @@ def _pivots(live: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame | No
     base = gathered(base, postings)
     many = base.withColumn("component", F.col("node"))
     for k in range(ROUNDS):
-        pivots = many.groupBy("g").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "n", "component")).alias("p"), F.min("component").alias("low"), F.max("component").alias("high"))
-        pivots = pivots.where("low < high").select("g", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_v"), F.col("p.component").alias("own"))
+        least = [F.min(F.struct(F.xxhash64("node", F.lit(k * PIVOTS + j)).alias("h"), "node", "n", "component")) for j in range(PIVOTS)]
+        pivots = many.groupBy("g").agg(F.array(*least).alias("ps"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        pivots = pivots.select("g", F.inline(F.array_distinct(F.transform("ps", lambda p: F.struct(p["node"].alias("pivot"), p["n"].alias("n_v"), p["component"].alias("own"))))))
         met = matched(many.withColumnRenamed("n", "n_u"), pivots, ["g"]).where("component != own").where(_alike())
         met = met.groupBy("node", "pivot", "n_u", "n_v").agg(F.count("*").alias("tally")).where(F.col("tally") >= SHARE * (F.floor(F.col("n_u") / 5) + 1))
         new = _verified(met.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")), docs)

@@ -132,3 +132,12 @@ def test_of_shingles_that_are_put_last_the_rarest_come_first(spark):
     last = near_copies.shingles(text)[::-1].copy()  # 26, the first of them the rarest
     df = spark.createDataFrame([(1, text)], DOCS)
     assert df.select(near_copies._prefixes(last)("text").alias("s")).first().s.prefix == last[:6].tolist()
+
+
+def test_groups_that_share_their_lists_are_connected_in_one_round(spark, monkeypatch):
+    """Copies of two texts in the same lists: one pivot a list would connect the one group or the other."""
+    monkeypatch.setattr(near_copies, "ROUNDS", 1)
+    docs = [(k, " ".join([f"g{k // 6}w{i}" for i in range(60)] + [f"own{k}"])) for k in range(12)]
+    live = [(g, k, 57, g, 12) for g in range(12) for k in range(12)]
+    links, named = near_copies._pivots(spark.createDataFrame(live, "g long, node long, n int, pos int, size long"), spark.createDataFrame(docs, DOCS))
+    assert sorted((r.node, r.component) for r in named.collect()) == [(k, k // 6 * 6) for k in range(12)]
