@@ -66,16 +66,40 @@ class Kept:
                 some, size = [], 0
         yield from self._found(some)
 
+    def values(self, distinct: list[str]) -> list:
+        """The value of each of some distinct chunks."""
+        young = self.young
+        found = list(map(young.get, distinct))
+        places = [k for k, v in enumerate(found) if v is None]
+        if places:
+            missing = [distinct[k] for k in places]
+            made = self._ready(set(missing))
+            for k, c in zip(places, missing, strict=True):
+                found[k] = young[c]
+            self._age(made)
+        return found
+
     def _found(self, some: list[list[str]]):
+        young = self.young
+        missing = self._ready(set().union(*some).difference(young))
+        for parts in some:
+            yield list(map(young.__getitem__, parts))
+        self._age(missing)
+
+    def _ready(self, missing: set[str]) -> set[str]:
+        """Puts them into the younger generation, where they are not; gives them and the parts they were made of."""
         young, old = self.young, self.old
-        missing = set().union(*some).difference(young)
         if missing:
-            young.update((c, old[c]) for c in missing if c in old)
-            new = [c for c in missing if c not in young]
+            new = []
+            for c, v in zip(missing, map(old.get, missing), strict=True):
+                if v is None:
+                    new.append(c)
+                else:
+                    young[c] = v
             marked = {}
             if self.join:
                 for c in new:
-                    if c[-1] in MARKS and (word := c.rstrip(MARKS)) and word.lower().isalpha() and max(word) < LATIN:  # a dotted capital I ends in a mark
+                    if c[-1:] in MARKS and (word := c.rstrip(MARKS)) and word.lower().isalpha() and max(word) < LATIN:  # a dotted capital I ends in a mark
                         marked[c] = word, c[len(word) :]
             if marked:
                 whole = set(new).difference(marked)
@@ -87,10 +111,10 @@ class Kept:
             young.update(zip(new, self.make(new), strict=True))
             for c, (word, rest) in marked.items():
                 young[c] = self.join(young[word], young[rest])
-        for parts in some:
-            yield list(map(young.__getitem__, parts))
-        for c in missing:
-            if len(c) > LONG:
-                del young[c]
-        if len(young) > self.most:
-            self.young, self.old = {}, young
+        return missing
+
+    def _age(self, missing: set[str]) -> None:
+        for c in [c for c in missing if len(c) > LONG]:
+            del self.young[c]
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young

@@ -20,16 +20,20 @@ import operator
 import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import Kept
-from .common import checkpoint_dir, cut, table
+from .chunks import _SEPARATORS, LATIN, Kept
+from .common import checkpoint_dir, cut, give_back, table
+from .op4_bpe import _byte_symbols
 
 VOCABULARY, END = "word_bpe_49k.json", 1
 MAGIC = b"TIDS0001"
@@ -40,6 +44,8 @@ RECORD = np.dtype([("doc_id", "<i8"), ("no_id", "u1"), ("ids", "<u8"), ("end", "
 FILE_BYTES = 16 << 20
 #: Chunks in each generation that a worker keeps: short strings and a few bytes each.
 KEPT = 400_000
+#: Bytes of texts that are split, looked up and put together at once: chunks that come again among them are looked up once.
+GROUP = 8 << 20
 #: The dictionary's size, and the bounds of its sample: documents, and of each so many pieces of so many characters.
 DICTIONARY, SAMPLE, PIECES, PIECE, LEVEL = 64 << 10, 1000, 8, 2000, 3
 
@@ -121,9 +127,74 @@ class Reader:
         return np.frombuffer(self.open(read_file(uri, self.HEAD + n * RECORD.itemsize + begin, end - begin)), f"<u{width}")
 
 
+def _joined(kept: Kept, texts: pa.LargeStringArray) -> list[bytes]:
+    """What the chunks of each text give, one behind the other.
+
+    Arrow splits texts, finds the distinct chunks and puts the values together; only distinct chunks go through Python.
+    """
+    lists = pc.utf8_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))  # as chunks() does
+    each = lists.flatten().dictionary_encode()
+    # an index of a chunk and an end of its values is a number for each chunk of the group
+    found = pa.array(kept.values(each.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(each.indices)
+    _, ends, data = found.buffers()
+    if not len(found):
+        return [b""] * len(texts)
+    at = np.frombuffer(ends, np.int64, len(found) + 1, found.offset * 8)[np.asarray(lists.offsets) - lists.offsets[0].as_py()].tolist()
+    data = data.to_pybytes() if data else b""
+    return [data[a:b] for a, b in pairwise(at)]
+
+
+def _plain(t, together: Callable, width: int) -> Callable:
+    """together() with a short way for words of Latin letters, if the tokenizer gives for them what its model gives for their bytes in lower case.
+
+    They come through normalizing and pre-splitting as one piece, and these take longer than the merges.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    model = Tokenizer(t.model)
+    model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    suffix, size = getattr(t.model, "end_of_word_suffix", None), t.get_vocab_size(True)
+    if not suffix:
+        return together
+    last = np.array([(t.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+    symbols = np.array([ord(x) for x in _byte_symbols()], "<u2")
+    symbols[ord(" ")] = ord(" ")
+
+    def letters(words: list[str]) -> list[bytes] | None:
+        out = []
+        for k in range(0, len(words), 500):
+            some = words[k : k + 500]
+            text = " ".join(some)
+            if not text.isascii():
+                text = symbols[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+            ids = np.array(model.encode_batch_fast([text], add_special_tokens=False)[0].ids, f"<u{width}")
+            cuts = ((np.flatnonzero(last[ids]) + 1) * width).tolist()
+            if len(cuts) != len(some):
+                return None
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+        return out
+
+    every = [c for c in map(chr, range(ord(LATIN))) if c.lower().isalpha() and max(c.lower()) < LATIN]
+    tried = [*every, *(f"a{c}b" for c in every), "".join(every), *map("".join, pairwise(every))]
+    if letters([x.lower() for x in tried]) != together(tried):
+        return together
+
+    def made(new: list[str]) -> list[bytes]:
+        low = [c.lower() for c in new]
+        short = [c.isalpha() and (c.isascii() or max(c) < LATIN) for c in low]
+        found = letters([c for c, s in zip(low, short, strict=True) if s])
+        if found is None:
+            return together(new)
+        words, rest = iter(found), iter(together([c for c, s in zip(new, short, strict=True) if not s]))
+        return [next(words) if s else next(rest) for s in short]
+
+    return made
+
+
 @cache
 def _encoder(name: str) -> tuple:
-    """(texts -> their serialized ids, bytes an id); one for each worker process.
+    """(texts, an array -> their serialized ids, bytes an id); one for each worker process.
 
     Where the tokenizer drops white space, chunks between it are encoded by the library once and kept.
     """
@@ -159,15 +230,50 @@ def _encoder(name: str) -> tuple:
     mark = ids_of([MARK])
     # lower case, no white space, and words apart from marks
     if len(mark) == 1 and ids_of(["Ab, c \n\td"]) == ids_of(["ab", ",", "c", "d"]):
-        return (lambda texts, kept=Kept(together, KEPT, operator.add): map(b"".join, kept.of(texts))), width
-    return (lambda texts: (alone([x or ""])[0] for x in texts)), width
+        kept = Kept(_plain(t, together, width), KEPT, operator.add)
+
+        def encode(texts: pa.LargeStringArray) -> list[bytes]:
+            odd = pc.match_substring_regex(texts, f"[{_SEPARATORS}]")  # Arrow splits at these as well
+            if not pc.any(odd).as_py():
+                return _joined(kept, texts)
+            apart = map(b"".join, list(kept.of(texts.filter(odd).to_pylist())))
+            rest = iter(_joined(kept, texts.filter(pc.invert(odd))))
+            return [next(apart) if x else next(rest) for x in odd.to_pylist()]
+
+        return encode, width
+    return (lambda texts: [alone([x])[0] for x in texts.to_pylist()]), width
+
+
+def _groups(texts: pa.Array) -> Iterator[pa.LargeStringArray]:
+    """The texts in turn, about GROUP bytes at a time; nulls are empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if len(texts):
+        group = np.cumsum(pc.binary_length(texts).to_numpy()) // GROUP
+        yield from (texts[a:b] for a, b in pairwise([0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]))
 
 
 def serialized(texts, name: str = VOCABULARY, end: int | None = END) -> Iterator[bytes]:
+    """The serialized ids of each text (a list or an array of Arrow's) in order."""
     encode, width = _encoder(name)
     last = b"" if end is None else end.to_bytes(width, "little")
-    for data in encode(texts):
-        yield data + last
+    if not isinstance(texts, pa.Array):
+        texts = pa.array([x if x is None else x.encode("utf-8", "replace").decode() for x in texts], pa.large_string())
+    for group in _groups(texts):
+        for data in encode(group):
+            yield data + last
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together until they have GROUP bytes."""
+    some, size = [], 0
+    for batch in batches:
+        some.append(batch)
+        size += batch.nbytes
+        if size >= GROUP:
+            yield pa.Table.from_batches(some)
+            some, size = [], 0
+    if some:
+        yield pa.Table.from_batches(some)
 
 
 def _spread(text: Column) -> Column:
@@ -203,29 +309,30 @@ def write(docs: DataFrame, folder: str, name: str = VOCABULARY, end: int | None
     write_file(f"{folder}/{hashlib.sha256(shared).hexdigest()}.dictionary", shared)
     seen = docs.sparkSession.sparkContext.broadcast(shared)
 
-    def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         width, part, k, shard = _encoder(name)[1], TaskContext.get().partitionId(), 0, Shard(seen.value, _encoder(name)[1])
 
-        def done() -> pd.DataFrame:
+        def done() -> pa.RecordBatch:
             uri = f"{folder}/part-{part:06d}-{k:05d}-{uuid.uuid4().hex}.tids"
             write_file(uri, shard.data())
-            return pd.DataFrame({"uri": [uri], "part": [part], "k": [k], "documents": [len(shard.records)], "ids": [sum(r[2] for r in shard.records)]})
+            row = {"uri": uri, "part": part, "k": k, "documents": len(shard.records), "ids": sum(r[2] for r in shard.records)}
+            return pa.RecordBatch.from_pylist([row], pa.schema({"uri": pa.string(), "part": pa.int32(), "k": pa.int32(), "documents": pa.int64(), "ids": pa.int64()}))
 
-        for batch in batches:
-            ids = batch["doc_id"]
-            for doc_id, lacks, data in zip(ids.tolist(), ids.isna().tolist(), serialized(batch["text"], name, end), strict=True):
-                shard.add(None if lacks else int(doc_id), data, len(data) // width)
+        for some in _gathered(batches):
+            for doc_id, data in zip(some["doc_id"].to_pylist(), serialized(some["text"].cast(pa.large_string()).combine_chunks(), name, end), strict=True):
+                shard.add(None if doc_id is None else int(doc_id), data, len(data) // width)
                 if shard.size >= FILE_BYTES:
                     yield done()
                     k, shard = k + 1, Shard(seen.value, width)
         if shard.records:
             yield done()
+        give_back()
 
     order = [F.asc_nulls_first("doc_id"), F.asc("body")]
     dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("body")).repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    made = cut(dealt.mapInPandas(files, "uri string, part int, k int, documents long, ids long"))
+    made = cut(dealt.select("doc_id", "text").mapInArrow(files, "uri string, part int, k int, documents long, ids long"))
     before = Window.orderBy("part", "k").rowsBetween(Window.unboundedPreceding, -1)
     return made.select("uri", F.coalesce(F.sum("documents").over(before), F.lit(0)).alias("first"), "documents", "ids", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
 

@@ -79,3 +79,38 @@ def test_tokenizers_that_keep_white_space_read_texts_whole():
     t = Tokenizer.from_file(public_tokenizers.path(name))
     got = [np.frombuffer(x, "<u2").tolist() for x in op2.serialized(texts, name, 7)]
     assert got == [[*t.encode(x or "", add_special_tokens=False).ids, 7] for x in texts]
+
+
+def test_chunks_that_come_again_are_looked_up_once_in_a_group(lib, monkeypatch):
+    """What a text costs is its distinct chunks' look-ups and not all chunks'."""
+    asked, values = [], op2.Kept.values
+    monkeypatch.setattr(op2.Kept, "values", lambda self, distinct: asked.extend(distinct) or values(self, distinct))
+    texts = [f"Some words come again, {k % 7} times\tor more. " * 50 for k in range(300)]
+    got = [np.frombuffer(x, "<u2").tolist() for x in op2.serialized(texts, end=None)]
+    assert got == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert len(asked) == len(set(asked)) < 20
+
+
+def test_words_of_latin_letters_take_the_short_way(lib, monkeypatch):
+    """Only chunks with something else in them are normalized and pre-split by the library."""
+    t, slow = lib, []
+
+    def together(new):
+        slow.extend(new)
+        return [np.array(e.ids, "<u2").tobytes() for e in t.encode_batch_fast(new, add_special_tokens=False)]
+
+    make = op2._plain(t, together, 2)
+    slow.clear()
+    new = ["Ab", "\u00e9t\u00e9", "\u00c9T\u00c9", "stra\u00dfe", "\u0130x", "x1", "a,b", "\u01c5", "\u023a", "\u03a3a", "", "a\u0301", "'s", "\u00aa\u00ba\u00b5", "w" * 300]
+    assert [np.frombuffer(x, "<u2").tolist() for x in make(new)] == [lib.encode(x, add_special_tokens=False).ids for x in new]
+    assert slow == ["\u0130x", "x1", "a,b", "\u023a", "\u03a3a", "", "a\u0301", "'s"]
+
+
+def test_groups_of_any_size_and_texts_that_arrow_splits_elsewhere(lib, monkeypatch):
+    texts = ["", None, " \n", "a\x1cb c", "D\x1f", "<|endoftext|>E <|ENDOFTEXT|>", "\u03a3\u0391\u03a3 x", "f\x85g\u3000h", None, "i" * 100, "\x1d \x1e", "j k " * 40]
+    want = [lib.encode(x or "", add_special_tokens=False).ids for x in texts]
+    for size in (1, 10, 1 << 20):
+        monkeypatch.setattr(op2, "GROUP", size)
+        for kept in (texts, op2.pa.array([None, *texts, ""])[1:-1]):
+            assert [np.frombuffer(x, "<u2").tolist() for x in op2.serialized(kept, end=None)] == want
+    assert list(op2.serialized([])) == []
