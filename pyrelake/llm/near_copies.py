@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,8 +151,7 @@ def _pivots(live: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame | No
 
     live has (g, node, n, pos, size); without links there are no components.
     """
-    spark = docs.sparkSession
-    links, named = spark.createDataFrame([], "u long, v long"), None
+    links, named = docs.sparkSession.range(0).select(F.col("id").alias("u"), F.col("id").alias("v")), None  # rows given from Python would start workers of another kind
     base = cut(live.where(F.col("size") >= PIVOTED).select("g", "node", "n"))
     postings = base.count()
     if not postings:
@@ -234,7 +234,7 @@ def _late(live: DataFrame) -> np.ndarray:
 def _prefixed_again(distinct: DataFrame, live: DataFrame, docs: DataFrame, common: np.ndarray, late: np.ndarray) -> DataFrame:
     """distinct, with late shingles last too, before the common ones: prefixes that have none of these are the same in the new order."""
     spark = docs.sparkSession
-    moved = F.broadcast(spark.createDataFrame(pd.DataFrame({"g": late})))  # at most LATE numbers
+    moved = F.broadcast(spark.createDataFrame(pa.table({"g": late})))  # at most LATE numbers
     touched = cut(live.join(moved, "g", "left_semi").select("node").distinct())
     ids = touched.select(F.col("node").alias("doc_id"))
     some = beside(docs, ids, ["doc_id"], touched.count(), "left_semi")

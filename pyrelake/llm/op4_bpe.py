@@ -10,8 +10,8 @@ gadgets: going back in rank, the right end of s and the left end of t unfold to
 time, and the arc is gone if a merge of just these two came while both were there (of equal merges the leftmost is first). Answers are kept in a
 transition table that grows with the arcs in use, up to a bound.
 
-A word has one path that spells it. From each state a table of label prefixes is followed over the symbols,
-and the longest label for which there is an arc is taken; where there is none, the last arc is undone and
+A word has one path that spells it. From each state the longest label that the symbols go on with and for which
+there is an arc is taken, looked up by its bytes; where there is none, the last arc is undone and
 the next shorter label tried. A prefix of a word has one path as well, so a place that led nowhere is not
 tried again. Decoding emits the labels of the arcs.
 """
@@ -24,6 +24,8 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,10 @@ LATER = "\u0558"
 ARCS = 200_000
 #: Words whose path a worker keeps at most.
 WORDS = 100_000
+#: Chunks in each generation that a worker keeps, and one beside other stages' idle workers.
+KEPT_ALONE, KEPT_BESIDE = 250_000, 60_000
+#: Stands behind the bytes of what ends a word; UTF-8 never has it.
+END = b"\xff"
 
 
 def vocabulary(name: str = VOCABULARY) -> str:
@@ -64,60 +70,65 @@ def _later_characters(tokenizer) -> str:
     return "".join(rf"\U{ord(new[at // 3]):08x}" for _, (at, end) in pieces if end - at == 2)
 
 
+def _unicode(path: str) -> tuple:
+    """How the tokenizer writes characters that other Unicode tables may not have (composed, and in lower case), and its _later_characters()."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer.normalizer.normalize_str, _later_characters(tokenizer)
+
+
 class Automaton:
     """Compiled from a tokenizer file with byte-level symbols and a mark at the end of words."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
+        self.written, self.later = _unicode(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.label = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.word_pattern, self.end = split["pattern"]["Regex"], model["end_of_word_suffix"]
         vocab, names = model["vocab"], _byte_symbols()
-        self.inner, self.final = [vocab[c] for c in names], [vocab[c + self.end] for c in names]
-        self.rank, self.ends, self.merged = {}, {}, {}
-        spelt = {s: (s,) for s in (*self.inner, *self.final)}
+        self.label = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        # by label, in lists: a worker has one automaton, and an executor some workers
+        most = max(self.label) + 1
+        self.rank, self.left, self.right, self.merged = [-1] * most, [None] * most, [None] * most, {}
+        spelt = {vocab[c]: bytes([b]) for b, c in enumerate(names)} | {vocab[c + self.end]: bytes([b]) + END for b, c in enumerate(names)}
         for k, pair in enumerate(model["merges"]):
             u, v = (vocab[x] for x in (pair.split(" ") if isinstance(pair, str) else pair))
             w = vocab[self.label[u] + self.label[v]]
-            if (u, v) in self.merged or w in self.ends:
+            if u << 32 | v in self.merged or self.rank[w] >= 0:
                 raise ValueError(f"merge {k} makes a label again")
-            self.merged[u, v], self.rank[w], self.ends[w] = k, k, (u, v)
+            self.merged[u << 32 | v] = self.rank[w] = k
+            self.left[w], self.right[w] = u, v
             spelt[w] = spelt[u] + spelt[v]
-        #: Label prefixes: a node is [label or None, {symbol: node}].
-        self.root = [None, {}]
-        for w, symbols in spelt.items():
-            node = self.root
-            for x in symbols:
-                node = node[1].setdefault(x, [None, {}])
-            node[0] = w
-        self.size = {w: len(symbols) for w, symbols in spelt.items()}
-        self.longest = max(self.size.values())
-        by = {symbols: w for w, symbols in spelt.items()}
-        #: The longest other label that a label begins with.
-        self.shorter = {w: next((by[x[:k]] for k in range(len(x) - 1, 0, -1) if x[:k] in by), None) for w, x in spelt.items()}
+        #: Labels by their bytes, with END behind those that end a word.
+        self.by = {x: w for w, x in spelt.items()}
+        if len(self.by) < len(spelt):
+            raise ValueError("two labels are spelt alike")
+        #: Bytes of a label, and the longest other label that it begins with.
+        self.size, self.shorter = [0] * most, [None] * most
+        for w, x in spelt.items():
+            self.size[w] = n = len(x.removesuffix(END) or x)
+            self.shorter[w] = next((self.by[x[:k]] for k in range(n - 1, 0, -1) if x[:k] in self.by), None)
+        self.longest = max(self.size)
         self.arcs: dict[int, bool] = {}
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.alone: dict[int, tuple[int]] = {}
         self.find = regex.compile(self.word_pattern).findall
         self.letters = self.find("ab") == ["ab"]
-        tokenizer = Tokenizer.from_file(path)
-        #: How the tokenizer writes characters that other Unicode tables may not have: composed, and in lower case.
-        self.written = tokenizer.normalizer.normalize_str
-        later = _later_characters(tokenizer)
+        later = self.later
         self.find_any = regex.compile("(?V1)" + self.word_pattern.replace(r"\p{L}", rf"[\p{{L}}--[{later}]]").replace(r"\p{N}", rf"[\p{{N}}--[{later}]]")).findall if later else self.find
         self.outside = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else lambda text: [text]
 
     def arc(self, s: int, t: int) -> bool:
         """Whether the automaton still has an arc t from the state s."""
-        until, rank, a, b, free = len(self.merged), self.rank, s, t, True
+        until, rank, merged, a, b, free = len(self.merged), self.rank, self.merged.get, s, t, True
         first = False  # whether only t's end unfolded at `until`: equal merges go from the left, so one across the gap comes first
         while True:
-            ra, rb = rank.get(a, -1), rank.get(b, -1)
-            since, k = max(ra, rb), self.merged.get((a, b), -1)
+            ra, rb = rank[a], rank[b]
+            since, k = max(ra, rb), merged(a << 32 | b, -1)
             if since < k < until or first and k == until:
                 free = False
                 break
@@ -125,9 +136,9 @@ class Automaton:
                 break
             until, first = since, ra < since
             if ra == since:
-                a = self.ends[a][1]
+                a = self.right[a]
             if rb == since:
-                b = self.ends[b][0]
+                b = self.left[b]
         if len(self.arcs) >= ARCS:
             self.arcs.clear()
         self.arcs[s << 32 | t] = free
@@ -135,18 +146,13 @@ class Automaton:
 
     def path(self, word: bytes) -> list[int]:
         """The labels of the path that spells a word, with the mark at its end."""
-        symbols = [*map(self.inner.__getitem__, word[:-1]), self.final[word[-1]]]
-        n, root, known, arc, size, shorter = len(symbols), self.root, self.arcs.get, self.arc, self.size, self.shorter
+        spelt, n, by, known, arc, size, shorter = word + END, len(word), self.by.get, self.arcs.get, self.arc, self.size, self.shorter
         out, dead, i, t, last, longest = [], None, 0, None, -1, self.longest
         while True:
-            if t is None:  # the longest label from here on
-                below = root[1]
-                for x in symbols[i : i + longest]:
-                    if x not in below:
+            if t is None and (n - i > longest or (t := by(spelt[i:])) is None):  # the longest label from here on
+                for end in range(min(n - 1, i + longest), i, -1):
+                    if (t := by(spelt[i:end])) is not None:
                         break
-                    found, below = below[x]
-                    if found is not None:
-                        t = found
             while t is not None:
                 if last < 0 or (free := known(last << 32 | t)) or free is None and arc(last, t):
                     if not dead or i + size[t] not in dead:
@@ -167,6 +173,10 @@ class Automaton:
                 i -= size[t]
                 t = shorter[t]
 
+    def shared(self, ids: list[int]) -> tuple[int, ...]:
+        """ids as a tuple; of one id, always the same one, as most words have no more."""
+        return tuple(ids) if len(ids) != 1 else self.alone.setdefault(ids[0], tuple(ids))
+
     def words(self, text: str) -> list[bytes]:
         """The pre-split words of a text without special tokens, as bytes."""
         if text.isascii():
@@ -189,7 +199,7 @@ class Automaton:
             else:
                 for w in self.words(part):
                     if (found := self.known.get(w)) is None:
-                        found = self.path(w)
+                        found = self.shared(self.path(w))
                         if len(self.known) >= WORDS:
                             self.known.clear()
                         if len(w) <= LONG:
@@ -203,31 +213,23 @@ class Automaton:
 
 @cache
 def automaton(path: str) -> Automaton:
-    """One for each worker process."""
-    return Automaton(path)
+    """One for each worker process; what it took to make is given back."""
+    try:
+        return Automaton(path)
+    finally:
+        give_back()
 
 
 @cache
-def _kept(path: str, with_ids: bool) -> Kept:
-    """Chunks' counts, decimal ids and labels, and the ids themselves if asked for."""
+def _kept(path: str, beside: bool) -> Kept:
+    """Chunks' ids; fewer are kept beside other stages' workers."""
     own = automaton(path)
-    label, decimal = own.label, {i: str(i) for i in own.label}
-
-    def make(new: list[str]) -> list[tuple]:
-        paths = map(own.encode, new)
-        if with_ids:
-            return [(len(ids), " ".join(map(str, ids)), own.decode(ids), np.array(ids, np.int32).tobytes()) for ids in paths]
-        return [(len(ids), " ".join([decimal[i] for i in ids]), " ".join([label[i] for i in ids])) for ids in paths]
-
-    def join(a: tuple, b: tuple) -> tuple:
-        return (a[0] + b[0], f"{a[1]} {b[1]}", f"{a[2]} {b[2]}", *((a[3] + b[3],) if with_ids else ()))
-
     parts = own.encode("Ab,") == own.encode("ab") + own.encode(",") == [*own.encode("AB"), *own.encode(",")]
-    return Kept(make, 30_000 if with_ids else 250_000, join if parts else None)
+    return Kept(lambda new: [own.shared(own.encode(c)) for c in new], KEPT_BESIDE if beside else KEPT_ALONE, add if parts else None)
 
 
-def _joined(found: list[tuple]) -> np.ndarray:
-    return np.frombuffer(b"".join([v[3] for v in found]), np.int32)
+def _joined(found: list[tuple[int, ...]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(found), np.int32)
 
 
 def encode(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
@@ -260,19 +262,20 @@ def decode(encoded: DataFrame, name: str = VOCABULARY) -> DataFrame:
 def _digests(docs: DataFrame, name: str, with_ids: bool) -> DataFrame:
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        kept = _kept(vocabulary(name), with_ids)
+        own, kept = automaton(vocabulary(name)), _kept(vocabulary(name), with_ids)
+        decimal = {i: str(i) for i in own.label}
         try:
             for texts in slices(batches):
                 rows = []
                 for found in kept.of(texts):
-                    sizes, *parts = list(zip(*found, strict=True))[:3] or ((), (), ())
-                    digest = [hashlib.sha256(" ".join(x).encode()).hexdigest() for x in parts]
-                    rows.append((sum(sizes), *digest, *((_joined(found),) if with_ids else ())))
+                    ids = list(chain.from_iterable(found))
+                    digest = [hashlib.sha256(" ".join(map(x.__getitem__, ids)).encode()).hexdigest() for x in (decimal, own.label)]
+                    rows.append((len(ids), *digest, *((np.array(ids, np.int32),) if with_ids else ())))
                 yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
         finally:
             if with_ids:  # other stages' workers need the memory
                 kept.forget()
-                automaton(vocabulary(name)).known.clear()
+                own.known.clear()
                 give_back()
 
     return docs.select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")

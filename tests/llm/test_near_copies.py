@@ -141,3 +141,20 @@ def test_groups_that_share_their_lists_are_connected_in_one_round(spark, monkeyp
     live = [(g, k, 57, g, 12) for g in range(12) for k in range(12)]
     links, named = near_copies._pivots(spark.createDataFrame(live, "g long, node long, n int, pos int, size long"), spark.createDataFrame(docs, DOCS))
     assert sorted((r.node, r.component) for r in named.collect()) == [(k, k // 6 * 6) for k in range(12)]
+
+
+def test_no_rows_are_given_from_python(spark, monkeypatch):
+    """Such rows start a second kind of Python worker, whose idle processes stand beside the next stages' in an executor's memory."""
+    rng, given = random.Random(3), []
+    monkeypatch.setattr(near_copies, "SMALL_BUCKET", 4)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(edited(rng, base, i % 3))) for i in range(30)]
+    shared = [f"c{k}" for k in range(30)]
+    rows += [(i, " ".join([*shared, *(f"x{rng.randrange(10**6)}" for _ in range(60))])) for i in range(30, 50)]
+    docs = spark.createDataFrame(rows, DOCS)
+    late, real = [], near_copies._late
+    monkeypatch.setattr(near_copies, "_late", lambda live: late.append(real(live)) or late[-1])
+    monkeypatch.setattr(near_copies, "_common", lambda docs: near_copies.np.zeros(0, near_copies.np.int64))
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda self, *a, f=type(spark.sparkContext).parallelize: given.append(a) or f(self, *a))
+    links = [(r.u, r.v) for r in near_links(docs).collect()]
+    assert len(late[0]) and groups(links, rows) == brute(rows) and not given

@@ -1,6 +1,9 @@
 import hashlib
 import random
+import subprocess
+import sys
 import unicodedata
+from pathlib import Path
 
 import pytest
 import regex
@@ -66,3 +69,16 @@ def test_odd_rows(spark, odd_docs, lib):
         assert r.ids == lib.encode(ODD[r.doc_id], add_special_tokens=False).ids
     for r in decode(coded).collect():
         assert r.text == lib.decode(lib.encode(ODD[r.doc_id], add_special_tokens=False).ids, skip_special_tokens=False)
+
+
+def test_an_automaton_takes_little_memory():
+    """Each worker of an executor has one: 120 MB before they were lists and flat tables, some 50 now."""
+    code = """
+import re, pyspark.worker, pandas, pyarrow
+from pyrelake.llm.op4_bpe import automaton, vocabulary
+now = lambda: int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+before, own = now(), automaton(vocabulary())
+print(now() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert int(out.stdout) < 75
